@@ -157,6 +157,14 @@ def fact(spark: SparkSession, root: str, columns: list[str] | None = None,
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("event_site_refid"),
         F.col("l_partkey").alias("_partkey"),
     )
+    # The event join needs participant rows hash-partitioned on event_id;
+    # doing it here (the same exchange the sort-merge join would add) also
+    # spreads everything downstream over the cluster when a scan yields
+    # few splits (one row group per file).
+    # An explicit count (the session's shuffle width) keeps AQE from folding
+    # this exchange into one partition on small inputs.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part_rows = part_rows.repartition(width, "event_id")
 
     o = read_table(spark, root, "orders")
     if excluded:
@@ -197,7 +205,10 @@ def fact(spark: SparkSession, root: str, columns: list[str] | None = None,
                        .drop("n_nationkey", "n_name"))
         ev = ev.join(cust_df.drop("c_nationkey"), "requester_id", "left")
 
-    f = part_rows.join(ev, "event_id", "inner")
+    # Both sides hash-partitioned on event_id with one width: the join is
+    # co-partitioned (the exchanges a sort-merge join needs anyway) and
+    # whichever side AQE streams is spread over the whole width.
+    f = part_rows.join(ev.repartition(width, "event_id"), "event_id", "inner")
     if want & _PART:
         part = read_table(spark, root, "part").select(F.col("p_partkey").alias("_partkey"),
                                                       F.col("p_name").alias("program_name"))
