@@ -1,0 +1,3 @@
+"""Incremental refresh of batch rollups as new fact files arrive."""
+
+from .refresh import refresh_monthly  # noqa: F401
