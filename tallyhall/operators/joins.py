@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,10 +24,20 @@ def untouched(all_keys: DataFrame, active: DataFrame, key: str) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """Keep the first row per key under an explicit order (deterministic,
-    unlike ``dropDuplicates``)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """Keep the first row per key under an explicit ascending order (nulls
+    first), ties broken by the whole row, so the pick is deterministic
+    (unlike ``dropDuplicates``).
+
+    ``min_by`` is a hash aggregate with map-side partial aggregation, so a
+    key holding a large share of the rows is reduced before the shuffle
+    instead of being sorted in one window partition.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order_cols)],
+                    *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)])
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), rank).alias("_best"))
+    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
 def typed_parent(child: DataFrame, orgs: DataFrame, child_key: str, child_type: str,

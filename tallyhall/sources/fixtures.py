@@ -41,6 +41,16 @@ _EVENT_SITE = {"event_site_name", "event_site_state", "event_site_region", "even
 _HOME_SITE = {"home_site_name", "home_state"}
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has
+    cores (e.g. one parquet row group).  A large scan is already split
+    into many tasks and passes through untouched, so this never adds a
+    shuffle at scale; it keeps the CPU-heavy stages after a small input
+    from running in a single task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def subcategory_dim(spark: SparkSession) -> DataFrame:
     """The 13-row subcategory dimension (fixed size: safe to broadcast)."""
     return spark.createDataFrame(SUBCATEGORIES, "subcategory_id int, category_name string, "
@@ -157,14 +167,7 @@ def fact(spark: SparkSession, root: str, columns: list[str] | None = None,
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("event_site_refid"),
         F.col("l_partkey").alias("_partkey"),
     )
-    # The event join needs participant rows hash-partitioned on event_id;
-    # doing it here (the same exchange the sort-merge join would add) also
-    # spreads everything downstream over the cluster when a scan yields
-    # few splits (one row group per file).
-    # An explicit count (the session's shuffle width) keeps AQE from folding
-    # this exchange into one partition on small inputs.
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part_rows = part_rows.repartition(width, "event_id")
+    part_rows = spread_small_scan(part_rows)
 
     o = read_table(spark, root, "orders")
     if excluded:
@@ -205,10 +208,10 @@ def fact(spark: SparkSession, root: str, columns: list[str] | None = None,
                        .drop("n_nationkey", "n_name"))
         ev = ev.join(cust_df.drop("c_nationkey"), "requester_id", "left")
 
-    # Both sides hash-partitioned on event_id with one width: the join is
-    # co-partitioned (the exchanges a sort-merge join needs anyway) and
-    # whichever side AQE streams is spread over the whole width.
-    f = part_rows.join(ev.repartition(width, "event_id"), "event_id", "inner")
+    # The join's exchanges stay with the planner (ENSURE_REQUIREMENTS), so
+    # AQE can split a hot event's partition (skew join) or convert to a
+    # broadcast join when one side turns out small.
+    f = part_rows.join(spread_small_scan(ev), "event_id", "inner")
     if want & _PART:
         part = read_table(spark, root, "part").select(F.col("p_partkey").alias("_partkey"),
                                                       F.col("p_name").alias("program_name"))

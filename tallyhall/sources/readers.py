@@ -7,12 +7,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Declared schemas of the driver's tables (no footer inference per read).
+TABLE_SCHEMAS: dict[str, str] = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+_SCANS: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One parquet table of a data folder; naive timestamps become zoned UTC."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-    casts = [F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType)
-             else F.col(f.name) for f in df.schema.fields]
-    return df.select(*casts)
+    """One parquet table of a data folder; naive timestamps become zoned UTC.
+
+    The scan DataFrame is kept per session and path (like a catalog table),
+    so the file listing is done once and every query reuses it.
+    """
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _SCANS:
+        reader = spark.read
+        if name in TABLE_SCHEMAS:
+            reader = reader.schema(TABLE_SCHEMAS[name])
+        df = reader.parquet(path)
+        casts = [F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType)
+                 else F.col(f.name) for f in df.schema.fields]
+        _SCANS[key] = df.select(*casts)
+    return _SCANS[key]
 
 
 def read_parquet_columns(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
