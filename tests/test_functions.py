@@ -91,3 +91,11 @@ def test_search_spans_fields_and_blank_dates_pass(spark):
     spec2 = FilterSpec(date_from="2026-01-01", date_to="2026-12-31")
     assert sorted(r[0] for r in df.where(spec_predicate(spec2)).select("participant_name").collect()) == \
         ["Ali", "Siti"]
+
+
+def test_address_safe_int_and_site_fallback(spark):
+    df = spark.createDataFrame([(" Jalan 1", None, "7", None, 12), (None, "Lot 2", "x", "Kg Baru", 13)],
+                               "a1 string, a2 string, n string, name string, sid bigint")
+    got = df.select(tx.address_line("a1", "a2").alias("addr"), tx.safe_int("n").alias("n"),
+                    tx.site_name_fallback(F.col("name"), F.col("sid")).alias("site")).collect()
+    assert [tuple(r) for r in got] == [("Jalan 1", 7, "Site-12"), ("Lot 2", 0, "Kg Baru")]
