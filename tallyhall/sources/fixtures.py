@@ -206,6 +206,13 @@ def fact(spark: SparkSession, root: str, columns: list[str] | None = None,
                        .withColumn("deeper_sub_pillar",
                                    F.when(F.col("creator_type") == "sso_admin", F.col("n_name")))
                        .drop("n_nationkey", "n_name"))
+        if want & _HOME_SITE:
+            # the home site is a customer attribute: look it up on the
+            # customer side, before the participant-level join
+            h = sites(spark, root).select(F.col("refid").alias("home_refid"),
+                                          F.col("site_name").alias("home_site_name"),
+                                          F.col("state").alias("home_state"))
+            cust_df = cust_df.join(h, "home_refid", "left")
         ev = ev.join(cust_df.drop("c_nationkey"), "requester_id", "left")
 
     # The join's exchanges stay with the planner (ENSURE_REQUIREMENTS), so
@@ -223,9 +230,4 @@ def fact(spark: SparkSession, root: str, columns: list[str] | None = None,
             F.col("tp").alias("event_site_tp"), F.col("dusp").alias("event_site_dusp"),
             F.col("phase").alias("event_site_phase"))
         f = f.join(s, "event_site_id", "left")
-    if want & _HOME_SITE:
-        h = sites(spark, root).select(F.col("refid").alias("home_refid"),
-                                      F.col("site_name").alias("home_site_name"),
-                                      F.col("state").alias("home_state"))
-        f = f.join(h, "home_refid", "left")
     return f.select(*[c for c in FACT_COLUMNS if c in want])
