@@ -50,16 +50,25 @@ def read_parquet_columns(spark: SparkSession, path: str, columns: list[str]) ->
     return spark.read.parquet(path).select(*columns)
 
 
-def latest_snapshot(spark: SparkSession, glob: str, by: str = "name") -> DataFrame:
-    """Rows of the newest file matching ``glob`` (greatest name or mtime).
-
-    The newest file is chosen from the hidden ``_metadata`` column, so only
-    the file listing is consulted and the row filter runs on executors.
+def latest_snapshot(spark: SparkSession, glob: str, by: str = "name", unit: str = "file") -> DataFrame:
+    """Rows of the newest snapshot matching ``glob``.
+
+    A snapshot is one file (``unit="file"``, e.g. ``fact_20260301.parquet``)
+    or one folder of part files (``unit="dir"``).  Newest means the greatest
+    path (``by="name"``) or the latest modification time (``by="mtime"``).
+    The choice reads only the hidden ``_metadata`` column; the row filter is
+    a semi-join against a one-row aggregate.
     """
     df = spark.read.parquet(glob)
-    key = "_metadata.file_name" if by == "name" else "_metadata.file_modification_time"
-    tagged = df.withColumn("_snap", F.col(key))
-    newest = tagged.agg(F.max("_snap").alias("_snap"))
+    path = F.col("_metadata.file_path")
+    snap = F.regexp_replace(path, "/[^/]*$", "") if unit == "dir" else path
+    tagged = df.withColumn("_snap", snap)
+    if by == "name":
+        newest = tagged.agg(F.max("_snap").alias("_snap"))
+    else:
+        tagged = tagged.withColumn("_mt", F.col("_metadata.file_modification_time"))
+        newest = tagged.agg(F.max_by("_snap", "_mt").alias("_snap"))
+        tagged = tagged.drop("_mt")
     return tagged.join(F.broadcast(newest), "_snap", "left_semi").drop("_snap")
 
 

@@ -40,9 +40,11 @@ def test_site_list_json(spark):
 def test_latest_snapshot_by_name(spark):
     d = scratch()
     spark.createDataFrame([(1,)], "v int").coalesce(1).write.parquet(f"{d}/snap_20260101")
-    spark.createDataFrame([(2,), (3,)], "v int").coalesce(1).write.parquet(f"{d}/snap_20260301")
-    got = sorted(r.v for r in readers.latest_snapshot(spark, f"{d}/snap_*/*.parquet").collect())
+    spark.createDataFrame([(2,), (3,)], "v int").repartition(2).write.parquet(f"{d}/snap_20260301")
+    got = sorted(r.v for r in readers.latest_snapshot(spark, f"{d}/snap_*/*.parquet", unit="dir").collect())
     assert got == [2, 3]
+    one = sorted(r.v for r in readers.latest_snapshot(spark, f"{d}/snap_2026010*/*.parquet").collect())
+    assert one == [1]
 
 
 def test_fact_parquet_partitioned_roundtrip(spark):
