@@ -136,32 +136,61 @@ def _pillar_keep(pillars: list[PillarSpec]):
     return keep
 
 
+GRAIN_CODES = {1: "month", 2: "quarter", 3: "week", 4: "all"}
+
+
+def _week_of_month_no(d):
+    """1..4 for the (0,7] (7,14] (14,21] (21,31] day bins."""
+    day = F.dayofmonth(d)
+    return F.when(day <= 7, 1).when(day <= 14, 2).when(day <= 21, 3).when(day <= 31, 4)
+
+
 def sheet_rows(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U",
                weekly_months: int = WEEKLY_SHEET_MONTHS, date_col: str = "event_start") -> DataFrame:
     """Fact rows tagged with every sheet they belong to: month, quarter,
-    week-of-month (latest ``weekly_months`` months only) and All."""
+    week-of-month (latest ``weekly_months`` months only) and All.
+
+    Sheets are identified by compact keys (grain code, sheet start date,
+    week-of-month number); :func:`sheet_labels` turns them into the text
+    labels after aggregation, so the heavy GROUP BY hashes no label text.
+    """
     df = fact
     if category:
         df = df.where(contains_or_false(F.col("category_name"), category))
-    d = F.to_date(F.col(date_col))
-    df = df.withColumn("_d", d)
+    df = df.withColumn("_d", F.to_date(F.col(date_col)))
     months = df.where(F.col("_d").isNotNull()).select(month_start("_d").alias("_m")).distinct()
     latest = months.orderBy(F.col("_m").desc()).limit(weekly_months)   # <= 3 rows
     df = df.withColumn("_m", month_start("_d"))
     df = df.join(F.broadcast(latest.withColumn("_recent", F.lit(True))), "_m", "left")
-    sheet = F.struct
+
+    def tag(code, start, wom):
+        return F.struct(F.lit(code).alias("grain_code"), start.cast("date").alias("sheet_start"),
+                        wom.cast("int").alias("wom"))
+
+    dated = F.col("_d").isNotNull()
     grains = F.array(
-        F.when(F.col("_d").isNotNull(), sheet(F.lit("month").alias("grain"), month_label("_m").alias("sheet"),
-                                             F.col("_m").alias("sheet_start"))),
-        F.when(F.col("_d").isNotNull(), sheet(F.lit("quarter").alias("grain"), quarter_sheet("_d").alias("sheet"),
-                                             quarter_start("_d").alias("sheet_start"))),
-        F.when(F.col("_recent"), sheet(F.lit("week").alias("grain"),
-                                       F.concat(month_label("_m"), F.lit(" "), week_of_month("_d")).alias("sheet"),
-                                       F.col("_m").alias("sheet_start"))),
-        sheet(F.lit("all").alias("grain"), F.lit("All").alias("sheet"), F.lit(None).cast("date").alias("sheet_start")),
+        F.when(dated, tag(1, F.col("_m"), F.lit(None))),
+        F.when(dated, tag(2, quarter_start("_d"), F.lit(None))),
+        F.when(F.col("_recent"), tag(3, F.col("_m"), _week_of_month_no(F.col("_d")))),
+        tag(4, F.lit(None), F.lit(None)),
     )
     return (df.withColumn("_s", F.explode(grains)).where(F.col("_s").isNotNull())
-              .select("*", "_s.grain", "_s.sheet", "_s.sheet_start").drop("_s", "_d", "_m", "_recent"))
+              .select("*", "_s.grain_code", "_s.sheet_start", "_s.wom").drop("_s", "_d", "_m", "_recent"))
+
+
+def sheet_labels(df: DataFrame) -> DataFrame:
+    """(grain_code, sheet_start, wom) -> grain and sheet name: ``Jan 2026``,
+    ``Q1 2026``, ``Jan 2026 W1`` or ``All``."""
+    code, start = F.col("grain_code"), F.col("sheet_start")
+    grain = None
+    for c, name in GRAIN_CODES.items():
+        grain = F.when(code == c, name) if grain is None else grain.when(code == c, name)
+    sheet = (F.when(code == 1, month_label(start))
+              .when(code == 2, quarter_sheet(start))
+              .when(code == 3, F.concat(month_label(start), F.lit(" W"), F.col("wom").cast("string")))
+              .otherwise(F.lit("All")))
+    rest = [c for c in df.columns if c not in ("grain_code", "sheet_start", "wom")]
+    return df.select(grain.alias("grain"), sheet.alias("sheet"), *rest)
 
 
 def pivot_all_grains(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U",
@@ -172,12 +201,15 @@ def pivot_all_grains(fact: DataFrame, pillars: list[PillarSpec], category: str |
     rows = rows.where(F.col("pillar_name").isin(*[p.name for p in pillars]))
     rows = rows.withColumn("grp", _pillar_group(pillars))
     rows = rows.where(non_empty("event_site_refid") & non_empty("grp") & _pillar_keep(pillars))
-    keys = ["pillar_name", "grain", "sheet", "refid", "site_name", "state"]
-    base = rows.select("pillar_name", "grain", "sheet", F.col("event_site_refid").alias("refid"),
+    tags = ["grain_code", "sheet_start", "wom"]
+    site = ["refid", "site_name", "state"]
+    base = rows.select("pillar_name", *tags, F.col("event_site_refid").alias("refid"),
                        F.col("event_site_name").alias("site_name"), F.col("event_site_state").alias("state"),
                        "grp", "event_id", "participant_id")
-    long = _cells_and_totals(base, keys, "grp")
-    return long.select(*keys, F.when(F.col("is_total"), F.lit("Total")).otherwise(F.col("grp")).alias("grp"),
+    long = _cells_and_totals(base, ["pillar_name", *tags, *site], "grp")
+    long = sheet_labels(long)
+    return long.select("pillar_name", "grain", "sheet", *site,
+                       F.when(F.col("is_total"), F.lit("Total")).otherwise(F.col("grp")).alias("grp"),
                        "events", "pax")
 
 
@@ -185,8 +217,14 @@ def active_sites_per_sheet(fact: DataFrame, pillars: list[PillarSpec], category:
                            date_col: str = "event_start") -> DataFrame:
     """Sites with any non-zero cell, per pillar and sheet; the sheet list
     comes from all pillars so an empty sheet still shows 0."""
-    rows = sheet_rows(fact, pillars, category, date_col=date_col)
-    sheets = rows.select("grain", "sheet").distinct()
+    # The sheet list depends only on the dates present: tag the distinct
+    # dates (a calendar-bounded set) rather than every fact row.
+    cols = [date_col] + (["category_name"] if category else [])
+    dates = fact.select(*cols).distinct()
+    sheets = sheet_labels(sheet_rows(dates, pillars, category, date_col=date_col)
+                          .select("grain_code", "sheet_start", "wom")).select("grain", "sheet")
+    all_sheet = fact.sparkSession.createDataFrame([("all", "All")], "grain string, sheet string")
+    sheets = sheets.unionByName(all_sheet).distinct()
     sheets = sheets.withColumn("pillar_name", F.explode(F.array(*[F.lit(p.name) for p in pillars])))
     cells = pivot_all_grains(fact, pillars, category, date_col)
     active = (cells.where(F.col("events") > 0).groupBy("pillar_name", "grain", "sheet")
