@@ -58,7 +58,7 @@ def _fact(spark, root, cols):
 # Sources and eligibility
 # ---------------------------------------------------------------------------
 
-@register("eligible_events", f"""
+_ELIGIBLE_SQL = f"""
 SELECT DISTINCT o.o_orderkey AS event_id
 FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
 WHERE CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN true WHEN 'BUILDING' THEN true ELSE false END
@@ -67,7 +67,10 @@ WHERE CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN true WHEN 'BUILDING' THEN true
   AND o.o_custkey IS NOT NULL
   AND o.o_orderstatus NOT IN ('P')
   AND CAST(o.o_orderdate AS DATE) >= DATE '{WINDOW[0]}' AND CAST(o.o_orderdate AS DATE) <= DATE '{WINDOW[1]}'
-""")
+"""
+
+
+@register("eligible_events", _ELIGIBLE_SQL)
 def q_eligible_events(spark, root):
     return filters.eligible_events(fx.events(spark, root), 1, fx.FIXTURE_EXCLUDED, *WINDOW).orderBy("event_id")
 
@@ -754,3 +757,49 @@ def q_site_payload(spark, root):
     f = _fact(spark, root, ["event_site_refid", "event_id", "participant_id", "gender", "age", "oku_status",
                             "program", "program_name", "event_startdate", "attendance"])
     return payload.site_payload(f, fx.sites(spark, root))
+
+
+# ---------------------------------------------------------------------------
+# Extracts and end-to-end flow
+# ---------------------------------------------------------------------------
+
+@register("event_taxonomy", O.FACT_CTE + """
+SELECT o.o_orderkey AS event_id, COALESCE(s.category_name, '') AS event_category,
+       COALESCE(s.module, '') AS program_module, COALESCE(c.c_mktsegment, '') AS program,
+       CAST(o.o_orderdate AS DATE) AS event_startdate, CAST(o.o_orderdate AS DATE) AS event_lastdate,
+       o.o_custkey AS requester_id
+FROM orders o
+LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+LEFT JOIN subcat s ON s.subcategory_id = CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER)
+     + CASE o.o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 5 ELSE 8 END
+""")
+def q_event_taxonomy(spark, root):
+    ev = fx.events(spark, root)
+    dim = F.broadcast(fx.subcategory_dim(spark).select("subcategory_id", "category_name", "module"))
+    out = ev.join(dim, "subcategory_id", "left")
+    return out.select("event_id", F.coalesce("category_name", F.lit("")).alias("event_category"),
+                      F.coalesce("module", F.lit("")).alias("program_module"),
+                      F.coalesce("program", F.lit("")).alias("program"),
+                      F.to_date("event_start").alias("event_startdate"),
+                      F.to_date("event_end").alias("event_lastdate"),
+                      F.col("program_id").alias("requester_id"))
+
+
+@register("export_rows", _VIEW_SQL + "SELECT * FROM v")
+def q_export_rows(spark, root):
+    return _view(spark, root)
+
+
+@register("dashboard_monthly", O.FACT_CTE + f"""
+, ids AS ({_ELIGIBLE_SQL})
+SELECT {_MONTH} AS month_start, strftime({_MONTH}, '%Y-%m') AS period, strftime({_MONTH}, '%b %Y') AS label,
+       count(DISTINCT event_id) FILTER (WHERE participant_id IS NOT NULL) AS events, {O.DEMO}
+FROM fact
+WHERE event_id IN (SELECT event_id FROM ids) AND program IN ('AUTOMOBILE') AND event_startdate IS NOT NULL
+GROUP BY 1
+""")
+def q_dashboard_monthly(spark, root):
+    from .flows import dashboard_fact
+    f = dashboard_fact(spark, root, 1, *WINDOW, programs=["AUTOMOBILE"],
+                       columns=["event_startdate", "participant_id", "gender", "age", "oku_status"])
+    return rollups.monthly_rollup(f)

@@ -23,15 +23,26 @@ from ..sinks import payload, writers
 from ..sources import fixtures as fx
 
 
-def dashboard_fetch(spark: SparkSession, root: str, sub_id: int, date_from: str | None = None,
-                    date_to: str | None = None, programs: list[str] | None = None,
-                    remap: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Flow A: the three payloads of one subcategory (lazy DataFrames)."""
+def dashboard_fact(spark: SparkSession, root: str, sub_id: int, date_from: str | None = None,
+                   date_to: str | None = None, programs: list[str] | None = None,
+                   remap: Callable[[DataFrame], DataFrame] | None = None,
+                   columns: list[str] | None = None) -> DataFrame:
+    """Fact rows of one subcategory's eligible events: the id set stays a
+    distributed DataFrame and restricts the fact by a semi-join."""
     ids = filters.eligible_events(fx.events(spark, root), sub_id, fx.FIXTURE_EXCLUDED, date_from, date_to)
-    fact = filters.restrict_to(fx.fact(spark, root), ids)
+    cols = None if columns is None else sorted(set(columns) | {"event_id", "program"})
+    fact = filters.restrict_to(fx.fact(spark, root, cols), ids)
     fact = filters.program_include(fact, programs)
     if remap is not None:
         fact = fact.transform(remap)
+    return fact
+
+
+def dashboard_fetch(spark: SparkSession, root: str, sub_id: int, date_from: str | None = None,
+                    date_to: str | None = None, programs: list[str] | None = None,
+                    remap: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Flow A: the three payloads of one subcategory (lazy DataFrames)."""
+    fact = dashboard_fact(spark, root, sub_id, date_from, date_to, programs, remap)
     sites = fx.sites(spark, root)
     monthly_cells = rollups.monthly_site(fact)
     weekly_cells = rollups.weekly_site(fact)
