@@ -1,8 +1,9 @@
 """The three end-to-end flows, composed from the operators.
 
 A. Dashboard fetch: eligible events of one subcategory (semi-join, never
-   collected) -> fact -> optional program filter and remap hook -> site,
-   monthly and weekly payloads, written per subcategory.
+   collected) -> fact -> optional program filter and remap hook -> site
+   payload, site event list, monthly and weekly totals and site cells,
+   written per subcategory.
 B. Consolidate then pivot: write the fact once, partitioned by month, read
    it back with column pruning and build every pillar's sheets in one
    aggregate.
@@ -44,13 +45,13 @@ def dashboard_fetch(spark: SparkSession, root: str, sub_id: int, date_from: str
     """Flow A: the three payloads of one subcategory (lazy DataFrames)."""
     fact = dashboard_fact(spark, root, sub_id, date_from, date_to, programs, remap)
     sites = fx.sites(spark, root)
-    monthly_cells = rollups.monthly_site(fact)
-    weekly_cells = rollups.weekly_site(fact)
     return {
         "nadi": payload.site_payload(fact, sites),
-        "monthly": payload.period_payload(monthly_cells.drop("period"), rollups.monthly_rollup(fact),
-                                          ["month_start"]),
-        "weekly": payload.period_payload(weekly_cells.drop("period"), rollups.weekly_rollup(fact), ["week_start"]),
+        "site_events": payload.site_events(fact),
+        "monthly": rollups.monthly_rollup(fact),
+        "monthly_sites": rollups.monthly_site(fact),
+        "weekly": rollups.weekly_rollup(fact),
+        "weekly_sites": rollups.weekly_site(fact),
     }
 
 

@@ -1,9 +1,12 @@
-"""Nested per-site and per-period payloads, and the run catalogue.
-
-Payloads are built with ``struct`` / ``map_from_entries`` over grouped rows.
-The per-site event list is bounded by the site's events; it is assembled
-with ``collect_list`` inside one site group only after the events were
-aggregated to one row each (no raw participant rows are collected).
+"""Per-site payload, per-site event list and the run catalogue.
+
+Only bounded things are nested: the per-site ``programs`` map holds one
+entry per program (a configuration-sized dimension), built from rows that
+are already one per (site, program).  Lists that grow with the data - a
+site's events, a period's active sites - are never collected into one row:
+they are published as long tables (``site_events``, the monthly / weekly
+site cells), partitioned like the payload, so a site holding a third of
+all events is still written by many tasks.
 """
 
 from __future__ import annotations
@@ -30,28 +33,24 @@ def run_catalogue(fact: DataFrame, subcats: DataFrame) -> DataFrame:
 
 def site_payload(fact: DataFrame, sites: DataFrame, site_col: str = "event_site_refid",
                  classifier: Classifier | None = None, demo: Demographics = Demographics()) -> DataFrame:
-    """One row per site: events, ``pax`` struct, ``programs`` map of
-    {events, pax} and ``ev`` list of {n, m, p, a, sp} ordered by event id."""
+    """One row per site: events, a ``pax`` struct and a ``programs`` map of
+    program -> {events, pax}."""
     idx = rollups.site_index(fact, sites, site_col, demo)
     progs = (rollups.site_programs(fact, site_col, "program", classifier)
              .groupBy("refid")
              .agg(F.map_from_entries(F.collect_list(F.struct("program", F.struct("events", "pax"))))
                   .alias("programs")))
-    evs = (rollups.event_summary(fact, site_col, classifier)
-           .groupBy("refid")
-           .agg(F.array_sort(F.collect_list(F.struct("event_id", F.col("name").alias("n"), F.col("month").alias("m"),
-                                                     "p", "a", F.col("sub_program").alias("sp")))).alias("ev")))
-    out = idx.join(progs, "refid", "left").join(evs, "refid", "left")
+    out = idx.join(progs, "refid", "left")
     return out.select("refid", F.col("site_name").alias("name"), "state", "events",
                       F.struct(*[F.col(c).alias(c.replace("pax_total", "total")) for c in rollups.DEMO_COLS]).alias("pax"),
                       F.coalesce("programs", F.create_map().cast("map<string,struct<events:bigint,pax:bigint>>"))
-                       .alias("programs"),
-                      F.coalesce("ev", F.array().cast("array<struct<event_id:bigint,n:string,m:string,p:bigint,"
-                                                     "a:bigint,sp:string>>")).alias("ev"))
+                       .alias("programs"))
 
 
-def period_payload(cells: DataFrame, totals: DataFrame, period_cols: list[str]) -> DataFrame:
-    """Per period: totals plus a ``nadi`` map site -> {events, pax}."""
-    m = (cells.groupBy(*period_cols)
-              .agg(F.map_from_entries(F.collect_list(F.struct("refid", F.struct("events", "pax")))).alias("nadi")))
-    return totals.join(m, period_cols, "left")
+def site_events(fact: DataFrame, site_col: str = "event_site_refid",
+                classifier: Classifier | None = None) -> DataFrame:
+    """The per-site event list as a long table: one row per (site, event)
+    with the compact fields n, m, p, a, sp."""
+    return rollups.event_summary(fact, site_col, classifier).select(
+        "refid", "event_id", F.col("name").alias("n"), F.col("month").alias("m"), "p", "a",
+        F.col("sub_program").alias("sp"))

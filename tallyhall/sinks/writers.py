@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 
 
 def write_fact_parquet(fact: DataFrame, path: str, partition_col: str = "event_year_month",
-                       date_col: str = "event_startdate") -> None:
-    """Snappy parquet partitioned by event month; rows are clustered by the
-    partition column first so each task writes few files."""
+                       date_col: str = "event_startdate", spread: int = 16,
+                       max_records_per_file: int = 5_000_000) -> None:
+    """Snappy parquet partitioned by event month.
+
+    Rows are clustered by (month, a hash slice of the row) so each month is
+    written by up to ``spread`` tasks: few files per month, and a month
+    holding a large share of the data is not written by a single task.
+    """
     df = fact.withColumn(partition_col, F.date_format(date_col, "yyyy-MM"))
-    (df.repartition(partition_col).sortWithinPartitions(partition_col)
-       .write.mode("overwrite").option("compression", "snappy").partitionBy(partition_col).parquet(path))
+    slice_ = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(spread))
+    (df.repartition(partition_col, slice_).sortWithinPartitions(partition_col)
+       .write.mode("overwrite").option("compression", "snappy")
+       .option("maxRecordsPerFile", max_records_per_file).partitionBy(partition_col).parquet(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

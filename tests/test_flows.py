@@ -17,6 +17,8 @@ def test_dashboard_fetch_and_write(spark):
     assert nadi.count() == n_sites                      # every site present
     monthly = parts["monthly"].collect()
     assert sum(r.events for r in monthly) == sum(r.events for r in parts["weekly"].collect())
+    ev = parts["site_events"]
+    assert ev.count() == ev.select("refid", "event_id").distinct().count()
     out = tempfile.mkdtemp(prefix="tallyhall-dash-", dir="/tmp")
     flows.write_dashboard(parts, out, 1)
     assert spark.read.json(f"{out}/nadi").where("sub_id = 1").count() == n_sites

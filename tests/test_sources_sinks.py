@@ -64,7 +64,7 @@ def test_payload_json_write(spark):
     p = __import__("__spark_entry__").queries()["site_payload"](spark, SMALL).withColumn("sub_id", F.lit(1))
     writers.write_payload_json(p, f"{d}/payload")
     back = spark.read.json(f"{d}/payload")
-    assert back.count() == p.count() and "ev" in back.columns
+    assert back.count() == p.count() and "programs" in back.columns
 
 
 def test_checkpoint_table_uses_shared_dir(spark):
