@@ -30,11 +30,13 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One parquet table of a data folder; naive timestamps become zoned UTC.
 
     The scan DataFrame is kept per session and path (like a catalog table),
-    so the file listing is done once and every query reuses it.
+    so the file listing is done once and every query reuses it; call
+    :func:`forget_scans` after the files under ``root`` change.
     """
     path = f"{root.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _SCANS:
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    cached = _SCANS.get(key)
+    if cached is None or cached.sparkSession is not spark:
         reader = spark.read
         if name in TABLE_SCHEMAS:
             reader = reader.schema(TABLE_SCHEMAS[name])
@@ -45,6 +47,11 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return _SCANS[key]
 
 
+def forget_scans() -> None:
+    """Drop the reused scans (their file listings) of every session."""
+    _SCANS.clear()
+
+
 def read_parquet_columns(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Projected parquet scan; only ``columns`` reach the ReadSchema."""
     return spark.read.parquet(path).select(*columns)
