@@ -40,6 +40,15 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
+def union_slices(slices: list[DataFrame]) -> DataFrame:
+    """Bag union by column name; a column missing from a slice is null
+    there.  (For slices of one table prefer a single scan with ``isin``.)"""
+    out = slices[0]
+    for df in slices[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 def typed_parent(child: DataFrame, orgs: DataFrame, child_key: str, child_type: str,
                  parent_type: str) -> DataFrame:
     """child -> org of ``child_type`` -> its parent of ``parent_type``.

@@ -99,3 +99,8 @@ def test_address_safe_int_and_site_fallback(spark):
     got = df.select(tx.address_line("a1", "a2").alias("addr"), tx.safe_int("n").alias("n"),
                     tx.site_name_fallback(F.col("name"), F.col("sid")).alias("site")).collect()
     assert [tuple(r) for r in got] == [("Jalan 1", 7, "Site-12"), ("Lot 2", 0, "Kg Baru")]
+
+
+def test_coercing_timestamp_parse(spark):
+    got = one_col(spark, ["2026-01-05 10:30:00", "not a date", None], "string", cal.to_utc_timestamp_safe)
+    assert got[0] == dt.datetime(2026, 1, 5, 10, 30) and got[1] is None and got[2] is None

@@ -95,3 +95,10 @@ def test_untouched_and_status_partition_sites(spark):
     active = f.where(F.col("participant_id").isNotNull()).select(F.col("event_site_refid").alias("refid"))
     untouched = {r.refid for r in joins.untouched(sites(spark), active, "refid").collect()}
     assert untouched == {"S4"}
+
+
+def test_union_slices_by_name(spark):
+    a = spark.createDataFrame([(1, "x")], "sub int, v string")
+    b = spark.createDataFrame([("y", 2, 9)], "v string, sub int, extra int")
+    got = sorted(tuple(r) for r in joins.union_slices([a, b]).select("sub", "v", "extra").collect())
+    assert got == [(1, "x", None), (2, "y", 9)]
