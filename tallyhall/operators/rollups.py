@@ -163,9 +163,10 @@ def site_month_series(fact: DataFrame, sites: DataFrame, site_col: str = "event_
     where the site was idle (sparkline data)."""
     months = (fact.where(F.col(date_col).isNotNull())
                   .select(month_start(date_col).alias("month_start")).distinct())
-    bounds = months.agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi"))
+    # first and last month in one scalar subquery (one pass, one row)
+    b = months.agg(F.struct(F.min("month_start").alias("lo"), F.max("month_start").alias("hi"))).scalar()
     dim = site_dimension(sites).select("refid")
-    grid = dim.select("refid", F.explode(F.sequence(bounds.select("lo").scalar(), bounds.select("hi").scalar(),
+    grid = dim.select("refid", F.explode(F.sequence(b.getField("lo"), b.getField("hi"),
                                                     F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
     grid = grid.join(F.broadcast(months), "month_start", "left_semi")
     cells = monthly_site(fact, site_col, date_col).select("month_start", "refid", "events", "pax")
