@@ -47,8 +47,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     into many tasks and passes through untouched, so this never adds a
     shuffle at scale; it keeps the CPU-heavy stages after a small input
     from running in a single task."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave the plan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def subcategory_dim(spark: SparkSession) -> DataFrame:

@@ -34,7 +34,11 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     :func:`forget_scans` after the files under ``root`` change.
     """
     path = f"{root.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        app = None
+    key = (app, id(spark), path)
     cached = _SCANS.get(key)
     if cached is None or cached.sparkSession is not spark:
         reader = spark.read
