@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 
 from .common import id_type, saved, texts
 from .token_orc import END_ID, crc32_of_ids
-from .tokens import encoder
+from .tokens import encoder, slices
 
 CAPACITY = 1024
 
@@ -103,12 +103,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity:
 
     def cut(batches):
         enc, part, seen = encoder(tokenizer_path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            rows = [enc.ids(t) + end for t in batch.column("text").to_pylist()]
-            n = np.array([len(r) // 4 for r in rows], np.int64)
+        for batch in (x for whole in batches for x in slices(whole, "text")):
+            values, upto = enc.batch(batch.column("text"), end_id)
+            n = np.diff(upto)
             k = -(-n // capacity)
-            doc = np.repeat(np.arange(len(rows)), k)
+            doc = np.repeat(np.arange(len(n)), k)
             piece = np.arange(len(doc)) - np.repeat(np.cumsum(k) - k, k)
             head = n - (k - 1) * capacity
             length = np.where(piece == 0, head[doc], capacity)
@@ -119,7 +118,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity:
             rank[order] = seen[by] + np.arange(len(by)) - np.searchsorted(by, by)
             seen += np.bincount(length, minlength=capacity + 1)
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()),
-                                           pa.array(np.frombuffer(b"".join(rows), "<i4")))
+                                           pa.array(values.view("<i4")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start),
                  pa.array(length), pa.array(np.full(len(doc), part, np.int32)), pa.array(rank), ids], schema.names)

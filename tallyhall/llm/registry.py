@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .packing import op4_best_fit_packing
+from .simhash import op9_simhash_near_dedup
 from .token_orc import op2_token_orc
+from .winnowing import OP3_SQL, op3_winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_orc, op4_best_fit_packing)}
-ORACLE: dict[str, str] = {}
+    f.__name__: f for f in (op2_token_orc, op3_winnowing, op4_best_fit_packing, op9_simhash_near_dedup)}
+ORACLE: dict[str, str] = {"op3_winnowing": OP3_SQL}

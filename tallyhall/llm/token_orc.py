@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import id_type, partitions, scratch, texts
-from .tokens import encoder
+from .tokens import encoder, slices
 
 END_ID = 2
 
@@ -46,14 +46,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
     def encode(batches):
         enc, part, start = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            rows = [enc.ids(t) + end for t in batch.column("text").to_pylist()]
-            n_tokens = np.array([len(r) // 4 for r in rows], np.int64)
-            upto = np.concatenate([[0], np.cumsum(n_tokens)])
-            ids = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(np.frombuffer(b"".join(rows), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.full(len(rows), part, np.int32)),
-                                              pa.array(start + upto[:-1]), pa.array(n_tokens), ids],
+        for batch in (x for whole in batches for x in slices(whole, "text")):
+            values, upto = enc.batch(batch.column("text"), end_id)
+            ids = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(values.view("<i4")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.full(len(batch), part, np.int32)),
+                                              pa.array(start + upto[:-1]), pa.array(np.diff(upto)), ids],
                                              ["doc_id", "part", "part_start", "n_tokens", "ids"])
             start += int(upto[-1])
 

@@ -11,17 +11,20 @@ from __future__ import annotations
 import json
 import os
 import re
-import unicodedata
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # The pre-tokenizers' patterns that the fast path knows.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_ODD_SPACE = re.compile(r"^ | $| \s|\s ")
+_ODD_SPACE = r"^ | $| [\s\x0b\x1c-\x1f\x{85}\p{Z}]|[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _FAR = re.compile("[^\x00-ɏ]")
+_STOPS = frozenset(".,;:!?")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -51,9 +54,9 @@ class _Cache(dict):
 
 
 class Encoder:
-    """``ids(text)``: the ids as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts, one by one or by the batch."""
 
-    def __init__(self, path: str, limit: int = 150_000):
+    def __init__(self, path: str, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -67,8 +70,6 @@ class Encoder:
             self.letters = _byte_letters()
             self.model = self.tokenizer.model
             self.parts = _Cache(self._part, limit)
-            self.pieces = _Cache(self._piece, limit)
-            self.firsts = _Cache(self._first, 20_000)
 
     @staticmethod
     def _kind(normalizer, pre) -> str:
@@ -84,25 +85,83 @@ class Encoder:
         return ""
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _part(self, part: str) -> bytes:
-        mapped = part.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        if not (part.isascii() and part.isalnum()):
+            part = part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
 
     def _first(self, piece: str) -> bytes:
-        if _FAR.search(piece) or self.kind == "word" and not unicodedata.is_normalized("NFC", piece):
+        """A piece without a space before it."""
+        if not piece.isascii() and _FAR.search(piece):
             return self._whole(piece)
-        return b"".join(map(self.parts.__getitem__, self.find(piece.lower() if self.kind == "word" else piece)))
+        if self.kind == "word":
+            piece = piece.lower()
+        if piece.isalpha():
+            return self.parts[piece]
+        if piece[:-1].isalpha() and piece[-1] in _STOPS:
+            return self.parts[piece[:-1]] + self.parts[piece[-1]]
+        return b"".join(map(self.parts.__getitem__, self.find(piece)))
 
     def _piece(self, piece: str) -> bytes:
-        return self._first(f" {piece}" if self.kind == "byte" else piece)
+        """A piece after a space."""
+        if self.kind == "word":
+            return self._first(piece)
+        if not piece.isascii() and _FAR.search(piece):
+            return self._whole(f" {piece}")
+        if piece.isalpha():
+            return self.parts[f" {piece}"]
+        if piece[:-1].isalpha() and piece[-1] in _STOPS:
+            return self.parts[f" {piece[:-1]}"] + self.parts[piece[-1]]
+        return b"".join(map(self.parts.__getitem__, self.find(f" {piece}")))
 
     def ids(self, text: str) -> bytes:
-        if not self.kind:
+        """One text's ids as little-endian unsigned 32-bit integers."""
+        if not self.kind or not text:
             return self._whole(text)
-        pieces = _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-        return self.firsts[pieces[0]] + b"".join(map(self.pieces.__getitem__, pieces[1:]))
+        pieces = _CUT.split(text)
+        return self._first(pieces[0]) + b"".join(map(self._piece, pieces[1:]))
+
+    def batch(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets): the ids of every text, ``end_id`` after each.
+
+        The texts are cut at single spaces in one call, each distinct piece
+        is encoded once, and the ids are gathered by number.  A text with
+        other white space beside a space is one piece."""
+        n = len(texts)
+        odd = pc.match_substring_regex(texts, _ODD_SPACE) if self.kind else pa.array(np.ones(n, bool))
+        cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        named = cut.values.slice(cut.offsets[0].as_py(), cut.offsets[-1].as_py() - cut.offsets[0].as_py()).dictionary_encode()
+        codes, ends = named.indices.to_numpy(), cut.offsets.to_numpy().astype(np.int64)
+        starts = ends[:-1] - ends[0]
+        pieces = named.dictionary.to_pylist()
+        blobs = list(map(self._piece, pieces)) if self.kind else [b""] * len(pieces)
+        odd = odd.to_numpy(zero_copy_only=False)
+        blobs += [self.ids(texts[i].as_py()) if odd[i] else self._first(pieces[codes[k]]) for i, k in enumerate(starts.tolist())]
+        blobs.append(array("I", [end_id]).tobytes())
+        numbers = np.insert(codes.astype(np.int32), (ends[1:] - ends[0]), len(blobs) - 1)
+        numbers[starts + np.arange(n)] = len(pieces) + np.arange(n)
+        sizes = np.fromiter(map(len, blobs), np.int32, len(blobs)) // 4
+        flat, at = np.frombuffer(b"".join(blobs), "<u4"), np.cumsum(sizes) - sizes
+        per = sizes[numbers]
+        upto = np.cumsum(per)
+        where = np.repeat((at[numbers] - upto + per).astype(np.int32), per)
+        where += np.arange(len(where), dtype=np.int32)
+        offsets = np.zeros(n + 1, np.int64)
+        offsets[1:] = upto[ends[1:] - ends[0] + np.arange(n)]
+        return flat[where], offsets
+
+
+def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
+    """Row ranges of a batch whose texts have about ``limit`` bytes each."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < batch.num_rows:
+        done = sizes[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(sizes, done + limit, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
 
 
 _ENCODERS: dict[str, Encoder] = {}

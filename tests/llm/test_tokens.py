@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from edge import ROWS, edge_docs, empty_docs, write_tables
 from tokenizers import Tokenizer
@@ -26,8 +27,12 @@ def test_cached_ids_equal_the_library(name, spark):
     texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     odd = ["a  b", " a", "a ", "a\n b", "a \nb", "it's we'll", "ΑΣ ΑΣ", "İ I", "e\u0301 é", "\u0301 x", "x\u00a0 y", "",
            " ", "\x1c a", "a\x1c b", "日本 語", "ª º ²", "1234 5 6", "--- ...", "a\u2028 b", "\u00ad soft \u00adhyphen"]
-    for t in [*texts, *odd, *[t or "" for _, t in ROWS]]:
+    every = [*texts, *odd, *[t or "" for _, t in ROWS]]
+    ids, ends = enc.batch(pa.array(["cut off", *every]).slice(1), 2)
+    assert len(ends) == len(every) + 1
+    for t, a, b in zip(every, ends[:-1], ends[1:], strict=True):
         assert np.frombuffer(enc.ids(t), "<u4").tolist() == want(t), t[:80]
+        assert ids[a:b].tolist() == [*want(t), 2], t[:80]
 
 
 def expected_op2(rows):
