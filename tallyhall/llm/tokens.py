@@ -21,10 +21,12 @@ import pyarrow.compute as pc
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_ODD_SPACE = r"^ | $| [\s\x0b\x1c-\x1f\x{85}\p{Z}]|[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
+_MARK = "\x01"
+_CUTS = ((r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}])([.,;:!?])", rf"\1 {_MARK}\2"),
+         (r"([^\s\x0b\x1c-\x1f\x{85}\p{Z}])\n([^\s\x0b\x1c-\x1f\x{85}\p{Z}])", rf"\1 {_MARK}" "\n" rf" {_MARK}\2"))
+_ODD_SPACE = r"\x01|^ | $| [\s\x0b\x1c-\x1f\x{85}\p{Z}]|[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_FAR = re.compile("[^\x00-ɏ]")
-_STOPS = frozenset(".,;:!?")
+_FAR = re.compile("[^\x00-\u012f\u0131-\u024f]")  # the capital I with a dot becomes two code points
 
 
 def _byte_letters() -> dict[int, str]:
@@ -36,20 +38,16 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Cache(dict):
-    """Two generations of at most ``limit`` entries each."""
+    """Made on demand; emptied when it has ``limit`` entries."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit = make, limit
 
     def __missing__(self, key):
-        value = self.old.pop(key, None)
-        if value is None:
-            value = self.make(key)
         if len(self) >= self.limit:
-            self.old = dict(self)
             self.clear()
-        self[key] = value
+        value = self[key] = self.make(key)
         return value
 
 
@@ -68,6 +66,7 @@ class Encoder:
         if self.kind:
             self.find = regex.compile(WORD_PATTERN if self.kind == "word" else BYTE_PATTERN).findall
             self.letters = _byte_letters()
+            self.space, self.lead = self.letters[32], " " if self.kind == "byte" else ""
             self.model = self.tokenizer.model
             self.parts = _Cache(self._part, limit)
 
@@ -88,57 +87,51 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _part(self, part: str) -> bytes:
-        if not (part.isascii() and part.isalnum()):
+        body = part[1:] if part[0] == " " else part
+        if not (body.isascii() and body.isalnum()):
             part = part.encode().decode("latin-1").translate(self.letters)
+        elif body is not part:
+            part = self.space + body
         return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
 
-    def _first(self, piece: str) -> bytes:
-        """A piece without a space before it."""
-        if not piece.isascii() and _FAR.search(piece):
-            return self._whole(piece)
-        if self.kind == "word":
-            piece = piece.lower()
-        if piece.isalpha():
-            return self.parts[piece]
-        if piece[:-1].isalpha() and piece[-1] in _STOPS:
-            return self.parts[piece[:-1]] + self.parts[piece[-1]]
-        return b"".join(map(self.parts.__getitem__, self.find(piece)))
-
-    def _piece(self, piece: str) -> bytes:
-        """A piece after a space."""
-        if self.kind == "word":
-            return self._first(piece)
-        if not piece.isascii() and _FAR.search(piece):
-            return self._whole(f" {piece}")
-        if piece.isalpha():
-            return self.parts[f" {piece}"]
-        if piece[:-1].isalpha() and piece[-1] in _STOPS:
-            return self.parts[f" {piece[:-1]}"] + self.parts[piece[-1]]
-        return b"".join(map(self.parts.__getitem__, self.find(f" {piece}")))
+    def _piece(self, piece: str, lead: str | None = None) -> bytes:
+        """A piece after a space, or after ``lead``."""
+        lead = self.lead if lead is None else lead
+        if piece.isalpha() and (piece.isascii() or not _FAR.search(piece)):
+            return self.parts[piece.lower() if self.kind == "word" else lead + piece]
+        if piece[:1] == _MARK:
+            return self._piece(piece[1:], "")
+        if _FAR.search(piece):
+            return self._whole(lead + piece)
+        return b"".join(map(self.parts.__getitem__, self.find(piece.lower() if self.kind == "word" else lead + piece)))
 
     def ids(self, text: str) -> bytes:
         """One text's ids as little-endian unsigned 32-bit integers."""
-        if not self.kind or not text:
+        if not self.kind or not text or _MARK in text:
             return self._whole(text)
         pieces = _CUT.split(text)
-        return self._first(pieces[0]) + b"".join(map(self._piece, pieces[1:]))
+        return self._piece(pieces[0], "") + b"".join(map(self._piece, pieces[1:]))
 
     def batch(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of every text, ``end_id`` after each.
 
-        The texts are cut at single spaces in one call, each distinct piece
-        is encoded once, and the ids are gathered by number.  A text with
-        other white space beside a space is one piece."""
+        The texts are cut at single spaces, and between a letter and a stop
+        and around a single line end (a mark tells that no space was there);
+        each distinct piece is encoded once and the ids are gathered by
+        number.  A text with other white space beside a space is one piece."""
         n = len(texts)
         odd = pc.match_substring_regex(texts, _ODD_SPACE) if self.kind else pa.array(np.ones(n, bool))
-        cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        whole = pc.if_else(odd, "", texts)
+        for pattern, put in _CUTS:
+            whole = pc.replace_substring_regex(whole, pattern, put)
+        cut = pc.split_pattern(whole, " ")
         named = cut.values.slice(cut.offsets[0].as_py(), cut.offsets[-1].as_py() - cut.offsets[0].as_py()).dictionary_encode()
         codes, ends = named.indices.to_numpy(), cut.offsets.to_numpy().astype(np.int64)
         starts = ends[:-1] - ends[0]
         pieces = named.dictionary.to_pylist()
         blobs = list(map(self._piece, pieces)) if self.kind else [b""] * len(pieces)
         odd = odd.to_numpy(zero_copy_only=False)
-        blobs += [self.ids(texts[i].as_py()) if odd[i] else self._first(pieces[codes[k]]) for i, k in enumerate(starts.tolist())]
+        blobs += [self.ids(texts[i].as_py()) if odd[i] else self._piece(pieces[codes[k]], "") for i, k in enumerate(starts.tolist())]
         blobs.append(array("I", [end_id]).tobytes())
         numbers = np.insert(codes.astype(np.int32), (ends[1:] - ends[0]), len(blobs) - 1)
         numbers[starts + np.arange(n)] = len(pieces) + np.arange(n)

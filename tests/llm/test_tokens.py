@@ -26,7 +26,8 @@ def test_cached_ids_equal_the_library(name, spark):
     assert enc.kind
     texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     odd = ["a  b", " a", "a ", "a\n b", "a \nb", "it's we'll", "ΑΣ ΑΣ", "İ I", "e\u0301 é", "\u0301 x", "x\u00a0 y", "",
-           " ", "\x1c a", "a\x1c b", "日本 語", "ª º ²", "1234 5 6", "--- ...", "a\u2028 b", "\u00ad soft \u00adhyphen"]
+           " ", "\x1c a", "a\x1c b", "日本 語", "ª º ²", "1234 5 6", "--- ...", "a\u2028 b", "a\x01 b", "a\n\nb\nc.\nd", "x...\ny?!", "é.è,ß;×.÷,", "\n", "a\n", "\na.",
+           "a.\u0338b", "a.b.c's", "N.A.S.A. e.g.,", "\u00ad soft \u00adhyphen"]
     every = [*texts, *odd, *[t or "" for _, t in ROWS]]
     ids, ends = enc.batch(pa.array(["cut off", *every]).slice(1), 2)
     assert len(ends) == len(every) + 1
