@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import id_type, saved, texts
-from .token_orc import END_ID, crc32_of_ids
+from .token_orc import END_ID
 from .tokens import encoder, slices
 
 CAPACITY = 1024
@@ -91,7 +92,8 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
 
 def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of every document's ids (null text: the end id alone).  A
+    """Pieces of every document's ids (null text: the end id alone), as
+    little-endian unsigned 32-bit integers.  A
     document longer than the capacity is cut: its first piece takes what is
     over a multiple of the capacity.  ``rank`` counts the pieces of a length
     within ``part``, the writing task."""
@@ -99,7 +101,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity:
     schema = T.StructType([T.StructField("doc_id", id_type(src)), T.StructField("piece", T.IntegerType()),
                            T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                            T.StructField("part", T.IntegerType()), T.StructField("rank", T.LongType()),
-                           T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
+                           T.StructField("ids", T.BinaryType())])
 
     def cut(batches):
         enc, part, seen = encoder(tokenizer_path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
@@ -117,8 +119,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity:
             rank = np.empty(len(doc), np.int64)
             rank[order] = seen[by] + np.arange(len(by)) - np.searchsorted(by, by)
             seen += np.bincount(length, minlength=capacity + 1)
-            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()),
-                                           pa.array(values.view("<i4")))
+            ends = np.concatenate([[0], 4 * np.cumsum(length)]).astype(np.int32)
+            ids = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(values)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start),
                  pa.array(length), pa.array(np.full(len(doc), part, np.int32)), pa.array(rank), ids], schema.names)
@@ -141,20 +143,16 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
     w = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select("part", "length", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
     ranked = cut.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("rank"))
-    columns = ["doc_id", "piece", "start", "length"]
-    schema = T.StructType([*[ranked.schema[c] for c in columns], T.StructField("sequence_id", T.LongType()),
-                           T.StructField("offset", T.LongType()), ranked.schema["ids"]])
-
-    def place(batches):
-        for batch in batches:
-            length, rank = (batch.column(c).to_numpy().astype(np.int64) for c in ("length", "rank"))
-            at = np.searchsorted(keys, (length << 44) + rank, side="right") - 1
-            nth = rank - ranks[at]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in columns], pa.array(firsts[at] + nth // each[at]),
-                 pa.array(offsets[at] + nth % each[at] * length), batch.column("ids")], schema.names)
 
-    return ranked.select(*columns, "rank", "ids").mapInArrow(place, schema)
+    @F.pandas_udf("sequence_id long, offset long")
+    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        length, rank = length.to_numpy(np.int64), rank.to_numpy(np.int64)
+        at = np.searchsorted(keys, (length << 44) + rank, side="right") - 1
+        nth = rank - ranks[at]
+        return pd.DataFrame({"sequence_id": firsts[at] + nth // each[at], "offset": offsets[at] + nth % each[at] * length})
+
+    placed = ranked.withColumn("place", place("length", "rank"))
+    return placed.select("doc_id", "piece", "start", "length", "place.sequence_id", "place.offset", "ids")
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,4 +160,4 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     packed = pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return crc32_of_ids(packed, ["doc_id", "piece", "start", "length", "sequence_id", "offset"])
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
