@@ -155,9 +155,13 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
     return placed.select("doc_id", "piece", "start", "length", "place.sequence_id", "place.offset", "ids")
 
 
-def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def packed_digest(docs: DataFrame) -> DataFrame:
+    """Where each piece of ``docs`` is, with the crc32 of its ids."""
     import public_tokenizers
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     packed = pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
