@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decision_list import op7_decision_list
 from .packing import op4_best_fit_packing
+from .pitman_yor import op1_pitman_yor
 from .prefix_free import op5_prefix_free_dedup
 from .quality_svm import op6_nbsvm_quality
 from .secrets import op8_secret_scan
@@ -18,6 +19,6 @@ from .winnowing import OP3_SQL, op3_winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_token_orc, op3_winnowing, op4_best_fit_packing, op5_prefix_free_dedup, op6_nbsvm_quality, op7_decision_list, op8_secret_scan, op9_simhash_near_dedup,
+        op1_pitman_yor, op2_token_orc, op3_winnowing, op4_best_fit_packing, op5_prefix_free_dedup, op6_nbsvm_quality, op7_decision_list, op8_secret_scan, op9_simhash_near_dedup,
         op10_chain_toxicity)}
 ORACLE: dict[str, str] = {"op3_winnowing": OP3_SQL}
