@@ -18,6 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OWN: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder in ``spark.checkpoint.dir``.
 
@@ -25,10 +28,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     own; elsewhere a missing setting is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local["):
+        if not spark.conf.get("spark.master", "").startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="tallyhall-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="tallyhall-llm-"))
+        root = _OWN[0]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
