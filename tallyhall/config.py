@@ -49,16 +49,6 @@ LL_RULES: list[tuple[str, str]] = [
 LL_DEFAULT = "CYBERSECURITY"
 LL_GROUPS: list[str] = ["CYBERSECURITY", "EKELAS", "TUISYEN RAKYAT", "ESPORT", "MAHIR", "TINYTECHIES"]
 
-# Pillars of the multi-grain pivot: (pillar name, file label, group column,
-# use the classifier, fixed groups or None to take them from the data).
-PILLARS: list[tuple[str, str, str, bool, list[str] | None]] = [
-    ("Entrepreneur", "entrepreneur", "sub_pillar_name", False, None),
-    ("Lifelong Learning", "lifelong_learning", "program_name", True, LL_GROUPS),
-    ("Wellbeing", "wellbeing", "sub_pillar_name", False, None),
-    ("Awareness", "awareness", "sub_pillar_name", False, None),
-    ("Government Initiatives", "gov_init", "sub_pillar_name", False, None),
-]
-
 # States of the state x month report, in report row order.
 REPORT_STATES: list[str] = [
     "JOHOR", "KEDAH", "KELANTAN", "MELAKA", "NEGERI SEMBILAN",
@@ -110,9 +100,6 @@ PREVIEW_ROWS = 200
 # Participant type labels.
 MEMBER, UNDER_12, UNKNOWN = "Member", "Under 12", "Unknown"
 
-# Sheet names are cut to this length when rendered.
-SHEET_NAME_CHARS = 31
-
 # ---------------------------------------------------------------------------
 # Typed configuration
 # ---------------------------------------------------------------------------
@@ -139,8 +126,10 @@ class Classifier:
 
 @dataclass(frozen=True)
 class PillarSpec:
+    """A pillar's pivot: its group column, the classifier that labels it and
+    the labels that stay (all, if none are given)."""
+
     name: str
-    label: str
     group_col: str
     classifier: Classifier | None = None
     groups: tuple[str, ...] | None = None
@@ -158,9 +147,14 @@ class FilterSpec:
     search_fields: tuple[str, ...] = tuple(SEARCH_FIELDS)
 
 
-def default_pillars() -> list[PillarSpec]:
-    out = []
-    for name, label, col, use_cls, groups in PILLARS:
-        out.append(PillarSpec(name, label, col, Classifier() if use_cls else None,
-                              tuple(groups) if groups else None))
-    return out
+# The dashboard's pillars.
+PILLARS: tuple[PillarSpec, ...] = (
+    PillarSpec("Entrepreneur", "sub_pillar_name"),
+    PillarSpec("Lifelong Learning", "program_name", Classifier(), tuple(LL_GROUPS)),
+    PillarSpec("Wellbeing", "sub_pillar_name"),
+    PillarSpec("Awareness", "sub_pillar_name"),
+    PillarSpec("Government Initiatives", "sub_pillar_name"),
+)
+
+# The subcategory whose programs are labelled by the classifier.
+CLASSIFIED_SUBCATEGORY = 2

@@ -10,7 +10,7 @@ from ..config import (CHILD_MAX, CONTROL_CHARS, MASK_KEEP, MASK_SUFFIX, MASK_WID
 
 __all__ = [
     "truthy", "is_true_text", "mask_identity", "strip_control", "non_empty",
-    "is_json_array", "json_type", "safe_int", "to_number", "is_youth", "is_child",
+    "is_json", "is_json_array", "json_type", "safe_int", "to_number", "is_youth", "is_child",
     "search_haystack", "site_name_fallback", "address_line", "contains_or_false",
     "regex_or_false",
 ]
@@ -45,9 +45,18 @@ def non_empty(c) -> Column:
     return c.isNotNull() & (c.cast("string") != F.lit(""))
 
 
+def is_json(c) -> Column:
+    """True when the whole text is one JSON value.  The parsers stop after
+    the first value, so the text is put into an array before a mark: the
+    mark is the second element only if nothing else follows the value."""
+    framed = F.concat(F.lit("["), _c(c), F.lit(',"#end#"]'))
+    return F.coalesce(F.get_json_object(framed, "$[1]") == "#end#", F.lit(False))
+
+
 def is_json_array(c) -> Column:
-    """True when the text parses as a JSON array (``[]`` included)."""
-    return F.coalesce(F.json_array_length(_c(c)).isNotNull(), F.lit(False))
+    """True when the whole text is a JSON array (``[]`` included)."""
+    c = _c(c)
+    return F.json_array_length(c).isNotNull() & is_json(c)
 
 
 def json_type(c) -> Column:
@@ -55,11 +64,11 @@ def json_type(c) -> Column:
     c = _c(c)
     t = F.trim(c)
     return (F.when(c.isNull(), F.lit(None))
+            .when(~is_json(c), "invalid")
             .when(F.json_array_length(c).isNotNull(), "array")
             .when(F.json_object_keys(c).isNotNull(), "object")
             .when(F.lower(t) == "null", "null")
-            .when(F.try_parse_json(c).isNotNull(), "scalar")
-            .otherwise("invalid"))
+            .otherwise("scalar"))
 
 
 def to_number(c) -> Column:
@@ -68,7 +77,11 @@ def to_number(c) -> Column:
 
 
 def safe_int(c) -> Column:
-    return F.coalesce(_c(c).cast("string").try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Whole part of a number's text, 0 if it is none; exact for every
+    bigint and every decimal of 38 digits."""
+    t = _c(c).cast("string")
+    return F.coalesce(t.try_cast("bigint"), t.try_cast("decimal(38,18)").try_cast("bigint"),
+                      t.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def is_youth(age) -> Column:

@@ -60,8 +60,9 @@ def dataset_summary(fact: DataFrame, site_col: str = "event_site_refid", date_co
         F.count_distinct("participant_id").cast("bigint").alias("participants"),
         F.count_distinct("event_id").cast("bigint").alias("events"),
         F.count_distinct(site_col).cast("bigint").alias("sites"),
-        F.count_distinct("category_name").cast("bigint").alias("categories"),
-        F.count_distinct("pillar_name").cast("bigint").alias("pillars"),
+        # configuration-sized columns: a small set instead of another distinct copy of every row
+        F.size(F.collect_set("category_name")).cast("bigint").alias("categories"),
+        F.size(F.collect_set("pillar_name")).cast("bigint").alias("pillars"),
         F.min(date_col).alias("first_date"),
         F.max(date_col).alias("last_date"),
     )
@@ -83,18 +84,25 @@ def filtered_stats(view: DataFrame, spec: FilterSpec) -> DataFrame:
                     distinct_of("site_state").alias("states"))
 
 
-def facet_values(view: DataFrame, facets: list[str] = FACET_COLUMNS, date_col: str = "event_startdate") -> DataFrame:
-    """(facet, value): sorted distinct non-empty values of each facet, plus
-    the first and last date as facets ``date_from`` / ``date_to``."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("facet"), F.col(f).cast("string").alias("value"))
-                                for f in facets]))
-    vals = view.select(pairs.alias("p")).select("p.facet", "p.value").where(non_empty("value")).distinct()
-    d = view.where(non_empty(date_col)).agg(F.min(date_col).cast("string").alias("date_from"),
-                                           F.max(date_col).cast("string").alias("date_to"))
-    dates = d.select(F.explode(F.array(F.struct(F.lit("date_from").alias("facet"), F.col("date_from").alias("value")),
-                                       F.struct(F.lit("date_to").alias("facet"), F.col("date_to").alias("value"))))
-                     .alias("p")).select("p.facet", "p.value").where(F.col("value").isNotNull())
-    return vals.unionByName(dates)
+def facet_values(view: DataFrame, facets: list[str] = FACET_COLUMNS, date_col: str | None = "event_startdate") -> DataFrame:
+    """(facet, value): distinct non-empty values of each facet by facet and
+    value, plus the first and last date as facets ``date_from`` / ``date_to``
+    (none for ``date_col=None``).  One pass: a row gives a pair for each
+    facet, and all dates meet in one group."""
+    def pair(name: str, value, key):
+        return F.struct(F.lit(name).alias("facet"), key.alias("key"), value.alias("value"))
+
+    text = {f: F.col(f).cast("string") for f in facets}
+    pairs = [pair(f, c, c) for f, c in text.items()]
+    if date_col:
+        pairs.append(pair("_date", F.col(date_col).cast("string"), F.lit(None).cast("string")))
+    rows = view.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where(non_empty("value"))
+    ends = rows.groupBy("facet", "key").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    both = F.array(F.struct(F.lit("date_from").alias("facet"), F.col("low").alias("value")),
+                   F.struct(F.lit("date_to").alias("facet"), F.col("high").alias("value")))
+    own = F.array(F.struct("facet", F.col("low").alias("value")))
+    out = ends.select(F.explode(F.when(F.col("facet") == "_date", both).otherwise(own)).alias("p"))
+    return out.select("p.facet", "p.value").orderBy("facet", "value")
 
 
 def cascaded_facets(view: DataFrame, picks: dict[str, str], level: str,
@@ -105,8 +113,8 @@ def cascaded_facets(view: DataFrame, picks: dict[str, str], level: str,
     pool = view
     for col in order[: idx + 1]:
         if picks.get(col):
-            pool = pool.where(F.coalesce(F.col(col) == F.lit(picks[col]), F.lit(False)))
-    return facet_values(pool, order[idx + 1:]).where(F.col("facet").isin(*order[idx + 1:]))
+            pool = pool.where(F.col(col) == F.lit(picks[col]))
+    return facet_values(pool, order[idx + 1:], date_col=None)
 
 
 PREVIEW_ORDER = ["category_name", "pillar_name", "site_state", "site_name", "event_startdate"]

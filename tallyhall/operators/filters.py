@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FilterSpec
-from ..functions.text import contains_or_false, is_json_array, non_empty, regex_or_false, search_haystack
+from ..functions.text import contains_or_false, is_json_array, regex_or_false, search_haystack
 
 
 def date_window(start_col: str, end_col: str, date_from: str | None = None,
@@ -72,39 +72,30 @@ def subcategory_filter(df: DataFrame, sub_ids: list[int], known: list[int], col:
     return df.where(F.col(col).isin(*sub_ids))
 
 
-def spec_predicate(spec: FilterSpec) -> Column:
-    """Explorer filter as one predicate.
+def spec_predicate(spec: FilterSpec, text_dates: bool = False) -> Column:
+    """Explorer filter as one predicate, for ``where``; what is not known to
+    hold (a null facet) is left out.
 
     Facets: exact equality (empty value = no filter).  Dates: inclusive
-    range on the ISO date text, rows with a blank date pass.  Search:
-    lower-cased substring of the search fields joined by spaces.
+    range of the date column, rows with a blank date pass; ``text_dates``
+    for a column of ISO date text.  Plain comparisons reach the scan.
+    Search: lower-cased substring of the search fields joined by spaces.
     """
     cond = F.lit(True)
     for col, value in spec.facets.items():
         if value:
-            cond = cond & F.coalesce(F.col(col) == F.lit(value), F.lit(False))
-    d = F.col(spec.date_col).cast("string")
-    blank = d.isNull() | (d == "")
+            cond = cond & (F.col(col) == F.lit(value))
+    d = F.col(spec.date_col)
+    blank = d.isNull() | (d == "") if text_dates else d.isNull()
+
+    def day(text: str) -> Column:
+        return F.lit(text) if text_dates else F.lit(text).cast("date")
+
     if spec.date_from:
-        cond = cond & (blank | (d >= F.lit(spec.date_from)))
+        cond = cond & (blank | (d >= day(spec.date_from)))
     if spec.date_to:
-        cond = cond & (blank | (d <= F.lit(spec.date_to)))
+        cond = cond & (blank | (d <= day(spec.date_to)))
     if spec.search and spec.search.strip():
         needle = spec.search.lower().strip()
         cond = cond & search_haystack(*spec.search_fields).contains(needle)
     return cond
-
-
-def apply_spec(df: DataFrame, spec: FilterSpec) -> DataFrame:
-    return df.where(spec_predicate(spec))
-
-
-def with_participant(df: DataFrame, col: str = "participant_id") -> DataFrame:
-    return df.where(F.col(col).isNotNull())
-
-
-def non_empty_filter(df: DataFrame, *cols: str) -> DataFrame:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & non_empty(c)
-    return df.where(cond)

@@ -13,8 +13,16 @@ def densify_left(dim: DataFrame, agg: DataFrame, keys: list[str], fill_cols: lis
 
 
 def densify_outer(dim: DataFrame, agg: DataFrame, keys: list[str], fill_cols: list[str]) -> DataFrame:
-    """Outer alignment: dimension rows and unknown keys are both kept."""
-    return dim.join(agg, keys, "full").fillna(0, subset=fill_cols)
+    """Outer alignment: dimension rows and unknown keys are both kept; null
+    key parts equal each other."""
+    named = agg.withColumnsRenamed({k: f"_agg_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_agg_{k}"))
+    out = dim.withColumn("_in_dim", F.lit(True)).join(named.withColumn("_in_agg", F.lit(True)), same, "full")
+    keyed = [F.when(F.col("_in_dim"), F.col(k)).otherwise(F.col(f"_agg_{k}")).alias(k) for k in keys]
+    rest = [c for c in dim.columns if c not in keys] + [c for c in agg.columns if c not in keys]
+    return out.select(*keyed, *rest).fillna(0, subset=fill_cols)
 
 
 def untouched(all_keys: DataFrame, active: DataFrame, key: str) -> DataFrame:
@@ -28,7 +36,7 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     first), ties broken by the whole row, so the pick is deterministic
     (unlike ``dropDuplicates``).
 
-    ``min_by`` is a hash aggregate with map-side partial aggregation, so a
+    ``min_by`` has map-side partial aggregation (sorted, for rows of text), so a
     key holding a large share of the rows is reduced before the shuffle
     instead of being sorted in one window partition.
     """

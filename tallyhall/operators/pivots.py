@@ -1,9 +1,9 @@
 """Site x group pivots, the multi-grain sheet set and the state x month report.
 
-Pivots are computed long first (one hash aggregate with GROUPING SETS for
-the group cells and the true per-site totals), then turned wide with an
-explicit value list so every sheet has the same columns and Spark does not
-run an extra job to discover them.
+Pivots are computed long first (one aggregate for the group cells and the
+true per-site totals), then turned wide by one conditional aggregate over an
+explicit value list, so every sheet has the same columns, no job discovers
+them and nothing is joined back.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import REPORT_STATES, WEEKLY_SHEET_MONTHS, PillarSpec
-from ..functions.calendar import month_label, month_start, quarter_sheet, quarter_start, week_of_month
+from ..functions.calendar import month_label, month_start, quarter_sheet, quarter_start
 from ..functions.classify import classify
 from ..functions.text import contains_or_false, non_empty
 from .joins import densify_left, densify_outer
@@ -26,44 +26,66 @@ def slug(value: str) -> str:
     return re.sub(r"\W+", "_", str(value)).strip("_") or "blank"
 
 
-def wide_columns(groups: list[str]) -> list[str]:
-    cols = []
+def column_names(groups: list[str]) -> list[str]:
+    """A distinct column prefix for each group: a slug that is taken gets a
+    number."""
+    out: list[str] = []
     for g in groups:
-        cols += [f"{slug(g)}_events", f"{slug(g)}_pax"]
-    return cols + ["total_events", "total_pax"]
+        name, n = slug(g), 2
+        while name in out or name == "total":
+            name, n = f"{slug(g)}_{n}", n + 1
+        out.append(name)
+    return out
 
 
-def _cells_and_totals(df: DataFrame, keys: list[str], group: str, event: str = "event_id",
-                      participant: str = "participant_id") -> DataFrame:
-    """One aggregate producing (keys, group) cells and (keys) totals; the
-    total rows carry ``is_total = true`` and a null group.
+def wide_columns(groups: list[str]) -> list[str]:
+    return [f"{n}_{m}" for n in [*column_names(groups), "total"] for m in ("events", "pax")]
 
-    Each row is emitted once for its group and once for the total, then a
-    plain GROUP BY runs the distinct counts (Spark's GROUPING SETS combined
-    with distinct aggregates expands the rows twice and is several times
-    slower).
-    """
-    gtype = df.schema[group].dataType
-    tag = F.explode(F.array(F.struct(F.lit(False).alias("is_total"), F.col(group).alias(group)),
-                            F.struct(F.lit(True).alias("is_total"), F.lit(None).cast(gtype).alias(group))))
-    tagged = df.select(*keys, event, participant, tag.alias("_t")).select(
-        *keys, event, participant, "_t.is_total", F.col(f"_t.{group}").alias(group))
-    return (tagged.groupBy(*keys, "is_total", group)
-                  .agg(F.count_distinct(event).cast("bigint").alias("events"),
-                       F.count_distinct(participant).cast("bigint").alias("pax")))
-
-
-def _to_wide(long: DataFrame, keys: list[str], group: str, groups: list[str]) -> DataFrame:
-    cells = long.where(~F.col("is_total"))
-    # explicit values: no discovery job, identical columns on every sheet
-    wide = (cells.groupBy(*keys).pivot(group, groups)
-                 .agg(F.first("events").alias("events"), F.first("pax").alias("pax")))
-    for g in groups:
-        wide = (wide.withColumnRenamed(f"{g}_events", f"{slug(g)}_events")
-                    .withColumnRenamed(f"{g}_pax", f"{slug(g)}_pax"))
-    totals = long.where(F.col("is_total")).select(*keys, F.col("events").alias("total_events"),
-                                                   F.col("pax").alias("total_pax"))
-    return wide, totals
+
+TOTAL = "total"
+CELL = "cell"
+LISTED = "listed"
+
+
+def _long(tagged: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct events and participants of (keys, kind, grp).  Each row is
+    emitted once for its cell and once for the total, then a plain GROUP BY
+    runs the distinct counts (grouping sets with distinct aggregates expand
+    the rows twice)."""
+    return (tagged.groupBy(*keys, "kind", "grp")
+                  .agg(F.count_distinct("event_id").cast("bigint").alias("events"),
+                       F.count_distinct("participant_id").cast("bigint").alias("pax")))
+
+
+def _tag(kind: str, group=None):
+    return F.struct(F.lit(kind).alias("kind"), (F.lit(None) if group is None else group).cast("string").alias("grp"))
+
+
+def _wide(long: DataFrame, keys: list[str], groups: list[str]) -> DataFrame:
+    """One row per key: a column pair for each group (zero without a cell)
+    and the total, all picked from the long rows in one aggregate."""
+    aggs = []
+    for g, name in zip(groups, column_names(groups), strict=True):
+        hit = (F.col("kind") == CELL) & (F.col("grp") == g)
+        aggs += [F.coalesce(F.max(F.when(hit, F.col(m))), F.lit(0)).alias(f"{name}_{m}") for m in ("events", "pax")]
+    total = F.col("kind") == TOTAL
+    aggs += [F.coalesce(F.max(F.when(total, F.col(m))), F.lit(0)).alias(f"total_{m}") for m in ("events", "pax")]
+    return long.groupBy(*keys).agg(*aggs, F.max(F.col("kind") == CELL).alias("_any"))
+
+
+def _home_pivot(fact: DataFrame, sites: DataFrame, programs: list[str], site_col: str, program_col: str,
+                sheets: list) -> DataFrame:
+    """Cells by home site for each of the sheet structs of a row; a site's
+    total counts all its participant rows, but only where it has a
+    programmed row (else 0)."""
+    pax = fact.where(F.col("participant_id").isNotNull() & non_empty(site_col))
+    tags = F.array_compact(F.array(F.when(non_empty(program_col), _tag(CELL, F.col(program_col))), _tag(TOTAL)))
+    rows = pax.select(F.col(site_col).alias("refid"), "event_id", "participant_id", tags.alias("_t"),
+                      F.explode(F.array_compact(F.array(*sheets))).alias("_s"))
+    tagged = rows.select("refid", "event_id", "participant_id", "_s.*", F.explode("_t").alias("_t")).select(
+        "refid", "event_id", "participant_id", "grain_code", "sheet_start", "wom", "_t.kind", "_t.grp")
+    keys = ["grain_code", "sheet_start", "wom", "refid"]
+    return _wide(_long(tagged, keys), keys, programs).where("_any").drop("_any")
 
 
 def pivot_wide_home(fact: DataFrame, sites: DataFrame, programs: list[str], site_col: str = "home_refid",
@@ -75,20 +97,32 @@ def pivot_wide_home(fact: DataFrame, sites: DataFrame, programs: list[str], site
     programmed row (else 0).  Every site of the dimension is present; home
     sites outside it are dropped.
     """
-    pax = fact.where(F.col("participant_id").isNotNull() & non_empty(site_col))
-    pk = F.when(non_empty(program_col), F.col(program_col))
-    long = _cells_and_totals(pax.select(F.col(site_col).alias("refid"), pk.alias("program"),
-                                        "event_id", "participant_id"), ["refid"], "program")
-    cells = long.where(~F.col("is_total") & F.col("program").isNotNull())
-    totals = long.where(F.col("is_total"))
-    wide, _ = _to_wide(cells, ["refid"], "program", programs)
-    wide = wide.join(totals.select("refid", F.col("events").alias("total_events"),
-                                   F.col("pax").alias("total_pax")), "refid", "left")
+    wide = _home_pivot(fact, sites, programs, site_col, program_col, [_sheet(4)]).drop("grain_code", "sheet_start", "wom")
     dim = site_dimension(sites).select("refid", "site_name", "state")
     cols = wide_columns(programs)
     return densify_left(dim, wide, ["refid"], cols).select("refid", "site_name", "state", *cols)
 
 
+def monthly_home_pivot(fact: DataFrame, sites: DataFrame, programs: list[str], site_col: str = "home_refid",
+                       program_col: str = "program", date_col: str = "event_startdate") -> DataFrame:
+    """The home-site pivot of each month with activity and of All, with the
+    same program columns; every site of the dimension is on every sheet, and
+    a site's total follows the rule of :func:`pivot_wide_home` by sheet."""
+    month = F.when(F.col(date_col).isNotNull(), _sheet(1, month_start(date_col)))
+    wide = _home_pivot(fact, sites, programs, site_col, program_col, [month, _sheet(4)])
+    dim = site_dimension(sites).select("refid", "site_name", "state")
+    cols = wide_columns(programs)
+    # A site's sheets are gathered (one entry a month), so sheets and sites are densified by one pass over the cells.
+    sheet = F.struct("grain_code", "sheet_start", "wom")
+    grid = wide.select(sheet.alias("sheet")).distinct().select("sheet.*").join(
+        dim.withColumn("grain_code", F.explode(F.array(F.lit(1), F.lit(4)))), "grain_code")
+    out = grid.join(wide.drop("wom"), (grid["refid"] == wide["refid"]) & (grid["grain_code"] == wide["grain_code"])
+                    & grid["sheet_start"].eqNullSafe(wide["sheet_start"]), "left")
+    out = out.select(grid["grain_code"], grid["sheet_start"], grid["wom"], grid["refid"], "site_name", "state",
+                     *[F.coalesce(c, F.lit(0)).alias(c) for c in cols])
+    return sheet_labels(out)
+
+
 def unique_fact_sites(fact: DataFrame, refid: str = "event_site_refid", name: str = "event_site_name",
                       state: str = "event_site_state") -> DataFrame:
     """Distinct (refid, name, state) of the fact with a non-empty refid."""
@@ -96,21 +130,28 @@ def unique_fact_sites(fact: DataFrame, refid: str = "event_site_refid", name: st
                 .distinct().where(non_empty("refid")))
 
 
-def pivot_wide_group(fact: DataFrame, all_sites: DataFrame, group_col: str, groups: list[str],
+def pivot_wide_group(fact: DataFrame, group_col: str, groups: list[str], keep=None, all_sites: DataFrame | None = None,
                      site_cols=("event_site_refid", "event_site_name", "event_site_state")) -> DataFrame:
-    """Site x group pivot keyed by the event site; rows outside ``groups``
-    are removed first, so the totals are after the filter.  Aligned by an
-    outer join: every listed site (zeros) plus any site only in the data."""
+    """Site x group pivot keyed by the event site.
+
+    Rows outside ``groups``, rows that ``keep`` (a condition) leaves out and
+    rows with a null key part make no cell, so the totals are after the
+    filter.  Listed with zeros besides: the rows of ``all_sites``, or else
+    every (refid, name, state) of ``fact`` with a refid."""
     keys = ["refid", "site_name", "state"]
     refid, name, state = site_cols
-    dfx = (fact.select(F.col(refid).alias("refid"), F.col(name).alias("site_name"), F.col(state).alias("state"),
-                       F.col(group_col).alias("grp"), "event_id", "participant_id")
-               .where(non_empty("refid") & non_empty("grp") & F.col("grp").isin(*groups)))
-    long = _cells_and_totals(dfx, keys, "grp")
-    wide, totals = _to_wide(long, keys, "grp", groups)
-    wide = wide.join(totals, keys, "left")
+    rows = fact.where(non_empty(refid))
+    counted = F.col(group_col).isin(*groups) & F.col(name).isNotNull() & F.col(state).isNotNull()
+    counted = F.coalesce(counted if keep is None else counted & keep, F.lit(False))
+    tags = F.explode(F.when(counted, F.array(_tag(CELL, F.col(group_col)), _tag(TOTAL))).otherwise(F.array(_tag(LISTED))))
+    rows = rows if all_sites is None else rows.where(counted)
+    tagged = rows.select(F.col(refid).alias("refid"), F.col(name).alias("site_name"), F.col(state).alias("state"),
+                         "event_id", "participant_id", tags.alias("_t")).select(*keys, "event_id", "participant_id", "_t.kind", "_t.grp")
+    wide = _wide(_long(tagged, keys), keys, groups).drop("_any")
     cols = wide_columns(groups)
-    return densify_outer(all_sites.select(*keys), wide, keys, cols).select(*keys, *cols)
+    if all_sites is not None:
+        wide = densify_outer(all_sites.select(*keys), wide, keys, cols)
+    return wide.select(*keys, *cols)
 
 
 # ---------------------------------------------------------------------------
@@ -145,37 +186,34 @@ def _week_of_month_no(d):
     return F.when(day <= 7, 1).when(day <= 14, 2).when(day <= 21, 3).when(day <= 31, 4)
 
 
-def sheet_rows(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U",
-               weekly_months: int = WEEKLY_SHEET_MONTHS, date_col: str = "event_start") -> DataFrame:
-    """Fact rows tagged with every sheet they belong to: month, quarter,
-    week-of-month (latest ``weekly_months`` months only) and All.
+def _sheet(code: int, start=None, wom=None):
+    """A sheet's compact key: grain code, start date, week-of-month number.
+    :func:`sheet_labels` makes the texts after aggregation, so the heavy
+    GROUP BY hashes no label text."""
+    return F.struct(F.lit(code).alias("grain_code"), (F.lit(None) if start is None else start).cast("date").alias("sheet_start"),
+                    (F.lit(None) if wom is None else wom).cast("int").alias("wom"))
 
-    Sheets are identified by compact keys (grain code, sheet start date,
-    week-of-month number); :func:`sheet_labels` turns them into the text
-    labels after aggregation, so the heavy GROUP BY hashes no label text.
-    """
-    df = fact
-    if category:
-        df = df.where(contains_or_false(F.col("category_name"), category))
-    df = df.withColumn("_d", F.to_date(F.col(date_col)))
+
+def _categorised(fact: DataFrame, category: str | None, date_col: str) -> DataFrame:
+    df = fact.where(contains_or_false(F.col("category_name"), category)) if category else fact
+    return df.withColumn("_d", F.to_date(F.col(date_col)))
+
+
+def _first_recent_month(df: DataFrame, weekly_months: int):
+    """The earliest of the latest ``weekly_months`` months that ``df`` has,
+    as a scalar subquery over its dates."""
     months = df.where(F.col("_d").isNotNull()).select(month_start("_d").alias("_m")).distinct()
-    latest = months.orderBy(F.col("_m").desc()).limit(weekly_months)   # <= 3 rows
-    df = df.withColumn("_m", month_start("_d"))
-    df = df.join(F.broadcast(latest.withColumn("_recent", F.lit(True))), "_m", "left")
+    return months.orderBy(F.col("_m").desc()).limit(weekly_months).agg(F.min("_m")).scalar()
 
-    def tag(code, start, wom):
-        return F.struct(F.lit(code).alias("grain_code"), start.cast("date").alias("sheet_start"),
-                        wom.cast("int").alias("wom"))
 
+def _sheets_of_row(first_recent, weeks=None) -> list:
+    """The sheets a row belongs to: month, quarter, week-of-month (recent
+    months only; ``weeks`` lists other ones than its own) and All."""
     dated = F.col("_d").isNotNull()
-    grains = F.array(
-        F.when(dated, tag(1, F.col("_m"), F.lit(None))),
-        F.when(dated, tag(2, quarter_start("_d"), F.lit(None))),
-        F.when(F.col("_recent"), tag(3, F.col("_m"), _week_of_month_no(F.col("_d")))),
-        tag(4, F.lit(None), F.lit(None)),
-    )
-    return (df.withColumn("_s", F.explode(grains)).where(F.col("_s").isNotNull())
-              .select("*", "_s.grain_code", "_s.sheet_start", "_s.wom").drop("_s", "_d", "_m", "_recent"))
+    m = month_start("_d")
+    recent = dated & (m >= first_recent)
+    return [F.when(dated, _sheet(1, m)), F.when(dated, _sheet(2, quarter_start("_d"))),
+            *[F.when(recent, _sheet(3, m, w)) for w in (weeks or [_week_of_month_no(F.col("_d"))])], _sheet(4)]
 
 
 def sheet_labels(df: DataFrame) -> DataFrame:
@@ -193,43 +231,69 @@ def sheet_labels(df: DataFrame) -> DataFrame:
     return df.select(grain.alias("grain"), sheet.alias("sheet"), *rest)
 
 
+def _pillar_rows(df: DataFrame, pillars: list[PillarSpec]):
+    """Adds grp, and ``_cell``: whether the row makes a cell of its pillar.
+    A null site, name or state makes none."""
+    df = df.withColumn("grp", _pillar_group(pillars))
+    cell = (F.col("pillar_name").isin(*[p.name for p in pillars]) & non_empty("event_site_refid") & non_empty("grp")
+            & F.col("event_site_name").isNotNull() & F.col("event_site_state").isNotNull() & _pillar_keep(pillars))
+    return df.withColumn("_cell", F.coalesce(cell, F.lit(False)))
+
+
 def pivot_all_grains(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U",
-                     date_col: str = "event_start") -> DataFrame:
+                     date_col: str = "event_start", weekly_months: int = WEEKLY_SHEET_MONTHS) -> DataFrame:
     """Long form of every (pillar, sheet) pivot: one row per non-empty cell,
-    group 'Total' carrying the true per-site distinct totals."""
-    rows = sheet_rows(fact, pillars, category, date_col=date_col)
-    rows = rows.where(F.col("pillar_name").isin(*[p.name for p in pillars]))
-    rows = rows.withColumn("grp", _pillar_group(pillars))
-    rows = rows.where(non_empty("event_site_refid") & non_empty("grp") & _pillar_keep(pillars))
-    tags = ["grain_code", "sheet_start", "wom"]
+    group 'Total' carrying the true per-site distinct totals.
+
+    Rows are first reduced to the distinct events and participants of a
+    (pillar, site, group, day); only those are exploded into their sheets.
+    One aggregate by (sheet, site, id) gathers an id's groups (at most one
+    per group), so the totals need no further copy of the rows."""
+    df = _categorised(fact, category, date_col)
+    rows = _pillar_rows(df, pillars).where("_cell")
     site = ["refid", "site_name", "state"]
-    base = rows.select("pillar_name", *tags, F.col("event_site_refid").alias("refid"),
-                       F.col("event_site_name").alias("site_name"), F.col("event_site_state").alias("state"),
-                       "grp", "event_id", "participant_id")
-    long = _cells_and_totals(base, ["pillar_name", *tags, *site], "grp")
+    ids = F.explode(F.array(F.struct(F.lit(True).alias("event"), F.col("event_id").cast("string").alias("id")),
+                            F.struct(F.lit(False).alias("event"), F.col("participant_id").cast("string").alias("id"))))
+    base = rows.select("pillar_name", F.col("event_site_refid").alias("refid"), F.col("event_site_name").alias("site_name"),
+                       F.col("event_site_state").alias("state"), "grp", "_d", ids.alias("_i"))
+    base = base.select("pillar_name", *site, "grp", "_d", "_i.event", "_i.id").where("id is not null").distinct()
+    sheets = F.explode(F.array_compact(F.array(*_sheets_of_row(_first_recent_month(df, weekly_months)))))
+    keys = ["pillar_name", "grain_code", "sheet_start", "wom", *site]
+    exploded = base.select("pillar_name", *site, "grp", "event", "id", sheets.alias("_s")).select(
+        "pillar_name", "_s.*", *site, "grp", "event", "id")
+    groups = exploded.groupBy(*keys, "event", "id").agg(F.collect_set("grp").alias("grps"))
+    cells = groups.select(*keys, "event", F.explode(F.concat(
+        F.transform("grps", lambda g: _named(g)), F.array(_named(F.lit(None).cast("string"))))).alias("_g"))
+    long = cells.groupBy(*keys, F.col("_g.grp").alias("grp")).agg(
+        F.count_if("event").cast("bigint").alias("events"), F.count_if(~F.col("event")).cast("bigint").alias("pax"))
     long = sheet_labels(long)
-    return long.select("pillar_name", "grain", "sheet", *site,
-                       F.when(F.col("is_total"), F.lit("Total")).otherwise(F.col("grp")).alias("grp"),
-                       "events", "pax")
+    return long.select("pillar_name", "grain", "sheet", *site, F.coalesce("grp", F.lit("Total")).alias("grp"), "events", "pax")
+
+
+def _named(group):
+    return F.struct(group.alias("grp"))
 
 
 def active_sites_per_sheet(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U",
-                           date_col: str = "event_start") -> DataFrame:
-    """Sites with any non-zero cell, per pillar and sheet; the sheet list
-    comes from all pillars so an empty sheet still shows 0."""
-    # The sheet list depends only on the dates present: tag the distinct
-    # dates (a calendar-bounded set) rather than every fact row.
-    cols = [date_col] + (["category_name"] if category else [])
-    dates = fact.select(*cols).distinct()
-    sheets = sheet_labels(sheet_rows(dates, pillars, category, date_col=date_col)
-                          .select("grain_code", "sheet_start", "wom")).select("grain", "sheet")
-    all_sheet = fact.sparkSession.createDataFrame([("all", "All")], "grain string, sheet string")
-    sheets = sheets.unionByName(all_sheet).distinct()
-    sheets = sheets.withColumn("pillar_name", F.explode(F.array(*[F.lit(p.name) for p in pillars])))
-    cells = pivot_all_grains(fact, pillars, category, date_col)
-    active = (cells.where(F.col("events") > 0).groupBy("pillar_name", "grain", "sheet")
-                   .agg(F.count_distinct("refid").cast("bigint").alias("active_sites")))
-    return densify_left(sheets, active, ["pillar_name", "grain", "sheet"], ["active_sites"])
+                           date_col: str = "event_start", weekly_months: int = WEEKLY_SHEET_MONTHS) -> DataFrame:
+    """Sites with any non-zero cell, per pillar and sheet.  Every pillar is
+    on every sheet: the months and quarters of all rows, W1 to W4 of the
+    recent months whether or not they have events, and All."""
+    df = _pillar_rows(_categorised(fact, category, date_col), pillars)
+    day = df.select(F.when(F.col("_cell"), F.col("pillar_name")).alias("pillar_name"),
+                    F.when(F.col("_cell"), F.col("event_site_refid")).alias("refid"), "_d").distinct()
+    first = _first_recent_month(_categorised(fact, category, date_col), weekly_months)
+    weeks = [F.lit(w) for w in (1, 2, 3, 4)]
+    tagged = day.select("*", F.explode(F.array_compact(F.array(*_sheets_of_row(first, weeks)))).alias("_s")).select("pillar_name", "refid", "_d", "_s.*")
+    own_week = F.col("wom").isNull() | (F.col("wom") == _week_of_month_no(F.col("_d")))
+    none = fact.sparkSession.createDataFrame([(4,)], "grain_code int")  # the sheet All of an empty fact
+    tagged = tagged.unionByName(none, allowMissingColumns=True)
+    counts = [F.count_distinct(F.when((F.col("pillar_name") == p.name) & own_week, F.col("refid"))).cast("bigint").alias(f"p{i}")
+              for i, p in enumerate(pillars)]
+    per = tagged.groupBy("grain_code", "sheet_start", "wom").agg(*counts)
+    pairs = F.explode(F.array(*[F.struct(F.lit(p.name).alias("pillar_name"), F.col(f"p{i}").alias("active_sites"))
+                                for i, p in enumerate(pillars)]))
+    return sheet_labels(per.withColumn("_p", pairs)).select("_p.pillar_name", "grain", "sheet", "_p.active_sites")
 
 
 # ---------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Per-site, monthly, weekly and event rollups with the demographic block.
 
 Counting rules: ``pax_total`` is the number of *distinct* participants while
-women / youth / children / oku are *row* counts.  Every rollup is one hash
+women / youth / children / oku are *row* counts.  Every rollup is one
 aggregate (partial + final); the distinct counts are expanded by Catalyst,
 so a hot site is pre-aggregated map-side before the shuffle.
 """
@@ -108,7 +108,7 @@ def event_summary(fact: DataFrame, site_col: str = "event_site_refid", classifie
     df = fact.where(F.col("participant_id").isNotNull() & non_empty(site_col))
     return (df.groupBy(F.col(site_col).alias("refid"), "event_id")
               .agg(F.min(_event_name()).alias("name"),
-                   F.coalesce(F.min(month_label("event_startdate")), F.lit("")).alias("month"),
+                   F.coalesce(month_label(F.min("event_startdate")), F.lit("")).alias("month"),
                    F.count_distinct("participant_id").cast("bigint").alias("p"),
                    F.count_if(truthy("attendance")).cast("bigint").alias("a"),
                    F.min(sp).alias("sub_program")))
@@ -121,7 +121,9 @@ def zero_attendance_events(fact: DataFrame, site_col: str = "event_site_refid")
 def site_status(fact: DataFrame, sites: DataFrame, site_col: str = "event_site_refid") -> DataFrame:
     """untouched (no events) / has_zero (>= 1 event nobody attended) /
     all_complete (events, none at zero), for every site."""
-    ev = (event_summary(fact, site_col).groupBy("refid")
+    rows = fact.where(F.col("participant_id").isNotNull() & non_empty(site_col))
+    per_event = rows.groupBy(F.col(site_col).alias("refid"), "event_id").agg(F.count_if(truthy("attendance")).alias("a"))
+    ev = (per_event.groupBy("refid")
           .agg(F.count(F.lit(1)).cast("bigint").alias("events"),
                F.count_if(F.col("a") == 0).cast("bigint").alias("zero_events")))
     dim = site_dimension(sites).select("refid", "site_name", "state")
@@ -148,6 +150,17 @@ def monthly_site(fact: DataFrame, site_col: str = "event_site_refid", date_col:
              .select("month_start", month_key("month_start").alias("period"), "refid", "events", "pax"))
 
 
+def monthly_site_labels(fact: DataFrame, classifier: Classifier, site_col: str = "event_site_refid",
+                        program_col: str = "program", date_col: str = "event_startdate") -> DataFrame:
+    """Month x site x classified label: distinct events and participants."""
+    d = fact.where(F.col(date_col).isNotNull() & F.col("participant_id").isNotNull() & non_empty(site_col))
+    return (d.groupBy(month_start(date_col).alias("month_start"), F.col(site_col).alias("refid"),
+                      classify(program_col, classifier).alias("label"))
+             .agg(distinct_events().alias("events"),
+                  F.count_distinct("participant_id").cast("bigint").alias("pax"))
+             .select("month_start", month_key("month_start").alias("period"), "refid", "label", "events", "pax"))
+
+
 def monthly_heat(fact: DataFrame, site_col: str = "event_site_refid") -> DataFrame:
     """Monthly site cells with their heat band (0 / 1-5 / 6-20 / 21-99 / 100+)."""
     ev = F.col("events")
@@ -161,16 +174,21 @@ def site_month_series(fact: DataFrame, sites: DataFrame, site_col: str = "event_
                       date_col: str = "event_startdate") -> DataFrame:
     """Per-site monthly series over every month present in the data, zeros
     where the site was idle (sparkline data)."""
-    months = (fact.where(F.col(date_col).isNotNull())
-                  .select(month_start(date_col).alias("month_start")).distinct())
-    # first and last month in one scalar subquery (one pass, one row)
-    b = months.agg(F.struct(F.min("month_start").alias("lo"), F.max("month_start").alias("hi"))).scalar()
+    # Cells of all rows; a null refid stands for rows that only show their month.
+    keep = F.col("participant_id").isNotNull() & non_empty(site_col)
+    cells = (fact.where(F.col(date_col).isNotNull())
+                 .groupBy(month_start(date_col).alias("month_start"), F.when(keep, F.col(site_col)).alias("refid"))
+                 .agg(distinct_events().alias("events"),
+                      F.count_distinct(F.when(keep, F.col("participant_id"))).cast("bigint").alias("pax")))
+    # The months that the cells have, as one array (one entry a calendar month).
+    per_site = cells.where("refid is not null").groupBy("refid").agg(
+        F.map_from_entries(F.collect_list(F.struct("month_start", F.struct("events", "pax")))).alias("own"))
+    every = cells.agg(F.sort_array(F.collect_set("month_start"))).scalar()
     dim = site_dimension(sites).select("refid")
-    grid = dim.select("refid", F.explode(F.sequence(b.getField("lo"), b.getField("hi"),
-                                                    F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
-    grid = grid.join(F.broadcast(months), "month_start", "left_semi")
-    cells = monthly_site(fact, site_col, date_col).select("month_start", "refid", "events", "pax")
-    return densify_left(grid, cells, ["month_start", "refid"], ["events", "pax"])
+    grid = dim.join(per_site, "refid", "left").select("refid", "own", F.explode(every).alias("month_start"))
+    cell = F.try_element_at(F.col("own"), F.col("month_start"))
+    return grid.select("month_start", "refid", F.coalesce(cell["events"], F.lit(0)).cast("bigint").alias("events"),
+                       F.coalesce(cell["pax"], F.lit(0)).cast("bigint").alias("pax"))
 
 
 def weekly_rollup(fact: DataFrame, demo: Demographics = Demographics(), date_col: str = "event_startdate") -> DataFrame:

@@ -27,11 +27,11 @@ FIXTURE_CLASSIFIER = Classifier(rules=(("small", "A"), ("ring|bolt", "B"), ("wid
 FIXTURE_GROUPS = ["A", "B", "C", "Z"]
 FIXTURE_PROGRAMS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 FIXTURE_PILLARS = [
-    PillarSpec("1-URGENT", "urgent", "sub_pillar_name"),
-    PillarSpec("2-HIGH", "high", "program_name", FIXTURE_CLASSIFIER, tuple(FIXTURE_GROUPS)),
-    PillarSpec("3-MEDIUM", "medium", "sub_pillar_name"),
-    PillarSpec("4-NOT SPECIFIED", "not_specified", "sub_pillar_name"),
-    PillarSpec("5-LOW", "low", "sub_pillar_name"),
+    PillarSpec("1-URGENT", "sub_pillar_name"),
+    PillarSpec("2-HIGH", "program_name", FIXTURE_CLASSIFIER, tuple(FIXTURE_GROUPS)),
+    PillarSpec("3-MEDIUM", "sub_pillar_name"),
+    PillarSpec("4-NOT SPECIFIED", "sub_pillar_name"),
+    PillarSpec("5-LOW", "sub_pillar_name"),
 ]
 FIXTURE_SPEC = FilterSpec(facets={"pillar_name": "1-URGENT"}, date_from="1996-01-01", date_to="1997-12-31",
                           search="blue")
@@ -369,8 +369,7 @@ SELECT s.refid, s.site_name, s.state, COALESCE(per.events, 0) AS events, COALESC
 FROM site_dim s LEFT JOIN per ON per.refid = s.refid
 """)
 def q_site_status(spark, root):
-    f = _fact(spark, root, ["event_site_refid", "event_id", "participant_id", "program_name", "program",
-                            "event_startdate", "attendance"])
+    f = _fact(spark, root, ["event_site_refid", "event_id", "participant_id", "attendance"])
     return rollups.site_status(f, fx.sites(spark, root))
 
 
@@ -556,10 +555,33 @@ FROM all_sites a FULL JOIN w ON w.refid = a.refid AND w.site_name = a.site_name
 def q_pivot_wide_group(spark, root):
     f = _fact(spark, root, ["event_site_refid", "event_site_name", "event_site_state", "category_name",
                             "pillar_name", "program_name", "event_id", "participant_id"])
-    all_sites = pivots.unique_fact_sites(f)
-    sl = (f.where(filters.category_contains("category_name", "NADI4U") & (F.col("pillar_name") == "2-HIGH"))
-           .withColumn("grp", classify("program_name", FIXTURE_CLASSIFIER)))
-    return pivots.pivot_wide_group(sl, all_sites, "grp", FIXTURE_GROUPS)
+    f = f.withColumn("grp", classify("program_name", FIXTURE_CLASSIFIER))
+    keep = filters.category_contains("category_name", "NADI4U") & (F.col("pillar_name") == "2-HIGH")
+    return pivots.pivot_wide_group(f, "grp", FIXTURE_GROUPS, keep)
+
+
+@register("monthly_home_pivot", O.FACT_CTE + f"""
+, pax AS (SELECT home_refid AS refid, CASE WHEN program <> '' THEN program END AS program, event_id, participant_id,
+                 event_startdate
+          FROM fact WHERE participant_id IS NOT NULL AND home_refid IS NOT NULL AND home_refid <> ''),
+t AS (SELECT *, 'month' AS grain, strftime(event_startdate, '%b %Y') AS sheet FROM pax WHERE event_startdate IS NOT NULL
+      UNION ALL SELECT *, 'all', 'All' FROM pax),
+cells AS (SELECT grain, sheet, refid, program AS grp, count(DISTINCT event_id) AS events,
+                 count(DISTINCT participant_id) AS pax FROM t WHERE program IS NOT NULL GROUP BY ALL),
+tot AS (SELECT grain, sheet, refid, count(DISTINCT event_id) AS total_events, count(DISTINCT participant_id) AS total_pax
+        FROM t GROUP BY ALL),
+w AS (SELECT c.grain, c.sheet, c.refid, {_wide_sql(FIXTURE_PROGRAMS)}, max(o.total_events) AS total_events,
+             max(o.total_pax) AS total_pax
+      FROM cells c JOIN tot o ON o.grain = c.grain AND o.sheet = c.sheet AND o.refid = c.refid
+      GROUP BY c.grain, c.sheet, c.refid),
+sheets AS (SELECT DISTINCT grain, sheet FROM cells)
+SELECT h.grain, h.sheet, s.refid, s.site_name, s.state, {_wide_cols(FIXTURE_PROGRAMS)}
+FROM sheets h CROSS JOIN site_dim s
+LEFT JOIN w ON w.grain = h.grain AND w.sheet = h.sheet AND w.refid = s.refid
+""")
+def q_monthly_home_pivot(spark, root):
+    f = _fact(spark, root, ["home_refid", "program", "event_id", "participant_id", "event_startdate"])
+    return pivots.monthly_home_pivot(f, fx.sites(spark, root), FIXTURE_PROGRAMS)
 
 
 _SHEETS_SQL = O.FACT_CTE + f"""
@@ -599,7 +621,8 @@ def q_pivot_all_grains(spark, root):
 
 
 @register("active_sites_per_sheet", _SHEETS_SQL + """
-, sheets AS (SELECT DISTINCT grain, sheet FROM tagged),
+, sheets AS (SELECT DISTINCT grain, sheet FROM tagged WHERE grain <> 'week'
+  UNION SELECT 'week', strftime(m, '%b %Y') || ' W' || CAST(w AS VARCHAR) FROM latest CROSS JOIN range(1, 5) r(w)),
 pil(pillar_name) AS (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW')),
 act AS (SELECT pillar_name, grain, sheet, count(DISTINCT refid) AS active_sites FROM cells WHERE events > 0
         GROUP BY ALL)
@@ -749,14 +772,44 @@ def q_latest_three_months(spark, root):
 
 
 # ---------------------------------------------------------------------------
-# Payload (nested; rows-only check)
+# Payload
 # ---------------------------------------------------------------------------
 
-@register("site_payload", None)
+@register("site_payload", O.FACT_CTE + f"""
+, idx AS (SELECT event_site_refid AS refid, count(DISTINCT event_id) AS events, {O.DEMO}
+          FROM fact WHERE {_PAX} GROUP BY 1),
+p AS (SELECT event_site_refid AS refid, program, count(DISTINCT event_id) AS program_events,
+             count(DISTINCT participant_id) AS program_pax
+      FROM fact WHERE {_PAX} AND program IS NOT NULL AND program <> '' GROUP BY 1, 2)
+SELECT s.refid, s.site_name AS name, s.state, s.tp, s.dusp, s.region, s.phase, COALESCE(i.events, 0) AS events,
+       COALESCE(i.pax_total, 0) AS total, COALESCE(i.women, 0) AS women, COALESCE(i.youth, 0) AS youth,
+       COALESCE(i.children, 0) AS children, COALESCE(i.oku, 0) AS oku, p.program, p.program_events, p.program_pax
+FROM site_dim s LEFT JOIN idx i ON i.refid = s.refid LEFT JOIN p ON p.refid = s.refid
+WHERE s.refid <> ''
+""")
 def q_site_payload(spark, root):
-    f = _fact(spark, root, ["event_site_refid", "event_id", "participant_id", "gender", "age", "oku_status",
-                            "program", "program_name", "event_startdate", "attendance"])
-    return payload.site_payload(f, fx.sites(spark, root))
+    f = _fact(spark, root, ["event_site_refid", "event_id", "participant_id", "gender", "age", "oku_status", "program"])
+    return payload.flat_payload(payload.site_payload(f, fx.sites(spark, root)))
+
+
+@register("site_events", O.FACT_CTE + f"""
+SELECT refid, event_id, name AS n, month AS m, p, a, sub_program AS sp FROM ({_EVSUM_SQL})
+""")
+def q_site_events(spark, root):
+    f = _fact(spark, root, ["event_site_refid", "event_id", "participant_id", "program_name", "program",
+                            "event_startdate", "attendance"])
+    return payload.site_events(f)
+
+
+@register("monthly_site_labels", O.FACT_CTE + f"""
+SELECT {_MONTH} AS month_start, strftime({_MONTH}, '%Y-%m') AS period, event_site_refid AS refid,
+       {O.FIXTURE_CLASSIFY.format(c='program_name')} AS label, count(DISTINCT event_id) AS events,
+       count(DISTINCT participant_id) AS pax
+FROM fact WHERE {_PAX} AND event_startdate IS NOT NULL GROUP BY ALL
+""")
+def q_monthly_site_labels(spark, root):
+    f = _fact(spark, root, ["event_site_refid", "event_id", "participant_id", "program_name", "event_startdate"])
+    return rollups.monthly_site_labels(f, FIXTURE_CLASSIFIER, program_col="program_name")
 
 
 # ---------------------------------------------------------------------------

@@ -13,12 +13,13 @@ C. Export then explore: the flat export view, then stats / facets /
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FilterSpec, PillarSpec
+from ..config import CLASSIFIED_SUBCATEGORY, PILLARS, Classifier, FilterSpec, PillarSpec
 from ..operators import explore, filters, pivots, rollups
 from ..sinks import payload, writers
 from ..sources import fixtures as fx
@@ -42,17 +43,24 @@ def dashboard_fact(spark: SparkSession, root: str, sub_id: int, date_from: str |
 def dashboard_fetch(spark: SparkSession, root: str, sub_id: int, date_from: str | None = None,
                     date_to: str | None = None, programs: list[str] | None = None,
                     remap: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Flow A: the three payloads of one subcategory (lazy DataFrames)."""
+    """Flow A: the payloads of one subcategory (lazy DataFrames).  The
+    restricted fact is written once in the shared folder and read back for
+    each of them.  The classified subcategory's programs are labelled."""
     fact = dashboard_fact(spark, root, sub_id, date_from, date_to, programs, remap)
+    fact = writers.checkpoint_table(fact, f"dashboard-{sub_id}-{uuid.uuid4().hex}")
     sites = fx.sites(spark, root)
-    return {
-        "nadi": payload.site_payload(fact, sites),
-        "site_events": payload.site_events(fact),
+    classifier = Classifier() if sub_id == CLASSIFIED_SUBCATEGORY else None
+    out = {
+        "nadi": payload.site_payload(fact, sites, classifier=classifier),
+        "site_events": payload.site_events(fact, classifier=classifier),
         "monthly": rollups.monthly_rollup(fact),
         "monthly_sites": rollups.monthly_site(fact),
         "weekly": rollups.weekly_rollup(fact),
         "weekly_sites": rollups.weekly_site(fact),
     }
+    if classifier:
+        out["monthly_labels"] = rollups.monthly_site_labels(fact, classifier)
+    return out
 
 
 def write_dashboard(parts: dict[str, DataFrame], out_root: str, sub_id: int) -> None:
@@ -67,7 +75,7 @@ FACT_PIVOT_COLUMNS = ["event_site_refid", "event_site_name", "event_site_state",
 
 
 def consolidate_then_pivot(spark: SparkSession, root: str, fact_path: str, sheets_path: str,
-                           pillars: list[PillarSpec]) -> DataFrame:
+                           pillars: list[PillarSpec] = list(PILLARS)) -> DataFrame:
     """Flow B: consolidated fact written once, then the sheet set."""
     writers.write_fact_parquet(fx.fact(spark, root, FACT_PIVOT_COLUMNS), fact_path)
     fact = spark.read.parquet(fact_path).select(*FACT_PIVOT_COLUMNS)

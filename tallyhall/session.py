@@ -1,20 +1,20 @@
-"""Session construction and cluster-safe scratch locations."""
+"""Session construction and the cluster's shared folder."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  Timestamps are naive UTC end to end; AQE does
 # the runtime re-planning (partition coalescing, skew-join splitting and the
-# size-checked broadcast conversion) so no operator hard-codes a strategy.
+# size-checked broadcast conversion) so no operator hard-codes a strategy.  A
+# skewed join is split even where an aggregate above it reuses its
+# partitioning, at the price of one more exchange there.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -23,11 +23,16 @@ SESSION_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tallyhall", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the library's settings.  The master and the number of
+    shuffle partitions are the cluster's unless a caller names them (tests)."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(SESSION_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -36,22 +41,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",
               "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, conf[k])
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
-
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) do we create one.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tallyhall-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect); the conf value is what writers use
-        pass
-    return current
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from the session's
+    ``spark.checkpoint.dir``; an error where it is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return root.rstrip("/")

@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Classifier, Demographics
+from ..functions.classify import classify
+from ..functions.text import non_empty
 from ..operators import rollups
+from ..operators.joins import densify_left
 
 
 def run_catalogue(fact: DataFrame, subcats: DataFrame) -> DataFrame:
@@ -31,22 +34,47 @@ def run_catalogue(fact: DataFrame, subcats: DataFrame) -> DataFrame:
                       (F.col("row_count") > 0).alias("has_data"), "first_date", "last_date")
 
 
+SITE_ATTRIBUTES = ["tp", "dusp", "region", "phase", "parliament", "dun", "mukim"]
+
+
 def site_payload(fact: DataFrame, sites: DataFrame, site_col: str = "event_site_refid",
                  classifier: Classifier | None = None, demo: Demographics = Demographics()) -> DataFrame:
-    """One row per site: events, a ``pax`` struct and a ``programs`` map of
-    program -> {events, pax}."""
-    idx = rollups.site_index(fact, sites, site_col, demo)
-    progs = (rollups.site_programs(fact, site_col, "program", classifier)
-             .groupBy("refid")
-             .agg(F.map_from_entries(F.collect_list(F.struct("program", F.struct("events", "pax"))))
-                  .alias("programs")))
-    out = idx.join(progs, "refid", "left")
-    return out.select("refid", F.col("site_name").alias("name"), "state", "events",
+    """One row per site: its attributes (those that the dimension has),
+    events, a ``pax`` struct and a ``programs`` map of program -> {events,
+    pax}, sorted by program.
+
+    One aggregate over the fact: a participant row counts once for its
+    program and once for the site's total."""
+    program = F.when(non_empty("program"), F.col("program")) if classifier is None else classify("program", classifier)
+    tags = F.array_compact(F.array(F.struct(F.lit(True).alias("all"), F.lit(None).cast("string").alias("program")),
+                                   F.when(program.isNotNull(), F.struct(F.lit(False).alias("all"), program.alias("program")))))
+    rows = fact.where(F.col(demo.participant).isNotNull() & non_empty(site_col))
+    rows = rows.select(F.col(site_col).alias("refid"), "event_id", demo.participant, demo.gender, demo.age, demo.oku,
+                       F.explode(tags).alias("_t")).select("*", "_t.all", F.col("_t.program").alias("_program"))
+    cells = rows.groupBy("refid", "all", "_program").agg(
+        rollups.distinct_events(participant=demo.participant).alias("events"), *rollups.demographic_aggs(demo))
+    whole = [F.max(F.when(F.col("all"), F.col(c))).alias(c) for c in ["events", *rollups.DEMO_COLS]]
+    listed = F.collect_list(F.when(~F.col("all"), F.struct(F.col("_program").alias("program"), F.struct(
+        F.col("events"), F.col("pax_total").alias("pax")).alias("cell"))))
+    per_site = cells.groupBy("refid").agg(*whole, F.map_from_entries(F.sort_array(listed)).alias("programs"))
+    own = [c for c in SITE_ATTRIBUTES if c in sites.columns]
+    dim = rollups.site_dimension(sites).select("refid", "site_name", "state", *own)
+    out = densify_left(dim, per_site, ["refid"], ["events", *rollups.DEMO_COLS])
+    return out.select("refid", F.col("site_name").alias("name"), "state", *own, "events",
                       F.struct(*[F.col(c).alias(c.replace("pax_total", "total")) for c in rollups.DEMO_COLS]).alias("pax"),
                       F.coalesce("programs", F.create_map().cast("map<string,struct<events:bigint,pax:bigint>>"))
                        .alias("programs"))
 
 
+def flat_payload(payload: DataFrame) -> DataFrame:
+    """The payload with one row per (site, program); a site without a
+    program has one row with null program columns."""
+    rest = [c for c in payload.columns if c not in ("pax", "programs")]
+    rows = payload.select(*rest, "pax.*", F.explode_outer("programs").alias("program", "_c"))
+    return rows.select(*rest, "total", "women", "youth", "children", "oku", "program",
+                       F.col("_c.events").alias("program_events"), F.col("_c.pax").alias("program_pax"))
+
+
 def site_events(fact: DataFrame, site_col: str = "event_site_refid",
                 classifier: Classifier | None = None) -> DataFrame:
     """The per-site event list as a long table: one row per (site, event)

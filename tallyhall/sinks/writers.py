@@ -1,27 +1,29 @@
-"""Writers.  Output paths are shared storage on a cluster; partition
-columns keep each writer task to its own files and let re-runs replace only
-the partitions they touch (dynamic overwrite)."""
+"""Writers.  Output paths are shared storage on a cluster.  Partitioned
+tables are rebalanced on their partition columns, so AQE makes as many write
+tasks for a partition as its size needs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
+
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with a rebalance on ``columns``: AQE splits a large partition
+    into several tasks and joins small ones."""
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({', '.join(columns)}) */ * FROM {{df}}", df=df)
+
 
 def write_fact_parquet(fact: DataFrame, path: str, partition_col: str = "event_year_month",
-                       date_col: str = "event_startdate", spread: int = 16,
-                       max_records_per_file: int = 5_000_000) -> None:
-    """Snappy parquet partitioned by event month.
-
-    Rows are clustered by (month, a hash slice of the row) so each month is
-    written by up to ``spread`` tasks: few files per month, and a month
-    holding a large share of the data is not written by a single task.
-    """
+                       date_col: str = "event_startdate", max_records_per_file: int = 5_000_000) -> None:
+    """Snappy parquet partitioned by event month; replaces the whole folder,
+    months that are no longer there included."""
     df = fact.withColumn(partition_col, F.date_format(date_col, "yyyy-MM"))
-    slice_ = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(spread))
-    (df.repartition(partition_col, slice_).sortWithinPartitions(partition_col)
-       .write.mode("overwrite").option("compression", "snappy")
-       .option("maxRecordsPerFile", max_records_per_file).partitionBy(partition_col).parquet(path))
+    (rebalanced(df, partition_col)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "snappy")
+     .option("maxRecordsPerFile", max_records_per_file).partitionBy(partition_col).parquet(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -31,21 +33,24 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_payload_json(df: DataFrame, path: str, partition_col: str = "sub_id") -> None:
-    """Nested payload rows as JSON, one folder per subcategory."""
-    df.write.mode("overwrite").partitionBy(partition_col).json(path)
+    """Nested payload rows as JSON, one folder per subcategory; only the
+    subcategories at hand are replaced."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).json(path))
 
 
 def write_sheets(long_pivot: DataFrame, path: str) -> None:
-    """The multi-grain long pivot partitioned by (pillar, grain, sheet)."""
-    long_pivot.write.mode("overwrite").partitionBy("pillar_name", "grain", "sheet").parquet(path)
+    """The multi-grain long pivot partitioned by (pillar, grain, sheet).
+    Replaces the whole folder: a sheet that has gone stays in no reader's
+    sight."""
+    columns = ("pillar_name", "grain", "sheet")
+    (rebalanced(long_pivot, *columns).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(*columns).parquet(path))
 
 
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage through a table in the cluster's shared checkpoint folder
-    (``spark.checkpoint.dir``); survives executor loss, unlike a local
-    checkpoint."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir")
-    path = f"{root.rstrip('/')}/tables/{name}"
+    """Cut lineage through a table in the cluster's shared folder; survives
+    executor loss, unlike a local checkpoint."""
+    path = f"{shared_dir(df.sparkSession)}/tables/{name}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -41,20 +41,6 @@ _EVENT_SITE = {"event_site_name", "event_site_state", "event_site_region", "even
 _HOME_SITE = {"home_site_name", "home_state"}
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has
-    cores (e.g. one parquet row group).  A large scan is already split
-    into many tasks and passes through untouched, so this never adds a
-    shuffle at scale; it keeps the CPU-heavy stages after a small input
-    from running in a single task."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave the plan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def subcategory_dim(spark: SparkSession) -> DataFrame:
     """The 13-row subcategory dimension (fixed size: safe to broadcast)."""
     return spark.createDataFrame(SUBCATEGORIES, "subcategory_id int, category_name string, "
@@ -87,11 +73,10 @@ def sites(spark: SparkSession, root: str) -> DataFrame:
         F.col("org_id").alias("tp_id"), F.col("org_name").alias("tp"), F.col("parent_id").alias("tp_parent"))
     dusp = orgs.where(F.col("org_type") == "dusp").select(
         F.col("org_id").alias("tp_parent"), F.col("org_name").alias("dusp"))
-    # nation/region/org dimensions are fixed-size (25 / 5 / 30 rows): broadcast.
-    out = (sup.join(F.broadcast(nation), sup.s_nationkey == nation.n_nationkey, "left")
-              .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey, "left")
-              .join(F.broadcast(tp), F.col("s_nationkey").cast("bigint") == F.col("tp_id"), "left")
-              .join(F.broadcast(dusp), "tp_parent", "left"))
+    out = (sup.join(nation, sup.s_nationkey == nation.n_nationkey, "left")
+              .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
+              .join(tp, F.col("s_nationkey").cast("bigint") == F.col("tp_id"), "left")
+              .join(dusp, "tp_parent", "left"))
     return out.select(
         F.col("s_suppkey").alias("site_id"),
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("refid"),
@@ -171,7 +156,6 @@ def fact(spark: SparkSession, root: str, columns: list[str] | None = None,
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("event_site_refid"),
         F.col("l_partkey").alias("_partkey"),
     )
-    part_rows = spread_small_scan(part_rows)
 
     o = read_table(spark, root, "orders")
     if excluded:
@@ -206,7 +190,7 @@ def fact(spark: SparkSession, root: str, columns: list[str] | None = None,
         cust_df = cust.select(*cust_cols, F.col("c_nationkey"))
         if want & _CUST_NATION:
             nation = read_table(spark, root, "nation").select("n_nationkey", "n_name")
-            cust_df = (cust_df.join(F.broadcast(nation), cust_df.c_nationkey == nation.n_nationkey, "left")
+            cust_df = (cust_df.join(nation, cust_df.c_nationkey == nation.n_nationkey, "left")
                        .withColumn("deeper_sub_pillar",
                                    F.when(F.col("creator_type") == "sso_admin", F.col("n_name")))
                        .drop("n_nationkey", "n_name"))
@@ -222,7 +206,7 @@ def fact(spark: SparkSession, root: str, columns: list[str] | None = None,
     # The join's exchanges stay with the planner (ENSURE_REQUIREMENTS), so
     # AQE can split a hot event's partition (skew join) or convert to a
     # broadcast join when one side turns out small.
-    f = part_rows.join(spread_small_scan(ev), "event_id", "inner")
+    f = part_rows.join(ev, "event_id", "inner")
     if want & _PART:
         part = read_table(spark, root, "part").select(F.col("p_partkey").alias("_partkey"),
                                                       F.col("p_name").alias("program_name"))

@@ -23,42 +23,16 @@ TABLE_SCHEMAS: dict[str, str] = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
-_SCANS: dict[tuple, DataFrame] = {}
-
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One parquet table of a data folder; naive timestamps become zoned UTC.
-
-    The scan DataFrame is kept per session and path (like a catalog table),
-    so the file listing is done once and every query reuses it; call
-    :func:`forget_scans` after the files under ``root`` change.
-    """
-    path = f"{root.rstrip('/')}/{name}.parquet"
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        app = None
-    key = (app, id(spark), path)
-    cached = _SCANS.get(key)
-    if cached is None or cached.sparkSession is not spark:
-        reader = spark.read
-        if name in TABLE_SCHEMAS:
-            reader = reader.schema(TABLE_SCHEMAS[name])
-        df = reader.parquet(path)
-        casts = [F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType)
-                 else F.col(f.name) for f in df.schema.fields]
-        _SCANS[key] = df.select(*casts)
-    return _SCANS[key]
-
-
-def forget_scans() -> None:
-    """Drop the reused scans (their file listings) of every session."""
-    _SCANS.clear()
-
-
-def read_parquet_columns(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Projected parquet scan; only ``columns`` reach the ReadSchema."""
-    return spark.read.parquet(path).select(*columns)
+    """One parquet table of a data folder, with its declared schema where
+    there is one; naive timestamps become zoned UTC."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    df = reader.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return df.select(*[F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType)
+                       else F.col(f.name) for f in df.schema.fields])
 
 
 def latest_snapshot(spark: SparkSession, glob: str, by: str = "name", unit: str = "file") -> DataFrame:
@@ -66,33 +40,35 @@ def latest_snapshot(spark: SparkSession, glob: str, by: str = "name", unit: str
 
     A snapshot is one file (``unit="file"``, e.g. ``fact_20260301.parquet``)
     or one folder of part files (``unit="dir"``).  Newest means the greatest
-    path (``by="name"``) or the latest modification time (``by="mtime"``).
-    The choice reads only the hidden ``_metadata`` column; the row filter is
-    a semi-join against a one-row aggregate.
+    path (``by="name"``) or the latest modification time (``by="mtime"``,
+    equal times by path).  It is chosen from the file listing alone, so the
+    scan lists and reads that snapshot only.
     """
-    df = spark.read.parquet(glob)
-    path = F.col("_metadata.file_path")
-    snap = F.regexp_replace(path, "/[^/]*$", "") if unit == "dir" else path
-    tagged = df.withColumn("_snap", snap)
     if by == "name":
-        newest = tagged.agg(F.max("_snap").alias("_snap"))
+        newest = max(_snapshot_of(f, unit) for f in spark.read.parquet(glob).inputFiles())
     else:
-        tagged = tagged.withColumn("_mt", F.col("_metadata.file_modification_time"))
-        newest = tagged.agg(F.max_by("_snap", "_mt").alias("_snap"))
-        tagged = tagged.drop("_mt")
-    return tagged.join(F.broadcast(newest), "_snap", "left_semi").drop("_snap")
+        listing = spark.read.format("binaryFile").load(glob).select("path", "modificationTime")  # no contents
+        newest = _snapshot_of(listing.agg(F.max(F.struct("modificationTime", "path"))).first()[0].path, unit)
+    return spark.read.parquet(newest)
+
+
+def _snapshot_of(path: str, unit: str) -> str:
+    return path.rsplit("/", 1)[0] if unit == "dir" else path
 
 
-def read_export_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_export_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """CSV export: header, quoted cells with doubled quotes, embedded newlines,
-    blank lines skipped; missing text cells become ''."""
-    df = (spark.read.option("header", True).option("multiLine", True)
+    blank lines skipped; missing text cells become ''.
+
+    A file with embedded newlines can only be read by one task; give
+    ``multi_line=False`` for exports without them, so files are split."""
+    df = (spark.read.option("header", True).option("multiLine", multi_line)
           .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
           .schema(schema).csv(path))
     first = schema.fields[0].name
-    if first.startswith("﻿"):
-        df = df.withColumnRenamed(first, first.lstrip("﻿"))
-    text_cols = [f.name.lstrip("﻿") for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    if first.startswith("\ufeff"):
+        df = df.withColumnRenamed(first, first.lstrip("\ufeff"))
+    text_cols = [f.name.lstrip("\ufeff") for f in schema.fields if isinstance(f.dataType, T.StringType)]
     return df.fillna("", subset=text_cols)
 
 
@@ -110,27 +86,29 @@ def read_site_list_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def jdbc_reader(spark: SparkSession, url: str, table_or_query: str, *, user: str | None = None,
-                password: str | None = None, partition_column: str | None = None,
-                lower: int | None = None, upper: int | None = None, num_partitions: int = 64,
+def jdbc_options(table_or_query: str, partition_column: str, lower: int, upper: int, num_partitions: int,
+                 fetch_size: int = 5000) -> dict[str, str]:
+    """Options of a split scan: SELECT text becomes a derived table, since a
+    split scan takes a table, not a query."""
+    text = table_or_query.strip().rstrip(";")
+    table = f"({text}) AS src" if text.lower().startswith(("select", "with")) else text
+    return {"dbtable": table, "partitionColumn": partition_column, "lowerBound": str(lower), "upperBound": str(upper),
+            "numPartitions": str(num_partitions), "fetchsize": str(fetch_size)}
+
+
+def jdbc_reader(spark: SparkSession, url: str, table_or_query: str, *, partition_column: str, lower: int, upper: int,
+                num_partitions: int, user: str | None = None, password: str | None = None,
                 fetch_size: int = 5000) -> DataFrame:
     """Parallel JDBC scan of the operational database.
 
-    Credentials come from the caller (never from code); a numeric partition
-    column splits the scan into ``num_partitions`` range reads so no single
-    task pulls the whole table.  Filters applied afterwards are pushed into
-    the remote WHERE clause by Spark.
+    Credentials come from the caller (never from code); the numeric
+    partition column splits the scan into ``num_partitions`` range reads, so
+    no task pulls the whole table.  Filters applied afterwards are pushed
+    into the remote WHERE clause by Spark.
     """
-    r = spark.read.format("jdbc").option("url", url).option("fetchsize", fetch_size)
-    if table_or_query.lstrip().lower().startswith("select"):
-        r = r.option("query", table_or_query)
-    else:
-        r = r.option("dbtable", table_or_query)
-    if user is not None:
-        r = r.option("user", user)
-    if password is not None:
-        r = r.option("password", password)
-    if partition_column is not None:
-        r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
-             .option("upperBound", upper).option("numPartitions", num_partitions))
+    r = spark.read.format("jdbc").option("url", url).options(
+        **jdbc_options(table_or_query, partition_column, lower, upper, num_partitions, fetch_size))
+    for name, value in (("user", user), ("password", password)):
+        if value is not None:
+            r = r.option(name, value)
     return r.load()

@@ -2,7 +2,7 @@
 
 The source system rebuilds its monthly payload from scratch on every run.
 Here a file-source stream notices new fact files; each micro-batch takes the
-months it touches (a calendar-bounded set, safe to broadcast), recomputes
+months it touches, recomputes
 just those months from the whole fact table (distinct counts are not
 additive, so a month is always recomputed in full) and replaces only their
 partitions of the output (dynamic partition overwrite).  The checkpoint
@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.calendar import month_start
 from ..operators.rollups import monthly_rollup
+from ..session import shared_dir
 
 
 def _recompute(spark: SparkSession, fact_dir: str, schema: T.StructType, out_dir: str,
@@ -28,7 +29,7 @@ def _recompute(spark: SparkSession, fact_dir: str, schema: T.StructType, out_dir
                        .select(month_start(date_col).alias("_m")).distinct())
         full = spark.read.schema(schema).parquet(fact_dir)
         touched = (full.withColumn("_m", month_start(date_col))
-                       .join(F.broadcast(months), "_m", "left_semi").drop("_m"))
+                       .join(months, "_m", "left_semi").drop("_m"))
         out = monthly_rollup(touched, date_col=date_col)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("period").parquet(out_dir))
@@ -40,8 +41,7 @@ def refresh_monthly(spark: SparkSession, fact_dir: str, schema: T.StructType, ou
                     available_now: bool = True) -> StreamingQuery:
     """Start (and with ``available_now`` drain) the incremental refresh."""
     if checkpoint is None:
-        root = spark.conf.get("spark.checkpoint.dir")
-        checkpoint = f"{root.rstrip('/')}/streams/monthly_refresh"
+        checkpoint = f"{shared_dir(spark)}/streams/monthly_refresh"
     stream = spark.readStream.schema(schema).parquet(fact_dir)
     writer = (stream.writeStream.foreachBatch(_recompute(spark, fact_dir, schema, out_dir, date_col))
                     .option("checkpointLocation", checkpoint))

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 @pytest.fixture(scope="session")
 def spark():
     from tallyhall.session import build_session
-    s = build_session("local[*]", 8)
+    s = build_session("local[*]", 8, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallyhall-tests-")})
     yield s
     s.stop()
 

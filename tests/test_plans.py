@@ -4,13 +4,14 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SMALL
+from tallyhall.plans import catalog
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_cartesian_or_python(spark, name):
     p = plan_of(E.queries()[name](spark, SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -18,6 +19,36 @@ def test_no_cartesian_or_python(spark, name):
         assert bad not in p, f"{name}: {bad}"
 
 
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_no_job_before_the_action_and_no_round_robin(spark, name):
+    """Building a query runs nothing: its id group has no job."""
+    sc = spark.sparkContext
+    sc.setJobGroup(f"plan-{name}", name)
+    try:
+        df = E.queries()[name](spark, SMALL)
+        p = plan_of(df)
+        assert not sc.statusTracker().getJobIdsForGroup(f"plan-{name}")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert "RoundRobinPartitioning" not in p
+
+
+SCANS = {"active_sites_per_sheet": 2, "pivot_all_grains": 2, "monthly_home_pivot": 2, "preview_200": 2, "site_month_series": 2}
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_line_items_are_scanned_once(spark, name):
+    scans = sum("lineitem.parquet" in x for x in plan_of(E.queries()[name](spark, SMALL)).splitlines() if "FileScan" in x)
+    assert scans <= SCANS.get(name, 1)
+
+
+def test_explorer_filter_reaches_the_scan(spark):
+    p = plan_of(E.queries()["preview_200"](spark, SMALL))
+    assert "EqualTo(o_orderpriority,1-URGENT)" in p
+    scan = next(x for x in p.splitlines() if "orders.parquet" in x and "FileScan" in x)
+    assert "1996" in scan and "1997" in scan
+
+
 def test_status_filter_pushed_into_scan(spark):
     p = plan_of(E.queries()["site_index"](spark, SMALL))
     assert "Not(EqualTo(o_orderstatus,P))" in p

@@ -73,7 +73,7 @@ def test_pivot_group_outer_alignment_keeps_unknown_sites(spark):
     f = make_fact(spark, fact_rows()).withColumn("event_site_name", F.lit("n")).withColumn("event_site_state",
                                                                                            F.lit("s"))
     listed = make_sites(spark, [("S1", "n", "s"), ("S4", "n", "s")])
-    out = {r["refid"]: r for r in pivots.pivot_wide_group(f, listed, "program", ["A", "B"]).collect()}
+    out = {r["refid"]: r for r in pivots.pivot_wide_group(f, "program", ["A", "B"], all_sites=listed).collect()}
     assert "S9" in out and out["S9"].B_events == 1                      # kept by outer alignment
     assert out["S4"].total_events == 0                                  # densified to zero
     assert "S3" not in out                                              # only empty-group rows

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from conftest import SMALL
 from tallyhall.operators import rollups
-from tallyhall.sinks import writers
+from tallyhall.sinks import payload, writers
 from tallyhall.sources import fixtures as fx
 from tallyhall.sources import readers
 from tallyhall.streaming import refresh_monthly
@@ -61,7 +61,8 @@ def test_fact_parquet_partitioned_roundtrip(spark):
 
 def test_payload_json_write(spark):
     d = scratch()
-    p = __import__("__spark_entry__").queries()["site_payload"](spark, SMALL).withColumn("sub_id", F.lit(1))
+    f = fx.fact(spark, SMALL, ["event_site_refid", "event_id", "participant_id", "gender", "age", "oku_status", "program"])
+    p = payload.site_payload(f, fx.sites(spark, SMALL)).withColumn("sub_id", F.lit(1))
     writers.write_payload_json(p, f"{d}/payload")
     back = spark.read.json(f"{d}/payload")
     assert back.count() == p.count() and "programs" in back.columns
