@@ -206,14 +206,17 @@ def _first_recent_month(df: DataFrame, weekly_months: int):
     return months.orderBy(F.col("_m").desc()).limit(weekly_months).agg(F.min("_m")).scalar()
 
 
-def _sheets_of_row(first_recent, weeks=None) -> list:
-    """The sheets a row belongs to: month, quarter, week-of-month (recent
-    months only; ``weeks`` lists other ones than its own) and All."""
+def _on_sheets(df: DataFrame, first_recent, weeks=None) -> DataFrame:
+    """Each row once for every sheet it belongs to, as column ``_s``: month,
+    quarter, week-of-month (recent months only; ``weeks`` lists other ones
+    than its own) and All."""
     dated = F.col("_d").isNotNull()
     m = month_start("_d")
-    recent = dated & (m >= first_recent)
-    return [F.when(dated, _sheet(1, m)), F.when(dated, _sheet(2, quarter_start("_d"))),
-            *[F.when(recent, _sheet(3, m, w)) for w in (weeks or [_week_of_month_no(F.col("_d"))])], _sheet(4)]
+    recent = F.col("_recent")
+    sheets = [F.when(dated, _sheet(1, m)), F.when(dated, _sheet(2, quarter_start("_d"))),
+              *[F.when(recent, _sheet(3, m, w)) for w in (weeks or [_week_of_month_no(F.col("_d"))])], _sheet(4)]
+    df = df.withColumn("_recent", dated & (m >= first_recent))
+    return df.withColumn("_s", F.explode(F.array_compact(F.array(*sheets)))).drop("_recent")
 
 
 def sheet_labels(df: DataFrame) -> DataFrame:
@@ -257,10 +260,8 @@ def pivot_all_grains(fact: DataFrame, pillars: list[PillarSpec], category: str |
     base = rows.select("pillar_name", F.col("event_site_refid").alias("refid"), F.col("event_site_name").alias("site_name"),
                        F.col("event_site_state").alias("state"), "grp", "_d", ids.alias("_i"))
     base = base.select("pillar_name", *site, "grp", "_d", "_i.event", "_i.id").where("id is not null").distinct()
-    sheets = F.explode(F.array_compact(F.array(*_sheets_of_row(_first_recent_month(df, weekly_months)))))
     keys = ["pillar_name", "grain_code", "sheet_start", "wom", *site]
-    exploded = base.select("pillar_name", *site, "grp", "event", "id", sheets.alias("_s")).select(
-        "pillar_name", "_s.*", *site, "grp", "event", "id")
+    exploded = _on_sheets(base, _first_recent_month(df, weekly_months)).select("pillar_name", "_s.*", *site, "grp", "event", "id")
     groups = exploded.groupBy(*keys, "event", "id").agg(F.collect_set("grp").alias("grps"))
     cells = groups.select(*keys, "event", F.explode(F.concat(
         F.transform("grps", lambda g: _named(g)), F.array(_named(F.lit(None).cast("string"))))).alias("_g"))
@@ -284,7 +285,7 @@ def active_sites_per_sheet(fact: DataFrame, pillars: list[PillarSpec], category:
                     F.when(F.col("_cell"), F.col("event_site_refid")).alias("refid"), "_d").distinct()
     first = _first_recent_month(_categorised(fact, category, date_col), weekly_months)
     weeks = [F.lit(w) for w in (1, 2, 3, 4)]
-    tagged = day.select("*", F.explode(F.array_compact(F.array(*_sheets_of_row(first, weeks)))).alias("_s")).select("pillar_name", "refid", "_d", "_s.*")
+    tagged = _on_sheets(day, first, weeks).select("pillar_name", "refid", "_d", "_s.*")
     own_week = F.col("wom").isNull() | (F.col("wom") == _week_of_month_no(F.col("_d")))
     none = fact.sparkSession.createDataFrame([(4,)], "grain_code int")  # the sheet All of an empty fact
     tagged = tagged.unionByName(none, allowMissingColumns=True)

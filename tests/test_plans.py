@@ -4,7 +4,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SMALL
+from tallyhall.operators import explore, filters
 from tallyhall.plans import catalog
+from tallyhall.sources import fixtures as fx
 
 
 def plan_of(df):
@@ -42,11 +44,19 @@ def test_line_items_are_scanned_once(spark, name):
     assert scans <= SCANS.get(name, 1)
 
 
-def test_explorer_filter_reaches_the_scan(spark):
-    p = plan_of(E.queries()["preview_200"](spark, SMALL))
-    assert "EqualTo(o_orderpriority,1-URGENT)" in p
-    scan = next(x for x in p.splitlines() if "orders.parquet" in x and "FileScan" in x)
-    assert "1996" in scan and "1997" in scan
+def test_explorer_filter_reaches_the_scan(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        p = plan_of(E.queries()["preview_200"](spark, SMALL))
+        assert "EqualTo(o_orderpriority,1-URGENT)" in p
+        view = explore.export_view(fx.fact(spark, SMALL, explore.EXPORT_FACT_COLUMNS))
+        view.limit(50).write.parquet(f"{tmp_path}/view")
+        hit = spark.read.parquet(f"{tmp_path}/view").where(filters.spec_predicate(catalog.FIXTURE_SPEC))
+        pushed = plan_of(hit).split("PushedFilters")[1]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(pillar_name,1-URGENT)" in pushed
+    assert "GreaterThanOrEqual(event_startdate,1996-01-01)" in pushed and "LessThanOrEqual(event_startdate,1997-12-31)" in pushed
 
 
 def test_status_filter_pushed_into_scan(spark):
