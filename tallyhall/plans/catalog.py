@@ -18,6 +18,7 @@ from ..functions.calendar import (duration_hours, month_key, month_name, us_date
 from ..functions.classify import classify
 from ..functions.text import is_json_array, json_type, mask_identity, strip_control
 from ..operators import explore, filters, joins, pivots, rollups
+from ..operators import fact as fact_builder
 from ..sinks import payload
 from ..sources import fixtures as fx
 from ..sources.readers import read_table
@@ -838,6 +839,33 @@ def q_event_taxonomy(spark, root):
                       F.col("program_id").alias("requester_id"))
 
 
+@register("address_lookup", """
+SELECT s.s_suppkey AS site_id, 'S' || CAST(s.s_suppkey AS VARCHAR) AS refid, n.n_name AS district,
+       trim(COALESCE(c.c_name, '') || ' ' || COALESCE(c.c_mktsegment, '')) AS address, CAST(c.c_custkey AS VARCHAR) AS postcode
+FROM supplier s
+LEFT JOIN customer c ON c.c_custkey % (SELECT count(*) FROM supplier) = s.s_suppkey
+LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+""")
+def q_address_lookup(spark, root):
+    out = fact_builder.address_lookup(fx.sites(spark, root).select("site_id", "refid"), *fx.addresses(spark, root))
+    return out.select("site_id", "refid", "district", F.when(F.col("postcode").isNull(), "").otherwise(F.col("address")).alias("address"),
+                      "postcode")
+
+
+@register("participants_with_events", """
+SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS participant_id, l.l_orderkey AS event_id,
+       o.o_orderpriority AS pillar_name, CAST(o.o_orderdate AS DATE) AS event_startdate
+FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey AND o.o_orderstatus NOT IN ('P')
+""")
+def q_participants_with_events(spark, root):
+    part = read_table(spark, root, "lineitem").select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("participant_id"),
+        F.col("l_orderkey").alias("event_id"))
+    ev = fx.events(spark, root).where(filters.not_excluded("status_id", fx.FIXTURE_EXCLUDED)).select(
+        "event_id", "pillar_name", F.to_date("event_start").alias("event_startdate"))
+    return fact_builder.participants_with_events(part, ev)
+
+
 @register("export_rows", _VIEW_SQL + "SELECT * FROM v")
 def q_export_rows(spark, root):
     return _view(spark, root)

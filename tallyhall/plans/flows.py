@@ -43,12 +43,16 @@ def dashboard_fact(spark: SparkSession, root: str, sub_id: int, date_from: str |
 def dashboard_fetch(spark: SparkSession, root: str, sub_id: int, date_from: str | None = None,
                     date_to: str | None = None, programs: list[str] | None = None,
                     remap: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Flow A: the payloads of one subcategory (lazy DataFrames).  The
-    restricted fact is written once in the shared folder and read back for
-    each of them.  The classified subcategory's programs are labelled."""
+    """Flow A: the payloads of one subcategory.  The restricted fact is
+    written once in the shared folder and read back for each of them; the
+    classified subcategory's programs are labelled."""
     fact = dashboard_fact(spark, root, sub_id, date_from, date_to, programs, remap)
+    return dashboard_parts(fact, fx.sites(spark, root), sub_id)
+
+
+def dashboard_parts(fact: DataFrame, sites: DataFrame, sub_id: int) -> dict[str, DataFrame]:
+    """Flow A for any restricted fact and site dimension."""
     fact = writers.checkpoint_table(fact, f"dashboard-{sub_id}-{uuid.uuid4().hex}")
-    sites = fx.sites(spark, root)
     classifier = Classifier() if sub_id == CLASSIFIED_SUBCATEGORY else None
     out = {
         "nadi": payload.site_payload(fact, sites, classifier=classifier),
@@ -77,7 +81,13 @@ FACT_PIVOT_COLUMNS = ["event_site_refid", "event_site_name", "event_site_state",
 def consolidate_then_pivot(spark: SparkSession, root: str, fact_path: str, sheets_path: str,
                            pillars: list[PillarSpec] = list(PILLARS)) -> DataFrame:
     """Flow B: consolidated fact written once, then the sheet set."""
-    writers.write_fact_parquet(fx.fact(spark, root, FACT_PIVOT_COLUMNS), fact_path)
+    return pivot_fact(fx.fact(spark, root, FACT_PIVOT_COLUMNS), fact_path, sheets_path, pillars)
+
+
+def pivot_fact(fact: DataFrame, fact_path: str, sheets_path: str, pillars: list[PillarSpec] = list(PILLARS)) -> DataFrame:
+    """Flow B for any fact."""
+    spark = fact.sparkSession
+    writers.write_fact_parquet(fact.select(*FACT_PIVOT_COLUMNS), fact_path)
     fact = spark.read.parquet(fact_path).select(*FACT_PIVOT_COLUMNS)
     long = pivots.pivot_all_grains(fact, pillars)
     writers.write_sheets(long, sheets_path)
@@ -86,6 +96,11 @@ def consolidate_then_pivot(spark: SparkSession, root: str, fact_path: str, sheet
 
 def export_then_explore(spark: SparkSession, root: str, spec: FilterSpec) -> dict[str, DataFrame]:
     """Flow C: export view, then stats, facets and the preview."""
-    view = explore.export_view(fx.fact(spark, root, explore.EXPORT_FACT_COLUMNS))
+    return explore_fact(fx.fact(spark, root, explore.EXPORT_FACT_COLUMNS), spec)
+
+
+def explore_fact(fact: DataFrame, spec: FilterSpec) -> dict[str, DataFrame]:
+    """Flow C for any fact; the view is written once and read back."""
+    view = writers.checkpoint_table(explore.export_view(fact), f"explore-{uuid.uuid4().hex}")
     return {"stats": explore.filtered_stats(view, spec), "facets": explore.facet_values(view),
             "preview": explore.preview(view, spec)}

@@ -90,6 +90,18 @@ def sites(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def addresses(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """(addresses, districts): customers stand for the sites' addresses,
+    several to a site, and nations for districts."""
+    n_sites = read_table(spark, root, "supplier").select(F.count(F.lit(1)))
+    a = read_table(spark, root, "customer").select(
+        (F.col("c_custkey") % n_sites.scalar()).alias("site_id"), F.col("c_name").alias("address1"),
+        F.col("c_mktsegment").alias("address2"), F.col("c_custkey").cast("string").alias("postcode"),
+        F.col("c_nationkey").alias("district_id"))
+    d = read_table(spark, root, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    return a, d
+
+
 def _site_json(custkey, segment):
     k = custkey.cast("string")
     return (F.when(segment == "AUTOMOBILE", F.concat(F.lit("["), k, F.lit("]")))

@@ -80,3 +80,26 @@ def test_event_join_exchanges_are_planner_owned(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     lines = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(event_id" in ln]
     assert lines and all("ENSURE_REQUIREMENTS" in ln for ln in lines)
+
+
+def test_hot_event_is_split_under_an_aggregate_on_its_key(spark):
+    """The aggregate would reuse the join's partitioning; the skewed join is
+    split all the same."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ev = spark.range(N // 4 + 1).select(F.col("id").alias("event_id"), F.lit("2026-01-05").cast("date").alias("event_startdate"),
+                                            F.lit(1).cast("bigint").alias("requester_id"))
+        f = hot_fact(spark).withColumn("attendance", F.lit(True)).join(ev, "event_id", "inner")
+        out = rollups.week_event_drilldown(f)
+        rows = {(r.refid, r.event_id): (r.p, r.a) for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert rows["HOT", 0] == (len({i % 7001 for i in range(0, N, 3)}), N // 3)
+    assert "skew=true" in plan
