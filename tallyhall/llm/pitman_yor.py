@@ -296,7 +296,7 @@ def _restaurants(bodies: list[bytes]) -> Restaurants:
     return Restaurants(word[starts], _sizes(starts, len(word)), context, count)
 
 
-STATE = "bucket int, body binary, totals array<bigint>"
+STATE = "bucket int, body binary, totals binary"
 # Places after the tables in the first totals: tokens of contexts, numbers of
 # dishes with one and two customers by level, tokens, words.
 _FIRST = N_TOTALS + CONTEXTS
@@ -308,15 +308,25 @@ def _first_state(group: pa.Table) -> pa.Table:
     tokens = np.bincount(r.context, weights=r.count, minlength=CONTEXTS)
     totals = np.concatenate([r.totals(), tokens, ones, [r.count.sum(), len(r.words)]]).astype(np.int64)
     body = _zip(r.words, _narrow(r.sizes), r.context, _narrow(r.count))
-    return pa.table({"bucket": group.column("bucket")[:1], "body": pa.array([body], pa.binary()), "totals": pa.array([totals], pa.list_(pa.int64()))})
+    return pa.table({"bucket": group.column("bucket")[:1], "body": pa.array([body], pa.binary()), "totals": pa.array([totals.tobytes()], pa.binary())})
 
 
-def _summed(states: DataFrame, n: int) -> np.ndarray:
-    """Sum of the buckets' vectors; ``n`` numbers come to the driver."""
-    out = np.zeros(n, np.int64)
-    for r in states.select(F.posexplode("totals").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect():
-        out[r.i] = r.x
-    return out
+FAN_IN = 8
+
+
+def _summed(states: DataFrame, n_buckets: int, n: int) -> np.ndarray:
+    """Sum of the buckets' vectors of ``n`` numbers, ``FAN_IN`` at a time; at
+    most that many come to the driver."""
+
+    def add(key, group: pa.Table) -> pa.Table:
+        total = sum((np.frombuffer(x.as_py(), np.int64) for x in group.column("totals")), np.zeros(n, np.int64))
+        return pa.table({"at": pa.array([key[0].as_py()], pa.int64()), "totals": pa.array([total.tobytes()], pa.binary())})
+
+    vectors = states.where("length(totals) > 0").select(F.col("bucket").cast("bigint").alias("at"), "totals")
+    while n_buckets > FAN_IN:
+        vectors = vectors.withColumn("at", F.floor(F.col("at") / FAN_IN)).groupBy("at").applyInArrow(add, "at bigint, totals binary")
+        n_buckets = -(-n_buckets // FAN_IN)
+    return sum((np.frombuffer(r.totals, np.int64) for r in vectors.select("totals").collect()), np.zeros(n, np.int64))
 
 
 @dataclass
@@ -343,7 +353,7 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
     n = partitions(spark)
     counted = tokens_of.select("text", "held_out").mapInArrow(lambda b: _train_rows(b, n), "bucket int, body binary")
     state = saved(counted.groupBy("bucket").applyInArrow(_first_state, STATE), "restaurants")
-    first = _summed(state, _FIRST + 8)
+    first = _summed(state, n, _FIRST + 8)
     ones, (n_tokens, n_words) = first[_FIRST:_FIRST + 6].reshape(3, 2), first[_FIRST + 6:].tolist()
     discount = tuple(float(np.clip(a / max(1, a + 2 * b), 0.05, 0.95)) for a, b in ones)
     prior = Prior(discount, first[N_TOTALS:_FIRST], n_tokens, n_words)
@@ -358,9 +368,10 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
             for row in batch.to_pylist():
                 r = _load(row["body"])
                 seated(r, row["bucket"], start, burn_in, 0)
-                yield pa.RecordBatch.from_arrays([pa.array([r.totals()], pa.list_(pa.int64()))], ["totals"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), pa.array([r.totals().tobytes()], pa.binary())],
+                                                 ["bucket", "totals"])
 
-    warm = _summed(state.select("bucket", "body").mapInArrow(burn, "totals array<bigint>"), N_TOTALS)
+    warm = _summed(state.select("bucket", "body").mapInArrow(burn, "bucket int, totals binary"), n, N_TOTALS)
     share = max(1, n_tokens) / (2 * n)
     # Words with more than half a bucket's even share: fewer than 2 n of them.
     big = _big_words(state, share)
@@ -381,21 +392,21 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
                     r.tables = list(r.tables)
                     totals.append(r.totals())
                 own = np.array([int(w) not in hot for w in r.words], bool)
-                parts = [(row["bucket"], own, np.concatenate(totals))]
+                parts = [(row["bucket"], own, np.concatenate(totals).tobytes())]
                 for j in np.flatnonzero(~own).tolist():
                     one = np.zeros(len(own), bool)
                     one[j] = True
                     at, k = hot[int(r.words[j])]
-                    parts += [(at + i, one, np.zeros(0, np.int64)) for i in range(k)]
+                    parts += [(at + i, one, b"") for i in range(k)]
                 for k, mine, vector in parts:
                     pairs, kinds = mine[r.of], mine[r.kind_of]
                     body = _zip(r.words[mine], _narrow(r.sizes[mine]), r.context[pairs], _narrow(r.count[pairs]),
                                 *[_narrow(x[m]) for t in seatings for x, m in zip(t, (pairs, kinds, mine), strict=True)])
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([body], pa.binary()),
-                                                      pa.array([vector], pa.list_(pa.int64()))], ["bucket", "body", "totals"])
+                                                      pa.array([vector], pa.binary())], ["bucket", "body", "totals"])
 
     states = saved(state.select("bucket", "body").mapInArrow(sample, STATE), "seatings")
-    totals = _summed(states, samples * N_TOTALS).reshape(samples, N_TOTALS)
+    totals = _summed(states, n, samples * N_TOTALS).reshape(samples, N_TOTALS)
     return Model(states.select("bucket", "body"), prior, list(totals), n, hot)
 
 
