@@ -318,7 +318,7 @@ def _summed(states: DataFrame, n_buckets: int, n: int) -> np.ndarray:
     """Sum of the buckets' vectors of ``n`` numbers, ``FAN_IN`` at a time; at
     most that many come to the driver."""
 
-    def add(key, group: pa.Table) -> pa.Table:
+    def add(key, group):
         total = sum((np.frombuffer(x.as_py(), np.int64) for x in group.column("totals")), np.zeros(n, np.int64))
         return pa.table({"at": pa.array([key[0].as_py()], pa.int64()), "totals": pa.array([total.tobytes()], pa.binary())})
 
