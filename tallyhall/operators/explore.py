@@ -52,6 +52,15 @@ EXPORT_FACT_COLUMNS = [
 ]
 
 
+def choose_columns(view: DataFrame, columns: list[str]) -> DataFrame:
+    """The chosen columns, in the chosen order; unknown or repeated names are
+    an error."""
+    unknown = [c for c in columns if c not in view.columns]
+    if unknown or len(set(columns)) < len(columns):
+        raise ValueError(f"unknown or repeated columns: {unknown or columns}")
+    return view.select(*columns)
+
+
 def dataset_summary(fact: DataFrame, site_col: str = "event_site_refid", date_col: str = "event_startdate") -> DataFrame:
     """One row: rows, distinct participants / events / sites / categories /
     pillars, first and last date."""

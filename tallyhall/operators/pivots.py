@@ -332,6 +332,21 @@ def state_month_matrix(fact: DataFrame, sites: DataFrame, states: list[str] | No
     return out.select("state", "month", F.when(F.col("events") > 0, F.col("events")).alias("events"))
 
 
+def state_report(fact: DataFrame, sites: DataFrame, states: list[str] = REPORT_STATES,
+                 site_col: str = "event_site_refid", date_col: str = "event_startdate") -> DataFrame:
+    """The report's form of the matrix: the states in the given order, then
+    TOTAL, with a column for each month and ``total``; zero shows as null."""
+    cells = _state_month_cells(fact, sites, site_col, date_col)
+    spark = sites.sparkSession
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(states)], "place int, state string")
+    listed = rows.join(cells, "state", "left").select("month", "events", F.explode(F.array(
+        F.struct("place", "state"), F.struct(F.lit(len(states)).alias("place"), F.lit("TOTAL").alias("state")))).alias("r"))
+    months = [F.sum(F.when(F.col("month") == m, F.col("events"))).cast("bigint").alias(f"m{m}") for m in range(1, 13)]
+    out = listed.groupBy("r.place", "r.state").agg(*months, F.sum("events").cast("bigint").alias("total"))
+    shown = [F.when(F.col(c) > 0, F.col(c)).alias(c) for c in [*(f"m{m}" for m in range(1, 13)), "total"]]
+    return out.orderBy("place").select("state", *shown)
+
+
 def state_month_totals(fact: DataFrame, sites: DataFrame, states: list[str] | None = REPORT_STATES,
                        site_col: str = "event_site_refid", date_col: str = "event_startdate") -> DataFrame:
     """Row totals per state, column totals per month and the grand total of

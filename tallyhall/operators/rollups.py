@@ -114,8 +114,20 @@ def event_summary(fact: DataFrame, site_col: str = "event_site_refid", classifie
                    F.min(sp).alias("sub_program")))
 
 
-def zero_attendance_events(fact: DataFrame, site_col: str = "event_site_refid") -> DataFrame:
-    return event_summary(fact, site_col).where(F.col("a") == 0)
+def zero_attendance_events(fact: DataFrame, site_col: str = "event_site_refid", week: str | None = None,
+                           state: str | None = None, program: str | None = None, site: str | None = None,
+                           state_col: str = "event_site_state", date_col: str = "event_startdate") -> DataFrame:
+    """Events that nobody attended, of the rows in a week (any of its days,
+    as ISO text), a state, a program or a site if given; the filters reach
+    the scan before the rows are grouped."""
+    rows = fact
+    if week:
+        monday = F.date_trunc("week", F.lit(week).cast("date")).cast("date")
+        rows = rows.where((F.col(date_col) >= monday) & (F.col(date_col) < F.date_add(monday, 7)))
+    for col, value in ((state_col, state), ("program", program), (site_col, site)):
+        if value:
+            rows = rows.where(F.col(col) == value)
+    return event_summary(rows, site_col).where(F.col("a") == 0)
 
 
 def site_status(fact: DataFrame, sites: DataFrame, site_col: str = "event_site_refid") -> DataFrame:
@@ -133,13 +145,13 @@ def site_status(fact: DataFrame, sites: DataFrame, site_col: str = "event_site_r
 
 
 def monthly_rollup(fact: DataFrame, demo: Demographics = Demographics(), date_col: str = "event_startdate") -> DataFrame:
-    """One row per month present in the data (participant or not); counts
-    only over participant rows."""
+    """One row per month present in the data (participant or not), in order;
+    counts only over participant rows."""
     d = fact.where(F.col(date_col).isNotNull())
     return (d.groupBy(month_start(date_col).alias("month_start"))
              .agg(distinct_events().alias("events"), *demographic_aggs(demo))
              .select("month_start", month_key("month_start").alias("period"),
-                     month_label("month_start").alias("label"), "events", *DEMO_COLS))
+                     month_label("month_start").alias("label"), "events", *DEMO_COLS).orderBy("month_start"))
 
 
 def monthly_site(fact: DataFrame, site_col: str = "event_site_refid", date_col: str = "event_startdate") -> DataFrame:
@@ -161,13 +173,28 @@ def monthly_site_labels(fact: DataFrame, classifier: Classifier, site_col: str =
              .select("month_start", month_key("month_start").alias("period"), "refid", "label", "events", "pax"))
 
 
-def monthly_heat(fact: DataFrame, site_col: str = "event_site_refid") -> DataFrame:
-    """Monthly site cells with their heat band (0 / 1-5 / 6-20 / 21-99 / 100+)."""
-    ev = F.col("events")
+def heat_band(events: Column) -> Column:
+    """0 / 1-5 / 6-20 / 21-99 / 100+."""
     band = None
     for lower, label in reversed(HEAT_BANDS):
-        band = F.when(ev >= lower, label) if band is None else band.when(ev >= lower, label)
-    return monthly_site(fact, site_col).withColumn("band", band)
+        band = F.when(events >= lower, label) if band is None else band.when(events >= lower, label)
+    return band
+
+
+def monthly_heat(fact: DataFrame, site_col: str = "event_site_refid") -> DataFrame:
+    """Monthly cells of the sites that were active, with their heat band."""
+    return monthly_site(fact, site_col).withColumn("band", heat_band(F.col("events")))
+
+
+def heat_grid(fact: DataFrame, sites: DataFrame, site_col: str = "event_site_refid") -> DataFrame:
+    """Every site in every month of the data with its band; an idle month is
+    in band 0.  The footer's rows have a null refid and band: each month's
+    events and participants summed over the sites."""
+    cells = site_month_series(fact, sites, site_col)
+    cells = cells.select("refid", "month_start", "events", "pax", F.explode(F.array(F.lit(False), F.lit(True))).alias("footer"))
+    out = cells.groupBy("footer", "month_start", F.when(~F.col("footer"), F.col("refid")).alias("refid")).agg(
+        F.sum("events").alias("events"), F.sum("pax").alias("pax"))
+    return out.select("refid", "month_start", "events", "pax", F.when(~F.col("footer"), heat_band(F.col("events"))).alias("band"))
 
 
 def site_month_series(fact: DataFrame, sites: DataFrame, site_col: str = "event_site_refid",
@@ -192,13 +219,13 @@ def site_month_series(fact: DataFrame, sites: DataFrame, site_col: str = "event_
 
 
 def weekly_rollup(fact: DataFrame, demo: Demographics = Demographics(), date_col: str = "event_startdate") -> DataFrame:
-    """One row per Monday-Sunday week; grouped by the week's Monday (the
+    """One row per Monday-Sunday week, in order; grouped by its Monday (the
     ``period`` label can repeat across years and is only carried)."""
     d = fact.where(F.col(date_col).isNotNull())
     return (d.groupBy(week_start(date_col).alias("week_start"))
              .agg(distinct_events().alias("events"), *demographic_aggs(demo))
              .select("week_start", week_key("week_start").alias("period"), week_label("week_start").alias("label"),
-                     "events", *DEMO_COLS))
+                     "events", *DEMO_COLS).orderBy("week_start"))
 
 
 def weekly_site(fact: DataFrame, site_col: str = "event_site_refid", date_col: str = "event_startdate") -> DataFrame:

@@ -421,6 +421,22 @@ def q_site_month_series(spark, root):
     return rollups.site_month_series(f, fx.sites(spark, root)).select("refid", "month_start", "events", "pax")
 
 
+@register("heat_grid", O.FACT_CTE + f"""
+, months AS (SELECT DISTINCT {_MONTH} AS month_start FROM fact WHERE event_startdate IS NOT NULL),
+cells AS ({_MONTHLY_SITE_SQL}),
+grid AS (SELECT s.refid, m.month_start, COALESCE(c.events, 0) AS events, COALESCE(c.pax, 0) AS pax
+         FROM site_dim s CROSS JOIN months m
+         LEFT JOIN cells c ON c.refid = s.refid AND c.month_start = m.month_start)
+SELECT refid, month_start, events, pax, CASE WHEN events >= 100 THEN '100+' WHEN events >= 21 THEN '21-99'
+       WHEN events >= 6 THEN '6-20' WHEN events >= 1 THEN '1-5' ELSE '0' END AS band
+FROM grid
+UNION ALL SELECT NULL, month_start, CAST(sum(events) AS BIGINT), CAST(sum(pax) AS BIGINT), NULL FROM grid GROUP BY month_start
+""")
+def q_heat_grid(spark, root):
+    f = _fact(spark, root, ["event_startdate", "event_site_refid", "event_id", "participant_id"])
+    return rollups.heat_grid(f, fx.sites(spark, root))
+
+
 _WEEK = O.WEEK_START.format(d="event_startdate")
 
 
@@ -658,6 +674,23 @@ def q_state_month_matrix(spark, root):
     return pivots.state_month_matrix(f, fx.sites(spark, root), states=None)
 
 
+REPORT_NATIONS = [f"NATION_{i}" for i in (24, 3, 1, 17, 0)]
+
+
+@register("state_report", _STATE_SQL + f"""
+, listed AS (SELECT c.*, p.place FROM cells c JOIN (VALUES {', '.join(f"('{n}', {i})" for i, n in enumerate(REPORT_NATIONS))})
+             p(state, place) ON p.state = c.state),
+every AS (SELECT state, month, events FROM listed UNION ALL SELECT 'TOTAL', month, events FROM listed),
+names(state, place) AS (VALUES {', '.join(f"('{n}', {i})" for i, n in enumerate([*REPORT_NATIONS, 'TOTAL']))})
+SELECT n.state, {', '.join(f"CAST(NULLIF(sum(e.events) FILTER (WHERE e.month = {m}), 0) AS BIGINT) AS m{m}" for m in range(1, 13))},
+       CAST(NULLIF(sum(e.events), 0) AS BIGINT) AS total
+FROM names n LEFT JOIN every e ON e.state = n.state GROUP BY n.state, n.place ORDER BY n.place
+""")
+def q_state_report(spark, root):
+    f = _fact(spark, root, ["event_site_refid", "participant_id", "event_startdate", "event_id"])
+    return pivots.state_report(f, fx.sites(spark, root), REPORT_NATIONS)
+
+
 @register("state_month_totals", _STATE_SQL + """
 , cube_t AS (SELECT state, month, CAST(sum(COALESCE(events, 0)) AS BIGINT) AS events,
                     GROUPING(state) AS gs, GROUPING(month) AS gm

@@ -11,6 +11,8 @@ all events is still written by many tasks.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,17 +23,19 @@ from ..operators import rollups
 from ..operators.joins import densify_left
 
 
-def run_catalogue(fact: DataFrame, subcats: DataFrame) -> DataFrame:
+def run_catalogue(fact: DataFrame, subcats: DataFrame, fetched_at: dt.datetime | None = None) -> DataFrame:
     """Every subcategory with its row/event counts, date span and a
-    has-data flag (13-row dimension left-joined to one aggregate)."""
+    has-data flag (13-row dimension left-joined to one aggregate); with
+    ``fetched_at``, the run's time as a column of that name."""
     agg = (fact.groupBy("subcategory_id")
                .agg(F.count(F.lit(1)).cast("bigint").alias("row_count"),
                     F.count_distinct("event_id").cast("bigint").alias("events"),
                     F.min("event_startdate").alias("first_date"),
                     F.max("event_startdate").alias("last_date")))
     out = subcats.join(agg, "subcategory_id", "left").fillna(0, subset=["row_count", "events"])
-    return out.select("subcategory_id", "category_name", "module", "sub_label", "row_count", "events",
-                      (F.col("row_count") > 0).alias("has_data"), "first_date", "last_date")
+    out = out.select("subcategory_id", "category_name", "module", "sub_label", "row_count", "events",
+                     (F.col("row_count") > 0).alias("has_data"), "first_date", "last_date")
+    return out if fetched_at is None else out.withColumn("fetched_at", F.lit(fetched_at))
 
 
 SITE_ATTRIBUTES = ["tp", "dusp", "region", "phase", "parliament", "dun", "mukim"]

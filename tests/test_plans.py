@@ -35,7 +35,8 @@ def test_no_job_before_the_action_and_no_round_robin(spark, name):
     assert "RoundRobinPartitioning" not in p
 
 
-SCANS = {"active_sites_per_sheet": 2, "pivot_all_grains": 2, "monthly_home_pivot": 2, "preview_200": 2, "site_month_series": 2}
+SCANS = {"active_sites_per_sheet": 2, "pivot_all_grains": 2, "monthly_home_pivot": 2, "preview_200": 2, "site_month_series": 2,
+         "heat_grid": 2}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))

@@ -192,3 +192,48 @@ def test_session_names_no_master_and_shared_folder_is_required(spark):
     unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
     with pytest.raises(ValueError, match="checkpoint"):
         session.shared_dir(unset)
+
+
+def test_state_report_has_the_fixed_states_in_order(spark):
+    from tallyhall.config import REPORT_STATES
+    f = make_fact(spark, [row(1, "2026-01-02"), row(2, "2025-01-02"), row(3, "2026-12-30", site="S2")])
+    out = pivots.state_report(f, make_sites(spark, [("S1", "n", " johor "), ("S2", "m", "SABAH")])).collect()
+    assert [r.state for r in out] == [*REPORT_STATES, "TOTAL"]
+    by = {r.state: r for r in out}
+    assert (by["JOHOR"].m1, by["JOHOR"].m2, by["JOHOR"].total) == (2, None, 2)
+    assert (by["TOTAL"].m1, by["TOTAL"].m12, by["TOTAL"].total) == (2, 1, 3) and by["KEDAH"].total is None
+
+
+def test_heat_grid_has_idle_months_and_a_footer(spark):
+    f = make_fact(spark, [row(i, "2026-01-02") for i in range(7)] + [row(90, "2026-02-02", site="S2")])
+    out = {(r.refid, str(r.month_start)): (r.events, r.band) for r in rollups.heat_grid(
+        f, make_sites(spark, [("S1", "n", "s"), ("S2", "n", "s")])).collect()}
+    assert out == {("S1", "2026-01-01"): (7, "6-20"), ("S1", "2026-02-01"): (0, "0"), ("S2", "2026-01-01"): (0, "0"),
+                   ("S2", "2026-02-01"): (1, "1-5"), (None, "2026-01-01"): (7, None), (None, "2026-02-01"): (1, None)}
+
+
+def test_zero_attendance_filters(spark):
+    f = make_fact(spark, [row(1, "2026-01-05", attendance="no", program="A"), row(2, "2026-01-11", attendance="no", program="B"),
+                          row(3, "2026-01-12", attendance="no", state="t"), row(4, "2026-01-05", attendance="true")])
+    def ids(**kw):
+        return sorted(r.event_id for r in rollups.zero_attendance_events(f, **kw).collect())
+    assert ids() == [1, 2, 3] and ids(week="2026-01-07") == [1, 2] and ids(state="t") == [3] and ids(program="B") == [2]
+    assert ids(site="S2") == [] and ids(week="2026-01-07", program="A") == [1]
+
+
+def test_periods_come_in_order_and_the_catalogue_has_its_time(spark):
+    f = make_fact(spark, [row(i, d) for i, d in enumerate(["2026-02-02", "2025-12-30", "2026-01-15"])])
+    assert [r.period for r in rollups.monthly_rollup(f).collect()] == ["2025-12", "2026-01", "2026-02"]
+    assert [str(r.week_start) for r in rollups.weekly_rollup(f).collect()] == ["2025-12-29", "2026-01-12", "2026-02-02"]
+    subs = spark.createDataFrame([(1, "c", "m", "l")], "subcategory_id int, category_name string, module string, sub_label string")
+    at = dt.datetime(2026, 5, 1, 12)
+    r = payload.run_catalogue(f.withColumn("subcategory_id", F.lit(1)), subs, at).first()
+    assert r.row_count == 3 and r.fetched_at == at
+
+
+def test_chosen_columns(spark):
+    view = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    assert explore.choose_columns(view, ["c", "a"]).columns == ["c", "a"]
+    for bad in (["x"], ["a", "a"]):
+        with pytest.raises(ValueError, match="columns"):
+            explore.choose_columns(view, bad)
