@@ -20,16 +20,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import UPPER, WHITE, WHITE_RUN, saved, table
+from .common import UPPER, WHITE_RUN, saved, table
 
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "bang_share",
             "digit_share", "stop_share", "line_words")
+PLACE_BITS = 26  # words of a text that are told apart: 67 million
 MAX_RULES, MAX_CONDITIONS, BINS, MIN_PRECISION, MIN_COVER = 8, 4, 24, 0.9, 3
 
 
+BANGS, DIGITS, STOPS = "!", "0123456789", ".,;:"
+
+
 def _count(chars: str) -> Column:
-    return F.length("text") - F.length(F.translate("text", chars, ""))
+    """How many of ``chars`` are among the text's ``marks``."""
+    return F.length("marks") - F.length(F.translate("marks", chars, ""))
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,20 +46,25 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are joined."""
     t = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     t = t.withColumn("words", F.array_remove(F.split("text", WHITE_RUN, -1), ""))
+    t = t.withColumn("marks", F.regexp_replace("text", f"[^{UPPER}{BANGS}{DIGITS}{STOPS}{SYMBOLS}]+", ""))
     t = t.withColumn("lines", F.filter(F.split("text", "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
     windows = F.transform(F.sequence(F.lit(0), F.size("words") - 3),
                           lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))
     t = t.select(
-        "doc_id", F.size("words").cast("bigint").alias("n_words"), F.length(F.translate("text", WHITE, "")).cast("bigint").alias("word_chars"),
+        "doc_id", F.size("words").cast("bigint").alias("n_words"), F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         _count(SYMBOLS).cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"), F.size("lines").alias("n_lines"),
-        _count(UPPER).alias("n_upper"), _count("!").alias("n_bang"), _count("0123456789").alias("n_digit"), _count(".,;:").alias("n_stop"),
+        _count(UPPER).alias("n_upper"), _count(BANGS).alias("n_bang"), _count(DIGITS).alias("n_digit"), _count(STOPS).alias("n_stop"),
         F.when(F.size("words") >= 3, windows).otherwise(F.array().cast("array<bigint>")).alias("windows"))
     again = F.size(F.array_distinct("windows")) < F.size("windows")
-    t = t.withColumn("placed", F.when(again, F.array_sort(F.expr("transform(windows, (h, i) -> struct(h, i))"))))
-    t = t.withColumn("places", F.expr("""array_sort(transform(filter(sequence(0, size(placed) - 1), j ->
-        coalesce(get(placed, j).h = get(placed, j - 1).h, false) or coalesce(get(placed, j).h = get(placed, j + 1).h, false)),
-        j -> get(placed, j).i))"""))
+    # A long for each window: the high bits of its hash, then its place.  Sorted, equal windows are neighbours; the whole
+    # hashes of neighbours are compared.
+    t = t.withColumn("placed", F.when(again, F.sort_array(F.expr(
+        f"transform(windows, (h, i) -> shiftleft(shiftright(h, {PLACE_BITS}), {PLACE_BITS}) + i)"))))
+    t = t.withColumn("placed", F.expr(f"transform(placed, x -> cast(x & {(1 << PLACE_BITS) - 1} as int))"))
+    t = t.withColumn("places", F.expr("""sort_array(filter(transform(placed, (p, j) -> if(
+        coalesce(get(windows, p) = get(windows, get(placed, j - 1)), false)
+        or coalesce(get(windows, p) = get(windows, get(placed, j + 1)), false), p, -1)), p -> p >= 0))"""))
     t = t.withColumn("n_repeat_words", F.expr("""cast(coalesce(aggregate(places, named_struct('total', 0, 'upto', 0),
         (a, p) -> named_struct('total', a.total + p + 3 - greatest(p, a.upto), 'upto', p + 3), a -> a.total), 0) as bigint)"""))
     n, chars, lines = (F.greatest(c, F.lit(1)) for c in (F.col("n_words"), F.col("word_chars"), F.col("n_lines")))
