@@ -40,7 +40,8 @@ def _count(chars: str) -> Column:
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the base counts and ``FEATURES`` of every whole text.
 
-    A null or empty text has zeros.  Words that stand in a three-word window
+    A null or empty text has zeros; repeated rows are returned each; an empty
+    table gives no rows.  Words that stand in a three-word window
     which the text has twice or more are counted once each: windows are
     hashed, sorted within the text, and the places with an equal neighbour
     are joined."""

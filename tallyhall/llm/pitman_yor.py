@@ -435,7 +435,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     Tokens go to their word's bucket by the slice of documents; a word with a
     large share of all tokens goes to one of several by slice.  A bucket sums
-    its part of each document, and the parts are summed by slice."""
+    its part of each document, and the parts are summed by slice.  Repeated
+    rows are scored each; an empty table gives no rows."""
     n, prior, totals, hot = model.n_buckets, model.prior, model.totals, model.hot
     hot_words = np.array(sorted(hot), np.uint64)
     kind = id_type(docs)

@@ -156,7 +156,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
 
 def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, score) of every document, null and empty texts too: they
-    have the intercept's score."""
+    have the intercept's score.  Repeated rows are scored each; an empty
+    table gives no rows."""
     src = texts(docs, id_col, text_col)
     schema = T.StructType([T.StructField("doc_id", id_type(src)), T.StructField("score", T.DoubleType())])
 

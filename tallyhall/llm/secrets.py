@@ -137,7 +137,9 @@ def _listed(spans: DataFrame) -> DataFrame:
 
 
 def report(docs: DataFrame, fdr: float = FDR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document its sorted spans (start, order, kind, stop); empty without."""
+    """Per document its sorted spans (start, order, kind, stop); an empty
+    array for texts without any, null and empty ones too.  Repeated rows are
+    returned each; an empty table gives no rows."""
     listed = _listed(spans(docs, fdr, id_col, text_col))
     keyed = docs.select(F.col(id_col).alias("doc_id"), _key(id_col, text_col).alias("doc_key"))
     out = keyed.join(listed, "doc_key", "left")

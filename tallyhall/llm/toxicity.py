@@ -142,7 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
 def scored(docs: DataFrame, model: dict, categories: tuple[str, ...] = CATEGORIES, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """Rows (doc_id, p_<category>...) of every document; a null or empty text
-    has no features."""
+    has no features and the intercepts' probabilities.  Repeated rows are
+    scored each; an empty table gives no rows."""
     src = texts(docs, id_col, text_col)
     names = [f"p_{c}" for c in categories]
     schema = T.StructType([T.StructField("doc_id", id_type(src)), *[T.StructField(n, T.DoubleType()) for n in names]])

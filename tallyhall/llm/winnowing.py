@@ -126,7 +126,8 @@ def covered(spans: Column) -> Column:
 
 def report(docs: DataFrame, items: DataFrame, **kw) -> DataFrame:
     """Per document: n_words, n_hit, the sorted item ids that occur, and
-    contaminated.  A document's lists are bounded by its own words and by the
+    contaminated.  A null or empty text has no words; repeated rows are
+    returned each; empty tables give no hits.  A document's lists are bounded by its own words and by the
     items that it holds."""
     places, found = hits(docs, items, **kw)
     hit = places.groupBy("doc_key").agg(covered(F.collect_set(F.struct("start", "stop"))).alias("n_hit"))

@@ -74,3 +74,10 @@ def test_op3_empty_tables(spark, tmp_path, no_docs):
 def test_no_python_in_the_plan(spark):
     text = winnowing.op3_winnowing(spark, SMALL)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow", text)
+
+
+def test_op3_equals_its_sql(spark, duck):
+    got = {tuple(sorted(r.asDict().items())) for r in winnowing.op3_winnowing(spark, SMALL).collect()}
+    rel = duck.execute(winnowing.OP3_SQL)
+    names = [c[0] for c in rel.description]
+    assert got == {tuple(sorted(zip(names, r, strict=True))) for r in rel.fetchall()}
