@@ -308,25 +308,34 @@ def _first_state(group: pa.Table) -> pa.Table:
     tokens = np.bincount(r.context, weights=r.count, minlength=CONTEXTS)
     totals = np.concatenate([r.totals(), tokens, ones, [r.count.sum(), len(r.words)]]).astype(np.int64)
     body = _zip(r.words, _narrow(r.sizes), r.context, _narrow(r.count))
-    return pa.table({"bucket": group.column("bucket")[:1], "body": pa.array([body], pa.binary()), "totals": pa.array([totals.tobytes()], pa.binary())})
+    return pa.table({"bucket": group.column("bucket")[:1], "body": pa.array([body], pa.binary()), "totals": pa.array([_vector(totals)], pa.binary())})
 
 
 FAN_IN = 8
 
 
+def _vector(x: np.ndarray) -> bytes:
+    """Counts, compressed: a file may hold many buckets' rows."""
+    return _zip(_narrow(x))
+
+
+def _counts(body: bytes) -> np.ndarray:
+    return _unzip(body)[0].astype(np.int64)
+
+
 def _summed(states: DataFrame, n_buckets: int, n: int) -> np.ndarray:
     """Sum of the buckets' vectors of ``n`` numbers, ``FAN_IN`` at a time; at
     most that many come to the driver."""
 
     def add(key, group):
-        total = sum((np.frombuffer(x.as_py(), np.int64) for x in group.column("totals")), np.zeros(n, np.int64))
-        return pa.table({"at": pa.array([key[0].as_py()], pa.int64()), "totals": pa.array([total.tobytes()], pa.binary())})
+        total = sum((_counts(x.as_py()) for x in group.column("totals")), np.zeros(n, np.int64))
+        return pa.table({"at": pa.array([key[0].as_py()], pa.int64()), "totals": pa.array([_vector(total)], pa.binary())})
 
     vectors = states.where("length(totals) > 0").select(F.col("bucket").cast("bigint").alias("at"), "totals")
     while n_buckets > FAN_IN:
         vectors = vectors.withColumn("at", F.floor(F.col("at") / FAN_IN)).groupBy("at").applyInArrow(add, "at bigint, totals binary")
         n_buckets = -(-n_buckets // FAN_IN)
-    return sum((np.frombuffer(r.totals, np.int64) for r in vectors.select("totals").collect()), np.zeros(n, np.int64))
+    return sum((_counts(r.totals) for r in vectors.select("totals").collect()), np.zeros(n, np.int64))
 
 
 @dataclass
@@ -368,7 +377,7 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
             for row in batch.to_pylist():
                 r = _load(row["body"])
                 seated(r, row["bucket"], start, burn_in, 0)
-                yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), pa.array([r.totals().tobytes()], pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), pa.array([_vector(r.totals())], pa.binary())],
                                                  ["bucket", "totals"])
 
     warm = _summed(state.select("bucket", "body").mapInArrow(burn, "bucket int, totals binary"), n, N_TOTALS)
@@ -392,7 +401,7 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
                     r.tables = list(r.tables)
                     totals.append(r.totals())
                 own = np.array([int(w) not in hot for w in r.words], bool)
-                parts = [(row["bucket"], own, np.concatenate(totals).tobytes())]
+                parts = [(row["bucket"], own, _vector(np.concatenate(totals)))]
                 for j in np.flatnonzero(~own).tolist():
                     one = np.zeros(len(own), bool)
                     one[j] = True
