@@ -1,15 +1,16 @@
 """Language-model scores by a hierarchical Pitman-Yor model of words.
 
-Restaurants form a tree: one for each context of a word, over one for each
-class of contexts, over one for all words, over the uniform distribution on
-the training words and one unknown word.  A context is the word before,
-hashed to one of ``CHILDREN`` restaurants of its class (its last character's
-hash); so the number of context restaurants is fixed, while their customers,
-the words of the corpus, grow with it.
+Restaurants form a tree: one for each context (the word before, by its 64-bit
+hash), over one for the shorter, empty context, over one of all words, over
+the uniform distribution on the training words and one unknown word.  So
+contexts grow in number with the corpus and share no counts.
 
 Words are dealt to buckets by hash, so all restaurants' customers of one word
-meet in one bucket, and so do the word's counts.  What crosses buckets are
-the restaurants' numbers of customers and tables, vectors of fixed length.
+meet in one bucket, and so do the word's counts.  The contexts' numbers of
+customers and tables are a table by ranges of the contexts' hashes: each
+bucket adds up its own tables by context and asks for the totals of its
+contexts, the sums are made for each range, and the answers are joined to the
+bucket.  Only the numbers of the two upper restaurants come to the driver.
 
 Seating is sampled by Gibbs: for each dish (word) of each restaurant the
 number of its tables is drawn given all others, exactly for up to ``EXACT``
@@ -37,18 +38,16 @@ from .common import bucket, id_type, partitions, saved, table
 from .features import hashed
 from .tokens import slices
 
-CLASSES, CHILDREN = 64, 1024
-CONTEXTS = CLASSES * CHILDREN
+CHILDREN = 1 << 64  # contexts of a shorter one: all 64-bit hashes have the empty context as parent
 SAMPLES, BURN_IN, EXACT, STRENGTH = 3, 1, 8, 1.0
 SLICE_BYTES = 12 << 20
 END = "\n"  # never a word
 
 
 def _named(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, context) of words."""
+    """(hash, context) of words: as a context a word is its hash, too."""
     h = hashed(words, "word")
-    kind = hashed(pc.utf8_slice_codeunits(words, -1), "class") % np.uint64(CLASSES)
-    return h, (kind * np.uint64(CHILDREN) + (h >> np.uint64(20)) % np.uint64(CHILDREN)).astype(np.uint16)
+    return h, h
 
 
 @dataclass
@@ -119,6 +118,12 @@ def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32 if top < 2**32 else np.uint64)
 
 
+def _coded(x: np.ndarray) -> list[np.ndarray]:
+    """Distinct values, sorted, and the number of each place's value."""
+    values, at = np.unique(x, return_inverse=True)
+    return [values, _narrow(at)]
+
+
 def _dealt(word: np.ndarray, n: int):
     part = (word % np.uint64(n)).astype(np.int64)
     order = np.argsort(part, kind="stable")
@@ -136,48 +141,52 @@ def _train_rows(batches, n_buckets: int):
         found = []
         for k, own in _dealt(word, n_buckets):
             starts = _runs(word[own])
-            found.append((k, _zip(word[own][starts], _narrow(_sizes(starts, len(own))), context[own], _narrow(count[own]))))
+            found.append((k, _zip(word[own][starts], _narrow(_sizes(starts, len(own))), *_coded(context[own]), _narrow(count[own]))))
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["bucket", "body"])
 
 
-# Places in a vector of totals.
-T_CHILD, T_CLASS, T_ROOT = 0, CONTEXTS, CONTEXTS + CLASSES
-N_TOTALS = CONTEXTS + CLASSES + 1
-
-
 class Restaurants:
-    """All customers of a bucket's words: pairs (word number, context), pairs
-    (word number, class), words; ``tables`` at the three levels."""
+    """All customers of a bucket's words: pairs (word number, context number),
+    words in the empty context, words of the root; ``tables`` at the three
+    levels.  ``contexts`` are the pairs' distinct contexts, sorted."""
 
-    def __init__(self, words: np.ndarray, sizes: np.ndarray, context: np.ndarray, count: np.ndarray):
-        self.words, self.sizes, self.context, self.count = words, sizes, context, count.astype(np.int64)
+    def __init__(self, words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, at: np.ndarray, count: np.ndarray):
+        self.words, self.sizes, self.contexts = words, sizes, contexts
+        self.at, self.count = at.astype(np.int64), count.astype(np.int64)
         self.of = np.repeat(np.arange(len(words), dtype=np.int64), sizes)
-        self.key = self.of * CONTEXTS + context
-        kind = self.of * CLASSES + context // CHILDREN
-        starts = _runs(kind)
-        self.kind_key, self.kind = kind[starts], np.repeat(np.arange(len(starts)), _sizes(starts, len(kind)))
-        self.kind_of, self.kind_class = self.kind_key // CLASSES, self.kind_key % CLASSES
+        self.key = self.of * len(contexts) + self.at
+        self.kind_of, self.kind_class = np.arange(len(words)), np.zeros(len(words), np.int64)  # one shorter context
         self.total = np.bincount(self.of, weights=self.count, minlength=len(words)).astype(np.int64)
-        self.tables = [np.ones(len(x), np.int64) for x in (self.key, self.kind_key, words)]
+        self.tables = [np.ones(len(x), np.int64) for x in (self.key, words, words)]
+
+    @property
+    def context(self) -> np.ndarray:
+        return self.contexts[self.at]
 
     def customers(self) -> list[np.ndarray]:
-        kinds = np.bincount(self.kind, weights=self.tables[0], minlength=len(self.kind_key)).astype(np.int64)
-        return [self.count, kinds, np.bincount(self.kind_of, weights=self.tables[1], minlength=len(self.words)).astype(np.int64)]
+        return [self.count, np.bincount(self.of, weights=self.tables[0], minlength=len(self.words)).astype(np.int64), self.tables[1]]
+
+    def by_context(self, x: np.ndarray) -> np.ndarray:
+        """Sums of the pairs' numbers by context."""
+        return np.bincount(self.at, weights=x, minlength=len(self.contexts)).astype(np.int64)
 
     def totals(self) -> np.ndarray:
-        """Tables of each context, each class and the root, as one vector."""
-        return np.concatenate([np.bincount(self.context, weights=self.tables[0], minlength=CONTEXTS),
-                               np.bincount(self.kind_class, weights=self.tables[1], minlength=CLASSES),
-                               [self.tables[2].sum()]]).astype(np.int64)
+        """Tables of all contexts, of the empty context and of the root."""
+        return np.array([x.sum() for x in self.tables], np.int64)
+
+    def body(self) -> list[np.ndarray]:
+        return [self.words, _narrow(self.sizes), _narrow(self.at), _narrow(self.count)]
+
+
+N_TOTALS = 3
 
 
 @dataclass
 class Prior:
-    """Discounts by level (contexts, classes, root), tokens of each context,
-    training tokens and distinct training words."""
+    """Discounts by level (contexts, empty context, root), training tokens and
+    distinct training words."""
 
     discount: tuple[float, float, float]
-    context_tokens: np.ndarray
     tokens: int
     words: int
 
@@ -185,19 +194,19 @@ class Prior:
 def root_probability(prior: Prior, totals: np.ndarray, customers, tables):
     """Of a word with those customers and tables at the root; zeros give the
     unknown word's."""
-    d, t0, c0 = prior.discount[2], totals[T_ROOT], totals[T_CLASS:T_ROOT].sum()
-    return (customers - d * tables + (STRENGTH + d * t0) / (prior.words + 1)) / (STRENGTH + c0)
+    d = prior.discount[2]
+    return (customers - d * tables + (STRENGTH + d * totals[2]) / (prior.words + 1)) / (STRENGTH + totals[1])
 
 
-def class_probability(prior: Prior, totals: np.ndarray, kind, customers, tables, parent):
-    d, t = prior.discount[1], totals[T_CLASS:T_ROOT]
-    c = totals[:T_CLASS].reshape(CLASSES, CHILDREN).sum(axis=1)
-    return (customers - d * tables + (STRENGTH + d * t[kind]) * parent) / (STRENGTH + c[kind])
+def empty_probability(prior: Prior, totals: np.ndarray, customers, tables, parent):
+    d = prior.discount[1]
+    return (customers - d * tables + (STRENGTH + d * totals[1]) * parent) / (STRENGTH + totals[0])
 
 
-def context_probability(prior: Prior, totals: np.ndarray, context, customers, tables, parent):
-    d, t = prior.discount[0], totals[:T_CLASS]
-    return (customers - d * tables + (STRENGTH + d * t[context]) * parent) / (STRENGTH + prior.context_tokens[context])
+def context_probability(prior: Prior, of_tokens, of_tables, own, parent):
+    """In contexts with those tokens and tables, ``own`` being the dish's
+    customers less its discounted tables."""
+    return (own + (STRENGTH + prior.discount[0] * of_tables) * parent) / (STRENGTH + of_tokens)
 
 
 def log_stirling(d: float, top: int = EXACT) -> np.ndarray:
@@ -237,78 +246,130 @@ def draw_tables(rng: np.random.Generator, customers: np.ndarray, others: np.ndar
     return out
 
 
-def sweep(r: Restaurants, prior: Prior, totals: np.ndarray, rng: np.random.Generator) -> None:
-    """Draws all tables anew, contexts first; ``totals`` counts the tables of
-    all buckets and is not changed."""
+def sweep(r: Restaurants, prior: Prior, of_contexts: np.ndarray, totals: np.ndarray, rng: np.random.Generator) -> None:
+    """Draws all tables anew, contexts first; ``of_contexts`` and ``totals``
+    count the tables of all buckets and are not changed."""
     _, kinds, roots = r.customers()
     p_root = root_probability(prior, totals, roots, r.tables[2])
-    p_kind = class_probability(prior, totals, r.kind_class, kinds, r.tables[1], p_root[r.kind_of])
-    r.tables[0] = draw_tables(rng, r.count, totals[r.context] - r.tables[0], p_kind[r.kind], prior.discount[0])
+    p_kind = empty_probability(prior, totals, kinds, r.tables[1], p_root)
+    r.tables[0] = draw_tables(rng, r.count, of_contexts[r.at] - r.tables[0], p_kind[r.of], prior.discount[0])
     _, kinds, _ = r.customers()
-    r.tables[1] = draw_tables(rng, kinds, totals[T_CLASS + r.kind_class] - r.tables[1], p_root[r.kind_of], prior.discount[1])
+    r.tables[1] = draw_tables(rng, kinds, totals[1] - r.tables[1], p_root, prior.discount[1])
     _, _, roots = r.customers()
     flat = np.full(len(r.words), 1 / (prior.words + 1))
-    r.tables[2] = draw_tables(rng, roots, totals[T_ROOT] - r.tables[2], flat, prior.discount[2])
+    r.tables[2] = draw_tables(rng, roots, totals[2] - r.tables[2], flat, prior.discount[2])
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Numbers of the keys, len(keys) for a key that is not there."""
+    at = np.searchsorted(keys, wanted)
+    known = at < len(keys)
+    known[known] = keys[at[known]] == wanted[known]
+    return np.where(known, at, len(keys))
 
 
 class Scorer:
     """Probabilities of tokens by a bucket's restaurants, averaged over the
-    sampled seatings."""
+    sampled seatings.  ``answered``: the tokens of the bucket's contexts, and
+    their tables in each seating."""
 
-    def __init__(self, r: Restaurants, seatings: list[list[np.ndarray]], prior: Prior, totals: list[np.ndarray]):
-        self.r, self.prior, self.totals, self.levels = r, prior, totals, []
+    def __init__(self, r: Restaurants, seatings: list[list[np.ndarray]], prior: Prior, totals: list[np.ndarray], answered: list[np.ndarray]):
+        self.r, self.prior, self.levels = r, prior, []
+        self.of_contexts = [np.append(x, 0) for x in answered]
         for tables, total in zip(seatings, totals, strict=True):
             r.tables = tables
             _, kinds, roots = r.customers()
             root = np.append(root_probability(prior, total, roots, tables[2]), root_probability(prior, total, 0, 0))
-            d = prior.discount
-            self.levels.append((root, np.append(kinds - d[1] * tables[1], 0), np.append(r.count - d[0] * tables[0], 0)))
-
-    @staticmethod
-    def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """Numbers of the keys, len(keys) for a key that is not there."""
-        at = np.searchsorted(keys, wanted)
-        known = at < len(keys)
-        known[known] = keys[at[known]] == wanted[known]
-        return np.where(known, at, len(keys))
-
-    def __call__(self, words: np.ndarray, sizes: np.ndarray, context: np.ndarray):
-        """(probability, training count) of tokens, given as runs of words."""
-        number = np.repeat(self._find(self.r.words, words), sizes)
-        context = context.astype(np.int64)
-        kind = context // CHILDREN
-        at_kind = self._find(self.r.kind_key, number * CLASSES + kind)
-        at = self._find(self.r.key, number * CONTEXTS + context)
-        p = np.zeros(len(context))
-        for (root, kinds, own), total in zip(self.levels, self.totals, strict=True):
-            q = class_probability(self.prior, total, kind, kinds[at_kind], 0, root[number])
-            p += context_probability(self.prior, total, context, own[at], 0, q)
-        return p / len(self.levels), np.append(self.r.total, 0)[number]
+            empty = empty_probability(prior, total, np.append(kinds, 0), np.append(tables[1], 0), root)
+            self.levels.append((empty, np.append(r.count - prior.discount[0] * tables[0], 0)))
+
+    def __call__(self, words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, code: np.ndarray):
+        """(probability, training count, whether open, parent's probability
+        by seating) of tokens, given as runs of words, their contexts by
+        number.  Open tokens are those whose context is not in this bucket:
+        their probability needs the context's totals and is given as 1."""
+        number = np.repeat(_find(self.r.words, words), sizes)
+        u = _find(self.r.contexts, contexts)[code]
+        n = len(self.r.contexts)
+        at = _find(self.r.key, np.where((u == n) | (number == len(self.r.words)), -1, number * n + u))
+        is_open, parents = u == n, [empty[number] for empty, _ in self.levels]
+        p = sum(context_probability(self.prior, self.of_contexts[0][u], tables[u], own[at], parent)
+                for tables, (_, own), parent in zip(self.of_contexts[1:], self.levels, parents, strict=True)) / len(self.levels)
+        return np.where(is_open, 1.0, p), np.append(self.r.total, 0)[number], is_open, [x[is_open] for x in parents]
 
 
 def _restaurants(bodies: list[bytes]) -> Restaurants:
     """A bucket's restaurants from the slices' counts."""
     parts = [_unzip(b) for b in bodies]
-    word = np.concatenate([np.repeat(w, n) for w, n, _, _ in parts])
-    context = np.concatenate([c for _, _, c, _ in parts])
-    word, context, count = pair_counts(word, context, np.concatenate([x.astype(np.int64) for _, _, _, x in parts]))
+    word = np.concatenate([np.repeat(w, n) for w, n, _, _, _ in parts])
+    context = np.concatenate([c[at] for _, _, c, at, _ in parts])
+    word, context, count = pair_counts(word, context, np.concatenate([x.astype(np.int64) for *_, x in parts]))
     starts = _runs(word)
-    return Restaurants(word[starts], _sizes(starts, len(word)), context, count)
+    return Restaurants(word[starts], _sizes(starts, len(word)), *_coded(context), count)
+
+
+# Rows of a bucket: its restaurants (at STATE), its tables (at TABLES), and
+# questions or answers about contexts (at the number of their range).
+ROWS = "bucket int, at int, body binary, totals binary"
+STATE, TABLES = -1, -2
+
+
+def _row(number: int, at: int, body: bytes, totals: np.ndarray | None = None) -> dict:
+    return {"bucket": number, "at": at, "body": body, "totals": b"" if totals is None else _vector(totals)}
+
 
+def _rows(rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, pa.schema([("bucket", pa.int32()), ("at", pa.int32()), ("body", pa.binary()), ("totals", pa.binary())]))
 
-STATE = "bucket int, body binary, totals binary"
-# Places after the tables in the first totals: tokens of contexts, numbers of
-# dishes with one and two customers by level, tokens, words.
-_FIRST = N_TOTALS + CONTEXTS
+
+def _place(contexts: np.ndarray, n: int) -> np.ndarray:
+    """The ranges of contexts' hashes, one of ``n`` of even width."""
+    return (((contexts >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+
+
+def _questions(number: int, r: Restaurants, sums: list[np.ndarray], n: int) -> list[dict]:
+    """A bucket's contexts and its sums by context, a row for each range."""
+    place, out = _place(r.contexts, n), []
+    starts = _runs(place)
+    for a, size in zip(starts.tolist(), _sizes(starts, len(place)).tolist(), strict=True):
+        out.append(_row(number, int(place[a]), _zip(r.contexts[a:a + size], *[_narrow(x[a:a + size]) for x in sums])))
+    return out
+
+
+def _answers(asked: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """For each question a row of the same bucket and range with the totals of
+    its contexts over all buckets; with ``keep`` also a row of bucket -1 for
+    each range: its contexts and their totals."""
+
+    def run(key, group):
+        parts = [_unzip(b.as_py()) for b in group.column("body")]
+        contexts, at = np.unique(np.concatenate([x[0] for x in parts]), return_inverse=True)
+        sums = [np.bincount(at, weights=np.concatenate(x), minlength=len(contexts)).astype(np.int64)
+                for x in zip(*[x[1:] for x in parts], strict=True)]
+        place = key[0].as_py()
+        rows = [_row(-1, place, _zip(contexts, *map(_narrow, sums)))] if keep else []
+        stops = np.cumsum([len(x[0]) for x in parts])
+        for number, own in zip(group.column("bucket").to_pylist(), np.split(at, stops[:-1]), strict=True):
+            rows.append(_row(number, place, _zip(*[_narrow(x[own]) for x in sums])))
+        return _rows(rows)
+
+    return saved(asked.groupBy("at").applyInArrow(run, ROWS), name)
+
+
+def _met(group: pa.Table) -> tuple[bytes | None, bytes | None, list[np.ndarray]]:
+    """Of a bucket's rows: the restaurants, the tables, and the answers on all
+    its contexts in order."""
+    found = sorted(zip(group.column("at").to_pylist(), group.column("body").to_pylist(), strict=True), key=lambda x: x[0])
+    one = dict(x for x in found if x[0] < 0)
+    answered = [_unzip(b) for at, b in found if at >= 0]
+    return one.get(STATE), one.get(TABLES), [np.concatenate(x).astype(np.int64) for x in zip(*answered, strict=True)]
 
 
 def _first_state(group: pa.Table) -> pa.Table:
     r = _restaurants(group.column("body").to_pylist())
     ones = [x for c in r.customers() for x in ((c == 1).sum(), (c == 2).sum())]
-    tokens = np.bincount(r.context, weights=r.count, minlength=CONTEXTS)
-    totals = np.concatenate([r.totals(), tokens, ones, [r.count.sum(), len(r.words)]]).astype(np.int64)
-    body = _zip(r.words, _narrow(r.sizes), r.context, _narrow(r.count))
-    return pa.table({"bucket": group.column("bucket")[:1], "body": pa.array([body], pa.binary()), "totals": pa.array([_vector(totals)], pa.binary())})
+    totals = np.concatenate([r.totals(), ones, [r.count.sum(), len(r.words)]]).astype(np.int64)
+    return _rows([_row(group.column("bucket")[0].as_py(), STATE, _zip(*r.body(), r.contexts), totals)])
 
 
 FAN_IN = 8
@@ -341,9 +402,12 @@ def _summed(states: DataFrame, n_buckets: int, n: int) -> np.ndarray:
 @dataclass
 class Model:
     """``states``: a row for each bucket or share of a hot word (body: words,
-    pairs, counts and the sampled tables)."""
+    pairs, counts, the sampled tables and the contexts).  ``contexts``: for
+    each of them the totals of its contexts, and all contexts by range (bucket
+    -1): tokens, and tables by seating."""
 
     states: DataFrame
+    contexts: DataFrame
     prior: Prior
     totals: list[np.ndarray]
     n_buckets: int
@@ -351,8 +415,9 @@ class Model:
 
 
 def _load(body: bytes) -> Restaurants:
-    words, sizes, context, count = _unzip(body)[:4]
-    return Restaurants(words, sizes.astype(np.int64), context, count)
+    arrays = _unzip(body)
+    words, sizes, at, count = arrays[:4]
+    return Restaurants(words, sizes.astype(np.int64), arrays[-1], at, count)
 
 
 def train(tokens_of: DataFrame, seed: int = 1) -> Model:
@@ -361,26 +426,30 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
     spark = tokens_of.sparkSession
     n = partitions(spark)
     counted = tokens_of.select("text", "held_out").mapInArrow(lambda b: _train_rows(b, n), "bucket int, body binary")
-    state = saved(counted.groupBy("bucket").applyInArrow(_first_state, STATE), "restaurants")
-    first = _summed(state, n, _FIRST + 8)
-    ones, (n_tokens, n_words) = first[_FIRST:_FIRST + 6].reshape(3, 2), first[_FIRST + 6:].tolist()
+    state = saved(counted.groupBy("bucket").applyInArrow(_first_state, ROWS), "restaurants")
+    first = _summed(state, n, N_TOTALS + 8)
+    ones, (n_tokens, n_words) = first[N_TOTALS:N_TOTALS + 6].reshape(3, 2), first[N_TOTALS + 6:].tolist()
     discount = tuple(float(np.clip(a / max(1, a + 2 * b), 0.05, 0.95)) for a, b in ones)
-    prior = Prior(discount, first[N_TOTALS:_FIRST], n_tokens, n_words)
+    prior = Prior(discount, n_tokens, n_words)
     start, burn_in, samples = first[:N_TOTALS], BURN_IN, SAMPLES
 
-    def seated(r: Restaurants, number: int, totals: np.ndarray, sweeps: int, job: int):
-        for i in range(sweeps):
-            sweep(r, prior, totals, np.random.default_rng([seed, job, i, number]))
-
-    def burn(batches):
+    def ask(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 r = _load(row["body"])
-                seated(r, row["bucket"], start, burn_in, 0)
-                yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]], pa.int32()), pa.array([_vector(r.totals())], pa.binary())],
-                                                 ["bucket", "totals"])
-
-    warm = _summed(state.select("bucket", "body").mapInArrow(burn, "bucket int, totals binary"), n, N_TOTALS)
+                yield from _rows(_questions(row["bucket"], r, [r.by_context(r.tables[0])], n)).to_batches()
+
+    def burn(key, group):
+        number, (body, _, answered) = key[0].as_py(), _met(group)
+        r = _load(body)
+        for i in range(burn_in):
+            sweep(r, prior, answered[0], start, np.random.default_rng([seed, 0, i, number]))
+        return _rows([_row(number, TABLES, _zip(*map(_narrow, r.tables)), r.totals()),
+                      *_questions(number, r, [r.by_context(r.tables[0])], n)])
+
+    opened = _answers(state.mapInArrow(ask, ROWS), "first-contexts")
+    burnt = saved(state.union(opened).groupBy("bucket").applyInArrow(burn, ROWS), "burn-in")
+    warm = _summed(burnt, n, N_TOTALS)
     share = max(1, n_tokens) / (2 * n)
     # Words with more than half a bucket's even share: fewer than 2 n of them.
     big = _big_words(state, share)
@@ -389,34 +458,39 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
         hot[word] = (extra, int(np.ceil(count / share)))
         extra += hot[word][1]
 
-    def sample(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                r = _load(row["body"])
-                seated(r, row["bucket"], start, burn_in, 0)
-                seatings, totals = [], []
-                for i in range(samples):
-                    sweep(r, prior, warm, np.random.default_rng([seed, 1, i, row["bucket"]]))
-                    seatings.append(r.tables)
-                    r.tables = list(r.tables)
-                    totals.append(r.totals())
-                own = np.array([int(w) not in hot for w in r.words], bool)
-                parts = [(row["bucket"], own, _vector(np.concatenate(totals)))]
-                for j in np.flatnonzero(~own).tolist():
-                    one = np.zeros(len(own), bool)
-                    one[j] = True
-                    at, k = hot[int(r.words[j])]
-                    parts += [(at + i, one, b"") for i in range(k)]
-                for k, mine, vector in parts:
-                    pairs, kinds = mine[r.of], mine[r.kind_of]
-                    body = _zip(r.words[mine], _narrow(r.sizes[mine]), r.context[pairs], _narrow(r.count[pairs]),
-                                *[_narrow(x[m]) for t in seatings for x, m in zip(t, (pairs, kinds, mine), strict=True)])
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([body], pa.binary()),
-                                                      pa.array([vector], pa.binary())], ["bucket", "body", "totals"])
-
-    states = saved(state.select("bucket", "body").mapInArrow(sample, STATE), "seatings")
-    totals = _summed(states, n, samples * N_TOTALS).reshape(samples, N_TOTALS)
-    return Model(states.select("bucket", "body"), prior, list(totals), n, hot)
+    def sample(key, group):
+        number, (body, tables, answered) = key[0].as_py(), _met(group)
+        r = _load(body)
+        r.tables = [x.astype(np.int64) for x in _unzip(tables)]
+        seatings, totals = [], []
+        for i in range(samples):
+            sweep(r, prior, answered[0], warm, np.random.default_rng([seed, 1, i, number]))
+            seatings.append(r.tables)
+            r.tables = list(r.tables)
+            totals.append(r.totals())
+        own = np.array([int(w) not in hot for w in r.words], bool)
+        parts = [(number, own, np.concatenate(totals), True)]
+        for j in np.flatnonzero(~own).tolist():
+            one = np.zeros(len(own), bool)
+            one[j] = True
+            at, k = hot[int(r.words[j])]
+            parts += [(at + i, one, None, i == 0) for i in range(k)]
+        rows = []
+        for k, mine, vector, counts in parts:
+            pairs = mine[r.of]
+            part = Restaurants(r.words[mine], r.sizes[mine], *_coded(r.context[pairs]), r.count[pairs])
+            sampled = [[x[m] for x, m in zip(t, (pairs, mine, mine), strict=True)] for t in seatings]
+            rows.append(_row(k, STATE, _zip(*part.body(), *[_narrow(x) for t in sampled for x in t], part.contexts), vector))
+            # Shares of a word ask alike, and the first one's tables count.
+            rows += _questions(k, part, [part.by_context(x * counts) for x in (part.count, *[t[0] for t in sampled])], n)
+        return _rows(rows)
+
+    tables, asked = burnt.where(F.col("at") == TABLES), burnt.where("at >= 0")
+    warm_contexts = _answers(asked, "warm-contexts")
+    seated = saved(state.union(tables).union(warm_contexts).groupBy("bucket").applyInArrow(sample, ROWS), "seatings")
+    totals = _summed(seated, n, samples * N_TOTALS).reshape(samples, N_TOTALS)
+    contexts = _answers(seated.where("at >= 0"), "contexts", keep=True)
+    return Model(seated.where(F.col("at") == STATE).select("bucket", "body"), contexts, prior, list(totals), n, hot)
 
 
 def _big_words(state: DataFrame, least: float) -> list[tuple[int, int]]:
@@ -430,12 +504,13 @@ def _big_words(state: DataFrame, least: float) -> list[tuple[int, int]]:
     return [(int(np.int64(r.word).view(np.uint64)), r.n) for r in state.select("body").mapInArrow(run, "word bigint, n bigint").collect()]
 
 
-def _scorer(body: bytes | None, prior: Prior, totals: list[np.ndarray]) -> Scorer:
+def _scorer(body: bytes | None, answered: list[np.ndarray], prior: Prior, totals: list[np.ndarray]) -> Scorer:
     if body is None:
         none = np.zeros(0, np.int64)
-        return Scorer(Restaurants(np.zeros(0, np.uint64), none, none, none), [[none] * 3 for _ in totals], prior, totals)
-    arrays = [x.astype(np.int64) for x in _unzip(body)[4:]]
-    return Scorer(_load(body), [arrays[3 * i:3 * i + 3] for i in range(len(totals))], prior, totals)
+        no_words = np.zeros(0, np.uint64)
+        return Scorer(Restaurants(no_words, none, no_words, none, none), [[none] * 3 for _ in totals], prior, totals, [none] * (1 + len(totals)))
+    arrays = [x.astype(np.int64) for x in _unzip(body)[4:-1]]
+    return Scorer(_load(body), [arrays[3 * i:3 * i + 3] for i in range(len(totals))], prior, totals, answered)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -444,14 +519,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     Tokens go to their word's bucket by the slice of documents; a word with a
     large share of all tokens goes to one of several by slice.  A bucket sums
-    its part of each document, and the parts are summed by slice.  Repeated
+    its part of each document, and the parts are summed by slice.  Tokens in a
+    context that their bucket has not met go on to the context's range, with
+    the probabilities in the empty context.  Repeated
     rows are scored each; an empty table gives no rows."""
     n, prior, totals, hot = model.n_buckets, model.prior, model.totals, model.hot
     hot_words = np.array(sorted(hot), np.uint64)
     kind = id_type(docs)
     dealt_schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("slice", T.LongType()),
                                  T.StructField("body", T.BinaryType()), T.StructField("ids", T.ArrayType(kind))])
-    part_schema = T.StructType([f for f in dealt_schema.fields if f.name != "bucket"])
+    part_schema = T.StructType([T.StructField("at", T.IntegerType()), *[f for f in dealt_schema.fields if f.name != "bucket"]])
     from pyspark.sql.pandas.types import to_arrow_type
 
     pa_ids = pa.list_(to_arrow_type(kind))
@@ -474,7 +551,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for k, own in groups:
                 starts = _runs(t.word[own])
                 rows.append(k)
-                bodies.append(_zip(t.word[own][starts], _narrow(_sizes(starts, len(own))), t.context[own], _narrow(t.row[own])))
+                bodies.append(_zip(t.word[own][starts], _narrow(_sizes(starts, len(own))), *_coded(t.context[own]), _narrow(t.row[own])))
                 ids.append(None)
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
             rows.append(-1 - number % n)
@@ -485,20 +562,46 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 dealt_schema.names)
             number += 1
 
+    def summed(row: np.ndarray, p: np.ndarray, base: np.ndarray, known: np.ndarray) -> bytes:
+        docs_of, at = np.unique(row, return_inverse=True)
+        return _zip(docs_of, np.bincount(at, weights=np.log10(p)).view(np.uint64), np.bincount(at, weights=base).view(np.uint64),
+                    _narrow(np.bincount(at, weights=known).astype(np.int64)))
+
     def part(key, seats: pa.Table, dealt: pa.Table) -> pa.Table:
         dealt = dealt.drop_columns(["bucket"])
         if not dealt.num_rows or key[0].as_py() < 0:
-            return dealt
-        scorer = _scorer(seats.column("body")[0].as_py() if seats.num_rows else None, prior, totals)
-        out = []
-        for body in dealt.column("body"):
-            words, sizes, context, row = _unzip(body.as_py())
-            p, count = scorer(words, sizes, context)
-            docs_of, at = np.unique(row, return_inverse=True)
-            base = np.log10((count + 1) / (prior.tokens + prior.words + 1))
-            out.append(_zip(docs_of, np.bincount(at, weights=np.log10(p)).view(np.uint64), np.bincount(at, weights=base).view(np.uint64),
-                            _narrow(np.bincount(at, weights=count > 0).astype(np.int64))))
-        return pa.table({"slice": dealt.column("slice"), "body": pa.array(out, pa.binary()), "ids": dealt.column("ids")})
+            return dealt.add_column(0, "at", pa.array([-1] * dealt.num_rows, pa.int32()))
+        state, _, answered = _met(seats)
+        scorer = _scorer(state, answered, prior, totals)
+        places, numbers, out = [], [], []
+        for number, body in zip(dealt.column("slice").to_pylist(), dealt.column("body"), strict=True):
+            words, sizes, contexts, code, row = _unzip(body.as_py())
+            p, count, is_open, parents = scorer(words, sizes, contexts, code)
+            places.append(-1)
+            out.append(summed(row, p, np.log10((count + 1) / (prior.tokens + prior.words + 1)), count > 0))
+            context, row = contexts[code[is_open]], row[is_open]
+            place = _place(context, n)
+            for k in np.unique(place).tolist():
+                own = place == k
+                places.append(k)
+                out.append(_zip(context[own], row[own], *[x[own].view(np.uint64) for x in parents]))
+            numbers += [number] * (len(out) - len(numbers))
+        return pa.table([pa.array(places, pa.int32()), pa.array(numbers, pa.int64()), pa.array(out, pa.binary()), pa.nulls(len(out), pa_ids)],
+                        part_schema.names)
+
+    def closed(key, known: pa.Table, rows: pa.Table) -> pa.Table:
+        """Parts of the open tokens, by their contexts' totals."""
+        met = [x.astype(np.int64) if i else x for i, x in enumerate(_unzip(known.column("body")[0].as_py()))] if known.num_rows else [
+            np.zeros(0, np.uint64 if not i else np.int64) for i in range(2 + len(totals))]
+        of_contexts, out = [np.append(x, 0) for x in met[1:]], []
+        for body in rows.column("body"):
+            context, row, *parents = _unzip(body.as_py())
+            u = _find(met[0], context)
+            p = sum(context_probability(prior, of_contexts[0][u], tables[u], 0, parent.view(np.float64))
+                    for tables, parent in zip(of_contexts[1:], parents, strict=True)) / len(parents)
+            out.append(summed(row, p, np.zeros(len(p)), np.zeros(len(p))))
+        return pa.table([pa.array([-1] * len(out), pa.int32()), rows.column("slice"), pa.array(out, pa.binary()), pa.nulls(len(out), pa_ids)],
+                        part_schema.names)
 
     result = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
                            T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()),
@@ -520,8 +623,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                          pa.array(np.full(len(ids), prior.tokens)), pa.array(base), pa.array(own)], result.names)
 
     dealt = docs.select("doc_id", "text", "held_out").mapInArrow(deal, dealt_schema)
-    parts = model.states.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(part, part_schema)
-    return parts.groupBy("slice").applyInArrow(whole, result)
+    seats = model.states.select("bucket", F.lit(STATE).alias("at"), "body").union(
+        model.contexts.where("bucket >= 0").select("bucket", "at", "body"))
+    parts = saved(seats.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInArrow(part, part_schema), "parts")
+    by_range = model.contexts.where("bucket = -1").select("at", "body")
+    rest = by_range.groupBy("at").cogroup(parts.where("at >= 0").groupBy("at")).applyInArrow(closed, part_schema)
+    return parts.where("at < 0").union(rest).drop("at").groupBy("slice").applyInArrow(whole, result)
 
 
 def split(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held: int = 2) -> DataFrame:

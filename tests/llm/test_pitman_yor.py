@@ -151,3 +151,22 @@ def test_tables_of_few_customers_follow_the_exact_posterior():
             assert got[t] / n == pytest.approx(p, abs=4 * math.sqrt(p / n) + 1e-4)
     many = py.draw_tables(np.random.default_rng(0), np.array([9, 1000, 10**6]), np.full(3, others), np.full(3, parent), d)
     assert (many >= 1).all() and many[2] < 200
+
+
+def test_each_context_has_its_own_restaurant():
+    """More contexts than 64 x 1024, all with the same last letter."""
+    words = pa.array([f"{i}e" for i in range(100_000)])
+    assert len(np.unique(py._named(words)[1])) == len(words)
+
+
+def test_contexts_of_one_ending_keep_their_own_words(spark):
+    """Each of 4,000 contexts ending in e is always followed by the same one
+    of two words, and only their own counts tell which."""
+    rows = [(i, f"{i % 4000}e {'even' if i % 2 == 0 else 'odd'}") for i in range(16_000)]
+    train = spark.createDataFrame([(*r, False) for r in rows], "doc_id bigint, text string, held_out boolean")
+    probe = spark.createDataFrame([(2 * i + (i % 2 != j), f"{i}e {w}", True) for i in range(400) for j, w in enumerate(("even", "odd"))],
+                                  "doc_id bigint, text string, held_out boolean")  # an even id: the right word
+    model = py.train(train)
+    assert sum(len(py._unzip(r.body)[0]) for r in model.contexts.where("bucket = -1").collect()) == 4003
+    out = {r.doc_id: r.score for r in py.score(probe, model).collect()}
+    assert all(out[2 * i] > out[2 * i + 1] + 0.5 for i in range(400))
