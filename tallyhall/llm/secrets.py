@@ -10,8 +10,13 @@ its stratum's cutoff.
 
 The cutoff controls false discoveries by length: each candidate has a decoy,
 letters of the same document outside its candidates and of the same length,
-put to the same tests.  In each length stratum the lowest cutoff is taken at which decoys
-that pass are at most ``fdr`` of the candidates that pass.
+put to the same tests.  Each distinct pair of candidate and decoy counts once in its
+length stratum, however many documents hold it.  In each stratum the lowest cutoff is
+taken at which decoys that pass are at most ``fdr`` of the candidates that pass.  Where no
+cutoff is (too few candidates pass), the candidates' p-values against a fixed null of
+non-secret strings are put to the Benjamini-Hochberg rule, which holds for any number of
+candidates; and a stratum in which fewer than 1 / ``fdr`` candidates and no decoy pass at
+the cutoff of the next shorter stratum that has one may borrow it.
 
 Only DataFrame and SQL functions run here.  Positions are code points.
 """
@@ -32,6 +37,11 @@ HEX = r"[0-9a-f]{32,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 CUTOFFS = (0.001, 0.01, 0.05, 0.1, 0.2, 0.5)
 FDR = 0.05
+# How many of NULL_SIZE fixed strings of common words and numbers, none of
+# them a secret, pass at each cutoff, by stratum; tests/llm/test_secrets.py
+# makes the strings and counts them again.
+NULL_SIZE = 4000
+NULL_PASSED = ((1725, 1206, 781, 558, 380, 106), (527, 251, 119, 64, 31, 6), (5, 0, 0, 0, 0, 0), (0, 0, 0, 0, 0, 0))
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -104,20 +114,33 @@ def _random(flagged: DataFrame, base: DataFrame, fdr: float) -> DataFrame:
     pairs = free.join(letters, "doc_key").select("doc_key", "kind", "start", "stop", "value", decoy.alias("decoy"),
                                                  F.least(F.floor(F.log2(n / 16)), F.lit(3)).alias("stratum"))
     tried = saved(_battery(_battery(pairs, "value", "p"), "decoy", "p_decoy")
-                  .select("doc_key", "kind", "start", "stop", "stratum", "p", "p_decoy"), "randomness")
-    per = tried.select("stratum", "p", "p_decoy", F.explode(F.array(*map(F.lit, CUTOFFS))).alias("cutoff")).groupBy("stratum", "cutoff").agg(
-        F.count_if(F.col("p") >= F.col("cutoff")).alias("passed"), F.count_if(F.col("p_decoy") >= F.col("cutoff")).alias("decoys"))
-    best = per.where((F.col("decoys") + 1) <= fdr * F.col("passed")).groupBy("stratum").agg(F.min("cutoff").alias("cutoff"))
+                  .select("doc_key", "kind", "start", "stop", "stratum", "p", "p_decoy", F.xxhash64("value", "decoy").alias("pair")), "randomness")
+    best = _cutoffs(tried.dropDuplicates(["stratum", "pair"]), fdr)
     return tried.join(F.broadcast(best), "stratum").where("p >= cutoff").select("doc_key", "kind", "start", "stop")  # 4 strata
 
 
+def _cutoffs(pairs: DataFrame, fdr: float) -> DataFrame:
+    """Rows (stratum, cutoff) of the strata that have one, from the distinct
+    pairs (stratum, p, p_decoy)."""
+    per = pairs.select("stratum", "p", "p_decoy", F.posexplode(F.array(*map(F.lit, CUTOFFS))).alias("i", "cutoff")).groupBy("stratum", "i", "cutoff").agg(
+        F.count("*").alias("tested"), F.count_if(F.col("p") >= F.col("cutoff")).alias("passed"),
+        F.count_if(F.col("p_decoy") >= F.col("cutoff")).alias("decoys"))
+    null = F.array(*[F.array(*[F.lit((x + 1) / (NULL_SIZE + 1)) for x in row]) for row in NULL_PASSED])[F.col("stratum")][F.col("i")]
+    passed, cutoff = fdr * F.col("passed"), F.col("cutoff")
+    rules = per.groupBy("stratum").agg(F.min(F.when(F.col("decoys") + 1 <= passed, cutoff)).alias("own"),
+                                       F.min(F.when(F.col("tested") * null <= passed, cutoff)).alias("by_null"),
+                                       F.collect_set(F.when((passed < 1) & (F.col("decoys") == 0), cutoff)).alias("rare"))
+    shorter = F.last("own", ignorenulls=True).over(Window.orderBy("stratum").rowsBetween(Window.unboundedPreceding, -1))  # 4 rows
+    rules = rules.withColumn("shorter", shorter).withColumn("borrowed", F.expr("if(array_contains(rare, shorter), shorter, null)"))
+    return rules.select("stratum", F.coalesce("own", F.least("by_null", "borrowed")).alias("cutoff")).where("cutoff is not null")
+
+
 def spans(docs: DataFrame, fdr: float = FDR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_key, kind, start, stop) of every secret; ``doc_key`` is
     xxhash64 of id and text, so repeated rows share theirs.
 
-    Null and empty texts have none.  A stratum with too few candidates for
-    ``fdr`` (fewer than 1 / fdr that pass) reports no random span; the base
-    spans never depend on it."""
+    Null and empty texts have none.  The base spans never depend on ``fdr``
+    or on other documents."""
     text = F.col("text")
     assign = (text.contains(":") | text.contains("=")) & text.rlike(ASSIGN)
     some = assign | (text.contains("AKIA") & text.rlike(ACCESS)) | text.rlike(HEX) | (text.rlike("[0-9]") & text.rlike(CANDIDATE))

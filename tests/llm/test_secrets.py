@@ -141,3 +141,73 @@ def test_redaction(spark):
 
 def test_no_python_in_the_plan(spark):
     assert not re.search("Python|Pandas|MapInArrow", secrets.op8_secret_scan(spark, MID)._jdf.queryExecution().toString())
+
+
+WORDS = ("the of and to in for is on that by this with you it not or be are from at as your all have new more an was we will home can us about if page my has "
+         "search free but our one other do no information time they site he up may what which their news out use any there see only so his when contact here "
+         "business who web also now help get view online first been would how were services some these click its like service than find price date back top "
+         "people list name just over state year day into email two health world next used go work last most products music buy data make them should product").split()
+
+
+def non_secrets(s, n):
+    """Strings of the stratum made of words and numbers in five styles."""
+    rng = random.Random(s)
+    for i in range(n):
+        size, style, parts = rng.randint(max(20, 16 << s), (32 << s) - 1), i % 5, []
+        while len("_".join(parts)) < size:
+            w = rng.choice(WORDS)
+            if rng.random() < .15:
+                w = str(rng.choice([rng.randint(1, 99), rng.randint(1990, 2030)]))
+            parts.append(w.capitalize() if style == 1 or (style == 4 and rng.random() < .3) else w)
+        x = ["", "", "_", "-", "/"][style].join(parts)
+        while len(x) < size:
+            x += rng.choice(WORDS)
+        x = x[:size]
+        yield x if re.search("[0-9]", x) else x[:-1] + str(rng.randint(0, 9))
+
+
+def test_the_fixed_null():
+    for s, row in enumerate(secrets.NULL_PASSED):
+        p = [p_value(x) for x in non_secrets(s, secrets.NULL_SIZE)]
+        assert tuple(sum(x >= c for x in p) for c in secrets.CUTOFFS) == row
+
+
+def key(rng, size, least=0.5):
+    while True:
+        k = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(size))
+        if re.search("[0-9]", k) and p_value(k) >= least:
+            return k
+
+
+def found(spark, path, rows):
+    return {r[0]: r[-1] for r in run(spark, write_tables(path, edge_docs(spark, rows)))}
+
+
+@pytest.mark.parametrize("size", [24, 40, 90, 200])
+def test_one_key_in_a_small_table(spark, tmp_path, size):
+    rows = [(1, f"use {key(random.Random(size), size)} here"), (2, "no key is here"), (3, "see 2019/report/of/the/year/and/page here")]
+    got = found(spark, tmp_path, rows)
+    assert got == {1: f"random:4:{4 + size}", 2: "", 3: ""} if size > 32 else got[2] == got[3] == "" and "random" in got[1]
+
+
+def test_copies_count_once(spark, tmp_path):
+    """Thousands of copies of a text neither silence a stratum by their one
+    decoy nor lower its cutoff by their one candidate."""
+    docs = random_docs()
+    rng = random.Random(11)
+    plain = next(x for x in non_secrets(1, 4000) if 0.001 <= p_value(x) < 0.01)
+    decoy = key(rng, 40).translate(str.maketrans("0123456789+/", "abcdefghijkl"))
+    while p_value(decoy) < 0.5:
+        decoy = key(rng, 40).translate(str.maketrans("0123456789+/", "abcdefghijkl"))
+    alone = found(spark, tmp_path / "a", docs)
+    group = [(10_000 + i, f"{decoy[:19]} {decoy[19:38]} {decoy[38:]} {'12' * 20}") for i in range(3000)]
+    got = found(spark, tmp_path / "b", docs + group)
+    assert {d: got[d] for d, _ in docs} == alone
+    low = [(20_000 + i, f"ordinary words {plain} follow here") for i in range(3000)]
+    assert not any("random" in x for x in found(spark, tmp_path / "c", low).values())
+
+
+def test_a_rare_length_in_a_big_table_is_found(spark, tmp_path):
+    docs = [d for d in random_docs() if len(d[1].split()[2]) < 65]
+    k = key(random.Random(3), 150, 0.05)
+    assert "random:4:154" in found(spark, tmp_path, [*docs, (9999, f"use {k} here")])[9999]
