@@ -260,6 +260,16 @@ def sweep(r: Restaurants, prior: Prior, of_contexts: np.ndarray, totals: np.ndar
     r.tables[2] = draw_tables(rng, roots, totals[2] - r.tables[2], flat, prior.discount[2])
 
 
+def sweeps(r: Restaurants, prior: Prior, of_contexts: np.ndarray, totals: np.ndarray, rngs):
+    """A sweep for each generator, yielding after each.  The bucket's own
+    tables in the totals move with it; the others' stay as they were."""
+    for rng in rngs:
+        own, upper = r.by_context(r.tables[0]), r.totals()
+        sweep(r, prior, of_contexts, totals, rng)
+        of_contexts, totals = of_contexts + r.by_context(r.tables[0]) - own, totals + r.totals() - upper
+        yield
+
+
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Numbers of the keys, len(keys) for a key that is not there."""
     at = np.searchsorted(keys, wanted)
@@ -442,8 +452,8 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
     def burn(key, group):
         number, (body, _, answered) = key[0].as_py(), _met(group)
         r = _load(body)
-        for i in range(burn_in):
-            sweep(r, prior, answered[0], start, np.random.default_rng([seed, 0, i, number]))
+        for _ in sweeps(r, prior, answered[0], start, [np.random.default_rng([seed, 0, i, number]) for i in range(burn_in)]):
+            pass
         return _rows([_row(number, TABLES, _zip(*map(_narrow, r.tables)), r.totals()),
                       *_questions(number, r, [r.by_context(r.tables[0])], n)])
 
@@ -463,8 +473,7 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
         r = _load(body)
         r.tables = [x.astype(np.int64) for x in _unzip(tables)]
         seatings, totals = [], []
-        for i in range(samples):
-            sweep(r, prior, answered[0], warm, np.random.default_rng([seed, 1, i, number]))
+        for _ in sweeps(r, prior, answered[0], warm, [np.random.default_rng([seed, 1, i, number]) for i in range(samples)]):
             seatings.append(r.tables)
             r.tables = list(r.tables)
             totals.append(r.totals())

@@ -170,3 +170,23 @@ def test_contexts_of_one_ending_keep_their_own_words(spark):
     assert sum(len(py._unzip(r.body)[0]) for r in model.contexts.where("bucket = -1").collect()) == 4003
     out = {r.doc_id: r.score for r in py.score(probe, model).collect()}
     assert all(out[2 * i] > out[2 * i + 1] + 0.5 for i in range(400))
+
+
+def test_later_sweeps_take_off_the_tables_that_were_counted(monkeypatch):
+    rng = np.random.default_rng(4)
+    word, context, count = py.pair_counts(rng.integers(0, 30, 900).astype(np.uint64), rng.integers(0, 40, 900).astype(np.uint64),
+                                          rng.integers(1, 30, 900))
+    starts = py._runs(word)
+    r = py.Restaurants(word[starts], py._sizes(starts, len(word)), *py._coded(context), count)
+    away, seen, draw = 5, [], py.draw_tables  # tables of each context in other buckets
+
+    def spy(rng, customers, others, parent, d):
+        if len(customers) == len(word):
+            seen.append((others, r.by_context(r.tables[0])[r.at] - r.tables[0] + away))
+        return draw(rng, customers, others, parent, d)
+
+    monkeypatch.setattr(py, "draw_tables", spy)
+    prior = py.Prior((0.6, 0.6, 0.6), int(count.sum()), len(r.words))
+    for _ in py.sweeps(r, prior, r.by_context(r.tables[0]) + away, r.totals(), [np.random.default_rng(i) for i in range(4)]):
+        pass
+    assert len(seen) == 4 and all((got == want).all() for got, want in seen)
