@@ -45,6 +45,12 @@ def saved(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataF
     return spark.read.schema(schema or df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", null_as: str | None = "") -> DataFrame:
     """``doc_id`` and ``text`` only, whatever other columns ``df`` has."""
     text = F.col(text_col).cast("string")
