@@ -7,17 +7,25 @@ a member's and a child's gender), each with its own prefix.  Lookups are
 left joins, so a row survives a missing dimension; an address or officer
 lookup that has several rows for a key keeps all of them, and the counts
 downstream are distinct counts.
+
+``GRAPH`` says which lookup gives which column, and only those that the asked
+columns need are joined (:mod:`.lookups`).  Personal data is masked or left
+out unless it is asked for with ``personal=True``.
 """
 
 from __future__ import annotations
 
+from collections import ChainMap
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import address_line, site_name_fallback
-from .joins import dedupe_first, typed_parent
+from ..functions.text import address_line, mask_identity, site_name_fallback
+from .joins import dedupe_first
+from .lookups import Entity, Field, Graph, Link, first_of, same, text
 
-Source = dict[str, DataFrame]
+Source = Mapping[str, DataFrame]
 
 # The logical tables and their columns.
 TABLES: dict[str, str] = {
@@ -48,121 +56,178 @@ TABLES: dict[str, str] = {
 }
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: str, columns: dict[str, str], key: str = "id") -> DataFrame:
-    """Left lookup of ``columns`` (output name -> dimension column) where
-    ``dim.key`` equals ``df.on``; every match of a repeated key is kept."""
-    named = dim.select(F.col(key).alias("_key"), *[F.col(c).alias(o) for o, c in columns.items()])
-    return df.join(named, F.col(on) == F.col("_key"), "left").drop("_key")
-
-
-def _text(*columns: str) -> list[Column]:
-    """Descriptive columns: null becomes an empty text."""
-    return [F.coalesce(c, F.lit("")).alias(c) for c in columns]
+# Keys that a table has once at most.  A site may have several addresses and
+# a user several officer roles, so those lookups always count.
+UNIQUE = frozenset([
+    "events.event_id", "site_profiles.site_id", "organizations.org_id",
+    *(f"{t}.id" for t in ("categories", "subcategories", "programs", "methods", "profiles", "master", "members", "under12", "genders",
+                          "races", "states", "parliaments", "duns", "phases", "zones", "technologies", "bandwidths", "districts",
+                          "home_sites"))])
+
+PROFILE_LINKS = {
+    "tp": Link("organizations", "org_id", "org_id", only=lambda: F.col("org_type") == "tp"),
+    "dusp": Link("organizations", "tp.parent_id", "org_id", only=lambda: F.col("org_type") == "dusp"),
+    "state": Link("states", "state_id"), "parliament": Link("parliaments", "parliament_id"), "dun": Link("duns", "dun_id"),
+    "phase": Link("phases", "phase_id"), "zone": Link("zones", "zone_id"), "technology": Link("technologies", "technology_id"),
+    "bandwidth": Link("bandwidths", "bandwidth_id")}
+PROFILE_FIELDS = {
+    "fullname": same("full_name"), "tp": same("tp.org_name"), "dusp": same("dusp.org_name"),
+    **{c: same(f"{c}.name") for c in ("state", "parliament", "dun", "phase", "zone", "technology")},
+    "backhaul": same("bandwidth.name"), "mini": same("is_mini"), "operation_status": same("remark")}
+ADDRESS_COLUMNS = ("district", "address", "postcode")
+SITE_COLUMNS = ["site_id", "refid", "refid_tp", "site_name", "fullname", "dusp", "tp", "state", "parliament", "dun", *ADDRESS_COLUMNS,
+                "phase", "zone", "technology", "backhaul", "latitude", "longitude", "mini", "operation_status"]
+SITE_OTHER = ("site_id", "latitude", "longitude", "mini")  # the rest are texts
+HOME_COLUMNS = ["refid", "standard_code", "site_name", "state", "tp", "phase", "parliament", "dun"]
+
+
+def site_role(column: str) -> str:
+    """A site column's name in the role of the event's site."""
+    return "event_site_name" if column == "site_name" else f"event_site_{column}"
+
+
+EVENT_COLUMNS = ["category_name", "pillar_name", "sub_pillar_name", "deeper_sub_pillar", "program_name", "program_method", "event_start",
+                 "event_startdate", "event_end", "event_created_at", "event_created_by_name", "event_created_by_type", "subcategory_id",
+                 "requester_id"]
+CONTACT_COLUMNS = ("mobile_no", "email", "dob", "under12_phone")
+PARTICIPANT_COLUMNS = ["participant_id", "event_id", "attendance", "verified", "new_member", "member_id", "under12_id", "participant_type",
+                       "participant_name", "identity_no", "mobile_no", "email", "dob", "age", "join_date", "gender", "gender_name", "race",
+                       "oku_status", "education_level", "income_range", "nationality_id", "membership", "registration", "under12_name",
+                       "under12_phone", "under12_gender", *(f"home_{c}" for c in HOME_COLUMNS), "event_site_id"]
+FACT_COLUMNS = [*PARTICIPANT_COLUMNS[:2], *EVENT_COLUMNS, *PARTICIPANT_COLUMNS[2:],
+                *(site_role(c) for c in SITE_COLUMNS if c != "site_id")]
+
+
+def participant_type(member: str | Column = "member_id", under12: str | Column = "under12_id") -> Column:
+    member, under12 = (F.col(c) if isinstance(c, str) else c for c in (member, under12))
+    return F.when(member.isNotNull(), "Member").when(under12.isNotNull(), "Under 12").otherwise("Unknown")
+
+
+def officer_type_of(creator_type: Column, officer_type: Column) -> Column:
+    """The officer's type shows only for creators of type ``sso_admin``."""
+    return F.when(creator_type == "sso_admin", officer_type)
+
+
+EVENT_FIELDS = {
+    "category_name": text("category.name"), "pillar_name": text("subcategory.name"), "sub_pillar_name": text("program.name"),
+    "deeper_sub_pillar": Field(("creator.user_type", "officer.officer_type"), officer_type_of),
+    "program_name": first_of("program_name", "program.name", default=""), "program_method": text("method.name"),
+    "event_startdate": Field(("event_start",), F.to_date), "event_lastdate": Field(("event_end",), F.to_date),
+    "event_created_at": same("created_at"), "event_created_by_name": text("creator.full_name"),
+    "event_created_by_type": text("creator.user_type"),
+    # The taxonomy extract: by the event's own keys, or by way of the program.
+    "event_category": text("category.name"), "program_module": text("subcategory.name"), "program": text("program.name"),
+    "by_program_module": text("by_program.name"), "by_program_category": text("by_program.category"),
+    "event_description": text("description")}
+EVENT_LINKS = {
+    "category": Link("categories", "category_id"), "subcategory": Link("subcategories", "subcategory_id"),
+    "program": Link("programs", "program_id"), "method": Link("methods", "method_id"), "creator": Link("profiles", "created_by"),
+    "officer": Link("officer", "created_by", "user_id"), "by_program": Link("module", "program.subcategory_id")}
+
+PARTICIPANT_FIELDS = {
+    "participant_type": Field(("member_id", "under12_id"), participant_type),
+    "participant_name": first_of("member.full_name", "child.full_name"),
+    "identity_no": same("member.identity_no"), "mobile_no": text("member.mobile_no"), "email": text("member.email"),
+    **{c: same(f"member.{c}") for c in ("dob", "age", "join_date")},
+    "gender": text("member.gender"), "gender_name": text("shown_gender.name"), "race": text("member.race"),
+    "oku_status": first_of("member.oku_status", default="false"),
+    **{c: text(f"member.{c}") for c in ("education_level", "income_range", "nationality_id", "membership", "registration")},
+    "under12_name": text("child.full_name"), "under12_phone": text("child.mobile_no"), "under12_gender": text("child.gender"),
+    **{f"home_{c}": text(f"member.home_{c}") for c in HOME_COLUMNS}, "event_site_id": same("site_id")}
+PARTICIPANT_LINKS = {
+    "member": Link("member", "member_id"), "child": Link("child", "under12_id"),
+    # The gender that a report shows is the member's, else the child's: a computed key.
+    "shown_gender": Link("genders", Field(("member.gender_id", "child.gender_id"), F.coalesce))}
+
+GRAPH = Graph({
+    "profile": Entity("site_profiles", PROFILE_FIELDS, PROFILE_LINKS),
+    "address": Entity("addresses", {"district": same("area.name"), "address": Field(("address1", "address2"), address_line)},
+                      {"area": Link("districts", "district_id")}),
+    "site": Entity("site_profiles", {**PROFILE_FIELDS, **{c: same(f"address.{c}") for c in ADDRESS_COLUMNS}},
+                   {**PROFILE_LINKS, "address": Link("address", "site_id", "site_id")}),
+    "home": Entity("home_sites", {"refid": text("refid"), "standard_code": text("standard_code"),
+                                  "site_name": Field(("profile.site_name", "id"), site_name_fallback),
+                                  **{c: text(f"profile.{c}") for c in ("state", "tp", "phase", "parliament", "dun")}},
+                   {"profile": Link("profile", "site_id", "site_id")}),
+    "module": Entity("subcategories", {"category": same("category.name")}, {"category": Link("categories", "category_id")}),
+    "officer": Entity("officers", {"officer_type": same("kind.name")}, {"kind": Link("master", "master_id")}),
+    "event": Entity("events", EVENT_FIELDS, EVENT_LINKS),
+    "member": Entity("members", {"gender": same("gender.name"), "race": same("race.name"), **{f"home_{c}": same(f"home.{c}") for c in HOME_COLUMNS}},
+                     {"gender": Link("genders", "gender_id"), "race": Link("races", "race_id"), "home": Link("home", "home_site_id")}),
+    "child": Entity("under12", {"gender": same("gender.name")}, {"gender": Link("genders", "gender_id")}),
+    "participant": Entity("participants", PARTICIPANT_FIELDS, PARTICIPANT_LINKS),
+    "fact": Entity("participants", {
+        **PARTICIPANT_FIELDS, **{c: same(f"event.{c}") for c in [*EVENT_COLUMNS, "status_id"]},
+        **{site_role(c): same(f"site.{c}") if c in SITE_OTHER else text(f"site.{c}") for c in SITE_COLUMNS if c != "site_id"}},
+        {"event": Link("event", "event_id", "event_id", how="inner"), **PARTICIPANT_LINKS, "site": Link("site", "site_id", "site_id")}),
+})
+
+
+def _discreet(df: DataFrame, personal: bool) -> DataFrame:
+    """Identity numbers masked, unless personal data was asked for."""
+    if personal or "identity_no" not in df.columns:
+        return df
+    return df.withColumn("identity_no", mask_identity("identity_no"))
+
+
+def _shown(columns: Iterable[str], personal: bool) -> list[str]:
+    return [c for c in columns if personal or c not in CONTACT_COLUMNS]
 
 
 def address_lookup(sites: DataFrame, addresses: DataFrame, districts: DataFrame, trim: bool = True) -> DataFrame:
     """Sites with district, address and postcode, one row per address; a
     site without an address has one row."""
-    a = lookup(addresses, districts, "district_id", {"district": "name"})
-    a = a.select("site_id", "district", address_line("address1", "address2", trim).alias("address"), "postcode")
+    one = GRAPH.extended("address", {"address": Field(("address1", "address2"), lambda a, b: address_line(a, b, trim))})
+    a = one.plan({"addresses": addresses, "districts": districts}, "address", ["site_id", *ADDRESS_COLUMNS], UNIQUE)
     return sites.join(a, "site_id", "left")
 
 
-def site_full(t: Source) -> DataFrame:
+def site_full(t: Source, columns: list[str] | None = None, graph: Graph = GRAPH, unique: Iterable[str] = UNIQUE) -> DataFrame:
     """Every site profile with its organisations, area, address and
     equipment."""
-    s = typed_parent(t["site_profiles"], t["organizations"], "org_id", "tp", "dusp")
-    for on, table, out in (("state_id", "states", "state"), ("parliament_id", "parliaments", "parliament"), ("dun_id", "duns", "dun"),
-                           ("phase_id", "phases", "phase"), ("zone_id", "zones", "zone"),
-                           ("technology_id", "technologies", "technology"), ("bandwidth_id", "bandwidths", "backhaul")):
-        s = lookup(s, t[table], on, {out: "name"})
-    s = address_lookup(s, t["addresses"], t["districts"])
-    return s.select("site_id", "refid", "refid_tp", "site_name", F.col("full_name").alias("fullname"),
-                    F.col("dusp_name").alias("dusp"), F.col("tp_name").alias("tp"), "state", "parliament", "dun", "district",
-                    "address", "postcode", "phase", "zone", "technology", "backhaul", "latitude", "longitude",
-                    F.col("is_mini").alias("mini"), F.col("remark").alias("operation_status"))
-
-
-def event_taxonomy(t: Source) -> DataFrame:
-    """One row per event: category, module and program by way of the
-    program, names never null, start and last date."""
-    e = lookup(t["events"], t["programs"], "program_id", {"_program": "name", "_sub": "subcategory_id"})
-    e = lookup(e, t["subcategories"], "_sub", {"_module": "name", "_cat": "category_id"})
-    e = lookup(e, t["categories"], "_cat", {"_category": "name"})
-    e = lookup(e, t["methods"], "method_id", {"_method": "name"})
-    none = F.lit("")
-    return e.select("event_id", F.coalesce("_category", none).alias("event_category"), F.coalesce("_module", none).alias("program_module"),
-                    F.coalesce("_program", none).alias("program"), F.coalesce("program_name", "_program", none).alias("program_name"),
-                    F.to_date("event_start").alias("event_startdate"), F.to_date("event_end").alias("event_lastdate"),
-                    F.coalesce("_method", none).alias("program_method"), F.coalesce("description", none).alias("event_description"),
-                    "requester_id").distinct()
-
-
-def event_details(t: Source) -> DataFrame:
-    """Events with their own taxonomy ids resolved, and their creator; the
-    officer's type shows only for creators of type ``sso_admin``."""
-    e = t["events"]
-    for on, table, out in (("category_id", "categories", "category_name"), ("subcategory_id", "subcategories", "pillar_name"),
-                           ("program_id", "programs", "sub_pillar_name"), ("method_id", "methods", "program_method")):
-        e = lookup(e, t[table], on, {out: "name"})
-    e = lookup(e, t["profiles"], "created_by", {"created_by_name": "full_name", "created_by_type": "user_type"})
-    officers = lookup(t["officers"], t["master"], "master_id", {"officer_type": "name"})
-    e = lookup(e, officers, "created_by", {"officer_type": "officer_type"}, key="user_id")
-    return e.select("event_id", *_text("category_name", "pillar_name", "sub_pillar_name"),
-                    F.when(F.col("created_by_type") == "sso_admin", F.col("officer_type")).alias("deeper_sub_pillar"),
-                    F.coalesce("program_name", "sub_pillar_name", F.lit("")).alias("program_name"), *_text("program_method"),
-                    "event_start", F.to_date("event_start").alias("event_startdate"), "event_end", F.col("created_at").alias("event_created_at"),
-                    F.coalesce("created_by_name", F.lit("")).alias("event_created_by_name"),
-                    F.coalesce("created_by_type", F.lit("")).alias("event_created_by_type"), "subcategory_id", "requester_id")
-
-
-def participant_type(member: str = "member_id", under12: str = "under12_id") -> Column:
-    return F.when(F.col(member).isNotNull(), "Member").when(F.col(under12).isNotNull(), "Under 12").otherwise("Unknown")
-
-
-def home_sites(t: Source) -> DataFrame:
+    return graph.plan(t, "site", columns or SITE_COLUMNS, unique)
+
+
+def event_taxonomy(t: Source, by: str = "program", columns: list[str] | None = None, graph: Graph = GRAPH,
+                   unique: Iterable[str] = UNIQUE) -> DataFrame:
+    """One row per event: category, module and program, names never null,
+    start and last date.  Category and module are those of the program
+    (``by="program"``) or of the event's own keys (``by="event"``)."""
+    out = columns or ["event_id", "event_category", "program_module", "program", "program_name", "event_startdate", "event_lastdate",
+                      "program_method", "event_description", "requester_id"]
+    via = {"event_category": "by_program_category", "program_module": "by_program_module"} if by == "program" else {}
+    df = graph.plan(t, "event", [via.get(c, c) for c in out], unique)
+    return df.withColumnsRenamed({v: c for c, v in via.items()}).distinct()
+
+
+def event_details(t: Source, columns: list[str] | None = None, graph: Graph = GRAPH, unique: Iterable[str] = UNIQUE) -> DataFrame:
+    """Events with their own taxonomy ids resolved, and their creator."""
+    return graph.plan(t, "event", columns or ["event_id", *EVENT_COLUMNS], unique)
+
+
+def home_sites(t: Source, graph: Graph = GRAPH, unique: Iterable[str] = UNIQUE) -> DataFrame:
     """Members' registered sites, by id."""
-    s = site_full({**t, "addresses": t["addresses"].limit(0)})
-    h = t["home_sites"].join(s.withColumnsRenamed({"refid": "_profile_refid"}), "site_id", "left")
-    return h.select("id", *_text("refid", "standard_code"), site_name_fallback(F.col("site_name"), F.col("id")).alias("site_name"),
-                    *_text("state", "tp", "phase", "parliament", "dun"))
+    return graph.plan(t, "home", ["id", *HOME_COLUMNS], unique)
 
 
-def participant_details(t: Source) -> DataFrame:
+def participant_details(t: Source, columns: list[str] | None = None, personal: bool = False, graph: Graph = GRAPH,
+                        unique: Iterable[str] = UNIQUE) -> DataFrame:
     """Participants with member, child and home site; a gender in either
     role, and the one that a report shows (the member's, else the child's)."""
-    m = t["members"].withColumnsRenamed({"full_name": "_member_name", "gender_id": "_member_gender", "mobile_no": "_member_mobile"})
-    m = lookup(m, t["races"], "race_id", {"race": "name"})
-    m = lookup(m, t["genders"], "_member_gender", {"gender": "name"})
-    h = home_sites(t)
-    m = lookup(m, h, "home_site_id", {f"home_{c}": c for c in h.columns if c != "id"})
-    u = t["under12"].select(F.col("id").alias("_u12"), F.col("full_name").alias("_u12_name"), F.col("mobile_no").alias("_u12_mobile"),
-                            F.col("gender_id").alias("_u12_gender"))
-    u = lookup(u, t["genders"], "_u12_gender", {"_u12_gender_name": "name"})
-    p = t["participants"].join(m, F.col("member_id") == m["id"], "left").join(u, F.col("under12_id") == F.col("_u12"), "left")
-    home = [c for c in m.columns if c.startswith("home_") and c != "home_site_id"]
-    return p.select("participant_id", "event_id", "attendance", "verified", "new_member", "member_id", "under12_id",
-                    participant_type().alias("participant_type"), F.coalesce("_member_name", "_u12_name").alias("participant_name"),
-                    "identity_no", F.coalesce("_member_mobile", F.lit("")).alias("mobile_no"), *_text("email"), "dob", "age", "join_date",
-                    F.coalesce("gender", F.lit("")).alias("gender"), F.coalesce("gender", "_u12_gender_name", F.lit("")).alias("gender_name"),
-                    *_text("race"), F.coalesce("oku_status", F.lit("false")).alias("oku_status"),
-                    *_text("education_level", "income_range", "nationality_id", "membership", "registration"),
-                    F.coalesce("_u12_name", F.lit("")).alias("under12_name"), F.coalesce("_u12_mobile", F.lit("")).alias("under12_phone"),
-                    F.coalesce("_u12_gender_name", F.lit("")).alias("under12_gender"),
-                    *[F.coalesce(c, F.lit("")).alias(c) for c in home], F.col("site_id").alias("event_site_id"))
-
-
-def build_fact(t: Source, excluded_events: DataFrame | None = None) -> DataFrame:
+    return _discreet(graph.plan(t, "participant", columns or _shown(PARTICIPANT_COLUMNS, personal), unique), personal)
+
+
+def build_fact(t: Source, columns: list[str] | None = None, excluded_events: DataFrame | None = None, personal: bool = False,
+               graph: Graph = GRAPH, unique: Iterable[str] = UNIQUE) -> DataFrame:
     """Events joined with their participants (inner), with the event's site
-    under the prefix ``event_site_`` and the member's under ``home_``."""
-    e = event_details(t)
+    under the prefix ``event_site_`` and the member's under ``home_``.
+
+    Only the lookups that ``columns`` need are planned, besides those that
+    may multiply rows.  The join's exchanges stay with the planner, so a hot
+    event's partition can be split."""
     if excluded_events is not None:
-        e = e.join(excluded_events.select("event_id"), "event_id", "left_anti")
-    s = site_full(t)
-    s = s.select(*[F.col(c).alias("event_site_id" if c == "site_id" else f"event_site_{c}") for c in s.columns])
-    out = e.join(participant_details(t), "event_id", "inner").join(s, "event_site_id", "left")
-    texts = [f for f, kind in s.dtypes if kind == "string"]
-    return out.select(*[F.coalesce(c, F.lit("")).alias(c) if c in texts else F.col(c) for c in out.columns])
+        t = ChainMap({"events": t["events"].join(excluded_events.select("event_id"), "event_id", "left_anti")}, t)
+    return _discreet(graph.plan(t, "fact", columns or _shown(FACT_COLUMNS, personal), unique), personal)
 
 
 def participants_with_events(participants: DataFrame, events: DataFrame, key: str = "event_id", order: list[str] | None = None) -> DataFrame:

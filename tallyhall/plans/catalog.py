@@ -90,7 +90,10 @@ def q_events_with_participants(spark, root):
 _FACT_OUT = [c for c in fx.FACT_COLUMNS if c not in ("event_start", "event_end")]
 
 
-@register("consolidated_fact", O.FACT_CTE + f"SELECT {', '.join(_FACT_OUT)} FROM fact")
+_MASKED = "CASE WHEN identity_no IS NOT NULL THEN substr(lpad(identity_no, 12, '0'), 1, 8) || '****' END"
+
+
+@register("consolidated_fact", O.FACT_CTE + f"SELECT {', '.join(f'{_MASKED} AS {c}' if c == 'identity_no' else c for c in _FACT_OUT)} FROM fact")
 def q_consolidated_fact(spark, root):
     return fx.fact(spark, root, _FACT_OUT)
 
@@ -225,7 +228,7 @@ SELECT participant_id, identity_no,
 FROM fact
 """)
 def q_masked_identity(spark, root):
-    f = _fact(spark, root, ["participant_id", "identity_no"])
+    f = fx.fact(spark, root, ["participant_id", "identity_no"], personal=True)
     return f.select("participant_id", "identity_no", mask_identity("identity_no").alias("identity_masked"))
 
 
@@ -861,15 +864,8 @@ LEFT JOIN subcat s ON s.subcategory_id = CAST(substr(o.o_orderpriority, 1, 1) AS
      + CASE o.o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 5 ELSE 8 END
 """)
 def q_event_taxonomy(spark, root):
-    ev = fx.events(spark, root)
-    dim = F.broadcast(fx.subcategory_dim(spark).select("subcategory_id", "category_name", "module"))
-    out = ev.join(dim, "subcategory_id", "left")
-    return out.select("event_id", F.coalesce("category_name", F.lit("")).alias("event_category"),
-                      F.coalesce("module", F.lit("")).alias("program_module"),
-                      F.coalesce("program", F.lit("")).alias("program"),
-                      F.to_date("event_start").alias("event_startdate"),
-                      F.to_date("event_end").alias("event_lastdate"),
-                      F.col("program_id").alias("requester_id"))
+    return fx.event_taxonomy(spark, root, ["event_id", "event_category", "program_module", "program", "event_startdate", "event_lastdate",
+                                           "requester_id"])
 
 
 @register("address_lookup", """

@@ -2,18 +2,24 @@
 
 Mapping (see FIXTURES.md): an order is an event, a line item is a
 participant row, a supplier is a site, nation/region are state/region and
-the tp -> dusp organisation hierarchy.  Participant rows only join the
-dimensions whose columns a query asks for, so a rollup over five columns
-never pays for the part or customer joins.
+the tp -> dusp organisation hierarchy.  ``Tables`` gives the test tables the
+logical names and columns, ``GRAPH`` is the library's lookup graph with the
+few places where these tables hold a fact elsewhere: a person's attributes
+stand in the participant row, the program, creator and home site come with
+the event's customer, the title with the participant's part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SUBCATEGORIES
 from ..functions.text import site_name_fallback
+from ..operators import fact as builder
+from ..operators.lookups import Field, Link, same, text
 from .readers import read_table
 
 # Status excluded in the fixture ('P' stands in for the cancelled ids).
@@ -31,16 +37,6 @@ FACT_COLUMNS = [
     "creator_type", "deeper_sub_pillar", "home_refid", "home_site_name", "home_state",
 ]
 
-_PART = {"program_name"}
-_SUB = {"category_name"}
-_CUST = {"program", "sub_pillar_name", "creator_type", "deeper_sub_pillar", "home_refid",
-         "home_site_name", "home_state"}
-_CUST_NATION = {"deeper_sub_pillar"}
-_EVENT_SITE = {"event_site_name", "event_site_state", "event_site_region", "event_site_tp",
-               "event_site_dusp", "event_site_phase"}
-_HOME_SITE = {"home_site_name", "home_state"}
-
-
 def subcategory_dim(spark: SparkSession) -> DataFrame:
     """The 13-row subcategory dimension (fixed size: safe to broadcast)."""
     return spark.createDataFrame(SUBCATEGORIES, "subcategory_id int, category_name string, "
@@ -63,31 +59,139 @@ def organizations(spark: SparkSession, root: str) -> DataFrame:
     return tp.unionByName(dusp)
 
 
+def _categories() -> list[str]:
+    return list(dict.fromkeys(cat for _, cat, _, _ in SUBCATEGORIES))
+
+
+def _subcategory() -> Column:
+    digit = F.substring("o_orderpriority", 1, 1).cast("int")
+    return digit + F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 5).otherwise(8)
+
+
+def _category_id(subcategory: Column) -> Column:
+    out = F.lit(None).cast("int")
+    for i, cat in enumerate(_categories()):
+        out = F.when(subcategory.isin(*[n for n, c, _, _ in SUBCATEGORIES if c == cat]), F.lit(i)).otherwise(out)
+    return out
+
+
+class Tables(Mapping[str, DataFrame]):
+    """The test tables by logical name, each made when it is asked for."""
+
+    def __init__(self, spark: SparkSession, root: str, excluded: tuple = ()):
+        self.spark, self.root, self.excluded = spark, root, excluded
+        self._made: dict[str, DataFrame] = {}
+
+    def _read(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.root, name)
+
+    def _refid(self, key: str) -> Column:
+        return F.concat(F.lit("S"), F.col(key).cast("string"))
+
+    def events(self) -> DataFrame:
+        o = self._read("orders")
+        if self.excluded:
+            o = o.where(~F.col("o_orderstatus").isin(*self.excluded))
+        return o.select(
+            F.col("o_orderkey").alias("event_id"), _category_id(_subcategory()).alias("category_id"), _subcategory().alias("subcategory_id"),
+            F.col("o_custkey").alias("program_id"), F.col("o_custkey").alias("requester_id"), F.col("o_orderdate").alias("event_start"),
+            F.col("o_orderdate").alias("event_end"), F.col("o_custkey").alias("created_by"), F.col("o_orderstatus").alias("status_id"),
+            F.col("o_orderpriority").alias("priority"))
+
+    def categories(self) -> DataFrame:
+        return self.spark.createDataFrame(list(enumerate(_categories())), "id int, name string")
+
+    def subcategories(self) -> DataFrame:
+        return self.spark.createDataFrame([(i, module, _categories().index(cat)) for i, cat, module, _ in SUBCATEGORIES],
+                                          "id int, name string, category_id int")
+
+    def participants(self) -> DataFrame:
+        member, under12 = F.col("l_linenumber") <= 5, F.col("l_linenumber") == 6
+        key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+        return self._read("lineitem").select(
+            key.alias("participant_id"), F.col("l_orderkey").alias("event_id"), (F.col("l_linestatus") == "F").alias("attendance"),
+            F.when(member, F.col("l_partkey")).alias("member_id"), F.when(under12, F.col("l_partkey")).alias("under12_id"),
+            F.col("l_suppkey").alias("site_id"), F.col("l_partkey").alias("part_id"), self._refid("l_suppkey").alias("refid"),
+            F.when(member | under12, F.concat(F.lit("Person#"), F.col("l_partkey").cast("string"))).alias("person"),
+            F.when(member, F.col("l_partkey").cast("string")).alias("identity_no"),
+            F.when(F.col("l_returnflag") == FIXTURE_WOMEN_FLAG, "Perempuan").otherwise("Lelaki").alias("gender"),
+            F.col("l_quantity").alias("age"), F.when(F.col("l_discount") == 0, "true").otherwise("false").alias("oku_status"))
+
+    def requesters(self) -> DataFrame:
+        # Home sites: customers are spread over the sites by key modulo the
+        # number of sites (a scalar subquery, evaluated once).
+        n_sites = self._read("supplier").select(F.count(F.lit(1)))
+        return self._read("customer").select(
+            F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation_id"),
+            F.when(F.col("c_acctbal") >= 0, "sso_admin").otherwise("member").alias("user_type"),
+            (F.col("c_custkey") % n_sites.scalar()).alias("home_site_id"))
+
+    def parts(self) -> DataFrame:
+        return self._read("part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+
+    def site_profiles(self) -> DataFrame:
+        balance = F.col("s_acctbal")
+        return self._read("supplier").select(
+            F.col("s_suppkey").alias("site_id"), self._refid("s_suppkey").alias("refid"),
+            site_name_fallback(F.col("s_name"), F.col("s_suppkey")).alias("site_name"), F.col("s_nationkey").cast("bigint").alias("org_id"),
+            F.col("s_nationkey").alias("state_id"),
+            F.when(balance < 0, "Phase 1").when(balance < 5000, "Phase 2").otherwise("Phase 3").alias("phase"))
+
+    def organizations(self) -> DataFrame:
+        return organizations(self.spark, self.root)
+
+    def states(self) -> DataFrame:
+        return self._read("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region_id"))
+
+    def regions(self) -> DataFrame:
+        return self._read("region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            if name not in self:
+                raise KeyError(name)
+            self._made[name] = getattr(self, name)()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(("events", "categories", "subcategories", "participants", "requesters", "parts", "site_profiles", "organizations",
+                     "states", "regions"))
+
+    def __len__(self) -> int:
+        return len(list(iter(self)))
+
+    def __contains__(self, name) -> bool:
+        return name in list(iter(self))
+
+
+_PLACES = {"region": Link("regions", "state.region_id")}
+_PLACE_FIELDS = {"region": same("region.name"), "phase": same("phase")}
+GRAPH = (
+    builder.GRAPH
+    .extended("profile", _PLACE_FIELDS, _PLACES)
+    .extended("site", _PLACE_FIELDS, _PLACES)
+    .extended("requesters", {"nation": same("nation.name"), "home_refid": Field(("home_site_id",), lambda k: F.concat(F.lit("S"), k.cast("string"))),
+                             "home_site_name": same("home.site_name"), "home_state": text("home.state")},
+              {"nation": Link("states", "nation_id"), "home": Link("profile", "home_site_id", "site_id")})
+    .extended("event", {"pillar_name": same("priority"), "sub_pillar_name": same("requester.segment"), "program": same("requester.segment"),
+                        "creator_type": same("requester.user_type"),
+                        "deeper_sub_pillar": Field(("requester.user_type", "requester.nation"), builder.officer_type_of),
+                        **{c: same(f"requester.{c}") for c in ("home_refid", "home_site_name", "home_state")}},
+              {"requester": Link("requesters", "requester_id")})
+    .extended("fact", {"participant_name": same("person"), "gender": same("gender"), "gender_name": same("gender"),
+                       **{c: same(c) for c in ("identity_no", "age", "oku_status")},
+                       "program_name": same("part.name"), "event_site_refid": same("refid"), "event_site_region": text("site.region"),
+                       **{c: same(f"event.{c}") for c in ("program", "creator_type", "home_refid", "home_site_name", "home_state")}},
+              {"part": Link("parts", "part_id")}))
+# These tables have no address and officer lookups, so none can repeat rows.
+UNIQUE = builder.UNIQUE | {"addresses.site_id", "officers.user_id", "requesters.id", "parts.id", "regions.id"}
+
+
 def sites(spark: SparkSession, root: str) -> DataFrame:
     """Site dimension: one row per site profile with its geography."""
-    sup = read_table(spark, root, "supplier")
-    nation = read_table(spark, root, "nation")
-    region = read_table(spark, root, "region")
-    orgs = organizations(spark, root)
-    tp = orgs.where(F.col("org_type") == "tp").select(
-        F.col("org_id").alias("tp_id"), F.col("org_name").alias("tp"), F.col("parent_id").alias("tp_parent"))
-    dusp = orgs.where(F.col("org_type") == "dusp").select(
-        F.col("org_id").alias("tp_parent"), F.col("org_name").alias("dusp"))
-    out = (sup.join(nation, sup.s_nationkey == nation.n_nationkey, "left")
-              .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
-              .join(tp, F.col("s_nationkey").cast("bigint") == F.col("tp_id"), "left")
-              .join(dusp, "tp_parent", "left"))
-    return out.select(
-        F.col("s_suppkey").alias("site_id"),
-        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("refid"),
-        site_name_fallback(F.col("s_name"), F.col("s_suppkey")).alias("site_name"),
-        F.coalesce(F.col("n_name"), F.lit("")).alias("state"),
-        F.coalesce(F.col("r_name"), F.lit("")).alias("region"),
-        F.coalesce(F.col("tp"), F.lit("")).alias("tp"),
-        F.coalesce(F.col("dusp"), F.lit("")).alias("dusp"),
-        F.when(F.col("s_acctbal") < 0, "Phase 1").when(F.col("s_acctbal") < 5000, "Phase 2")
-         .otherwise("Phase 3").alias("phase"),
-    )
+    columns = ["site_id", "refid", "site_name", "state", "region", "tp", "dusp", "phase"]
+    s = GRAPH.plan(Tables(spark, root), "profile", columns, UNIQUE)
+    return s.fillna("", subset=["state", "region", "tp", "dusp"])
 
 
 def addresses(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -134,100 +238,20 @@ def event_log(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, "events")
 
 
-def fact(spark: SparkSession, root: str, columns: list[str] | None = None,
-         excluded: tuple = FIXTURE_EXCLUDED) -> DataFrame:
-    """Consolidated participant-level fact (event x participant rows).
-
-    Inner join event x participant, then left lookups to the dimensions the
-    requested ``columns`` need.  Excluded statuses are filtered at the
-    orders scan (pushed down).
-    """
+def fact(spark: SparkSession, root: str, columns: list[str] | None = None, excluded: tuple = FIXTURE_EXCLUDED,
+         personal: bool = False) -> DataFrame:
+    """Consolidated participant-level fact (event x participant rows), by the
+    library's builder: inner join event x participant, then the lookups that
+    the requested ``columns`` need.  Excluded statuses are filtered at the
+    orders scan (pushed down); identity numbers are masked unless
+    ``personal``."""
     want = set(columns or FACT_COLUMNS)
     unknown = want - set(FACT_COLUMNS)
     if unknown:
         raise ValueError(f"unknown fact columns: {sorted(unknown)}")
+    return builder.build_fact(Tables(spark, root, excluded), [c for c in FACT_COLUMNS if c in want], personal=personal, graph=GRAPH, unique=UNIQUE)
 
-    li = read_table(spark, root, "lineitem")
-    member = F.col("l_linenumber") <= 5
-    under12 = F.col("l_linenumber") == 6
-    part_rows = li.select(
-        F.col("l_orderkey").alias("event_id"),
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-         .alias("participant_id"),
-        F.when(member, F.col("l_partkey")).alias("member_id"),
-        F.when(under12, F.col("l_partkey")).alias("under12_id"),
-        F.when(member, "Member").when(under12, "Under 12").otherwise("Unknown").alias("participant_type"),
-        F.when(member | under12, F.concat(F.lit("Person#"), F.col("l_partkey").cast("string")))
-         .alias("participant_name"),
-        F.when(member, F.col("l_partkey").cast("string")).alias("identity_no"),
-        F.when(F.col("l_returnflag") == FIXTURE_WOMEN_FLAG, "Perempuan").otherwise("Lelaki").alias("gender"),
-        F.col("l_quantity").alias("age"),
-        F.when(F.col("l_discount") == 0, "true").otherwise("false").alias("oku_status"),
-        (F.col("l_linestatus") == "F").alias("attendance"),
-        F.col("l_suppkey").alias("event_site_id"),
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("event_site_refid"),
-        F.col("l_partkey").alias("_partkey"),
-    )
 
-    o = read_table(spark, root, "orders")
-    if excluded:
-        o = o.where(~F.col("o_orderstatus").isin(*excluded))
-    digit = F.substring("o_orderpriority", 1, 1).cast("int")
-    shift = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 5).otherwise(8)
-    ev = o.select(
-        F.col("o_orderkey").alias("event_id"),
-        F.col("o_orderstatus").alias("status_id"),
-        (digit + shift).alias("subcategory_id"),
-        F.col("o_orderpriority").alias("pillar_name"),
-        F.col("o_orderdate").alias("event_start"),
-        F.to_date("o_orderdate").alias("event_startdate"),
-        F.col("o_orderdate").alias("event_end"),
-        F.col("o_custkey").alias("requester_id"),
-    )
-    if want & _SUB:
-        ev = ev.join(F.broadcast(subcategory_dim(spark).select("subcategory_id", "category_name")),
-                     "subcategory_id", "left")
-    if want & _CUST:
-        cust = read_table(spark, root, "customer")
-        n_sites = read_table(spark, root, "supplier").select(F.count(F.lit(1)))
-        cust_cols = [
-            F.col("c_custkey").alias("requester_id"),
-            F.col("c_mktsegment").alias("program"),
-            F.col("c_mktsegment").alias("sub_pillar_name"),
-            F.when(F.col("c_acctbal") >= 0, "sso_admin").otherwise("member").alias("creator_type"),
-            # home site: customers are spread over the sites by key modulo
-            # the site count (a scalar subquery, evaluated once)
-            F.concat(F.lit("S"), (F.col("c_custkey") % n_sites.scalar()).cast("string")).alias("home_refid"),
-        ]
-        cust_df = cust.select(*cust_cols, F.col("c_nationkey"))
-        if want & _CUST_NATION:
-            nation = read_table(spark, root, "nation").select("n_nationkey", "n_name")
-            cust_df = (cust_df.join(nation, cust_df.c_nationkey == nation.n_nationkey, "left")
-                       .withColumn("deeper_sub_pillar",
-                                   F.when(F.col("creator_type") == "sso_admin", F.col("n_name")))
-                       .drop("n_nationkey", "n_name"))
-        if want & _HOME_SITE:
-            # the home site is a customer attribute: look it up on the
-            # customer side, before the participant-level join
-            h = sites(spark, root).select(F.col("refid").alias("home_refid"),
-                                          F.col("site_name").alias("home_site_name"),
-                                          F.col("state").alias("home_state"))
-            cust_df = cust_df.join(h, "home_refid", "left")
-        ev = ev.join(cust_df.drop("c_nationkey"), "requester_id", "left")
-
-    # The join's exchanges stay with the planner (ENSURE_REQUIREMENTS), so
-    # AQE can split a hot event's partition (skew join) or convert to a
-    # broadcast join when one side turns out small.
-    f = part_rows.join(ev, "event_id", "inner")
-    if want & _PART:
-        part = read_table(spark, root, "part").select(F.col("p_partkey").alias("_partkey"),
-                                                      F.col("p_name").alias("program_name"))
-        f = f.join(part, "_partkey", "left")
-    if want & _EVENT_SITE:
-        s = sites(spark, root).select(
-            F.col("site_id").alias("event_site_id"), F.col("site_name").alias("event_site_name"),
-            F.col("state").alias("event_site_state"), F.col("region").alias("event_site_region"),
-            F.col("tp").alias("event_site_tp"), F.col("dusp").alias("event_site_dusp"),
-            F.col("phase").alias("event_site_phase"))
-        f = f.join(s, "event_site_id", "left")
-    return f.select(*[c for c in FACT_COLUMNS if c in want])
+def event_taxonomy(spark: SparkSession, root: str, columns: list[str]) -> DataFrame:
+    """The taxonomy extract of all events, by their own keys."""
+    return builder.event_taxonomy(Tables(spark, root), "event", columns, GRAPH, UNIQUE)
