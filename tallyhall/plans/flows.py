@@ -13,7 +13,6 @@ C. Export then explore: the flat export view, then stats / facets /
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +51,7 @@ def dashboard_fetch(spark: SparkSession, root: str, sub_id: int, date_from: str
 
 def dashboard_parts(fact: DataFrame, sites: DataFrame, sub_id: int) -> dict[str, DataFrame]:
     """Flow A for any restricted fact and site dimension."""
-    fact = writers.checkpoint_table(fact, f"dashboard-{sub_id}-{uuid.uuid4().hex}")
+    fact = writers.checkpoint_table(fact, f"dashboard-{sub_id}")
     classifier = Classifier() if sub_id == CLASSIFIED_SUBCATEGORY else None
     out = {
         "nadi": payload.site_payload(fact, sites, classifier=classifier),
@@ -101,6 +100,6 @@ def export_then_explore(spark: SparkSession, root: str, spec: FilterSpec) -> dic
 
 def explore_fact(fact: DataFrame, spec: FilterSpec) -> dict[str, DataFrame]:
     """Flow C for any fact; the view is written once and read back."""
-    view = writers.checkpoint_table(explore.export_view(fact), f"explore-{uuid.uuid4().hex}")
+    view = writers.checkpoint_table(explore.export_view(fact), "explore")
     return {"stats": explore.filtered_stats(view, spec), "facets": explore.facet_values(view),
             "preview": explore.preview(view, spec)}

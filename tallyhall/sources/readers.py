@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks import tables
+from ..sinks.files import Store
 
 # Declared schemas of the driver's tables (no footer inference per read).
 TABLE_SCHEMAS: dict[str, str] = {
@@ -35,33 +37,54 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def latest_snapshot(spark: SparkSession, glob: str, by: str = "name", unit: str = "file") -> DataFrame:
+def latest_snapshot(spark: SparkSession, glob: str, by: str = "name", unit: str = "file", manifest: bool = True) -> DataFrame:
     """Rows of the newest snapshot matching ``glob``.
 
     A snapshot is one file (``unit="file"``, e.g. ``fact_20260301.parquet``)
-    or one folder of part files (``unit="dir"``).  Newest means the greatest
-    path (``by="name"``) or the latest modification time (``by="mtime"``,
-    equal times by path).  It is chosen from the file listing alone, so the
-    scan lists and reads that snapshot only.
+    or one folder (``unit="dir"``), partitioned or not: the part of the path
+    up to the first component with a wildcard, whatever files the rest of the
+    glob matches.  Newest means the greatest path (``by="name"``) or the
+    latest time (``by="mtime"``, equal times by path), a folder's time being
+    that of its commit.  A folder counts only with a commit of
+    :mod:`..sinks.tables`, so one that is being written, or whose job died, is
+    passed over; its files are checked against the commit.
+    ``manifest=False`` takes plain folders by their files instead.
     """
-    if by == "name":
-        newest = max(_snapshot_of(f, unit) for f in spark.read.parquet(glob).inputFiles())
+    store = Store(spark, glob)
+    if unit == "file":
+        found = [(e.modified, e.path, None) for e in store.glob(glob) if not e.is_dir]
     else:
-        listing = spark.read.format("binaryFile").load(glob).select("path", "modificationTime")  # no contents
-        newest = _snapshot_of(listing.agg(F.max(F.struct("modificationTime", "path"))).first()[0].path, unit)
-    return spark.read.parquet(newest)
-
-
-def _snapshot_of(path: str, unit: str) -> str:
-    return path.rsplit("/", 1)[0] if unit == "dir" else path
-
-
-def read_export_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """CSV export: header, quoted cells with doubled quotes, embedded newlines,
-    blank lines skipped; missing text cells become ''.
-
-    A file with embedded newlines can only be read by one task; give
-    ``multi_line=False`` for exports without them, so files are split."""
+        found = []
+        for e in store.glob(snapshot_root(glob)):
+            if e.is_dir and manifest:
+                m = tables.manifest(spark, e.path)
+                if m is not None:
+                    found.append((m.modified, e.path, m))
+            elif e.is_dir and store.files(e.path):
+                found.append((max(f.modified for f in store.glob(glob) if f.path.startswith(e.path + "/")) if by == "mtime" else 0, e.path, None))
+    if not found:
+        raise FileNotFoundError(f"no whole snapshot matches {glob}")
+    _, path, m = max(found, key=lambda x: x[1] if by == "name" else x[:2])
+    return spark.read.parquet(path) if m is None else tables.read_table(spark, path, m.version)
+
+
+def snapshot_root(glob: str) -> str:
+    """The glob up to its first component with a wildcard (the whole path if
+    it has none)."""
+    parts = glob.rstrip("/").split("/")
+    for i, p in enumerate(parts):
+        if any(c in p for c in "*?[{"):
+            return "/".join(parts[:i + 1])
+    return "/".join(parts)
+
+
+def read_export_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """CSV export: header, quoted cells with doubled quotes, blank lines
+    skipped; missing text cells become ''.
+
+    Files are split among tasks at their line ends.  Cells with embedded
+    newlines need ``multi_line=True``, and then one task a file; the
+    library's own writer makes many files."""
     df = (spark.read.option("header", True).option("multiLine", multi_line)
           .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
           .schema(schema).csv(path))
