@@ -243,38 +243,123 @@ def _pillar_rows(df: DataFrame, pillars: list[PillarSpec]):
     return df.withColumn("_cell", F.coalesce(cell, F.lit(False)))
 
 
-def pivot_all_grains(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U",
-                     date_col: str = "event_start", weekly_months: int = WEEKLY_SHEET_MONTHS) -> DataFrame:
-    """Long form of every (pillar, sheet) pivot: one row per non-empty cell,
-    group 'Total' carrying the true per-site distinct totals.
+SITE = ["refid", "site_name", "state"]
+SHEET = ["grain_code", "sheet_start", "wom"]
+
+
+def _sheet_cells(df: DataFrame, pillars: list[PillarSpec], first_recent, listed: bool = False, in_category=None) -> DataFrame:
+    """Cells by (pillar, compact sheet, site, group), a null group for the
+    true totals.  With ``listed``, every site with a refid has besides a row
+    of a null pillar, whichever rows ``in_category`` leaves out.
 
     Rows are first reduced to the distinct events and participants of a
     (pillar, site, group, day); only those are exploded into their sheets.
     One aggregate by (sheet, site, id) gathers an id's groups (at most one
     per group), so the totals need no further copy of the rows."""
-    df = _categorised(fact, category, date_col)
-    rows = _pillar_rows(df, pillars).where("_cell")
-    site = ["refid", "site_name", "state"]
-    ids = F.explode(F.array(F.struct(F.lit(True).alias("event"), F.col("event_id").cast("string").alias("id")),
-                            F.struct(F.lit(False).alias("event"), F.col("participant_id").cast("string").alias("id"))))
-    base = rows.select("pillar_name", F.col("event_site_refid").alias("refid"), F.col("event_site_name").alias("site_name"),
-                       F.col("event_site_state").alias("state"), "grp", "_d", ids.alias("_i"))
-    base = base.select("pillar_name", *site, "grp", "_d", "_i.event", "_i.id").where("id is not null").distinct()
-    keys = ["pillar_name", "grain_code", "sheet_start", "wom", *site]
-    exploded = _on_sheets(base, _first_recent_month(df, weekly_months)).select("pillar_name", "_s.*", *site, "grp", "event", "id")
+    rows = _pillar_rows(df, pillars)
+    if in_category is not None:
+        rows = rows.withColumn("_cell", F.col("_cell") & in_category)
+    ids = F.array(F.struct(F.lit(True).alias("event"), F.col("event_id").cast("string").alias("id")),
+                  F.struct(F.lit(False).alias("event"), F.col("participant_id").cast("string").alias("id")))
+    own, cell = ["pillar_name", "grp", "_d"], F.col("_cell")
+    if listed:
+        none = F.array(F.struct(F.lit(None).cast("boolean").alias("event"), F.lit("").alias("id")))
+        ids = F.when(cell, F.concat(ids, none)).otherwise(none)
+        rows = rows.where(non_empty("event_site_refid"))
+        kept = [F.when(F.col("_i.event").isNotNull(), F.col(c)).alias(c) for c in own]
+    else:
+        rows = rows.where("_cell")
+        kept = [F.col(c) for c in own]
+    base = rows.select(*own, F.col("event_site_refid").alias("refid"), F.col("event_site_name").alias("site_name"),
+                       F.col("event_site_state").alias("state"), F.explode(ids).alias("_i"))
+    base = base.select(*kept, *SITE, "_i.event", "_i.id").where("id is not null").distinct()
+    keys = ["pillar_name", *SHEET, *SITE]
+    exploded = _on_sheets(base, first_recent).select("pillar_name", "_s.*", *SITE, "grp", "event", "id")
     groups = exploded.groupBy(*keys, "event", "id").agg(F.collect_set("grp").alias("grps"))
     cells = groups.select(*keys, "event", F.explode(F.concat(
         F.transform("grps", lambda g: _named(g)), F.array(_named(F.lit(None).cast("string"))))).alias("_g"))
-    long = cells.groupBy(*keys, F.col("_g.grp").alias("grp")).agg(
+    return cells.groupBy(*keys, F.col("_g.grp").alias("grp")).agg(
         F.count_if("event").cast("bigint").alias("events"), F.count_if(~F.col("event")).cast("bigint").alias("pax"))
-    long = sheet_labels(long)
-    return long.select("pillar_name", "grain", "sheet", *site, F.coalesce("grp", F.lit("Total")).alias("grp"), "events", "pax")
 
 
 def _named(group):
     return F.struct(group.alias("grp"))
 
 
+def pivot_all_grains(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U",
+                     date_col: str = "event_start", weekly_months: int = WEEKLY_SHEET_MONTHS) -> DataFrame:
+    """Long form of every (pillar, sheet) pivot: one row per non-empty cell,
+    group 'Total' carrying the true per-site distinct totals."""
+    df = _categorised(fact, category, date_col)
+    long = sheet_labels(_sheet_cells(df, pillars, _first_recent_month(df, weekly_months)))
+    return long.select("pillar_name", "grain", "sheet", *SITE, F.coalesce("grp", F.lit("Total")).alias("grp"), "events", "pax")
+
+
+def _sheet_code(grain, start, wom):
+    """A compact sheet key as one number."""
+    month = F.coalesce(F.year(start) * 12 + F.month(start), F.lit(0))
+    return grain.cast("bigint") * 10_000_000 + month * 10 + F.coalesce(wom, F.lit(0))
+
+
+def _sheet_list(months, weekly_months: int):
+    """The sheets of the (sorted) months: each month and its quarters, W1 to
+    W4 of the latest ``weekly_months``, and All."""
+    recent = F.slice(months, F.greatest(F.size(months) - weekly_months + 1, F.lit(1)), F.lit(weekly_months))
+    quarters = F.array_distinct(F.transform(months, lambda m: F.date_trunc("quarter", m).cast("date")))
+    weeks = F.transform(recent, lambda m: F.array(*[_sheet(3, m, F.lit(w)) for w in (1, 2, 3, 4)]))
+    return F.concat(F.transform(months, lambda m: _sheet(1, m)), F.transform(quarters, lambda q: _sheet(2, q)), F.flatten(weeks),
+                    F.array(_sheet(4)))
+
+
+def complete_sheets(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U", date_col: str = "event_start",
+                    weekly_months: int = WEEKLY_SHEET_MONTHS) -> DataFrame:
+    """Every sheet of every pillar with every site of the fact and every group
+    of the pillar, zeros included: the sheets as they are published.
+
+    Cells are sparse until the last step.  Three small lists make the rest:
+    the sheets (from the months of the category's rows, so a month without a
+    pillar's events is there too), the pillars with their groups (fixed, or
+    those that the pillar's rows have) and the sites.  A site's cells are
+    gathered by sheet, bounded by sheets x groups, and its zeros are made
+    where its row is, so the dense rows are never joined or shuffled."""
+    named = F.coalesce(contains_or_false(F.col("category_name"), category), F.lit(False)) if category else F.lit(True)
+    df = fact.withColumn("_d", F.to_date(F.col(date_col)))
+    grouped = _pillar_rows(df.where(named), pillars)
+    loose = F.col("pillar_name").isin(*[p.name for p in pillars if not p.groups]) & non_empty("grp")
+    found = grouped.agg(F.sort_array(F.collect_set(month_start("_d"))).alias("months"),
+                        F.sort_array(F.collect_set(F.when(loose, F.struct("pillar_name", "grp")))).alias("groups"))
+    months, groups = F.col("months"), F.col("groups")
+    spec = F.array(*[F.struct(
+        F.lit(i).cast("bigint").alias("place"), F.lit(p.name).alias("pillar_name"),
+        (F.array(*map(F.lit, p.groups)).cast("array<string>") if p.groups else _groups_of(groups, p.name)).alias("grps"))
+        for i, p in enumerate(pillars)])
+    lists = found.select(F.struct(_sheet_list(months, weekly_months).alias("sheets"), spec.alias("pillars"), F.when(
+        F.size(months) > 0, F.element_at(months, -F.least(F.size(months), F.lit(weekly_months)))).alias("first_recent"))).scalar()
+    first_recent = lists["first_recent"]
+    cells = _sheet_cells(df, pillars, first_recent, listed=True, in_category=named)
+    order = F.lit(None).cast("bigint")
+    for i, p in enumerate(pillars):
+        order = F.when(F.col("pillar_name") == p.name, F.lit(i)).otherwise(order)
+    key = order * 1_000_000_000 + _sheet_code(F.col("grain_code"), F.col("sheet_start"), F.col("wom"))
+    by_sheet = cells.groupBy(*SITE, key.alias("_key")).agg(F.map_from_entries(F.collect_list(
+        F.struct(F.coalesce("grp", F.lit("")).alias("grp"), F.struct("events", "pax")))).alias("_cells"))
+    by_site = by_sheet.groupBy(*SITE).agg(F.map_from_entries(F.collect_list(
+        F.when(F.col("_key").isNotNull(), F.struct("_key", "_cells")))).alias("_own"))
+    grid = by_site.select(*SITE, "_own", F.explode(lists["pillars"]).alias("_p"))
+    grid = grid.select(*SITE, "_own", "_p", F.explode(lists["sheets"]).alias("_s"))
+    code = F.col("_p.place") * 1_000_000_000 + _sheet_code(F.col("_s.grain_code"), F.col("_s.sheet_start"), F.col("_s.wom"))
+    grid = grid.select(*SITE, "_p", "_s", F.try_element_at("_own", code).alias("_cells"))
+    grid = grid.select("_p.pillar_name", "_s.*", *SITE, "_cells", F.explode(F.concat("_p.grps", F.array(F.lit("")))).alias("grp"))
+    cell = F.try_element_at("_cells", F.col("grp"))
+    out = grid.select("pillar_name", *SHEET, *SITE, F.when(F.col("grp") == "", "Total").otherwise(F.col("grp")).alias("grp"),
+                      F.coalesce(cell["events"], F.lit(0)).cast("bigint").alias("events"), F.coalesce(cell["pax"], F.lit(0)).cast("bigint").alias("pax"))
+    return sheet_labels(out).select("pillar_name", "grain", "sheet", *SITE, "grp", "events", "pax")
+
+
+def _groups_of(groups, pillar: str):
+    return F.transform(F.filter(groups, lambda g: g["pillar_name"] == pillar), lambda g: g["grp"])
+
+
 def active_sites_per_sheet(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U",
                            date_col: str = "event_start", weekly_months: int = WEEKLY_SHEET_MONTHS) -> DataFrame:
     """Sites with any non-zero cell, per pillar and sheet.  Every pillar is

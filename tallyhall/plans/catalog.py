@@ -640,6 +640,27 @@ def q_pivot_all_grains(spark, root):
     return pivots.pivot_all_grains(f, FIXTURE_PILLARS)
 
 
+@register("complete_sheets", _SHEETS_SQL + """
+, sheets AS (SELECT DISTINCT grain, sheet FROM tagged WHERE grain <> 'week'
+  UNION SELECT 'week', strftime(m, '%b %Y') || ' W' || CAST(w AS VARCHAR) FROM latest CROSS JOIN range(1, 5) r(w)
+  UNION SELECT 'all', 'All'),
+all_sites AS (SELECT DISTINCT event_site_refid AS refid, event_site_name AS site_name, event_site_state AS state
+              FROM fact WHERE event_site_refid IS NOT NULL AND event_site_refid <> ''),
+groups AS (SELECT DISTINCT pillar_name, grp FROM g WHERE pillar_name <> '2-HIGH' AND grp IS NOT NULL AND grp <> ''
+  UNION SELECT '2-HIGH', unnest(['A', 'B', 'C', 'Z'])
+  UNION SELECT unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']), 'Total')
+SELECT p.pillar_name, s.grain, s.sheet, a.refid, a.site_name, a.state, p.grp, COALESCE(c.events, 0) AS events, COALESCE(c.pax, 0) AS pax
+FROM groups p CROSS JOIN sheets s CROSS JOIN all_sites a
+LEFT JOIN cells c ON c.pillar_name = p.pillar_name AND c.grain = s.grain AND c.sheet = s.sheet AND c.grp = p.grp
+  AND c.refid = a.refid AND c.site_name IS NOT DISTINCT FROM a.site_name AND c.state IS NOT DISTINCT FROM a.state
+""")
+def q_complete_sheets(spark, root):
+    f = _fact(spark, root, ["event_site_refid", "event_site_name", "event_site_state", "category_name",
+                            "pillar_name", "program_name", "sub_pillar_name", "event_start", "event_id",
+                            "participant_id"])
+    return pivots.complete_sheets(f, FIXTURE_PILLARS)
+
+
 @register("active_sites_per_sheet", _SHEETS_SQL + """
 , sheets AS (SELECT DISTINCT grain, sheet FROM tagged WHERE grain <> 'week'
   UNION SELECT 'week', strftime(m, '%b %Y') || ' W' || CAST(w AS VARCHAR) FROM latest CROSS JOIN range(1, 5) r(w)),
