@@ -77,6 +77,11 @@ def dataset_summary(fact: DataFrame, site_col: str = "event_site_refid", date_co
     )
 
 
+def view_summary(view: DataFrame) -> DataFrame:
+    """The summary of an export view."""
+    return dataset_summary(view, site_col="site_refid")
+
+
 def filtered_stats(view: DataFrame, spec: FilterSpec) -> DataFrame:
     """Total rows, filtered rows and distinct non-empty participants,
     events, sites and states of the filtered rows, in one pass."""

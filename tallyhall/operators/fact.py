@@ -31,7 +31,7 @@ Source = Mapping[str, DataFrame]
 TABLES: dict[str, str] = {
     "events": "event_id bigint, category_id int, subcategory_id int, program_id bigint, program_name string, method_id int, "
               "description string, requester_id bigint, event_start timestamp, event_end timestamp, created_at timestamp, "
-              "created_by bigint",
+              "created_by bigint, status_id string, site_json string",
     "categories": "id int, name string", "subcategories": "id int, name string, category_id int",
     "programs": "id bigint, name string, subcategory_id int", "methods": "id int, name string",
     "profiles": "id bigint, full_name string, user_type string", "officers": "user_id bigint, master_id int",

@@ -7,6 +7,7 @@ latest three months).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,8 @@ from ..functions.classify import classify
 from ..functions.text import is_json_array, json_type, mask_identity, strip_control
 from ..operators import explore, filters, joins, pivots, rollups
 from ..operators import fact as fact_builder
-from ..sinks import payload
+from ..session import shared_dir
+from ..sinks import payload, tables
 from ..sources import fixtures as fx
 from ..sources.readers import read_table
 from . import oracle_sql as O
@@ -870,10 +872,48 @@ def q_monthly_site_labels(spark, root):
     return rollups.monthly_site_labels(f, FIXTURE_CLASSIFIER, program_col="program_name")
 
 
+@register("payload_envelope", O.FACT_CTE + f"""
+, ids AS ({_ELIGIBLE_SQL}),
+f AS (SELECT * FROM fact WHERE event_id IN (SELECT event_id FROM ids) AND program IN ('AUTOMOBILE', 'BUILDING'))
+SELECT 1 AS sub_id, DATE '{WINDOW[0]}' AS start_date, DATE '{WINDOW[1]}' AS end_date, 'AUTOMOBILE,BUILDING' AS programs_filter,
+       (SELECT count(*) FROM site_dim WHERE refid <> '') AS n_nadi,
+       (SELECT count(DISTINCT date_trunc('month', event_startdate)) FROM f) AS n_monthly,
+       (SELECT count(DISTINCT date_trunc('week', event_startdate)) FROM f) AS n_weekly
+""")
+def q_payload_envelope(spark, root):
+    from .flows import dashboard_fact
+    programs = ["AUTOMOBILE", "BUILDING"]
+    f = dashboard_fact(spark, root, 1, *WINDOW, programs=programs, columns=[
+        "event_site_refid", "event_startdate", "participant_id", "gender", "age", "oku_status"])
+    parts = {"nadi": payload.site_payload(f, fx.sites(spark, root)), "monthly": rollups.monthly_rollup(f), "weekly": rollups.weekly_rollup(f)}
+    cover = payload.enveloped(parts, payload.envelope(spark, 1, None, *WINDOW, programs))
+    return cover.drop("fetched").withColumn("programs_filter", F.concat_ws(",", "programs_filter"))
+
+
 # ---------------------------------------------------------------------------
 # Extracts and end-to-end flow
 # ---------------------------------------------------------------------------
 
+@register("fact_table_months", O.FACT_CTE + """
+SELECT strftime(event_startdate, '%Y-%m') AS event_year_month, count(*) AS rows, count(DISTINCT event_id) AS events,
+       count(DISTINCT event_site_state) AS states, min(event_site_state) AS first_state
+FROM fact GROUP BY 1
+""")
+def q_fact_table_months(spark, root):
+    """The fact as a table of two batches, one of them written twice, its
+    files in report order; read back by the newest commit."""
+    f = _fact(spark, root, ["event_site_state", "event_site_name", "event_startdate", "event_id", "participant_name", "participant_id"])
+    path = f"{shared_dir(spark)}/tables/fact-{uuid.uuid4().hex}"
+    late = F.coalesce(F.col("event_startdate") >= F.lit("1998-01-01").cast("date"), F.lit(True))
+    for batch, rows in (("early", f.where(~late)), ("late", f), ("late", f.where(late))):
+        tables.append_batch(rows, path, batch, cluster_by=fact_builder.FACT_ORDER)
+    t = tables.read_table(spark, path)
+    return t.groupBy("event_year_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events"), F.count_distinct("event_site_state").alias("states"),
+        F.min("event_site_state").alias("first_state"))
+
+
+
 @register("event_taxonomy", O.FACT_CTE + """
 SELECT o.o_orderkey AS event_id, COALESCE(s.category_name, '') AS event_category,
        COALESCE(s.module, '') AS program_module, COALESCE(c.c_mktsegment, '') AS program,

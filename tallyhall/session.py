@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  Timestamps are naive UTC end to end; AQE does
@@ -44,10 +46,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_OWN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from the session's
-    ``spark.checkpoint.dir``; an error where it is unset."""
+    ``spark.checkpoint.dir``.  Where it is unset, a session on one machine
+    gets a folder of its own; on a cluster that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="tallyhall-"))
+        root = _OWN[0]
     return root.rstrip("/")

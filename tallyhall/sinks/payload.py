@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Classifier, Demographics
@@ -38,6 +38,25 @@ def run_catalogue(fact: DataFrame, subcats: DataFrame, fetched_at: dt.datetime |
     return out if fetched_at is None else out.withColumn("fetched_at", F.lit(fetched_at))
 
 
+def envelope(spark: SparkSession, sub_id: int, fetched_at: dt.datetime | None = None, start_date: str | None = None,
+             end_date: str | None = None, programs: list[str] | None = None) -> DataFrame:
+    """One row that says which slice a published payload is: its
+    subcategory, when it was made, the date window and the program filter
+    (null where there is none)."""
+    row = (sub_id, fetched_at, None if start_date is None else dt.date.fromisoformat(start_date),
+           None if end_date is None else dt.date.fromisoformat(end_date), list(programs) if programs else None)
+    return spark.createDataFrame([row], "sub_id int, fetched timestamp, start_date date, end_date date, programs_filter array<string>")
+
+
+def enveloped(parts: dict[str, DataFrame], cover: DataFrame) -> DataFrame:
+    """The envelope with the rows of each of the payload's tables as columns
+    ``n_<table>``, so a reader can tell a whole payload."""
+    out = cover
+    for name, df in parts.items():
+        out = out.withColumn(f"n_{name}", df.select(F.count(F.lit(1))).scalar())
+    return out
+
+
 SITE_ATTRIBUTES = ["tp", "dusp", "region", "phase", "parliament", "dun", "mukim"]
 
 

@@ -164,6 +164,15 @@ class Tables(Mapping[str, DataFrame]):
         return name in list(iter(self))
 
 
+def _site_json(custkey, segment):
+    k = custkey.cast("string")
+    return (F.when(segment == "AUTOMOBILE", F.concat(F.lit("["), k, F.lit("]")))
+            .when(segment == "BUILDING", F.lit("[]"))
+            .when(segment == "FURNITURE", F.concat(F.lit('{"site": '), k, F.lit("}")))
+            .when(segment == "HOUSEHOLD", k)
+            .otherwise(F.lit("not json")))
+
+
 _PLACES = {"region": Link("regions", "state.region_id")}
 _PLACE_FIELDS = {"region": same("region.name"), "phase": same("phase")}
 GRAPH = (
@@ -175,6 +184,7 @@ GRAPH = (
               {"nation": Link("states", "nation_id"), "home": Link("profile", "home_site_id", "site_id")})
     .extended("event", {"pillar_name": same("priority"), "sub_pillar_name": same("requester.segment"), "program": same("requester.segment"),
                         "creator_type": same("requester.user_type"),
+                        "site_json": Field(("requester_id", "requester.segment"), _site_json),
                         "deeper_sub_pillar": Field(("requester.user_type", "requester.nation"), builder.officer_type_of),
                         **{c: same(f"requester.{c}") for c in ("home_refid", "home_site_name", "home_state")}},
               {"requester": Link("requesters", "requester_id")})
@@ -187,6 +197,12 @@ GRAPH = (
 UNIQUE = builder.UNIQUE | {"addresses.site_id", "officers.user_id", "requesters.id", "parts.id", "regions.id"}
 
 
+def events(spark: SparkSession, root: str) -> DataFrame:
+    """Logical event table (all statuses), one row per event."""
+    columns = ["event_id", "site_json", "subcategory_id", "program_id", "program", "status_id", "event_start", "event_end", "pillar_name"]
+    return GRAPH.plan(Tables(spark, root), "event", columns, UNIQUE)
+
+
 def sites(spark: SparkSession, root: str) -> DataFrame:
     """Site dimension: one row per site profile with its geography."""
     columns = ["site_id", "refid", "site_name", "state", "region", "tp", "dusp", "phase"]
@@ -206,33 +222,6 @@ def addresses(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return a, d
 
 
-def _site_json(custkey, segment):
-    k = custkey.cast("string")
-    return (F.when(segment == "AUTOMOBILE", F.concat(F.lit("["), k, F.lit("]")))
-            .when(segment == "BUILDING", F.lit("[]"))
-            .when(segment == "FURNITURE", F.concat(F.lit('{"site": '), k, F.lit("}")))
-            .when(segment == "HOUSEHOLD", k)
-            .otherwise(F.lit("not json")))
-
-
-def events(spark: SparkSession, root: str) -> DataFrame:
-    """Logical event table (all statuses), one row per event."""
-    o = read_table(spark, root, "orders")
-    c = read_table(spark, root, "customer").select("c_custkey", "c_mktsegment")
-    digit = F.substring("o_orderpriority", 1, 1).cast("int")
-    shift = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 5).otherwise(8)
-    return (o.join(c, o.o_custkey == c.c_custkey, "left")
-             .select(F.col("o_orderkey").alias("event_id"),
-                     _site_json(F.col("o_custkey"), F.col("c_mktsegment")).alias("site_json"),
-                     (digit + shift).alias("subcategory_id"),
-                     F.col("o_custkey").alias("program_id"),
-                     F.col("c_mktsegment").alias("program"),
-                     F.col("o_orderstatus").alias("status_id"),
-                     F.col("o_orderdate").alias("event_start"),
-                     F.col("o_orderdate").alias("event_end"),
-                     F.col("o_orderpriority").alias("pillar_name")))
-
-
 def event_log(spark: SparkSession, root: str) -> DataFrame:
     """Intra-day activity log with JSON attributes (durations, JSON tests)."""
     return read_table(spark, root, "events")

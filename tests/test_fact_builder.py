@@ -9,8 +9,8 @@ from tallyhall.operators import fact as fb
 
 T0 = dt.datetime(2026, 1, 2, 9, 0)
 ROWS = {
-    "events": [(1, 10, 20, 30, "Talk", 40, None, 7, T0, T0 + dt.timedelta(hours=2), T0, 100),
-               (2, 10, 21, 31, None, None, "d", 8, T0, T0, T0, 101), (3, None, None, None, None, None, None, None, None, None, None, None)],
+    "events": [(1, 10, 20, 30, "Talk", 40, None, 7, T0, T0 + dt.timedelta(hours=2), T0, 100, "2", "[900]"),
+               (2, 10, 21, 31, None, None, "d", 8, T0, T0, T0, 101, "2", "[901]"), (3, *[None] * 13)],
     "categories": [(10, "NADI4U")], "subcategories": [(20, "Entrepreneur", 10), (21, "Wellbeing", 10)],
     "programs": [(30, "Biz", 20), (31, "Fit", 21)], "methods": [(40, "Online")],
     "profiles": [(100, "Ali", "sso_admin"), (101, "Siti", "member")], "officers": [(100, 1), (100, 2), (101, 1)],

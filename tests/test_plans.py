@@ -15,7 +15,11 @@ def plan_of(df):
 
 # Line-item scans of the queries that read the fact a second time.
 SCANS = {"active_sites_per_sheet": 2, "pivot_all_grains": 2, "monthly_home_pivot": 2, "preview_200": 2, "site_month_series": 2,
-         "heat_grid": 2}
+         "heat_grid": 2, "payload_envelope": 3,
+         "complete_sheets": 4}  # its list of sheets is named three times in the plan and run once
+
+# Queries about tables that they write first.
+WRITES = {"fact_table_months"}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
@@ -26,7 +30,7 @@ def test_plan_of_every_query(spark, name):
     sc.setJobGroup(f"plan-{name}", name)
     try:
         p = plan_of(E.queries()[name](spark, SMALL))
-        assert not sc.statusTracker().getJobIdsForGroup(f"plan-{name}")
+        assert name in WRITES or not sc.statusTracker().getJobIdsForGroup(f"plan-{name}")
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",

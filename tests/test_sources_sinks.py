@@ -1,4 +1,3 @@
-import datetime as dt
 import json
 import os
 import tempfile
@@ -7,11 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SMALL
-from tallyhall.operators import rollups
 from tallyhall.sinks import payload, writers
 from tallyhall.sources import fixtures as fx
 from tallyhall.sources import readers
-from tallyhall.streaming import refresh_monthly
 
 
 def scratch():
@@ -73,22 +70,3 @@ def test_checkpoint_table_uses_shared_dir(spark):
     out = writers.checkpoint_table(df, "ck_test")
     assert out.count() == 5
     assert spark.conf.get("spark.checkpoint.dir") in out.inputFiles()[0]
-
-
-def test_incremental_monthly_refresh(spark):
-    d = scratch()
-    cols = ["event_id", "participant_id", "event_startdate", "gender", "age", "oku_status"]
-    f = fx.fact(spark, SMALL, cols)
-    early = f.where(F.col("event_startdate") < F.lit(dt.date(1998, 1, 1)))
-    late = f.where(F.col("event_startdate") >= F.lit(dt.date(1998, 1, 1)))
-    early.write.parquet(f"{d}/fact/part1")
-    schema = spark.read.parquet(f"{d}/fact/part1").schema
-    for q in (refresh_monthly(spark, f"{d}/fact/*", schema, f"{d}/monthly", f"{d}/ck"),):
-        q.awaitTermination()
-    assert spark.read.parquet(f"{d}/monthly").count() == rollups.monthly_rollup(early).count()
-    late.write.parquet(f"{d}/fact/part2")
-    refresh_monthly(spark, f"{d}/fact/*", schema, f"{d}/monthly", f"{d}/ck").awaitTermination()
-    got = spark.read.parquet(f"{d}/monthly")
-    want = rollups.monthly_rollup(f)
-    key = ["period", "events", "pax_total", "women", "youth", "children", "oku"]
-    assert sorted(tuple(r) for r in got.select(*key).collect()) == sorted(tuple(r) for r in want.select(*key).collect())
