@@ -95,23 +95,73 @@ def _event_name(program_name: str = "program_name", program: str = "program") ->
     return F.substring(first, 1, EVENT_NAME_CHARS)
 
 
+def _sub_program(program: Column, classifier: Classifier | None) -> Column:
+    return classify(program, classifier) if classifier else F.substring(F.coalesce(program, F.lit("")), 1, SUB_PROGRAM_CHARS)
+
+
 def event_summary(fact: DataFrame, site_col: str = "event_site_refid", classifier: Classifier | None = None,
                   program_col: str = "program") -> DataFrame:
     """Per site x event: name (60 chars), month label, distinct participants
     ``p``, attended rows ``a`` and the sub-program (40 chars or classified).
 
-    Event attributes are constant per event; ``min`` is taken so the pick is
-    deterministic even where a fixture varies them by row.
-    """
-    sp = classify(program_col, classifier) if classifier else \
-        F.substring(F.coalesce(F.col(program_col), F.lit("")), 1, SUB_PROGRAM_CHARS)
-    df = fact.where(F.col("participant_id").isNotNull() & non_empty(site_col))
-    return (df.groupBy(F.col(site_col).alias("refid"), "event_id")
-              .agg(F.min(_event_name()).alias("name"),
-                   F.coalesce(month_label(F.min("event_startdate")), F.lit("")).alias("month"),
-                   F.count_distinct("participant_id").cast("bigint").alias("p"),
-                   F.count_if(truthy("attendance")).cast("bigint").alias("a"),
-                   F.min(sp).alias("sub_program")))
+    For a fact that is a written table: its numbers are counted in one hash
+    aggregate, and its texts, which are constant per event, are reduced to
+    their distinct rows before the least of them is taken (so the pick is
+    deterministic even where a source varies them by row).  Over unwritten
+    tables :func:`event_summaries` reads every row once."""
+    rows = fact.where(F.col("participant_id").isNotNull() & non_empty(site_col))
+    keys = [F.col(site_col).alias("refid"), F.col("event_id")]
+    texts = rows.select(*keys, _event_name().alias("name"), _sub_program(F.col(program_col), classifier).alias("sub_program")).distinct()
+    least = texts.groupBy("refid", "event_id").agg(F.min("name").alias("name"), F.min("sub_program").alias("sub_program"))
+    counts = rows.groupBy(*keys).agg(F.min("event_startdate").alias("_d"), *_attendance())
+    out = counts.join(_named_keys(least), F.col("refid").eqNullSafe(F.col("_refid")) & F.col("event_id").eqNullSafe(F.col("_event")))
+    return out.select("refid", "event_id", "name", F.coalesce(month_label("_d"), F.lit("")).alias("month"), "p", "a", "sub_program")
+
+
+def _named_keys(df: DataFrame) -> DataFrame:
+    return df.withColumnsRenamed({"refid": "_refid", "event_id": "_event"})
+
+
+def _attendance() -> list[Column]:
+    return [F.count_distinct("participant_id").cast("bigint").alias("p"), F.count_if(truthy("attendance")).cast("bigint").alias("a")]
+
+
+def event_summaries(participants: DataFrame, events: DataFrame, titles: DataFrame | None = None, site_col: str = "refid",
+                    classifier: Classifier | None = None) -> DataFrame:
+    """The rows of :func:`event_summary` from the tables below the fact, with
+    eager aggregation: participants (event_id, site, participant_id,
+    attendance) are reduced to one row per site and event before they meet
+    their events (event_id, program, event_startdate, program_name), so the
+    join moves reduced rows and each event's texts are joined once.
+
+    Where titles stand with the participant's part instead (``titles``: id,
+    name; participants have ``part_id``), the distinct parts of a site and
+    event are looked up."""
+    rows = participants.where(F.col("participant_id").isNotNull() & non_empty(site_col) & F.col("event_id").isNotNull())
+    keys = [F.col(site_col).alias("refid"), F.col("event_id")]
+    program = F.when(non_empty("program"), F.col("program"))
+    if titles is None:
+        counts = rows.groupBy(*keys).agg(*_attendance())
+        name = F.coalesce(F.when(non_empty("program_name"), F.col("program_name")), program, F.lit(""))
+        shown = F.substring(name, 1, EVENT_NAME_CHARS)
+    else:
+        # One pass: a row counts as its participant, and as its part.
+        tags = F.array(F.struct(F.lit(True).alias("who"), F.col("participant_id").alias("id"), F.lit(None).cast("bigint").alias("part")),
+                       F.struct(F.lit(False).alias("who"), F.lit(None).cast("string").alias("id"), F.col("part_id").cast("bigint").alias("part")))
+        tagged = rows.select(*keys, truthy("attendance").alias("_here"), F.explode(tags).alias("_t"))
+        ids = tagged.groupBy("refid", "event_id", "_t.who", "_t.id", "_t.part").agg(F.count_if("_here").alias("_a"))
+        part = titles.select(F.col("id").alias("_part"), F.col("name").alias("_title"))
+        # The distinct parts meet their titles; a participant's row has none and meets nothing.
+        ids = ids.join(part, F.col("part") == F.col("_part"), "left")
+        title = F.when(~F.col("who") & non_empty("_title"), F.substring("_title", 1, EVENT_NAME_CHARS))
+        counts = ids.groupBy("refid", "event_id").agg(
+            F.count_if("who").cast("bigint").alias("p"), F.sum(F.when(F.col("who"), F.col("_a")).otherwise(0)).cast("bigint").alias("a"),
+            F.array_min(F.collect_set(title)).alias("_least"), F.max(~F.col("who") & ~non_empty("_title")).alias("_untitled"))
+        other = F.substring(F.coalesce(program, F.lit("")), 1, EVENT_NAME_CHARS)
+        shown = F.least(F.col("_least"), F.when(F.col("_untitled"), other))
+    out = counts.join(events, "event_id")
+    return out.select("refid", "event_id", shown.alias("name"), F.coalesce(month_label("event_startdate"), F.lit("")).alias("month"), "p", "a",
+                      _sub_program(F.col("program"), classifier).alias("sub_program"))
 
 
 def zero_attendance_events(fact: DataFrame, site_col: str = "event_site_refid", week: str | None = None,
@@ -120,16 +170,31 @@ def zero_attendance_events(fact: DataFrame, site_col: str = "event_site_refid",
     """Events that nobody attended, of the rows in a week (any of its days,
     as ISO text), a state, a program or a site if given; the filters reach
     the scan before the rows are grouped."""
-    rows = fact
-    if week:
-        monday = F.date_trunc("week", F.lit(week).cast("date")).cast("date")
-        rows = rows.where((F.col(date_col) >= monday) & (F.col(date_col) < F.date_add(monday, 7)))
+    rows = fact if not week else fact.where(_in_week(date_col, week))
     for col, value in ((state_col, state), ("program", program), (site_col, site)):
         if value:
             rows = rows.where(F.col(col) == value)
     return event_summary(rows, site_col).where(F.col("a") == 0)
 
 
+def _in_week(date_col: str, week: str) -> Column:
+    monday = F.date_trunc("week", F.lit(week).cast("date")).cast("date")
+    return (F.col(date_col) >= monday) & (F.col(date_col) < F.date_add(monday, 7))
+
+
+def zero_attendance_summaries(participants: DataFrame, events: DataFrame, titles: DataFrame | None = None, site_col: str = "refid",
+                              week: str | None = None, program: str | None = None, sites: DataFrame | None = None) -> DataFrame:
+    """The rows of :func:`zero_attendance_events` from the tables below the
+    fact; ``sites`` (refid) keeps the sites of a state."""
+    if week:
+        events = events.where(_in_week("event_startdate", week))
+    if program:
+        events = events.where(F.col("program") == program)
+    if sites is not None:
+        participants = participants.join(sites.select(F.col("refid").alias(site_col)), site_col, "left_semi")
+    return event_summaries(participants, events, titles, site_col).where(F.col("a") == 0)
+
+
 def site_status(fact: DataFrame, sites: DataFrame, site_col: str = "event_site_refid") -> DataFrame:
     """untouched (no events) / has_zero (>= 1 event nobody attended) /
     all_complete (events, none at zero), for every site."""

@@ -354,16 +354,12 @@ FROM fact WHERE {_PAX} GROUP BY 1, 2"""
 
 @register("event_summary", O.FACT_CTE + _EVSUM_SQL)
 def q_event_summary(spark, root):
-    f = _fact(spark, root, ["event_site_refid", "event_id", "participant_id", "program_name", "program",
-                            "event_startdate", "attendance"])
-    return rollups.event_summary(f)
+    return rollups.event_summaries(*fx.event_parts(spark, root))
 
 
 @register("zero_attendance_events", O.FACT_CTE + f"SELECT * FROM ({_EVSUM_SQL}) WHERE a = 0")
 def q_zero_attendance(spark, root):
-    f = _fact(spark, root, ["event_site_refid", "event_id", "participant_id", "program_name", "program",
-                            "event_startdate", "attendance"])
-    return rollups.zero_attendance_events(f)
+    return rollups.zero_attendance_summaries(*fx.event_parts(spark, root))
 
 
 @register("site_status", O.FACT_CTE + f"""
@@ -856,9 +852,7 @@ def q_site_payload(spark, root):
 SELECT refid, event_id, name AS n, month AS m, p, a, sub_program AS sp FROM ({_EVSUM_SQL})
 """)
 def q_site_events(spark, root):
-    f = _fact(spark, root, ["event_site_refid", "event_id", "participant_id", "program_name", "program",
-                            "event_startdate", "attendance"])
-    return payload.site_events(f)
+    return payload.listed_events(rollups.event_summaries(*fx.event_parts(spark, root)))
 
 
 @register("monthly_site_labels", O.FACT_CTE + f"""

@@ -102,6 +102,9 @@ def site_events(fact: DataFrame, site_col: str = "event_site_refid",
                 classifier: Classifier | None = None) -> DataFrame:
     """The per-site event list as a long table: one row per (site, event)
     with the compact fields n, m, p, a, sp."""
-    return rollups.event_summary(fact, site_col, classifier).select(
-        "refid", "event_id", F.col("name").alias("n"), F.col("month").alias("m"), "p", "a",
-        F.col("sub_program").alias("sp"))
+    return listed_events(rollups.event_summary(fact, site_col, classifier))
+
+
+def listed_events(summaries: DataFrame) -> DataFrame:
+    """Event summaries as the compact list."""
+    return summaries.select("refid", "event_id", F.col("name").alias("n"), F.col("month").alias("m"), "p", "a", F.col("sub_program").alias("sp"))

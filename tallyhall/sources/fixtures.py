@@ -244,3 +244,10 @@ def fact(spark: SparkSession, root: str, columns: list[str] | None = None, exclu
 def event_taxonomy(spark: SparkSession, root: str, columns: list[str]) -> DataFrame:
     """The taxonomy extract of all events, by their own keys."""
     return builder.event_taxonomy(Tables(spark, root), "event", columns, GRAPH, UNIQUE)
+
+
+def event_parts(spark: SparkSession, root: str, excluded: tuple = FIXTURE_EXCLUDED) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(participants, events, titles) below the fact, for eager aggregation."""
+    t = Tables(spark, root, excluded)
+    participants = t["participants"].select("event_id", "refid", "participant_id", "attendance", "part_id")
+    return participants, GRAPH.plan(t, "event", ["event_id", "program", "event_startdate"], UNIQUE), t["parts"]
