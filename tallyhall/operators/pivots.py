@@ -110,24 +110,23 @@ def monthly_home_pivot(fact: DataFrame, sites: DataFrame, programs: list[str], s
     a site's total follows the rule of :func:`pivot_wide_home` by sheet."""
     month = F.when(F.col(date_col).isNotNull(), _sheet(1, month_start(date_col)))
     wide = _home_pivot(fact, sites, programs, site_col, program_col, [month, _sheet(4)])
-    dim = site_dimension(sites).select("refid", "site_name", "state")
     cols = wide_columns(programs)
-    # A site's sheets are gathered (one entry a month), so sheets and sites are densified by one pass over the cells.
-    sheet = F.struct("grain_code", "sheet_start", "wom")
-    grid = wide.select(sheet.alias("sheet")).distinct().select("sheet.*").join(
-        dim.withColumn("grain_code", F.explode(F.array(F.lit(1), F.lit(4)))), "grain_code")
-    out = grid.join(wide.drop("wom"), (grid["refid"] == wide["refid"]) & (grid["grain_code"] == wide["grain_code"])
-                    & grid["sheet_start"].eqNullSafe(wide["sheet_start"]), "left")
-    out = out.select(grid["grain_code"], grid["sheet_start"], grid["wom"], grid["refid"], "site_name", "state",
-                     *[F.coalesce(c, F.lit(0)).alias(c) for c in cols])
-    return sheet_labels(out)
+    # The sheets that the cells have, as one array (one entry a month, and All).
+    sheets = wide.agg(F.collect_set(F.struct(*SHEET))).scalar()
+    dim = site_dimension(sites).select("refid", "site_name", "state")
+    grid = dim.select("*", F.explode(sheets).alias("_s")).select("_s.*", "refid", "site_name", "state")
+    same = (grid["refid"] == wide["refid"]) & (grid["grain_code"] == wide["grain_code"]) & grid["sheet_start"].eqNullSafe(wide["sheet_start"])
+    out = grid.join(wide.drop("wom"), same, "left")
+    return sheet_labels(out.select(grid["grain_code"], grid["sheet_start"], grid["wom"], grid["refid"], "site_name", "state",
+                                   *[F.coalesce(c, F.lit(0)).alias(c) for c in cols]))
 
 
 def unique_fact_sites(fact: DataFrame, refid: str = "event_site_refid", name: str = "event_site_name",
                       state: str = "event_site_state") -> DataFrame:
-    """Distinct (refid, name, state) of the fact with a non-empty refid."""
+    """Distinct (refid, name, state) of the fact with a non-empty refid, by
+    state and name."""
     return (fact.select(F.col(refid).alias("refid"), F.col(name).alias("site_name"), F.col(state).alias("state"))
-                .distinct().where(non_empty("refid")))
+                .distinct().where(non_empty("refid")).orderBy(F.col("state").asc_nulls_last(), F.col("site_name").asc_nulls_last(), "refid"))
 
 
 def pivot_wide_group(fact: DataFrame, group_col: str, groups: list[str], keep=None, all_sites: DataFrame | None = None,

@@ -8,20 +8,21 @@ latest three months).
 from __future__ import annotations
 
 import uuid
+from collections import ChainMap
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Classifier, FilterSpec, PillarSpec
+from ..config import CASCADE_ORDER, FACET_COLUMNS, Classifier, FilterSpec, PillarSpec
 from ..functions.calendar import (duration_hours, month_key, month_name, us_date, us_datetime,
                                   year_quarter)
 from ..functions.classify import classify
 from ..functions.text import is_json_array, json_type, mask_identity, strip_control
-from ..operators import explore, filters, joins, pivots, rollups
+from ..operators import explore, filters, joins, pivots, rollups, search
 from ..operators import fact as fact_builder
 from ..session import shared_dir
-from ..sinks import payload, tables
+from ..sinks import bucketed, payload, tables
 from ..sources import fixtures as fx
 from ..sources.readers import read_table
 from . import oracle_sql as O
@@ -110,6 +111,14 @@ def q_site_dimension(spark, root):
              .orderBy(F.coalesce(F.col("state"), F.lit("")), F.col("site_name").asc_nulls_last()))
 
 
+@register("fact_sites", O.FACT_CTE + """
+SELECT DISTINCT event_site_refid AS refid, event_site_name AS site_name, event_site_state AS state FROM fact
+WHERE event_site_refid IS NOT NULL AND event_site_refid <> ''
+""")
+def q_fact_sites(spark, root):
+    return pivots.unique_fact_sites(_fact(spark, root, ["event_site_refid", "event_site_name", "event_site_state"]))
+
+
 @register("self_hierarchy", """
 WITH orgs AS (
   SELECT CAST(n_nationkey AS BIGINT) AS org_id, 'TP ' || n_name AS org_name, 'tp' AS org_type,
@@ -300,6 +309,22 @@ def q_json_array_events(spark, root):
     return e.select("event_id", json_type("site_json").alias("json_kind"), is_json_array("site_json").alias("is_array"))
 
 
+@register("bucketed_fact_months", O.FACT_CTE + """
+SELECT strftime(event_startdate, '%Y-%m') AS period, category_name, count(*) AS rows, count(DISTINCT event_id) AS events,
+       count(DISTINCT participant_id) AS pax
+FROM fact GROUP BY 1, 2
+""")
+def q_bucketed_fact_months(spark, root):
+    """The fact over events and participants that are stored in the same
+    buckets, so their join needs no exchange."""
+    t = fx.Tables(spark, root, fx.FIXTURE_EXCLUDED)
+    names = bucketed.write_copartitioned({k: t[k] for k in ("events", "participants")}, f"fact_{uuid.uuid4().hex}")
+    stored = ChainMap(bucketed.read_copartitioned(spark, names), t)
+    f = fact_builder.build_fact(stored, ["event_id", "participant_id", "event_startdate", "category_name"], graph=fx.GRAPH, unique=fx.UNIQUE)
+    return f.groupBy(month_key("event_startdate").alias("period"), "category_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events"), F.count_distinct("participant_id").alias("pax"))
+
+
 # ---------------------------------------------------------------------------
 # Rollups
 # ---------------------------------------------------------------------------
@@ -751,8 +776,10 @@ hit AS (SELECT *, (COALESCE(pillar_name = '1-URGENT', false)
 """
 
 
-def _view(spark, root):
-    return explore.export_view(_fact(spark, root, explore.EXPORT_FACT_COLUMNS))
+def _view(spark, root, columns=None):
+    """The export view, or some of its columns with the lookups they need."""
+    f = _fact(spark, root, explore.EXPORT_FACT_COLUMNS if columns is None else explore.fact_columns(columns))
+    return explore.export_view(f, columns=columns)
 
 
 @register("dataset_summary", O.FACT_CTE + """
@@ -776,7 +803,8 @@ SELECT count(*) AS total_rows, count(*) FILTER (WHERE h) AS filtered_rows,
 FROM hit
 """)
 def q_filtered_stats(spark, root):
-    return explore.filtered_stats(_view(spark, root), FIXTURE_SPEC)
+    columns = [*explore.filter_columns(FIXTURE_SPEC), "participant_id", "event_id", "site_name", "site_state"]
+    return explore.filtered_stats(_view(spark, root, list(dict.fromkeys(columns))), FIXTURE_SPEC)
 
 
 def _facet_sql(facets, src="v"):
@@ -786,12 +814,12 @@ def _facet_sql(facets, src="v"):
 
 
 @register("facet_values", _VIEW_SQL + f"""
-{_facet_sql(__import__('tallyhall.config', fromlist=['FACET_COLUMNS']).FACET_COLUMNS)}
+{_facet_sql(FACET_COLUMNS)}
 UNION ALL SELECT 'date_from', CAST(min(event_startdate) AS VARCHAR) FROM v HAVING min(event_startdate) IS NOT NULL
 UNION ALL SELECT 'date_to', CAST(max(event_startdate) AS VARCHAR) FROM v HAVING max(event_startdate) IS NOT NULL
 """)
 def q_facet_values(spark, root):
-    return explore.facet_values(_view(spark, root))
+    return explore.facet_values(_view(spark, root, [*FACET_COLUMNS, "event_startdate"]))
 
 
 @register("cascaded_facets", _VIEW_SQL + f"""
@@ -799,7 +827,7 @@ def q_facet_values(spark, root):
 {_facet_sql(['pillar_name', 'sub_pillar_name', 'deeper_sub_pillar'], 'pool')}
 """)
 def q_cascaded_facets(spark, root):
-    return explore.cascaded_facets(_view(spark, root), {"category_name": "NADI4U"}, "category_name")
+    return explore.cascaded_facets(_view(spark, root, CASCADE_ORDER), {"category_name": "NADI4U"}, "category_name")
 
 
 @register("preview_200", _VIEW_SQL + """
@@ -815,7 +843,29 @@ ORDER BY category_name NULLS LAST, pillar_name NULLS LAST, site_state NULLS LAST
 LIMIT 200
 """)
 def q_preview_200(spark, root):
-    return explore.preview(_view(spark, root), FIXTURE_SPEC)
+    return explore.preview(_view(spark, root), FIXTURE_SPEC, counted=_view(spark, root, explore.filter_columns(FIXTURE_SPEC)))
+
+
+SEARCH_NEEDLES = ["blue", "1 Blue", "son#12", "a", "zzz"]
+_SEARCH_SQL = " UNION ALL ".join(f"""SELECT '{n}' AS needle, participant_id, event_id, participant_name, site_name, program_name FROM v
+WHERE contains(lower(concat_ws(' ', COALESCE(participant_name, ''), COALESCE(site_name, ''), COALESCE(program_name, ''),
+      COALESCE(sub_pillar_name, ''), COALESCE(deeper_sub_pillar, ''))), '{n.lower()}')""" for n in SEARCH_NEEDLES)
+
+
+@register("search_index", _VIEW_SQL + f"SELECT needle, count(*) AS rows, count(DISTINCT participant_id) AS participants, "
+          f"count(DISTINCT event_id) AS events, min(site_name) AS first_site FROM ({_SEARCH_SQL}) GROUP BY needle")
+def q_search_index(spark, root):
+    """Searches of one view by its trigram index: needles within a field,
+    over two fields, too short for the index, and without a hit."""
+    columns = [*explore.filter_columns(FilterSpec(search="x")), "participant_id", "event_id"]
+    path = f"{shared_dir(spark)}/tables/search-{uuid.uuid4().hex}"
+    tables.replace_table(_view(spark, root, columns), f"{path}/view", partition_by=None)
+    view = tables.read_table(spark, f"{path}/view")
+    search.build_index(view, path)
+    hits = [search.search(view, path, n).select(F.lit(n).alias("needle"), "participant_id", "event_id", "site_name") for n in SEARCH_NEEDLES]
+    return joins.union_slices(hits).groupBy("needle").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("participant_id").alias("participants"),
+        F.count_distinct("event_id").alias("events"), F.min("site_name").alias("first_site"))
 
 
 @register("latest_three_months", O.FACT_CTE + f"""
