@@ -72,17 +72,19 @@ def _text_prints(texts: list[bytes | None], shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, print): a bit is set if more than half of the text's
-    shingles have it in their XXH64 (seed 42).  Fewer words than a shingle:
-    all of them; no words or null: zero.  Ids become bigint."""
-    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    """Rows (doc_id, text_hash, print): a bit is set if more than half of the
+    text's shingles have it in their XXH64 (seed 42).  Fewer words than a
+    shingle: all of them; no words or null: zero.  Ids keep their type."""
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
+    schema = T.StructType([src.schema["doc_id"], T.StructField("text_hash", T.LongType()), T.StructField("print", T.LongType())])
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(_text_prints(batch.column("text").to_pylist(), shingle))], ["doc_id", "print"])
+            prints = _text_prints(batch.column("text").to_pylist(), shingle)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(prints)], schema.names)
 
-    return src.mapInArrow(run, "doc_id bigint, print bigint")
+    return src.mapInArrow(run, schema)
 
 
 class _Joined:
@@ -180,22 +182,34 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     Documents without words share fingerprint zero and link like others.  A
     row with a null id has a fingerprint, links nothing and has no component.
     Repeated rows are returned each; an empty table gives no rows."""
+    return _resolved(docs, shingle, max_bits, block, id_col, text_col).select("doc_id", "print", "component_id")
+
+
+def _resolved(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, block: int = BLOCK, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """:func:`near_duplicates` with text_hash and the component's root, its
+    smallest fingerprint.  Components are of fingerprints, not of ids, so
+    texts that share an id and nothing else stay apart."""
     prints = saved(fingerprints(docs, shingle, id_col, text_col), "prints")
-    nodes = saved(prints.where("doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("node")), "print-nodes")
-    roots = components(links(nodes, max_bits, block))
-    named = nodes.join(roots, "node", "left").select("print", F.coalesce("root", "node").alias("component_id"))
-    out = prints.join(named, "print", "left")
-    return out.select("doc_id", "print", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    nodes = saved(prints.where("doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("low")), "print-nodes")
+    roots = components(links(nodes.select("print", F.col("print").alias("node")), max_bits, block))
+    named = nodes.join(roots.withColumnRenamed("node", "print"), "print", "left").select("print", "low", F.coalesce("root", "print").alias("root"))
+    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    out = prints.join(named.select("print", "root").join(lowest, "root"), "print", "left")
+    known = F.col("doc_id").isNotNull()
+    return out.select("doc_id", "text_hash", "print", F.when(known, F.col("root")).alias("root"), F.when(known, F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest, once for
-    each id; rows with a null id stay.  All columns are kept."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **kw)
-    best = saved(found.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct(), "kept")
-    known = docs.where(F.col(id_col).isNotNull())
-    kept = known.join(best, F.col(id_col).cast("bigint") == F.col("__keep"), "left_semi").dropDuplicates([id_col])
-    return kept.union(docs.where(F.col(id_col).isNull()))
+    """One row of each component: that with the smallest id, of several texts
+    with that id in the component the one whose hash is smallest.  Repeated
+    rows (equal id and text) count as one; unlike texts that share an id are
+    each kept; rows with a null id stay.  All columns are kept."""
+    found = _resolved(docs, id_col=id_col, text_col=text_col, **kw).where("doc_id = component_id")
+    best = saved(found.groupBy("root", "doc_id").agg(F.min("text_hash").alias("__hash")).select(F.col("doc_id").alias("__keep"), "__hash"), "kept")
+    known = docs.where(F.col(id_col).isNotNull()).withColumn("__text_hash", F.xxhash64(F.col(text_col).cast("string")))
+    kept = known.join(best, (F.col(id_col) == F.col("__keep")) & (F.col("__text_hash") == F.col("__hash")), "left_semi")
+    return kept.dropDuplicates([id_col, "__text_hash"]).select(*docs.columns).union(docs.where(F.col(id_col).isNull()))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

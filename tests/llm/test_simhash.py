@@ -91,3 +91,19 @@ def test_components_of_chains_stars_and_nothing(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
     assert got == {k: v for k, v in roots({x for p in pairs for x in p}, pairs).items()}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_unlike_texts_of_one_id_are_each_kept(spark):
+    rows = [(5, "one two three four five six"), (5, "nine eight seven six five four three"), (6, "one two three four five six"),
+            (4, "Nine eight seven six five four three"), (5, "one two three four five six"), (7, None), (8, "")]
+    kept = simhash.one_of_each(edge_docs(spark, rows))
+    assert sorted((r.doc_id, r.text) for r in kept.collect() if r.doc_id < 7) == [
+        (4, "Nine eight seven six five four three"), (5, "one two three four five six")]
+    apart = simhash.one_of_each(edge_docs(spark, [(5, "alpha beta gamma delta"), (5, "words of quite another kind here")]))
+    assert sorted(r.text for r in apart.collect()) == ["alpha beta gamma delta", "words of quite another kind here"]
+
+
+def test_text_ids(spark):
+    docs = spark.createDataFrame([("b", "x y z w"), ("a", "X y z w"), ("c", "something else entirely now")], "doc_id string, text string")
+    assert {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()} == {("a", "a"), ("b", "a"), ("c", "c")}
+    assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == {"a", "c"}
