@@ -26,7 +26,6 @@ from .features import Words, all_pairs, hashed, numbered
 from .tokens import slices
 
 SAMPLE = 8_000
-MOST = 300_000
 
 
 def _mixed(x: np.ndarray, y) -> np.ndarray:
@@ -96,9 +95,9 @@ def _unit(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
     return value / np.maximum(norm, 1e-12)[row]
 
 
-def fit_machine(column: pa.Array, label: np.ndarray, most: int = MOST, least_rows: int = 2) -> dict:
-    """``label`` is 1 or 0.  Features of at least ``least_rows`` rows are
-    kept, the ``most`` with the largest ratios if there are more."""
+def fit_machine(column: pa.Array, label: np.ndarray, least_rows: int = 2) -> dict:
+    """``label`` is 1 or 0.  All features of at least ``least_rows`` rows are
+    used: one that a single row has says nothing of any other."""
     row, feature = all_pairs(column, _parts)
     known, n = np.unique(feature, return_counts=True)
     known = known[n >= least_rows]
@@ -107,12 +106,6 @@ def fit_machine(column: pa.Array, label: np.ndarray, most: int = MOST, least_row
     hit = known[at] == feature if len(known) else np.zeros(len(feature), bool)
     row, col = row[hit], at[hit]
     ratio = log_count_ratios(row, col, y, len(known))
-    if len(known) > most:
-        keep = np.sort(np.argsort(-np.abs(ratio), kind="stable")[:most])
-        number = np.full(len(known), -1)
-        number[keep] = np.arange(most)
-        known, ratio, hit = known[keep], ratio[keep], number[col] >= 0
-        row, col = row[hit], number[col[hit]]
     starts = np.searchsorted(row, np.arange(len(y) + 1))
     w = dual_coordinate_descent(starts, col, _unit(row, ratio[col], len(y)), y, len(known))
     return {"known": known, "ratio": ratio.astype(np.float32), "weight": (w[:-1] * ratio).astype(np.float32), "intercept": float(w[-1])}
@@ -146,8 +139,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
         model = fit_machine(whole.column("text").combine_chunks(), whole.column("y").to_numpy())
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    found = (src.withColumn("text_hash", F.xxhash64("text")).drop("doc_id").coalesce(1)
-             .mapInArrow(run, "model binary").collect())
+    # The scan and the join run in parallel; the one fitting task reads the sample that they wrote.
+    texts_of = saved(src.withColumn("text_hash", F.xxhash64("text")).drop("doc_id"), "labelled-texts")
+    found = texts_of.repartition(1).mapInArrow(run, "model binary").collect()
     if found:
         return pickle.loads(found[0].model)
     none = np.zeros(0, np.float32)
