@@ -41,16 +41,15 @@ def _parts(column: pa.Array) -> list:
     return [(w.row, w.code, hashed(bare, "word")), (w.row[keep], w.code[keep], hashed(begins, "begin"))]
 
 
-def _chosen(row: np.ndarray, feature: np.ndarray, label: np.ndarray, most: int, least_rows: int = 3, z: float = 4.0) -> np.ndarray:
+def _chosen(row: np.ndarray, feature: np.ndarray, label: np.ndarray, least_rows: int = 3, z: float = 4.0) -> np.ndarray:
     """Sorted features whose share of positive rows is ``z`` standard errors
-    above the label's share, the strongest ``most``."""
+    above the label's share."""
     known, number = np.unique(feature, return_inverse=True)
     n = np.bincount(number)
     pos = np.bincount(number, weights=label[row])
     share = label.mean()
     score = (pos - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1e-9))
-    ok = np.flatnonzero((score >= z) & (n >= least_rows))
-    return np.sort(known[ok[np.argsort(-score[ok], kind="stable")[:most]]])
+    return known[(score >= z) & (n >= least_rows)]
 
 
 def _logistic(row, col, dense, y, n_features: int, steps: int = 300, rate: float = 0.5, l2: float = 1e-4):
@@ -75,11 +74,11 @@ def _log_odds(row, col, dense, model, n):
     return np.clip(np.bincount(row, weights=w[col], minlength=n) + dense @ v + b, -30, 30)
 
 
-def fit_chain(column: pa.Array, labels: np.ndarray, folds: np.ndarray, most: int = 5000) -> dict:
+def fit_chain(column: pa.Array, labels: np.ndarray, folds: np.ndarray) -> dict:
     """``labels`` has a column for each category, in chain order."""
     row, feature = all_pairs(column, _parts)
     n, k = labels.shape
-    known = np.unique(np.concatenate([_chosen(row, feature, labels[:, j], most) for j in range(k)])) if n else np.zeros(0, np.uint64)
+    known = np.unique(np.concatenate([_chosen(row, feature, labels[:, j]) for j in range(k)])) if n else np.zeros(0, np.uint64)
     at = np.searchsorted(known, feature)
     hit = (at < len(known)) & (known[np.minimum(at, max(0, len(known) - 1))] == feature) if len(known) else np.zeros(len(feature), bool)
     row, col = row[hit], at[hit]
@@ -132,8 +131,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
         model = fit_chain(column, y, whole.column("fold_hash").to_numpy().astype(np.uint64) % FOLDS)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    found = (src.withColumn("fold_hash", F.xxhash64("doc_id", F.lit(1))).withColumn("text_hash", F.xxhash64("text"))
-             .drop("doc_id").coalesce(1).mapInArrow(run, "model binary").collect())
+    # The scan and the join run in parallel; the one fitting task reads the sample that they wrote.
+    texts_of = saved(src.withColumn("fold_hash", F.xxhash64("doc_id", F.lit(1))).withColumn("text_hash", F.xxhash64("text"))
+                     .drop("doc_id"), "labelled-texts")
+    found = texts_of.repartition(1).mapInArrow(run, "model binary").collect()
     if found:
         return pickle.loads(found[0].model)
     return {"known": np.zeros(0, np.uint64), "models": [(np.zeros(0), np.zeros(j), 0.0) for j in range(k)]}

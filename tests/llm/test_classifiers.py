@@ -103,3 +103,96 @@ def test_edges(spark, tmp_path, rows):
     e = write_tables(tmp_path / "e", empty_docs(spark), labels=labels)
     assert quality_svm.op6_nbsvm_quality(spark, e).count() == 0
     assert toxicity.op10_chain_toxicity(spark, e).count() == 0
+
+
+def _shape(word):
+    import regex
+    for pattern, put in ((r"\p{Lu}+", "A"), (r"\p{Ll}+", "a"), (r"[\p{Lo}\p{Lt}\p{Lm}\p{M}]+", "o"), (r"\p{N}+", "0")):
+        word = regex.sub(pattern, put, word)
+    return word
+
+
+def _svm_features(text):
+    w = (text or "").split()
+    s = [_shape(x) for x in w]
+    out = {("word", x.lower()) for x in w} | {("end", x[-3:]) for x in w} | {("shape", x) for x in s}
+    out |= {("pair", a.lower(), b.lower()) for a, b in zip(w, w[1:])}
+    out |= {("two", s[i], s[i + 1], w[i] == w[i + 1]) for i in range(len(w) - 1)}
+    return out | {("three", *s[i:i + 3], w[i] == w[i + 1], w[i + 1] == w[i + 2]) for i in range(len(w) - 2)}
+
+
+def _sample(n, seed):
+    rng = np.random.default_rng(seed)
+    good, bad = "the quick Brown fox jumps over 12 lazy dogs".split(), "BUY now now now !!! cheap PILLS 99 $$$".split()
+    label = rng.integers(0, 2, n)
+    return [" ".join(rng.choice(good if y else bad, 12)) + " é" * int(rng.integers(0, 2)) for y in label], label
+
+
+def test_op6_scores_equal_a_plain_version():
+    texts, label = _sample(60, 5)
+    model = quality_svm.fit_machine(pa.array(texts), label)
+    sets = [_svm_features(t) for t in texts]
+    known = sorted({f for s in sets for f in s if sum(f in o for o in sets) >= 2}, key=str)
+    assert len(model["known"]) == len(known)
+    x = np.array([[f in s for f in known] for s in sets], float)
+    y = np.where(label > 0, 1.0, -1.0)
+    pos, neg = 1 + x[y > 0].sum(0), 1 + x[y < 0].sum(0)
+    ratio = np.log(pos / pos.sum()) - np.log(neg / neg.sum())
+    scaled = lambda m: m * ratio / np.maximum(np.sqrt(((m * ratio) ** 2).sum(1)), 1e-12)[:, None]
+    xs, w, b, alpha, rng = scaled(x), np.zeros(len(known)), 0.0, np.zeros(60), np.random.default_rng(7)
+    for _ in range(8):
+        for i in rng.permutation(60):
+            g = y[i] * (xs[i] @ w + b) - 1 + alpha[i] / 2
+            new = max(alpha[i] - g / (xs[i] @ xs[i] + 1.5), 0)
+            w, b, alpha[i] = w + (new - alpha[i]) * y[i] * xs[i], b + (new - alpha[i]) * y[i], new
+    asked = ["the fox BUY now", "", "unknown words only", texts[3], None]
+    m = np.array([[f in _svm_features(t) for f in known] for t in asked], float)
+    want = 1 / (1 + np.exp(-2 * (scaled(m) @ w + b)))
+    assert np.abs(quality_svm.machine_scores(model, pa.array(asked)) - want).max() < 1e-4
+
+
+def test_op10_probabilities_equal_a_plain_version():
+    texts, label = _sample(90, 6)
+    rng = np.random.default_rng(2)
+    both = np.column_stack([label, label & rng.integers(0, 2, 90)]).astype(float)
+    texts = [t + (" hateful" if y else "") for t, y in zip(texts, both[:, 1])]
+    folds = np.arange(90) % 3
+    model = toxicity.fit_chain(pa.array(texts), both, folds)
+
+    def features(t):
+        bare = [w.lower().strip(toxicity.MARKS) for w in (t or "").split()]
+        return {("word", w) for w in bare} | {("begin", w[:5]) for w in bare if len(w) > 5}
+    sets = [features(t) for t in texts]
+    every = sorted({f for s in sets for f in s})
+    x = np.array([[f in s for f in every] for s in sets], float)
+    n = x.sum(0)
+    picked = np.zeros(len(every), bool)
+    for j in range(2):
+        share = both[:, j].mean()
+        picked |= ((x.T @ both[:, j] - n * share) / np.sqrt(n * share * (1 - share)) >= 4) & (n >= 3)
+    assert picked.sum() == len(model["known"]) > 0
+
+    def fit(z, y):
+        w, seen = np.zeros(z.shape[1]), np.full(z.shape[1], 1e-8)
+        l2 = np.r_[np.full(z.shape[1] - 1, 1e-4), 0]
+        for _ in range(300):
+            e = (1 / (1 + np.exp(-np.clip(z @ w, -30, 30))) - y) / len(y)
+            g = z.T @ e + l2 * w
+            seen += g * g
+            w = w - 0.5 * g / np.sqrt(seen)
+        return w
+    odds = lambda z, w: np.clip(z @ w, -30, 30)
+    wide = lambda m, extra: np.column_stack([m, *extra, np.ones(len(m))])
+    asked = ["hateful now now", "the fox", "", None, "PILLS! hateful."]
+    m = np.array([[f in features(t) for f in every] for t in asked], float)[:, picked]
+    xp, earlier, of_asked, want = x[:, picked], [], [], []
+    for j in range(2):
+        out = np.zeros(90)
+        for f in range(3):
+            w = fit(wide(xp, earlier)[folds != f], both[folds != f, j])
+            out[folds == f] = odds(wide(xp, earlier), w)[folds == f]
+        w = fit(wide(xp, earlier), both[:, j])
+        z = odds(wide(m, of_asked), w)
+        want.append(1 / (1 + np.exp(-z)))
+        earlier, of_asked = [*earlier, out], [*of_asked, z]
+    assert np.abs(toxicity.chain_probabilities(model, pa.array(asked)) - np.column_stack(want)).max() < 1e-6
