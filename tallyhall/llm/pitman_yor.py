@@ -24,6 +24,7 @@ Words are named by 64-bit hashes.
 
 from __future__ import annotations
 
+import gc
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bucket, id_type, partitions, saved, table
+from .common import bucket, id_type, partitions, removed, saved, scratch, table
 from .features import hashed
 from .tokens import slices
 
@@ -78,10 +79,24 @@ class Tokens:
         return Tokens(self.word[keep], self.context[keep], self.row[keep])
 
 
+DELTAS = 1 << 8  # added to an item's width: differences of ascending values
+
+
+def _planes(a: np.ndarray) -> bytes:
+    """Items byte by byte, all lowest bytes first: alike bytes side by side."""
+    a = np.ascontiguousarray(a)
+    return a.tobytes() if a.itemsize == 1 else a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes()
+
+
 def _zip(*arrays: np.ndarray) -> bytes:
-    """Arrays, compressed: lengths, types and bytes."""
-    head = np.array([x for a in arrays for x in (len(a), a.itemsize)], "<i8")
-    raw = b"".join([np.array([len(arrays)], "<i8").tobytes(), head.tobytes(), *[np.ascontiguousarray(a).tobytes() for a in arrays]])
+    """Unsigned arrays, compressed: lengths, widths and planes of bytes.
+    Ascending hashes are written as their differences."""
+    head, planes = [], []
+    for a in arrays:
+        rising = a.dtype == np.uint64 and len(a) > 1 and bool((a[1:] >= a[:-1]).all())
+        head += [len(a), a.itemsize + DELTAS * rising]
+        planes.append(_planes(np.diff(a, prepend=np.uint64(0)) if rising else a))
+    raw = b"".join([np.array([len(arrays)], "<i8").tobytes(), np.array(head, "<i8").tobytes(), *planes])
     return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
 
 
@@ -91,11 +106,35 @@ def _unzip(body: bytes) -> list[np.ndarray]:
     n = int(np.frombuffer(raw, "<i8", 1)[0])
     head, at, out = np.frombuffer(raw, "<i8", 2 * n, 8), 8 + 16 * n, []
     for size, width in head.reshape(n, 2).tolist():
-        out.append(np.frombuffer(raw, f"<u{width}", size, at))
+        rising, width = divmod(width, DELTAS)
+        planes = np.frombuffer(raw, np.uint8, size * width, at)
+        a = planes if width == 1 else np.ascontiguousarray(planes.reshape(width, size).T).view(f"<u{width}").reshape(size)
+        out.append(np.cumsum(a, dtype=np.uint64) if rising else a)
         at += size * width
     return out
 
 
+class _Steps:
+    """Tables that a step writes and a later one reads; one that is no longer
+    needed is removed, so the disk holds the last steps only."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def put(self, df: DataFrame, name: str, *apart: str) -> DataFrame:
+        self.paths[name] = scratch(self.spark, name)
+        df.write.option("compression", "zstd").partitionBy(*apart).parquet(self.paths[name])
+        return self.spark.read.schema(df.schema).parquet(self.paths[name])
+
+    def drop(self, *names: str) -> None:
+        """Also lets Spark's cleaner remove the shuffles of written steps,
+        which it does for what the collector has found unused."""
+        for name in names:
+            removed(self.spark, self.paths.pop(name))
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+
 def _runs(x: np.ndarray) -> np.ndarray:
     """Starts of the runs of equal neighbours."""
     return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
@@ -346,7 +385,7 @@ def _questions(number: int, r: Restaurants, sums: list[np.ndarray], n: int) -> l
     return out
 
 
-def _answers(asked: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def _answers(asked: DataFrame, keep: bool = False) -> DataFrame:
     """For each question a row of the same bucket and range with the totals of
     its contexts over all buckets; with ``keep`` also a row of bucket -1 for
     each range: its contexts and their totals."""
@@ -363,7 +402,7 @@ def _answers(asked: DataFrame, name: str, keep: bool = False) -> DataFrame:
             rows.append(_row(number, place, _zip(*[_narrow(x[own]) for x in sums])))
         return _rows(rows)
 
-    return saved(asked.groupBy("at").applyInArrow(run, ROWS), name)
+    return asked.groupBy("at").applyInArrow(run, ROWS)
 
 
 def _met(group: pa.Table) -> tuple[bytes | None, bytes | None, list[np.ndarray]]:
@@ -436,7 +475,9 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
     spark = tokens_of.sparkSession
     n = partitions(spark)
     counted = tokens_of.select("text", "held_out").mapInArrow(lambda b: _train_rows(b, n), "bucket int, body binary")
-    state = saved(counted.groupBy("bucket").applyInArrow(_first_state, ROWS), "restaurants")
+    steps = _Steps(spark)
+    state = steps.put(counted.groupBy("bucket").applyInArrow(_first_state, ROWS), "restaurants")
+    steps.drop()
     first = _summed(state, n, N_TOTALS + 8)
     ones, (n_tokens, n_words) = first[N_TOTALS:N_TOTALS + 6].reshape(3, 2), first[N_TOTALS + 6:].tolist()
     discount = tuple(float(np.clip(a / max(1, a + 2 * b), 0.05, 0.95)) for a, b in ones)
@@ -457,8 +498,10 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
         return _rows([_row(number, TABLES, _zip(*map(_narrow, r.tables)), r.totals()),
                       *_questions(number, r, [r.by_context(r.tables[0])], n)])
 
-    opened = _answers(state.mapInArrow(ask, ROWS), "first-contexts")
-    burnt = saved(state.union(opened).groupBy("bucket").applyInArrow(burn, ROWS), "burn-in")
+    opened = steps.put(_answers(state.mapInArrow(ask, ROWS)), "first-contexts")
+    steps.drop()
+    burnt = steps.put(state.union(opened).groupBy("bucket").applyInArrow(burn, ROWS), "burn-in")
+    steps.drop("first-contexts")
     warm = _summed(burnt, n, N_TOTALS)
     share = max(1, n_tokens) / (2 * n)
     # Words with more than half a bucket's even share: fewer than 2 n of them.
@@ -495,11 +538,17 @@ def train(tokens_of: DataFrame, seed: int = 1) -> Model:
         return _rows(rows)
 
     tables, asked = burnt.where(F.col("at") == TABLES), burnt.where("at >= 0")
-    warm_contexts = _answers(asked, "warm-contexts")
-    seated = saved(state.union(tables).union(warm_contexts).groupBy("bucket").applyInArrow(sample, ROWS), "seatings")
-    totals = _summed(seated, n, samples * N_TOTALS).reshape(samples, N_TOTALS)
-    contexts = _answers(seated.where("at >= 0"), "contexts", keep=True)
-    return Model(seated.where(F.col("at") == STATE).select("bucket", "body"), contexts, prior, list(totals), n, hot)
+    warm_contexts = steps.put(_answers(asked), "warm-contexts")
+    steps.drop()
+    # Questions stand in a folder of their own, which goes when they are answered.
+    seated = steps.put(state.union(tables).union(warm_contexts).groupBy("bucket").applyInArrow(sample, ROWS)
+                       .withColumn("asks", F.col("at") >= 0), "seatings", "asks")
+    steps.drop("restaurants", "burn-in", "warm-contexts")
+    totals = _summed(seated.where("not asks"), n, samples * N_TOTALS).reshape(samples, N_TOTALS)
+    contexts = steps.put(_answers(seated.where("asks").drop("asks"), keep=True), "contexts")
+    removed(spark, f"{steps.paths['seatings']}/asks=true")
+    steps.drop()
+    return Model(seated.where("not asks").select("bucket", "body"), contexts, prior, list(totals), n, hot)
 
 
 def _big_words(state: DataFrame, least: float) -> list[tuple[int, int]]:
