@@ -25,7 +25,7 @@ from .common import UPPER, WHITE_RUN, saved, table
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "bang_share",
             "digit_share", "stop_share", "line_words")
-PLACE_BITS = 26  # words of a text that are told apart: 67 million
+PLACE_BITS = 26  # of a window's place beside its hash's high bits; longer texts, and those whose high bits clash, sort both in full
 MAX_RULES, MAX_CONDITIONS, BINS, MIN_PRECISION, MIN_COVER = 8, 4, 24, 0.9, 3
 
 
@@ -58,11 +58,16 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         _count(UPPER).alias("n_upper"), _count(BANGS).alias("n_bang"), _count(DIGITS).alias("n_digit"), _count(STOPS).alias("n_stop"),
         F.when(F.size("words") >= 3, windows).otherwise(F.array().cast("array<bigint>")).alias("windows"))
     again = F.size(F.array_distinct("windows")) < F.size("windows")
-    # A long for each window: the high bits of its hash, then its place.  Sorted, equal windows are neighbours; the whole
-    # hashes of neighbours are compared.
-    t = t.withColumn("placed", F.when(again, F.sort_array(F.expr(
+    # A long for each window: the high bits of its hash, then its place.  Sorted, equal windows are neighbours, unless
+    # unlike windows share the high bits or a text has more windows than places: such a text sorts hash and place in full.
+    place = (1 << PLACE_BITS) - 1
+    t = t.withColumn("placed", F.when(again & (F.size("windows") <= place), F.sort_array(F.expr(
         f"transform(windows, (h, i) -> shiftleft(shiftright(h, {PLACE_BITS}), {PLACE_BITS}) + i)"))))
-    t = t.withColumn("placed", F.expr(f"transform(placed, x -> cast(x & {(1 << PLACE_BITS) - 1} as int))"))
+    mixed = F.expr(f"""exists(sequence(1, size(placed) - 1), j -> shiftright(get(placed, j), {PLACE_BITS}) = shiftright(get(placed, j - 1), {PLACE_BITS})
+        and get(windows, cast(get(placed, j) & {place} as int)) <> get(windows, cast(get(placed, j - 1) & {place} as int)))""")
+    t = t.withColumn("placed", F.when(F.col("placed").isNotNull() & ~mixed, F.expr(f"transform(placed, x -> cast(x & {place} as int))")))
+    t = t.withColumn("placed", F.when(again, F.coalesce("placed", F.expr(
+        "transform(array_sort(transform(windows, (h, i) -> struct(h, i))), x -> x.i)"))))
     t = t.withColumn("places", F.expr("""sort_array(filter(transform(placed, (p, j) -> if(
         coalesce(get(windows, p) = get(windows, get(placed, j - 1)), false)
         or coalesce(get(windows, p) = get(windows, get(placed, j + 1)), false), p, -1)), p -> p >= 0))"""))

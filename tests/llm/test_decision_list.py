@@ -107,3 +107,15 @@ def test_no_rule_without_bad_rows(spark):
 
 def test_no_python_in_the_plan(spark):
     assert not re.search("Python|Pandas|MapInArrow", dl.statistics(spark.read.parquet(f"{MID}/documents.parquet"))._jdf.queryExecution().toString())
+
+
+@pytest.mark.parametrize("bits", [26, 60, 5])
+def test_repeats_are_exact_when_high_bits_clash_or_places_run_out(spark, monkeypatch, bits):
+    """With 60 bits for places only 4 of a hash are left, so unlike windows
+    share them; with 5 a text of over 31 windows has more than places."""
+    monkeypatch.setattr(dl, "PLACE_BITS", bits)
+    rng = np.random.default_rng(bits)
+    rows = [(i, " ".join(rng.choice(list("abcdefgh"), int(rng.integers(0, 300))))) for i in range(60)] + HARD
+    got = dl.statistics(edge_docs(spark, rows)).collect()
+    want = sorted(((i, base(t)[4]) for i, t in rows), key=str)
+    assert sorted(((r.doc_id, r.n_repeat_words) for r in got), key=str) == want
