@@ -23,54 +23,87 @@ def tail(z):
     return 1 / (1 + math.exp(1.5976 * z + 0.070566 * z ** 3))
 
 
-def p_value(s):
-    d, lo, up = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+D, LO, UP = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+GROUPS = ["etaoinsr", "hldcumfp", "gwybvkxjqz"]
+
+
+def encoding(s):
+    """(alphabet, groups, kinds, vowels, string) of a candidate."""
+    up = [g.upper() for g in GROUPS]
+    body = s.replace("-", "+").replace("_", "/").rstrip("=")
     if re.fullmatch("[0-9]+", s):
-        a = d
-    elif re.fullmatch("[0-9a-f]+|[0-9A-F]+", s):
-        a, s = d + lo[:6], s.lower()
-    elif re.fullmatch("[A-Z2-7]+=*", s):
-        a, s = up + d[2:8], s.rstrip("=")
-    elif re.fullmatch("[0-9a-z]+|[0-9A-Z]+", s):
-        a, s = d + lo, s.lower()
-    else:
-        a, s = up + lo + d + "+/", s.replace("-", "+").replace("_", "/").rstrip("=")
-    c, k = [a.index(x) for x in s], len(a)
-    n = max(2, len(c))
-    chi = k / n * sum((s.count(x) - n / k) ** 2 for x in a)
-    z1 = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
-    high = [x * 2 >= k for x in c]
-    pairs, turns = 2 * sum(high) * (n - sum(high)), sum(x != y for x, y in zip(high, high[1:]))
-    z2 = (turns - pairs / n) / math.sqrt(pairs * (pairs - n) / (n * n * (n - 1))) if pairs > n else math.sqrt(n)
+        return D, ["01234", "56789"], ["01234", "56789"], "", s
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", s):
+        return D + "abcdef", ["01234567", "89abcdef"], [D, "abcdef"], "", s.lower()
+    if re.fullmatch("[A-Z2-7]+=*", s):
+        return UP + "234567", [*up, "234567"], [UP, "234567"], "AEIOU", body
+    if re.fullmatch("[0-9a-z]+|[0-9A-Z]+", s):
+        return D + LO, [*GROUPS, D], [LO, D], "aeiou", s.lower()
+    if re.fullmatch("[A-Za-z]+", s):
+        return UP + LO, [*GROUPS, *up], [LO, UP], "aeiouAEIOU", s
+    return UP + LO + D + "+/", [*GROUPS, *up, D + "+/"], [LO, UP, D + "+/"], "aeiouAEIOU", body
+
+
+def changes(s, n, kinds, k):
+    of = {x: i for i, kind in enumerate(kinds) for x in kind}
+    p = [len(x) / k for x in kinds]
+    q, two, three = 1 - sum(x * x for x in p), sum(x * x for x in p), sum(x ** 3 for x in p)
+    turns = sum(of[a] != of[b] for a, b in zip(s, s[1:])) if s else -1
+    return (turns - (n - 1) * q) / math.sqrt(max((n - 1) * q * (1 - q) + 2 * (n - 2) * (1 - 2 * two + three - q * q), 1e-9))
+
+
+def p_value(s):
+    a, groups, kinds, vowels, s = encoding(s)
+    k, n = len(a), max(2, len(s))
+    chi, df = sum((sum(s.count(x) for x in g) - n * len(g) / k) ** 2 / (n * len(g) / k) for g in groups), len(groups) - 1
+    z1 = ((chi / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    c = [a.index(x) for x in s]
     m = sum(c) / n
     sq = sum((x - m) ** 2 for x in c)
     z3 = (sum((x - m) * (y - m) for x, y in zip(c, c[1:])) / sq if sq else 1) * math.sqrt(n)
-    x = -math.log(tail(max(z1, -8))) - math.log(2 * tail(abs(z2))) - math.log(2 * tail(abs(z3)))
-    return math.exp(-x) * (1 + x + x * x / 2)
+    x = -math.log(tail(max(z1, -8))) - math.log(2 * tail(abs(changes(s, n, kinds, k)))) - math.log(2 * tail(abs(z3)))
+    if vowels:
+        v = len(vowels) / k
+        z5 = (sum(y in vowels for y in s) - n * v) / math.sqrt(n * v * (1 - v))
+        x -= math.log(2 * tail(abs(changes(s, n, [vowels, "".join(y for y in a if y not in vowels)], k)))) + math.log(tail(max(z5, -8)))
+    return math.exp(-x) * sum(x ** i / math.factorial(i) for i in range(5 if vowels else 3))
 
 
 def stratum(n):
     return min(3, math.floor(math.log2(n / 16)))
 
 
+CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+
+
+def decoys(text):
+    """The strings of a document's own letters and digits."""
+    own = re.sub("[^A-Za-z0-9]+", "", re.sub(CANDIDATE, " ", text)) or "a"
+    for j in range(secrets.DECOYS):
+        start = math.floor(len(own) * (j / secrets.DECOYS))
+        whole = own[start:start + secrets.DECOY_LENGTH]
+        yield whole + (own[:secrets.DECOY_LENGTH] * secrets.DECOY_LENGTH)[:secrets.DECOY_LENGTH - len(whole)]
+
+
 def brute(docs):
-    tried = []
-    for key, text in dict.fromkeys(docs):
-        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or ""):
-            if re.search("[0-9]", m[0]) and not any(a < m.end() and m.start() < b for _, a, b in base(text)):
-                letters = re.sub("[^A-Za-z]+", "", re.sub("[A-Za-z0-9+/_=-]{20,}", "", text)) or "a"
-                n = len(m[0])
-                tried.append(((key, text), m.start(), m.end(), p_value(m[0]), p_value((letters * n)[:n])))
+    tried, against = [], set()
+    for doc in dict.fromkeys(docs):
+        for m in re.finditer(CANDIDATE, doc[1] or ""):
+            mixed = re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0])
+            if (re.search("[0-9]", m[0]) or mixed) and not any(a < m.end() and m.start() < b for _, a, b in base(doc[1])):
+                tried.append((doc, m.start(), m.end(), m[0], p_value(m[0])))
+                against.add((stratum(len(m[0])), min(len(m[0]), secrets.DECOY_LENGTH), tuple(decoys(doc[1]))))
     cut = {}
     for s in range(4):
-        own = [(p, q) for _, a, b, p, q in tried if stratum(b - a) == s]
+        own = [p for v, p in {(v, p) for *_, v, p in tried if stratum(len(v)) == s}]
+        null = [p_value(d[:n]) for k, n, own_text in against if k == s for d in own_text]
         for c in reversed(secrets.CUTOFFS):
-            if sum(q >= c for _, q in own) + 1 <= secrets.FDR * sum(p >= c for p, _ in own):
+            if own and len(own) * (sum(q >= c for q in null) + 1) / (len(null) + 1) <= secrets.FDR * sum(p >= c for p in own):
                 cut[s] = c
     out = []
     for doc in docs:
         b = base(doc[1])
-        more = [("random", a, e) for d, a, e, p, _ in tried if d == doc and p >= cut.get(stratum(e - a), 2)]
+        more = [("random", a, e) for d, a, e, v, p in tried if d == doc and p >= cut.get(stratum(len(v)), 2)]
         every = sorted(b + more, key=lambda x: (x[1], secrets.KINDS.index(x[0])))
         text = [",".join(f"{k}:{s}:{e}" for k, s, e in x) for x in (b, every)]
         out.append((doc[0], *[sum(x[0] == k for x in b) for k in ("assign", "access", "hex")],
@@ -114,7 +147,7 @@ def test_op8_against_brute_force(spark, tmp_path, rows):
 
 def test_random_keys_are_found_and_words_are_not():
     found = brute(random_docs())
-    assert sum("random" in r[-1] for r in found) > 230
+    assert sum("random" in r[-1] for r in found) >= 270
     assert all(r[-1].count("random") <= 1 for r in found)
 
 
@@ -166,48 +199,94 @@ def non_secrets(s, n):
         yield x if re.search("[0-9]", x) else x[:-1] + str(rng.randint(0, 9))
 
 
-def test_the_fixed_null():
-    for s, row in enumerate(secrets.NULL_PASSED):
-        p = [p_value(x) for x in non_secrets(s, secrets.NULL_SIZE)]
-        assert tuple(sum(x >= c for x in p) for c in secrets.CUTOFFS) == row
+def key(rng, size, alphabet=UP + LO + D + "+/"):
+    return "".join(rng.choice(alphabet) for _ in range(size))
+
+
+def is_candidate(s):
+    return re.search("[0-9]", s) or (re.search("[a-z]", s) and re.search("[A-Z]", s))
 
 
-def key(rng, size, least=0.5):
-    while True:
-        k = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(size))
-        if re.search("[0-9]", k) and p_value(k) >= least:
-            return k
+@pytest.mark.parametrize("alphabet", [UP + LO + D + "+/", UP + LO + D, UP + LO, D + "abcdef", D + LO, UP + D[2:8], D])
+def test_the_battery_refutes_few_random_strings(alphabet):
+    """Random strings of every encoding and length are refuted at the first
+    cutoff about as often as it says; no string is picked."""
+    for size in (20, 24, 32, 40, 64, 200):
+        rng = random.Random(size)
+        tried = [k for k in (key(rng, size, alphabet) for _ in range(400)) if is_candidate(k)]
+        assert sum(p_value(k) >= secrets.CUTOFFS[0] for k in tried) >= 0.94 * len(tried), size
+
+
+def test_the_false_rate_on_words_and_numbers():
+    """Of strings of words and numbers in five styles, none a secret: 2 in a
+    hundred pass at 20 to 31 characters, 1 in a thousand at 32 to 63, none
+    beyond."""
+    for s, most in enumerate((0.02, 0.001, 0, 0)):
+        assert sum(p_value(x) >= secrets.CUTOFFS[0] for x in non_secrets(s, 3000)) <= most * 3000
 
 
 def found(spark, path, rows):
     return {r[0]: r[-1] for r in run(spark, write_tables(path, edge_docs(spark, rows)))}
 
 
-@pytest.mark.parametrize("size", [24, 40, 90, 200])
-def test_one_key_in_a_small_table(spark, tmp_path, size):
-    rows = [(1, f"use {key(random.Random(size), size)} here"), (2, "no key is here"), (3, "see 2019/report/of/the/year/and/page here")]
-    got = found(spark, tmp_path, rows)
-    assert got == {1: f"random:4:{4 + size}", 2: "", 3: ""} if size > 32 else got[2] == got[3] == "" and "random" in got[1]
+def prose(rng, n=40):
+    return " ".join(rng.choice(WORDS) for _ in range(n)).capitalize()
+
+
+@pytest.mark.parametrize("size", [20, 24, 32, 40, 64])
+def test_recall_alone_and_among_others(spark, tmp_path, size):
+    """Keys as they are drawn: nine in ten are found among 200 documents, and
+    each alone where the battery does not refute it (which is tested above
+    for many more)."""
+    rng = random.Random(size)
+    docs = [(i, f"{prose(rng)}: zz {key(rng, size)} zz. {prose(rng)}") for i in range(200)]
+    got = found(spark, tmp_path / "a", docs)
+    assert sum("random" in x for x in got.values()) >= 180
+    assert {d: x for d, _, _, _, _, x in brute(docs)} == got
+    one = next(d for d in docs if p_value(d[1].split(" zz")[1].strip()) >= 0.02)
+    alone = found(spark, tmp_path / "b", [one, (999, "no key is here"), (998, "see 2019/report/of/the/year/and/page here")])
+    assert "random" in alone[one[0]] and alone[998] == alone[999] == ""
+
+
+def test_recall_alone_over_many_tables():
+    """Each document a table of its own."""
+    for size in (20, 24, 32, 40, 64):
+        rng = random.Random(size + 1)
+        hits = [brute([(1, f"{prose(rng, 30 * (i % 2))} use {key(rng, size)} here")])[0][-1] for i in range(120)]
+        assert sum("random" in x for x in hits) >= 0.9 * 120, size
+
+
+def test_other_candidates_do_not_silence_a_key(spark, tmp_path):
+    """A thousand slugs and paths among which no key is: the keys stay."""
+    rng = random.Random(6)
+    slugs = list(non_secrets(0, 500)) + list(non_secrets(1, 500))
+    docs = [(i, f"{prose(rng)} {x} {prose(rng)}") for i, x in enumerate(slugs)]
+    keys = [(5000 + i, f"{prose(rng)} {key(rng, 40)} {prose(rng)}") for i in range(20)]
+    got = found(spark, tmp_path, docs + keys)
+    assert sum("random" in got[d] for d, _ in keys) >= 18
+    assert sum("random" in got[d] for d, _ in docs) <= 0.02 * len(docs)
 
 
 def test_copies_count_once(spark, tmp_path):
-    """Thousands of copies of a text neither silence a stratum by their one
-    decoy nor lower its cutoff by their one candidate."""
+    """Thousands of copies of a text change nothing for the others."""
     docs = random_docs()
-    rng = random.Random(11)
-    plain = next(x for x in non_secrets(1, 4000) if 0.001 <= p_value(x) < 0.01)
-    decoy = key(rng, 40).translate(str.maketrans("0123456789+/", "abcdefghijkl"))
-    while p_value(decoy) < 0.5:
-        decoy = key(rng, 40).translate(str.maketrans("0123456789+/", "abcdefghijkl"))
     alone = found(spark, tmp_path / "a", docs)
-    group = [(10_000 + i, f"{decoy[:19]} {decoy[19:38]} {decoy[38:]} {'12' * 20}") for i in range(3000)]
-    got = found(spark, tmp_path / "b", docs + group)
-    assert {d: got[d] for d, _ in docs} == alone
-    low = [(20_000 + i, f"ordinary words {plain} follow here") for i in range(3000)]
-    assert not any("random" in x for x in found(spark, tmp_path / "c", low).values())
+    text = f"{prose(random.Random(2))} {key(random.Random(3), 40)} {'12' * 20}"
+    one = found(spark, tmp_path / "b", [*docs, (9_999, text)])
+    many = found(spark, tmp_path / "c", docs + [(10_000 + i, text) for i in range(3000)])
+    assert {d: many[d] for d, _ in docs} == {d: one[d] for d, _ in docs} and set(alone) < set(many)
+    assert len({many[10_000 + i] for i in range(3000)} | {one[9_999]}) == 1
+
+
+def test_a_long_run_gives_short_decoys(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(1, f"{prose(rng)} {key(rng, 200_000)} {prose(rng)}"), (2, "x" * 300_000), (3, prose(rng, 60_000) + " " + key(rng, 30))]
+    got = found(spark, tmp_path, rows)
+    assert "random" in got[1] and got[2] == "" and "random" in got[3]
 
 
-def test_a_rare_length_in_a_big_table_is_found(spark, tmp_path):
-    docs = [d for d in random_docs() if len(d[1].split()[2]) < 65]
-    k = key(random.Random(3), 150, 0.05)
-    assert "random:4:154" in found(spark, tmp_path, [*docs, (9999, f"use {k} here")])[9999]
+def test_equal_hashes_of_one_kind_do_not_join_documents(spark):
+    """The key has two hashes: rows that share one are told apart."""
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a")], "doc_id bigint, text string")
+    keys = [r[0] for r in docs.select(secrets._key("doc_id", "text")).collect()]
+    assert len({k.a for k in keys}) == len({k.b for k in keys}) == 3 and not {k.a for k in keys} & {k.b for k in keys}
