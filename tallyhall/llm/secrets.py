@@ -152,7 +152,8 @@ def _decoys(flagged: DataFrame) -> DataFrame:
     letters and digits outside candidates, from places evenly apart; its end
     goes on with its beginning.  Bounded, whatever the text."""
     t = flagged.select("doc_key", F.regexp_replace(F.regexp_replace("text", CANDIDATE, " "), "[^A-Za-z0-9]+", "").alias("own"))
-    t = t.withColumn("own", F.when(F.col("own") == "", "a").otherwise(F.col("own")))
+    # Written first: Spark would else clean the text anew for each of the strings.
+    t = saved(t, "own-letters").withColumn("own", F.when(F.col("own") == "", "a").otherwise(F.col("own")))
     ring = F.rpad(F.substring("own", 1, DECOY_LENGTH), DECOY_LENGTH, F.substring("own", 1, DECOY_LENGTH))
     starts = [F.floor(F.length("own") * (j / DECOYS)).cast("int") for j in range(DECOYS)]
     return t.select("doc_key", F.array(*[F.rpad(F.substr("own", s + 1, F.lit(DECOY_LENGTH)), F.lit(DECOY_LENGTH), ring) for s in starts]).alias("decoys"))
