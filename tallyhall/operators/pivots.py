@@ -345,6 +345,8 @@ def complete_sheets(fact: DataFrame, pillars: list[PillarSpec], category: str |
     by_site = by_sheet.groupBy(*SITE).agg(F.map_from_entries(F.collect_list(
         F.when(F.col("_key").isNotNull(), F.struct("_key", "_cells")))).alias("_own"))
     grid = by_site.select(*SITE, "_own", F.explode(lists["pillars"]).alias("_p"))
+    low = F.col("_p.place") * 1_000_000_000  # a row per sheet carries its pillar's cells only
+    grid = grid.select(*SITE, "_p", F.map_filter("_own", lambda k, _: (k >= low) & (k < low + 1_000_000_000)).alias("_own"))
     grid = grid.select(*SITE, "_own", "_p", F.explode(lists["sheets"]).alias("_s"))
     code = F.col("_p.place") * 1_000_000_000 + _sheet_code(F.col("_s.grain_code"), F.col("_s.sheet_start"), F.col("_s.wom"))
     grid = grid.select(*SITE, "_p", "_s", F.try_element_at("_own", code).alias("_cells"))
