@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CASCADE_ORDER, FACET_COLUMNS, Classifier, FilterSpec, PillarSpec
-from ..functions.calendar import (duration_hours, month_key, month_name, us_date, us_datetime,
+from ..functions.calendar import (to_utc_timestamp_safe, duration_hours, month_key, month_name, us_date, us_datetime,
                                   year_quarter)
 from ..functions.classify import classify
-from ..functions.text import is_json_array, json_type, mask_identity, strip_control
+from ..functions.text import is_json_array, json_type, mask_identity, safe_int, strip_control, to_number
 from ..operators import explore, filters, joins, pivots, rollups, search
 from ..operators import fact as fact_builder
 from ..session import shared_dir
@@ -1005,6 +1005,50 @@ def q_export_rows(spark, root):
     return _view(spark, root)
 
 
+@register("export_csv_summary", O.FACT_CTE + """
+SELECT category_name, pillar_name, event_site_state AS site_state, count(*) AS rows, count(DISTINCT participant_id) AS participants,
+       count(DISTINCT event_id) AS events, min(event_startdate) AS first_date, max(event_startdate) AS last_date,
+       count(*) FILTER (WHERE COALESCE(deeper_sub_pillar, '') = '') AS without_deeper
+FROM fact WHERE subcategory_id IN (1, 2, 6) AND COALESCE(regexp_matches(event_site_state, 'nation_[12]', 'i'), false) GROUP BY 1, 2, 3
+""")
+def q_export_csv_summary(spark, root):
+    """The export of three subcategories and some states, written as CSV
+    files in its order and read back."""
+    from . import flows
+    path = f"{shared_dir(spark)}/tables/export-{uuid.uuid4().hex}"
+    view = flows.export_rows(fx.Tables(spark, root), [1, 2, 6], {"state": "nation_[12]"}, excluded=fx.FIXTURE_EXCLUDED, graph=fx.GRAPH, unique=fx.UNIQUE)
+    flows.write_export(view, path)
+    back = flows.read_export(spark, path, view)
+    return back.groupBy("category_name", "pillar_name", "site_state").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("participant_id").alias("participants"), F.count_distinct("event_id").alias("events"),
+        F.min("event_startdate").alias("first_date"), F.max("event_startdate").alias("last_date"),
+        F.count_if(F.col("deeper_sub_pillar") == "").alias("without_deeper"))
+
+
+_LOOSE_SQL = """CASE event_type WHEN 'click' THEN CAST(user_id AS VARCHAR) WHEN 'view' THEN CAST(user_id AS VARCHAR) || '.75'
+  WHEN 'purchase' THEN '-' || CAST(user_id AS VARCHAR) || '.5' WHEN 'signup' THEN 'id ' || CAST(user_id AS VARCHAR) END"""
+_WHEN_SQL = """CASE event_type WHEN 'click' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 'view' THEN strftime(ts, '%Y-%m-%d')
+  WHEN 'purchase' THEN 'on ' || strftime(ts, '%Y-%m-%d') END"""
+
+
+@register("coerced_values", f"""
+WITH t AS (SELECT event_id, {_LOOSE_SQL} AS v, {_WHEN_SQL} AS w FROM events)
+SELECT event_id, COALESCE(CAST(trunc(TRY_CAST(v AS DECIMAL(18, 2))) AS BIGINT), 0) AS whole,
+       CAST(TRY_CAST(v AS DECIMAL(18, 2)) AS DECIMAL(18, 2)) AS number, strftime(TRY_CAST(w AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS moment
+FROM t
+""")
+def q_coerced_values(spark, root):
+    e = fx.event_log(spark, root)
+    u, kind, day = F.col("user_id").cast("string"), F.col("event_type"), F.date_format("ts", "yyyy-MM-dd")
+    loose = (F.when(kind == "click", u).when(kind == "view", F.concat(u, F.lit(".75"))).when(kind == "purchase", F.concat(F.lit("-"), u, F.lit(".5")))
+             .when(kind == "signup", F.concat(F.lit("id "), u)))
+    moment = (F.when(kind == "click", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).when(kind == "view", day)
+              .when(kind == "purchase", F.concat(F.lit("on "), day)))
+    t = e.select("event_id", loose.alias("v"), moment.alias("w"))
+    return t.select("event_id", safe_int("v").alias("whole"), to_number("v").cast("decimal(18,2)").alias("number"),
+                    F.date_format(to_utc_timestamp_safe("w"), "yyyy-MM-dd HH:mm:ss").alias("moment"))
+
+
 @register("dashboard_monthly", O.FACT_CTE + f"""
 , ids AS ({_ELIGIBLE_SQL})
 SELECT {_MONTH} AS month_start, strftime({_MONTH}, '%Y-%m') AS period, strftime({_MONTH}, '%b %Y') AS label,
