@@ -126,3 +126,20 @@ def test_plan_uses_every_piece_once_and_few_sequences(seed):
         assert at <= 1024
     bound = max(-(-int(sizes.sum()) // 1024), int((sizes > 512).sum()))
     assert len(fill) <= 1.1 * bound + 1
+
+
+def test_row_index_and_bloom_filter_skip_row_groups(spark, tmp_path):
+    """A read of one id scans its row group by the row index; an id that lies
+    between others but is not there, none at all, by the Bloom filter."""
+    docs = spark.range(8000).selectExpr("id * 2 doc_id", "concat('text ', id) text")
+    path = str(tmp_path / "t")
+    token_orc.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"), n_files=1, row_stride=1000)
+
+    def scanned(condition):
+        df = token_orc.read_tokens(spark, path).where(condition)
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+    assert scanned("doc_id >= 0") == 8000
+    assert scanned("doc_id = 7776") == 1000
+    assert scanned("doc_id = 7777") == 0
