@@ -1,16 +1,19 @@
 """Free-text search by a trigram index.
 
 The explorer's search is a substring test over five fields joined by spaces.
-The index has the distinct joined texts of a view (rows that share their
-fields share a text), and for each trigram the texts that have it, ordered by
-trigram, so a lookup reads a few row groups.  A search reads the postings of
-the needle's rarest trigrams, keeps the texts that all of them have, and puts
-the rows of those texts to the exact test.  A text's key is a 64-bit hash:
-texts that share one are candidates together, so no hit is lost, and the test
-is exact whatever the index gives.
-
-A needle of less than three characters has no trigram, and one whose rarest
-trigram most texts have is not worth a lookup: those scan.
+The index has the distinct values of a view's fields (a site's or a program's
+name stands there once, however many rows have it), and for each trigram the
+values that have it, ordered by trigram, so a lookup reads a few row groups.
+The join is by a space, so a word of the needle (a run without a space) lies
+within one field.  A search takes the word with the rarest trigram, reads the
+postings of that word's rarest trigrams, and puts the rows with such a value
+to the exact test.  A value's key is a 64-bit hash: values that share one are
+candidates together, so no hit is lost, and the test is exact whatever the
+index gives.
+
+A needle without a word of three characters has no trigram, and one whose
+rarest trigram most values have, or more than a join broadcasts, is not worth
+a lookup: those scan.
 """
 
 from __future__ import annotations
@@ -21,16 +24,23 @@ from pyspark.sql import functions as F
 from ..config import SEARCH_FIELDS
 from ..functions.text import search_haystack
 from ..sinks import tables
+from ..sinks.writers import checkpoint_table
 
 GRAM = 3
 RAREST = 4  # postings read for a needle
 SCAN_SHARE = 0.3
+MOST_KEYS = 100_000  # broadcast to the rows' scan
 
 
 def text_key(fields: list[str] = SEARCH_FIELDS) -> Column:
     return F.xxhash64(search_haystack(*fields))
 
 
+def field_values(fields: list[str] = SEARCH_FIELDS) -> list[Column]:
+    """The fields as they stand in the joined text."""
+    return [search_haystack(c) for c in fields]
+
+
 def grams(text: Column) -> Column:
     """The distinct trigrams of a text, whichever order."""
     places = F.sequence(F.lit(1), F.greatest(F.length(text) - (GRAM - 1), F.lit(1)))
@@ -38,19 +48,20 @@ def grams(text: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def needle_grams(needle: str) -> list[str]:
-    n = needle.lower().strip()
-    return list(dict.fromkeys(n[i:i + GRAM] for i in range(len(n) - GRAM + 1)))
+def word_grams(needle: str) -> list[list[str]]:
+    """The trigrams of each word of the needle that has any."""
+    words = [w for w in needle.lower().strip().split(" ") if len(w) >= GRAM]
+    return [list(dict.fromkeys(w[i:i + GRAM] for i in range(len(w) - GRAM + 1))) for w in words]
 
 
 def build_index(view: DataFrame, path: str, fields: list[str] = SEARCH_FIELDS) -> None:
     """Write the view's index: ``<path>/postings`` (gram, key) in order of
-    gram, and ``<path>/grams`` (gram, texts) with the number of texts that
-    have it; the empty gram has the number of all texts."""
+    gram, and ``<path>/grams`` (gram, texts) with the number of field values
+    that have it; the empty gram has the number of all values."""
     spark = view.sparkSession
-    texts = view.select(search_haystack(*fields).alias("text")).distinct()
-    pairs = texts.select(F.explode(F.concat(F.array(F.lit("")), grams(F.col("text")))).alias("gram"), F.xxhash64("text").alias("key"))
-    postings = pairs.where("gram <> ''")
+    raw = view.select(F.explode(F.array(*[F.col(c).cast("string") for c in fields])).alias("text")).distinct()
+    texts = checkpoint_table(raw.select(search_haystack("text").alias("text")).distinct(), "search-values")
+    postings = texts.select(F.explode(grams(F.col("text"))).alias("gram"), F.xxhash64("text").alias("key"))
     tables.replace_table(postings, f"{path}/postings", partition_by=None, cluster_by=["gram", "key"])
     whole = texts.agg(F.count(F.lit(1)).alias("texts")).select(F.lit("").alias("gram"), "texts")
     written = tables.read_table(spark, f"{path}/postings")
@@ -59,16 +70,20 @@ def build_index(view: DataFrame, path: str, fields: list[str] = SEARCH_FIELDS) -
 
 
 def candidate_keys(spark: SparkSession, path: str, needle: str) -> DataFrame | None:
-    """Keys of the texts that have the needle's rarest trigrams (one column,
-    ``key``); None where a scan is the better way."""
-    asked = needle_grams(needle)
-    if not asked:
+    """Keys of the field values that have the rarest trigrams of one of the
+    needle's words (one column, ``key``); None where a scan is the better
+    way."""
+    words = word_grams(needle)
+    if not words:
         return None
+    asked = sorted({g for w in words for g in w})
     known = {r.gram: r.texts for r in tables.read_table(spark, f"{path}/grams").where(F.col("gram").isin("", *asked)).collect()}
-    rare = sorted(asked, key=lambda g: (known.get(g, 0), g))[:RAREST]
-    if known.get(rare[0], 0) > SCAN_SHARE * known.get("", 0):
+    by_rarity = [sorted(w, key=lambda g: (known.get(g, 0), g))[:RAREST] for w in words]
+    rare = min(by_rarity, key=lambda w: (known.get(w[0], 0), w))
+    most = known.get(rare[0], 0)
+    if most > MOST_KEYS or most > SCAN_SHARE * known.get("", 0):
         return None
-    hits = tables.read_table(spark, f"{path}/postings").where(F.col("gram").isin(*rare))
+    hits = tables.read_table(spark, f"{path}/postings").where(F.col("gram").isin(*rare) if most else F.lit(False))
     return hits.groupBy("key").agg(F.count_distinct("gram").alias("n")).where(F.col("n") == len(rare)).select("key")
 
 
@@ -83,5 +98,8 @@ def search(view: DataFrame, path: str, needle: str, fields: list[str] = SEARCH_F
     keys = candidate_keys(view.sparkSession, path, needle)
     if keys is None:
         return view.where(exact)
-    keyed = view.withColumn("_key", text_key(fields))
-    return keyed.join(keys, keyed["_key"] == keys["key"], "left_semi").drop("_key").where(exact)
+    rows, found = view, F.lit(False)
+    for i, value in enumerate(field_values(fields)):
+        rows = rows.join(F.broadcast(keys.select(F.col("key").alias(f"_k{i}"))), F.xxhash64(value) == F.col(f"_k{i}"), "left")
+        found = found | F.col(f"_k{i}").isNotNull()
+    return rows.where(found & exact).select(*view.columns)

@@ -863,9 +863,16 @@ def q_search_index(spark, root):
     view = tables.read_table(spark, f"{path}/view")
     search.build_index(view, path)
     hits = [search.search(view, path, n).select(F.lit(n).alias("needle"), "participant_id", "event_id", "site_name") for n in SEARCH_NEEDLES]
-    return joins.union_slices(hits).groupBy("needle").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("participant_id").alias("participants"),
-        F.count_distinct("event_id").alias("events"), F.min("site_name").alias("first_site"))
+    # One hash aggregate: a hit counts as its site, its participant and its event.
+    kind = lambda k, event=None, text=None: F.struct(F.lit(k).alias("kind"), (F.lit(None) if event is None else F.col(event)).cast(
+        "bigint").alias("event"), (F.lit(None) if text is None else F.col(text)).cast("string").alias("text"))
+    tags = F.array(kind("site", text="site_name"), kind("who", text="participant_id"), kind("event", event="event_id"))
+    ids = joins.union_slices(hits).select("needle", F.explode(tags).alias("_t")).groupBy("needle", "_t.kind", "_t.event", "_t.text").agg(
+        F.count(F.lit(1)).alias("n"))
+    of = lambda k, c: F.when(F.col("kind") == k, F.col(c))
+    return ids.groupBy("needle").agg(
+        F.sum(of("site", "n")).alias("rows"), F.count(of("who", "text")).alias("participants"), F.count(of("event", "event")).alias("events"),
+        F.array_min(F.collect_set(of("site", "text"))).alias("first_site"))
 
 
 @register("latest_three_months", O.FACT_CTE + f"""

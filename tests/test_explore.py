@@ -6,6 +6,7 @@ import random
 from collections import ChainMap
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SMALL
@@ -138,3 +139,21 @@ def test_copartitioned_fact_has_the_rows_of_the_plain_one(spark):
     assert sorted(map(str, got)) == sorted(map(str, fx.fact(spark, SMALL, columns).select(*columns).collect()))
     for table in names.values():
         spark.sql(f"DROP TABLE {table}")
+
+
+def test_the_index_holds_each_field_value_once(spark, tmp_path):
+    """Every person at every site: the postings are those of the values, not
+    of the joined texts, and a needle over two fields still finds its rows."""
+    names = {c: f"v{i}x" for i, c in enumerate(search.SEARCH_FIELDS)}
+    first, second = search.SEARCH_FIELDS[:2]
+    v = spark.range(30).crossJoin(spark.range(20).toDF("site")).select(
+        F.concat(F.lit("person"), F.col("id").cast("string")).alias(first), F.concat(F.lit("place"), F.col("site").cast("string")).alias(second),
+        *[F.lit(names[c]).alias(c) for c in search.SEARCH_FIELDS[2:]])
+    path = str(tmp_path / "i")
+    search.build_index(v, path)
+    values = {f"person{i}" for i in range(30)} | {f"place{i}" for i in range(20)} | {names[c] for c in search.SEARCH_FIELDS[2:]}
+    grams = sum(len({x[i:i + 3] for i in range(len(x) - 2)}) for x in values)
+    assert search.tables.read_table(spark, f"{path}/postings").count() == grams
+    assert search.candidate_keys(spark, path, "n7 place1").count() == 11
+    assert search.search(v, path, "n7 place1").count() == 11 and search.search(v, path, "7 p").count() == 60
+    assert search.search(v, path, "place1 person").count() == 0
