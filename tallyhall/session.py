@@ -46,6 +46,38 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# Shuffled bytes that one task gets, and bytes of the input files for each
+# shuffle partition that AQE starts from.  A participant row is some 30 bytes
+# in a shuffle and 600 in the hash maps of a distinct count, so Spark's 64 MB
+# a task, or a number of partitions that stays while the input grows, are
+# gigabytes of memory.
+TASK_BYTES = 16 << 20
+INPUT_BYTES = 4 << 20
+_TASK = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_FIRST = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_SIZED = "tallyhall.sizedByInput"
+
+
+def size_tasks(spark: SparkSession, input_bytes: int) -> None:
+    """Shuffle partitions in proportion to the input, at least the session's
+    number; AQE joins the small ones up to ``TASK_BYTES``.  A size or number
+    that the session has of its own stays."""
+    ours = set(filter(None, spark.conf.get(_SIZED, "").split(",")))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for key, value in ((_TASK, TASK_BYTES), (_FIRST, max(least, input_bytes // INPUT_BYTES))):
+        if key in ours or spark.conf.get(key, None) is None:
+            spark.conf.set(key, str(value))
+            ours.add(key)
+    spark.conf.set(_SIZED, ",".join(sorted(ours)))
+
+
+def unsize_tasks(spark: SparkSession) -> None:
+    """The session as it was before :func:`size_tasks`."""
+    for key in filter(None, spark.conf.get(_SIZED, "").split(",")):
+        spark.conf.unset(key)
+    spark.conf.unset(_SIZED)
+
+
 _OWN: list[str] = []
 
 

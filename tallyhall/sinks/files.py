@@ -49,6 +49,10 @@ class Store:
                 out.append((name, s.getLen()))
         return sorted(out)
 
+    def size(self, path: str) -> int:
+        """Bytes of the file or folder; 0 if there is none."""
+        return self._fs.getContentSummary(self._path(path)).getLength() if self.exists(path) else 0
+
     def read(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:
