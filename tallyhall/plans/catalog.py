@@ -23,6 +23,7 @@ from ..operators import explore, filters, joins, pivots, rollups, search
 from ..operators import fact as fact_builder
 from ..session import shared_dir
 from ..sinks import bucketed, payload, tables
+from ..sinks.writers import checkpoint_table
 from ..sources import fixtures as fx
 from ..sources.readers import read_table
 from . import oracle_sql as O
@@ -954,14 +955,22 @@ def q_fact_table_months(spark, root):
     """The fact as a table of two batches, one of them written twice, its
     files in report order; read back by the newest commit."""
     f = _fact(spark, root, ["event_site_state", "event_site_name", "event_startdate", "event_id", "participant_name", "participant_id"])
+    f = checkpoint_table(f, "fact-rows")  # joined once for the three batches and the samples of their ranges
     path = f"{shared_dir(spark)}/tables/fact-{uuid.uuid4().hex}"
     late = F.coalesce(F.col("event_startdate") >= F.lit("1998-01-01").cast("date"), F.lit(True))
     for batch, rows in (("early", f.where(~late)), ("late", f), ("late", f.where(late))):
         tables.append_batch(rows, path, batch, cluster_by=fact_builder.FACT_ORDER)
     t = tables.read_table(spark, path)
-    return t.groupBy("event_year_month").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events"), F.count_distinct("event_site_state").alias("states"),
-        F.min("event_site_state").alias("first_state"))
+    # One hash aggregate: a row counts as its event and as its state.
+    kind = lambda k, event=None, state=None: F.struct(F.lit(k).alias("kind"), (F.lit(None) if event is None else F.col(event)).cast(
+        "bigint").alias("event"), (F.lit(None) if state is None else F.col(state)).cast("string").alias("state"))
+    tags = F.array(kind("event", event="event_id"), kind("state", state="event_site_state"))
+    ids = t.select("event_year_month", F.explode(tags).alias("_t")).groupBy("event_year_month", "_t.kind", "_t.event", "_t.state").agg(
+        F.count(F.lit(1)).alias("n"))
+    of = lambda k, c: F.when(F.col("kind") == k, F.col(c))
+    return ids.groupBy("event_year_month").agg(
+        F.sum(of("state", "n")).alias("rows"), F.count(of("event", "event")).alias("events"), F.count(of("state", "state")).alias("states"),
+        F.array_min(F.collect_set(of("state", "state"))).alias("first_state"))
 
 
 
