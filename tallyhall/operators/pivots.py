@@ -246,58 +246,81 @@ SITE = ["refid", "site_name", "state"]
 SHEET = ["grain_code", "sheet_start", "wom"]
 
 
+PILLAR, GRAIN, MONTH = 1_000_000_000, 10_000_000, 10  # places in a sheet's code
+
+
+def _pillar_place(pillars: list[PillarSpec]):
+    place = F.lit(None).cast("bigint")
+    for i, p in reversed(list(enumerate(pillars))):
+        place = F.when(F.col("pillar_name") == p.name, F.lit(i).cast("bigint")).otherwise(place)
+    return place
+
+
+def _codes_of(own):
+    """The cells of an id's (month and recent week, group): (sheet, group)
+    pairs, once more without the group for the total."""
+    when, month = own["when"], F.floor(own["when"] / MONTH).cast("bigint")
+    sheets = [GRAIN + month * MONTH, 2 * GRAIN + (month - (month - 1) % 3) * MONTH, F.lit(4 * GRAIN), 3 * GRAIN + when]
+
+    def pairs(of):
+        return F.array(*[F.struct(c.cast("bigint").alias("sheet"), g.cast("string").alias("grp")) for g in (own["grp"], F.lit(None)) for c in of])
+    return F.when(when.isNull(), pairs(sheets[2:3])).when(when % MONTH == 0, pairs(sheets[:3])).otherwise(pairs(sheets))
+
+
 def _sheet_cells(df: DataFrame, pillars: list[PillarSpec], first_recent, listed: bool = False, in_category=None) -> DataFrame:
-    """Cells by (pillar, compact sheet, site, group), a null group for the
-    true totals.  With ``listed``, every site with a refid has besides a row
-    of a null pillar, whichever rows ``in_category`` leaves out.
-
-    Rows are first reduced to the distinct events and participants of a
-    (pillar, site, group, day); only those are exploded into their sheets.
-    One aggregate by (sheet, site, id) gathers an id's groups (at most one
-    per group), so the totals need no further copy of the rows."""
+    """Cells by (pillar and sheet as one number ``_code``, site, group), a
+    null group for the true totals.  With ``listed``, every site with a refid
+    has besides a row of a null code, whichever rows ``in_category`` leaves
+    out.
+
+    One aggregate gathers the groups and months (in recent months, weeks) of
+    an event or participant of a (pillar, site); nearly all have one.  An id
+    counts once in each of the sheets and groups that these give, and the
+    counts are hash sums by one number and the site."""
     rows = _pillar_rows(df, pillars)
     if in_category is not None:
         rows = rows.withColumn("_cell", F.col("_cell") & in_category)
     ids = F.array(F.struct(F.lit(True).alias("event"), F.col("event_id").cast("string").alias("id")),
                   F.struct(F.lit(False).alias("event"), F.col("participant_id").cast("string").alias("id")))
-    own, cell = ["pillar_name", "grp", "_d"], F.col("_cell")
+    recent = F.coalesce(month_start("_d") >= first_recent, F.lit(False))
+    when = (F.year("_d") * 12 + F.month("_d")).cast("bigint") * MONTH + F.when(recent, _week_of_month_no(F.col("_d"))).otherwise(0)
+    own, cell = {"place": _pillar_place(pillars), "grp": F.col("grp"), "when": when}, F.col("_cell")
     if listed:
         none = F.array(F.struct(F.lit(None).cast("boolean").alias("event"), F.lit("").alias("id")))
         ids = F.when(cell, F.concat(ids, none)).otherwise(none)
         rows = rows.where(non_empty("event_site_refid"))
-        kept = [F.when(F.col("_i.event").isNotNull(), F.col(c)).alias(c) for c in own]
     else:
         rows = rows.where("_cell")
-        kept = [F.col(c) for c in own]
-    base = rows.select(*own, F.col("event_site_refid").alias("refid"), F.col("event_site_name").alias("site_name"),
-                       F.col("event_site_state").alias("state"), F.explode(ids).alias("_i"))
-    base = base.select(*kept, *SITE, "_i.event", "_i.id").where("id is not null").distinct()
-    keys = ["pillar_name", *SHEET, *SITE]
-    exploded = _on_sheets(base, first_recent).select("pillar_name", "_s.*", *SITE, "grp", "event", "id")
-    groups = exploded.groupBy(*keys, "event", "id").agg(F.collect_set("grp").alias("grps"))
-    cells = groups.select(*keys, "event", F.explode(F.concat(
-        F.transform("grps", lambda g: _named(g)), F.array(_named(F.lit(None).cast("string"))))).alias("_g"))
-    return cells.groupBy(*keys, F.col("_g.grp").alias("grp")).agg(
+    base = rows.select(*[c.alias(n) for n, c in own.items()], F.col("event_site_refid").alias("refid"),
+                       F.col("event_site_name").alias("site_name"), F.col("event_site_state").alias("state"), F.explode(ids).alias("_i"))
+    kept = [F.when(F.col("_i.event").isNotNull(), F.col(c)).alias(c) if listed else F.col(c) for c in own]
+    base = base.select(*kept, *SITE, "_i.event", "_i.id").where("id is not null")
+    gathered = base.groupBy("place", *SITE, "event", "id").agg(F.collect_set(F.struct("grp", "when")).alias("own"))
+    codes = F.when(F.size("own") == 1, _codes_of(F.col("own")[0])).otherwise(F.array_distinct(F.flatten(F.transform("own", _codes_of))))
+    cells = gathered.select("place", *SITE, "event", F.explode(codes).alias("_c"))
+    return cells.groupBy((F.col("place") * PILLAR + F.col("_c.sheet")).alias("_code"), *SITE, F.col("_c.grp").alias("grp")).agg(
         F.count_if("event").cast("bigint").alias("events"), F.count_if(~F.col("event")).cast("bigint").alias("pax"))
 
 
-def _named(group):
-    return F.struct(group.alias("grp"))
-
-
 def pivot_all_grains(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U",
                      date_col: str = "event_start", weekly_months: int = WEEKLY_SHEET_MONTHS) -> DataFrame:
     """Long form of every (pillar, sheet) pivot: one row per non-empty cell,
     group 'Total' carrying the true per-site distinct totals."""
     df = _categorised(fact, category, date_col)
-    long = sheet_labels(_sheet_cells(df, pillars, _first_recent_month(df, weekly_months)))
-    return long.select("pillar_name", "grain", "sheet", *SITE, F.coalesce("grp", F.lit("Total")).alias("grp"), "events", "pax")
+    cells = _sheet_cells(df, pillars, _first_recent_month(df, weekly_months))
+    code = F.col("_code")
+    name = F.element_at(F.array(*[F.lit(p.name) for p in pillars]), (F.floor(code / PILLAR) + 1).cast("int"))
+    month = F.floor(code % GRAIN / MONTH).cast("int") - 1
+    start = F.when(month >= 0, F.make_date(F.floor(month / 12).cast("int"), month % 12 + 1, F.lit(1)))
+    keyed = cells.select(name.alias("pillar_name"), F.floor(code % PILLAR / GRAIN).cast("int").alias("grain_code"), start.alias("sheet_start"),
+                         (code % MONTH).cast("int").alias("wom"), *SITE, F.coalesce("grp", F.lit("Total")).alias("grp"), "events", "pax")
+    return sheet_labels(keyed).select("pillar_name", "grain", "sheet", *SITE, "grp", "events", "pax")
 
 
 def _sheet_code(grain, start, wom):
     """A compact sheet key as one number."""
     month = F.coalesce(F.year(start) * 12 + F.month(start), F.lit(0))
-    return grain.cast("bigint") * 10_000_000 + month * 10 + F.coalesce(wom, F.lit(0))
+    return grain.cast("bigint") * GRAIN + month * MONTH + F.coalesce(wom, F.lit(0))
 
 
 def _sheet_list(months, weekly_months: int):
@@ -336,19 +359,15 @@ def complete_sheets(fact: DataFrame, pillars: list[PillarSpec], category: str |
         F.size(months) > 0, F.element_at(months, -F.least(F.size(months), F.lit(weekly_months)))).alias("first_recent"))).scalar()
     first_recent = lists["first_recent"]
     cells = _sheet_cells(df, pillars, first_recent, listed=True, in_category=named)
-    order = F.lit(None).cast("bigint")
-    for i, p in enumerate(pillars):
-        order = F.when(F.col("pillar_name") == p.name, F.lit(i)).otherwise(order)
-    key = order * 1_000_000_000 + _sheet_code(F.col("grain_code"), F.col("sheet_start"), F.col("wom"))
-    by_sheet = cells.groupBy(*SITE, key.alias("_key")).agg(F.map_from_entries(F.collect_list(
+    by_sheet = cells.groupBy(*SITE, F.col("_code").alias("_key")).agg(F.map_from_entries(F.collect_list(
         F.struct(F.coalesce("grp", F.lit("")).alias("grp"), F.struct("events", "pax")))).alias("_cells"))
     by_site = by_sheet.groupBy(*SITE).agg(F.map_from_entries(F.collect_list(
         F.when(F.col("_key").isNotNull(), F.struct("_key", "_cells")))).alias("_own"))
     grid = by_site.select(*SITE, "_own", F.explode(lists["pillars"]).alias("_p"))
-    low = F.col("_p.place") * 1_000_000_000  # a row per sheet carries its pillar's cells only
-    grid = grid.select(*SITE, "_p", F.map_filter("_own", lambda k, _: (k >= low) & (k < low + 1_000_000_000)).alias("_own"))
+    low = F.col("_p.place") * PILLAR  # a row per sheet carries its pillar's cells only
+    grid = grid.select(*SITE, "_p", F.map_filter("_own", lambda k, _: (k >= low) & (k < low + PILLAR)).alias("_own"))
     grid = grid.select(*SITE, "_own", "_p", F.explode(lists["sheets"]).alias("_s"))
-    code = F.col("_p.place") * 1_000_000_000 + _sheet_code(F.col("_s.grain_code"), F.col("_s.sheet_start"), F.col("_s.wom"))
+    code = F.col("_p.place") * PILLAR + _sheet_code(F.col("_s.grain_code"), F.col("_s.sheet_start"), F.col("_s.wom"))
     grid = grid.select(*SITE, "_p", "_s", F.try_element_at("_own", code).alias("_cells"))
     grid = grid.select("_p.pillar_name", "_s.*", *SITE, "_cells", F.explode(F.concat("_p.grps", F.array(F.lit("")))).alias("grp"))
     cell = F.try_element_at("_cells", F.col("grp"))
