@@ -274,9 +274,9 @@ def _sheet_cells(df: DataFrame, pillars: list[PillarSpec], first_recent, listed:
     out.
 
     One aggregate gathers the groups and months (in recent months, weeks) of
-    an event or participant of a (pillar, site); nearly all have one.  An id
-    counts once in each of the sheets and groups that these give, and the
-    counts are hash sums by one number and the site."""
+    an event or participant of a (pillar, site).  Nearly all have one: those
+    are counted by month first, and the counts fan out to the sheets.  An id
+    of several counts once in each of the sheets and groups that they give."""
     rows = _pillar_rows(df, pillars)
     if in_category is not None:
         rows = rows.withColumn("_cell", F.col("_cell") & in_category)
@@ -296,10 +296,17 @@ def _sheet_cells(df: DataFrame, pillars: list[PillarSpec], first_recent, listed:
     kept = [F.when(F.col("_i.event").isNotNull(), F.col(c)).alias(c) if listed else F.col(c) for c in own]
     base = base.select(*kept, *SITE, "_i.event", "_i.id").where("id is not null")
     gathered = base.groupBy("place", *SITE, "event", "id").agg(F.collect_set(F.struct("grp", "when")).alias("own"))
-    codes = F.when(F.size("own") == 1, _codes_of(F.col("own")[0])).otherwise(F.array_distinct(F.flatten(F.transform("own", _codes_of))))
-    cells = gathered.select("place", *SITE, "event", F.explode(codes).alias("_c"))
-    return cells.groupBy((F.col("place") * PILLAR + F.col("_c.sheet")).alias("_code"), *SITE, F.col("_c.grp").alias("grp")).agg(
+    one = F.array(F.struct(F.col("own")[0]["grp"].alias("grp"), F.col("own")[0]["when"].alias("when"), F.lit(None).cast("bigint").alias("sheet")))
+    many = F.transform(F.array_distinct(F.flatten(F.transform("own", _codes_of))), lambda c: F.struct(
+        c["grp"].alias("grp"), F.lit(None).cast("bigint").alias("when"), c["sheet"].alias("sheet")))
+    cells = gathered.select("place", *SITE, "event", F.explode(F.when(F.size("own") == 1, one).otherwise(many)).alias("_c"))
+    cells = cells.groupBy("place", *SITE, "_c.grp", "_c.when", "_c.sheet").agg(
         F.count_if("event").cast("bigint").alias("events"), F.count_if(~F.col("event")).cast("bigint").alias("pax"))
+    own = F.struct("sheet", "grp")
+    spread = F.when(F.col("sheet").isNull(), _codes_of({"when": F.col("when"), "grp": F.col("grp")})).otherwise(F.array(own))
+    cells = cells.select("place", *SITE, "events", "pax", F.explode(spread).alias("_c"))
+    return cells.groupBy((F.col("place") * PILLAR + F.col("_c.sheet")).alias("_code"), *SITE, F.col("_c.grp").alias("grp")).agg(
+        F.sum("events").alias("events"), F.sum("pax").alias("pax"))
 
 
 def pivot_all_grains(fact: DataFrame, pillars: list[PillarSpec], category: str | None = "NADI4U",
