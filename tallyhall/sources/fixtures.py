@@ -75,6 +75,15 @@ def _category_id(subcategory: Column) -> Column:
     return out
 
 
+def _refid(key: str | Column) -> Column:
+    return F.concat(F.lit("S"), (F.col(key) if isinstance(key, str) else key).cast("string"))
+
+
+def _participant(order: str | Column, line: str | Column) -> Column:
+    order, line = (F.col(c) if isinstance(c, str) else c for c in (order, line))
+    return F.concat(order.cast("string"), F.lit("-"), line.cast("string"))
+
+
 class Tables(Mapping[str, DataFrame]):
     """The test tables by logical name, each made when it is asked for."""
 
@@ -85,9 +94,6 @@ class Tables(Mapping[str, DataFrame]):
     def _read(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
 
-    def _refid(self, key: str) -> Column:
-        return F.concat(F.lit("S"), F.col(key).cast("string"))
-
     def events(self) -> DataFrame:
         o = self._read("orders")
         if self.excluded:
@@ -107,11 +113,11 @@ class Tables(Mapping[str, DataFrame]):
 
     def participants(self) -> DataFrame:
         member, under12 = F.col("l_linenumber") <= 5, F.col("l_linenumber") == 6
-        key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
         return self._read("lineitem").select(
-            key.alias("participant_id"), F.col("l_orderkey").alias("event_id"), (F.col("l_linestatus") == "F").alias("attendance"),
+            _participant("l_orderkey", "l_linenumber").alias("participant_id"), F.col("l_orderkey").alias("event_id"),
+            F.col("l_linenumber").alias("line_no"), (F.col("l_linestatus") == "F").alias("attendance"),
             F.when(member, F.col("l_partkey")).alias("member_id"), F.when(under12, F.col("l_partkey")).alias("under12_id"),
-            F.col("l_suppkey").alias("site_id"), F.col("l_partkey").alias("part_id"), self._refid("l_suppkey").alias("refid"),
+            F.col("l_suppkey").alias("site_id"), F.col("l_partkey").alias("part_id"), _refid("l_suppkey").alias("refid"),
             F.when(member | under12, F.concat(F.lit("Person#"), F.col("l_partkey").cast("string"))).alias("person"),
             F.when(member, F.col("l_partkey").cast("string")).alias("identity_no"),
             F.when(F.col("l_returnflag") == FIXTURE_WOMEN_FLAG, "Perempuan").otherwise("Lelaki").alias("gender"),
@@ -132,7 +138,7 @@ class Tables(Mapping[str, DataFrame]):
     def site_profiles(self) -> DataFrame:
         balance = F.col("s_acctbal")
         return self._read("supplier").select(
-            F.col("s_suppkey").alias("site_id"), self._refid("s_suppkey").alias("refid"),
+            F.col("s_suppkey").alias("site_id"), _refid("s_suppkey").alias("refid"),
             site_name_fallback(F.col("s_name"), F.col("s_suppkey")).alias("site_name"), F.col("s_nationkey").cast("bigint").alias("org_id"),
             F.col("s_nationkey").alias("state_id"),
             F.when(balance < 0, "Phase 1").when(balance < 5000, "Phase 2").otherwise("Phase 3").alias("phase"))
@@ -190,7 +196,9 @@ GRAPH = (
               {"requester": Link("requesters", "requester_id")})
     .extended("fact", {"participant_name": same("person"), "gender": same("gender"), "gender_name": same("gender"),
                        **{c: same(c) for c in ("identity_no", "age", "oku_status")},
-                       "program_name": same("part.name"), "event_site_refid": same("refid"), "event_site_region": text("site.region"),
+                       # The texts of these keys are made behind the joins, so the numbers cross their exchanges.
+                       "participant_id": Field(("event_id", "line_no"), _participant), "event_site_refid": Field(("site_id",), _refid),
+                       "program_name": same("part.name"), "event_site_region": text("site.region"),
                        **{c: same(f"event.{c}") for c in ("program", "creator_type", "home_refid", "home_site_name", "home_state")}},
               {"part": Link("parts", "part_id")}))
 # These tables have no address and officer lookups, so none can repeat rows.

@@ -5,6 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
+from tallyhall.sources import fixtures as fx
 from tallyhall.operators import fact as fb
 
 T0 = dt.datetime(2026, 1, 2, 9, 0)
@@ -81,3 +83,11 @@ def test_sort_and_control_characters(spark):
     assert [r.event_id for r in fb.sort_fact(df).collect()] == [4, 3, 1, 2]
     clean = {r.event_id: r.participant_name for r in fb.strip_control_everywhere(df).collect()}
     assert clean == {1: "xy\tz", 2: "", 3: None, 4: "ok"}
+
+
+def test_key_texts_are_made_behind_the_joins(spark):
+    """The numbers that participant and site keys are made of cross the
+    joins' exchanges, not the texts."""
+    plan = fx.fact(spark, SMALL, ["event_id", "participant_id", "event_site_refid", "pillar_name"])._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join", 1)
+    assert "concat(" in above and "concat(" not in below
