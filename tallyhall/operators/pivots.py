@@ -17,6 +17,7 @@ from ..config import REPORT_STATES, WEEKLY_SHEET_MONTHS, PillarSpec
 from ..functions.calendar import month_label, month_start, quarter_sheet, quarter_start
 from ..functions.classify import classify
 from ..functions.text import contains_or_false, non_empty
+from ..session import first_partitions
 from .joins import densify_left, densify_outer
 from .rollups import site_dimension
 
@@ -247,6 +248,7 @@ SHEET = ["grain_code", "sheet_start", "wom"]
 
 
 PILLAR, GRAIN, MONTH = 1_000_000_000, 10_000_000, 10  # places in a sheet's code
+SPREAD = 16  # parts of a site's event and of its participant ids, for as many tasks
 
 
 def _pillar_place(pillars: list[PillarSpec]):
@@ -258,54 +260,53 @@ def _pillar_place(pillars: list[PillarSpec]):
 
 def _codes_of(own):
     """The cells of an id's (month and recent week, group): (sheet, group)
-    pairs, once more without the group for the total."""
+    pairs, once more without the group for the total.  0 stands for no date."""
     when, month = own["when"], F.floor(own["when"] / MONTH).cast("bigint")
     sheets = [GRAIN + month * MONTH, 2 * GRAIN + (month - (month - 1) % 3) * MONTH, F.lit(4 * GRAIN), 3 * GRAIN + when]
 
     def pairs(of):
         return F.array(*[F.struct(c.cast("bigint").alias("sheet"), g.cast("string").alias("grp")) for g in (own["grp"], F.lit(None)) for c in of])
-    return F.when(when.isNull(), pairs(sheets[2:3])).when(when % MONTH == 0, pairs(sheets[:3])).otherwise(pairs(sheets))
+    return F.when(when == 0, pairs(sheets[2:3])).when(when % MONTH == 0, pairs(sheets[:3])).otherwise(pairs(sheets))
 
 
-def _sheet_cells(df: DataFrame, pillars: list[PillarSpec], first_recent, listed: bool = False, in_category=None) -> DataFrame:
+def _sheet_cells(df: DataFrame, pillars: list[PillarSpec], first_recent, sites: DataFrame | None = None) -> DataFrame:
     """Cells by (pillar and sheet as one number ``_code``, site, group), a
-    null group for the true totals.  With ``listed``, every site with a refid
-    has besides a row of a null code, whichever rows ``in_category`` leaves
-    out.
-
-    One aggregate gathers the groups and months (in recent months, weeks) of
-    an event or participant of a (pillar, site).  Nearly all have one: those
-    are counted by month first, and the counts fan out to the sheets.  An id
-    of several counts once in each of the sheets and groups that they give."""
-    rows = _pillar_rows(df, pillars)
-    if in_category is not None:
-        rows = rows.withColumn("_cell", F.col("_cell") & in_category)
-    ids = F.array(F.struct(F.lit(True).alias("event"), F.col("event_id").cast("string").alias("id")),
-                  F.struct(F.lit(False).alias("event"), F.col("participant_id").cast("string").alias("id")))
+    null group for the true totals.  Each row of ``sites`` has besides a row
+    of a null code.
+
+    Two exchanges.  By site and a sixteenth of the ids, where one aggregate
+    gathers the groups and months (in recent months, weeks) of an event or
+    participant of a (pillar, site).  Nearly all have one: those are counted
+    by month, an id of several counts once in each of the sheets and groups
+    that they give.  The counts go by site, and fan out to the sheets there, so
+    whatever groups by the site afterwards moves nothing.  A hot site's ids
+    are spread over tasks, and its counts are few."""
+    rows = _pillar_rows(df, pillars).where("_cell")
     recent = F.coalesce(month_start("_d") >= first_recent, F.lit(False))
     when = (F.year("_d") * 12 + F.month("_d")).cast("bigint") * MONTH + F.when(recent, _week_of_month_no(F.col("_d"))).otherwise(0)
-    own, cell = {"place": _pillar_place(pillars), "grp": F.col("grp"), "when": when}, F.col("_cell")
-    if listed:
-        none = F.array(F.struct(F.lit(None).cast("boolean").alias("event"), F.lit("").alias("id")))
-        ids = F.when(cell, F.concat(ids, none)).otherwise(none)
-        rows = rows.where(non_empty("event_site_refid"))
-    else:
-        rows = rows.where("_cell")
-    base = rows.select(*[c.alias(n) for n, c in own.items()], F.col("event_site_refid").alias("refid"),
-                       F.col("event_site_name").alias("site_name"), F.col("event_site_state").alias("state"), F.explode(ids).alias("_i"))
-    kept = [F.when(F.col("_i.event").isNotNull(), F.col(c)).alias(c) if listed else F.col(c) for c in own]
-    base = base.select(*kept, *SITE, "_i.event", "_i.id").where("id is not null")
-    gathered = base.groupBy("place", *SITE, "event", "id").agg(F.collect_set(F.struct("grp", "when")).alias("own"))
+    ids = F.array(F.struct(F.lit(1).alias("event"), F.col("event_id").cast("string").alias("id")),
+                  F.struct(F.lit(0).alias("event"), F.col("participant_id").cast("string").alias("id")))
+    # A pillar and month are one number, and what differs from row to row stands together, so the rows pack well.
+    rows = rows.select((_pillar_place(pillars) * PILLAR + F.coalesce(when, F.lit(0))).alias("at"), F.col("event_site_refid").alias("refid"),
+                       F.col("event_site_name").alias("site_name"), F.col("event_site_state").alias("state"), "grp", F.explode(ids).alias("_i"))
+    part = F.pmod(F.xxhash64("_i.id"), F.lit(SPREAD)) * 2 + F.col("_i.event")
+    rows = rows.where("_i.id is not null").select(part.cast("int").alias("part"), "at", *SITE, "_i.id", "grp").repartition("part", *SITE)
+    gathered = rows.groupBy(*SITE, "part", F.floor(F.col("at") / PILLAR).alias("place"), "id").agg(
+        F.collect_set(F.struct("grp", (F.col("at") % PILLAR).alias("when"))).alias("own"))
     one = F.array(F.struct(F.col("own")[0]["grp"].alias("grp"), F.col("own")[0]["when"].alias("when"), F.lit(None).cast("bigint").alias("sheet")))
     many = F.transform(F.array_distinct(F.flatten(F.transform("own", _codes_of))), lambda c: F.struct(
         c["grp"].alias("grp"), F.lit(None).cast("bigint").alias("when"), c["sheet"].alias("sheet")))
-    cells = gathered.select("place", *SITE, "event", F.explode(F.when(F.size("own") == 1, one).otherwise(many)).alias("_c"))
-    cells = cells.groupBy("place", *SITE, "_c.grp", "_c.when", "_c.sheet").agg(
-        F.count_if("event").cast("bigint").alias("events"), F.count_if(~F.col("event")).cast("bigint").alias("pax"))
+    cells = gathered.select(*SITE, "part", "place", F.explode(F.when(F.size("own") == 1, one).otherwise(many)).alias("_c"))
+    n, event = F.count(F.lit(1)), F.col("part") % 2 == 1
+    cells = cells.groupBy(*SITE, "part", "place", "_c.grp", "_c.when", "_c.sheet").agg(
+        F.when(event, n).otherwise(0).alias("events"), F.when(event, 0).otherwise(n).alias("pax")).drop("part")
+    if sites is not None:
+        cells = cells.unionByName(sites.select(*SITE), allowMissingColumns=True)
+    cells = cells.repartition(first_partitions(df.sparkSession), *SITE)
     own = F.struct("sheet", "grp")
-    spread = F.when(F.col("sheet").isNull(), _codes_of({"when": F.col("when"), "grp": F.col("grp")})).otherwise(F.array(own))
+    spread = F.when(F.col("when").isNotNull(), _codes_of({"when": F.col("when"), "grp": F.col("grp")})).otherwise(F.array(own))
     cells = cells.select("place", *SITE, "events", "pax", F.explode(spread).alias("_c"))
-    return cells.groupBy((F.col("place") * PILLAR + F.col("_c.sheet")).alias("_code"), *SITE, F.col("_c.grp").alias("grp")).agg(
+    return cells.groupBy(*SITE, (F.col("place") * PILLAR + F.col("_c.sheet")).alias("_code"), F.col("_c.grp").alias("grp")).agg(
         F.sum("events").alias("events"), F.sum("pax").alias("pax"))
 
 
@@ -353,30 +354,34 @@ def complete_sheets(fact: DataFrame, pillars: list[PillarSpec], category: str |
     where its row is, so the dense rows are never joined or shuffled."""
     named = F.coalesce(contains_or_false(F.col("category_name"), category), F.lit(False)) if category else F.lit(True)
     df = fact.withColumn("_d", F.to_date(F.col(date_col)))
-    grouped = _pillar_rows(df.where(named), pillars)
-    loose = F.col("pillar_name").isin(*[p.name for p in pillars if not p.groups]) & non_empty("grp")
+    # Fixed groups are not looked up, so neither are the columns that they are made of.
+    free = [p.name for p in pillars if not p.groups]
+    of = _pillar_group([p for p in pillars if p.name in free])
+    grouped = df.where(named).withColumn("grp", F.lit(None).cast("string") if of is None else of)
+    loose = F.col("pillar_name").isin(*free) & non_empty("grp")
     found = grouped.agg(F.sort_array(F.collect_set(month_start("_d"))).alias("months"),
                         F.sort_array(F.collect_set(F.when(loose, F.struct("pillar_name", "grp")))).alias("groups"))
     months, groups = F.col("months"), F.col("groups")
     spec = F.array(*[F.struct(
         F.lit(i).cast("bigint").alias("place"), F.lit(p.name).alias("pillar_name"),
-        (F.array(*map(F.lit, p.groups)).cast("array<string>") if p.groups else _groups_of(groups, p.name)).alias("grps"))
-        for i, p in enumerate(pillars)])
-    lists = found.select(F.struct(_sheet_list(months, weekly_months).alias("sheets"), spec.alias("pillars"), F.when(
+        (F.array(*map(F.lit, p.groups)).cast("array<string>") if p.groups else _groups_of(groups, p.name)).alias("grps"),
+        _sheet_list(months, weekly_months).alias("sheets")) for i, p in enumerate(pillars)])
+    lists = found.select(F.struct(spec.alias("pillars"), F.when(
         F.size(months) > 0, F.element_at(months, -F.least(F.size(months), F.lit(weekly_months)))).alias("first_recent"))).scalar()
     first_recent = lists["first_recent"]
-    cells = _sheet_cells(df, pillars, first_recent, listed=True, in_category=named)
+    sites = df.where(non_empty("event_site_refid")).select(*[F.col(f"event_site_{c}").alias(n) for c, n in zip(("refid", "name", "state"), SITE, strict=True)])
+    cells = _sheet_cells(df.where(named), pillars, first_recent, sites.distinct())
     by_sheet = cells.groupBy(*SITE, F.col("_code").alias("_key")).agg(F.map_from_entries(F.collect_list(
         F.struct(F.coalesce("grp", F.lit("")).alias("grp"), F.struct("events", "pax")))).alias("_cells"))
     by_site = by_sheet.groupBy(*SITE).agg(F.map_from_entries(F.collect_list(
         F.when(F.col("_key").isNotNull(), F.struct("_key", "_cells")))).alias("_own"))
     grid = by_site.select(*SITE, "_own", F.explode(lists["pillars"]).alias("_p"))
     low = F.col("_p.place") * PILLAR  # a row per sheet carries its pillar's cells only
-    grid = grid.select(*SITE, "_p", F.map_filter("_own", lambda k, _: (k >= low) & (k < low + PILLAR)).alias("_own"))
-    grid = grid.select(*SITE, "_own", "_p", F.explode(lists["sheets"]).alias("_s"))
-    code = F.col("_p.place") * PILLAR + _sheet_code(F.col("_s.grain_code"), F.col("_s.sheet_start"), F.col("_s.wom"))
-    grid = grid.select(*SITE, "_p", "_s", F.try_element_at("_own", code).alias("_cells"))
-    grid = grid.select("_p.pillar_name", "_s.*", *SITE, "_cells", F.explode(F.concat("_p.grps", F.array(F.lit("")))).alias("grp"))
+    grid = grid.select(*SITE, "_p.*", F.map_filter("_own", lambda k, _: (k >= low) & (k < low + PILLAR)).alias("_own"))
+    grid = grid.select(*SITE, "_own", "place", "pillar_name", "grps", F.explode("sheets").alias("_s"))
+    code = F.col("place") * PILLAR + _sheet_code(F.col("_s.grain_code"), F.col("_s.sheet_start"), F.col("_s.wom"))
+    grid = grid.select(*SITE, "pillar_name", "grps", "_s", F.try_element_at("_own", code).alias("_cells"))
+    grid = grid.select("pillar_name", "_s.*", *SITE, "_cells", F.explode(F.concat("grps", F.array(F.lit("")))).alias("grp"))
     cell = F.try_element_at("_cells", F.col("grp"))
     out = grid.select("pillar_name", *SHEET, *SITE, F.when(F.col("grp") == "", "Total").otherwise(F.col("grp")).alias("grp"),
                       F.coalesce(cell["events"], F.lit(0)).cast("bigint").alias("events"), F.coalesce(cell["pax"], F.lit(0)).cast("bigint").alias("pax"))

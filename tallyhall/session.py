@@ -71,6 +71,12 @@ def size_tasks(spark: SparkSession, input_bytes: int) -> None:
     spark.conf.set(_SIZED, ",".join(sorted(ours)))
 
 
+def first_partitions(spark: SparkSession) -> int:
+    """Shuffle partitions before AQE joins them: for an exchange whose rows
+    grow behind it, so that its partitions stay as small."""
+    return int(spark.conf.get(_FIRST, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def unsize_tasks(spark: SparkSession) -> None:
     """The session as it was before :func:`size_tasks`."""
     for key in filter(None, spark.conf.get(_SIZED, "").split(",")):

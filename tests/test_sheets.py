@@ -2,10 +2,12 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 
-from conftest import make_fact
+import __spark_entry__ as E
+from conftest import SMALL, make_fact
 from tallyhall.config import Classifier, PillarSpec
 from tallyhall.operators import pivots
 
@@ -96,3 +98,30 @@ def test_rows_are_gathered_by_id_before_they_fan_out_to_sheets(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString().split("scalar-subquery")[0]
     below = plan[plan.index("collect_set("):]
     assert "sheet" not in below.split("\n", 1)[1]
+
+
+def test_counts_go_by_site_once_and_every_sheet_is_made_there(spark):
+    """One exchange by site and part of the ids, one by site; none for the
+    fan-out to sheets, the sheets of a site and its zeros."""
+    def moved(df):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+        return [x.split("Exchange ")[1] for x in plan.splitlines() if re.match(r" *\+- Exchange", x)]
+    fact = make_fact(spark, some_rows(4, 50))
+    site, part = r"hashpartitioning\(refid\S+ site_name\S+ state", r"hashpartitioning\(part\S+ refid"
+    by_site, by_part = moved(pivots.pivot_all_grains(fact, PILLARS))
+    assert re.match(site, by_site) and re.match(part, by_part)
+    (by_site,) = moved(pivots.complete_sheets(fact, PILLARS))
+    assert re.match(site, by_site)
+
+
+def test_a_site_with_all_ids_is_spread_over_parts(spark):
+    rows = [{"event_id": i % 40, "participant_id": f"p{i % 90}", "event_site_refid": "S1", "event_site_name": "one", "event_site_state": "A",
+             "category_name": "NADI4U", "pillar_name": "P1", "sub_pillar_name": f"g{i % 3}",
+             "event_start": dt.datetime(2026, 1 + i % 5, 1 + i % 28)} for i in range(400)]
+    got = pivots.complete_sheets(make_fact(spark, rows), PILLARS)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
+
+
+def test_lists_of_sheets_do_not_look_up_the_columns_of_fixed_groups(spark):
+    plan = E.queries()["complete_sheets"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert sum("part.parquet" in x for x in plan.splitlines() if "FileScan" in x) == 1  # the cells' own
